@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from skyflow.llm import tokens
+from skyflow.llm import packing, tokens
 
 
 def queries() -> dict:
-    return {"op1_token_counts": tokens.query}
+    return {"op1_token_counts": tokens.query, "op2_packing": packing.query}
 
 
 def oracle_sql() -> dict[str, str]:
