@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from skyflow.llm import packing, tokens
+from skyflow.llm import decontaminate, exact_dedup, packing, tokens
 
 
 def queries() -> dict:
-    return {"op1_token_counts": tokens.query, "op2_packing": packing.query}
+    return {
+        "op1_token_counts": tokens.query,
+        "op2_packing": packing.query,
+        "op3_exact_dedup": exact_dedup.query,
+        "op6_decontaminate": decontaminate.query,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_exact_dedup": exact_dedup.ORACLE,
+        "op6_decontaminate": decontaminate.ORACLE,
+    }
