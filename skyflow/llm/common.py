@@ -158,3 +158,37 @@ def shingle_sets(col: pa.Array, width: int) -> Iterator[np.ndarray]:
 def id_crc_mod(col: Column, mod: int) -> Column:
     """crc32 of the id's decimal text modulo ``mod``: the fixed folds of the labelled tables."""
     return F.pmod(F.crc32(col.cast("string").cast("binary")), F.lit(mod))
+
+
+#: At most so many groups can hold more than a share of 1 / HEAVY_GROUPS of all rows.
+HEAVY_GROUPS = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, on: str, size: str, total: int) -> DataFrame:
+    """Inner join of rows to their group's row, whatever a group's share of the rows.
+
+    ``size`` counts a group's rows. Groups of more than total / HEAVY_GROUPS rows are fewer than
+    HEAVY_GROUPS, so these are broadcast; the others are shuffled, and none of them fills a task.
+    """
+    bound = max(1000, total // HEAVY_GROUPS)
+    heavy, light = groups.filter(F.col(size) > bound), groups.filter(F.col(size) <= bound)
+    rest = rows.join(F.broadcast(heavy.select(on)), on, "left_anti")
+    return rows.join(F.broadcast(heavy), on).unionByName(rest.join(light, on))
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
+    """Label (``v``, ``label``) every vertex of the edges (``a``, ``b``) with the smallest vertex it reaches.
+
+    Each round takes the smallest label among a vertex and its neighbours and then the label of that
+    label, so paths halve; every round is written to the shared folder.
+    """
+    both = materialize(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "cc-edges")
+    labels = materialize(both.groupBy(F.col("a").alias("v")).agg(F.least(F.col("a"), F.min("b")).alias("label")), "cc")
+    while True:
+        seen = both.join(labels.withColumnRenamed("v", "b"), "b").groupBy(F.col("a").alias("v")).agg(F.min("label").alias("near"))
+        near = labels.join(seen, "v").select("v", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        up = labels.select(F.col("v").alias("label"), F.col("label").alias("above"))
+        new = materialize(near.join(up, "label", "left").select("v", "old", F.least("label", F.coalesce("above", "label")).alias("label")), "cc")
+        labels = new.select("v", "label")
+        if not new.filter("old <> label").limit(1).count():
+            return labels

@@ -20,12 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyflow.llm.common import buckets_for, materialize, text_of, tune
+from skyflow.llm.common import buckets_for, join_groups, materialize, text_of, tune
 
 SHARD_KEYS = 50_000
 COMBINE_KEYS = 100_000
 SLOTS, MAX_KICKS, SEEDED = 4, 200, 0x5BD1E995
-HEAVY_GROUPS = 1000
 
 
 class CuckooTable:
@@ -226,10 +225,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = materialize(digests(docs, id_col, text_col), "dedup-digests")
     total = rows.count()
     keys = build(rows, buckets_for(spark, total, SHARD_KEYS)).keys.select("digest", "keep_row", "keep_id", "group_size")
-    # groups of more than total / HEAVY_GROUPS rows: fewer than HEAVY_GROUPS, so they can be broadcast
-    bound = max(1000, total // HEAVY_GROUPS)
-    heavy, light = keys.filter(F.col("group_size") > bound), keys.filter(F.col("group_size") <= bound)
-    found = rows.join(F.broadcast(heavy), "digest").unionByName(rows.join(F.broadcast(heavy.select("digest")), "digest", "left_anti").join(light, "digest"))
+    found = join_groups(rows, keys, "digest", "group_size", total)
     return found.select(F.col("id").alias(id_col), "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skyflow.llm import decontaminate, exact_dedup, packing, tokens
+from skyflow.llm import decontaminate, exact_dedup, jaccard_join, packing, tokens
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_packing": packing.query,
         "op3_exact_dedup": exact_dedup.query,
         "op6_decontaminate": decontaminate.query,
+        "op7_jaccard_join": jaccard_join.query,
     }
 
 
@@ -18,4 +19,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_exact_dedup": exact_dedup.ORACLE,
         "op6_decontaminate": decontaminate.ORACLE,
+        "op7_jaccard_join": jaccard_join.ORACLE,
     }
