@@ -63,13 +63,13 @@ _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SEGMENT = 1 << 20
-_POWERS = np.ones(64, dtype=np.uint64)
+_POWERS = np.zeros(0, dtype=np.uint64)
 
 
 def _powers(n: int) -> np.ndarray:
     global _POWERS
     if len(_POWERS) < n:
-        p = np.full(max(n, 2 * len(_POWERS)), _MULT, dtype=np.uint64)
+        p = np.full(max(n, 64, 2 * len(_POWERS)), _MULT, dtype=np.uint64)
         p[0] = 1
         _POWERS = np.multiply.accumulate(p)
     return _POWERS
