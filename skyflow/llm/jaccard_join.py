@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from skyflow.llm.common import connected_components, join_groups, materialize, shingle_sets, text_of, tune
 from skyflow.llm.decontaminate import SHINGLES
 
-SKETCH_BITS, SKETCH_PARTS = 20, 64
+SKETCH_BITS, SKETCH_PARTS = 22, 64
 SHORT_LIST = 8
 BLOCK_SETS = 256
 FILTER_BITS = 24
@@ -53,7 +53,7 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
     part = (1 << SKETCH_BITS) // SKETCH_PARTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, kind = np.zeros(1 << SKETCH_BITS, dtype=np.int64), None
+        sketch, kind = np.zeros(1 << SKETCH_BITS, dtype=np.int32), None
         names = ["id", "n", "cls", "part", "counts"]
         for b in batches:
             kind, n, cls = b.column(0).type, [], []
@@ -65,7 +65,7 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())], names)
         if kind is not None:
             none = pa.nulls(SKETCH_PARTS)
-            yield pa.RecordBatch.from_arrays([none.cast(kind), none.cast(pa.int64()), none.cast(pa.int64()), pa.array(range(SKETCH_PARTS), pa.int32()), pa.array([sketch[k * part : (k + 1) * part].tobytes() for k in range(SKETCH_PARTS)], pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([none.cast(kind), none.cast(pa.int64()), none.cast(pa.int64()), pa.array(range(SKETCH_PARTS), pa.int32()), pa.array([np.minimum(sketch[k * part : (k + 1) * part], 65535).astype(np.uint16).tobytes() for k in range(SKETCH_PARTS)], pa.binary())], names)
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.mapInArrow(run, f"id {kind}, n bigint, cls bigint, part int, counts binary")
@@ -79,12 +79,12 @@ def _sketch(parts: DataFrame) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for b in batches:
             for k, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                total[k] = total.get(k, 0) + np.frombuffer(raw, dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["part", "counts"])
+                total[k] = total.get(k, 0) + np.frombuffer(raw, dtype=np.uint16).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([np.minimum(x, 2**31 - 1).astype(np.int32).tobytes() for x in total.values()], pa.binary())], ["part", "counts"])
 
-    out = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+    out = np.zeros(1 << SKETCH_BITS, dtype=np.int32)
     for r in parts.select("part", "counts").repartition(SKETCH_PARTS, "part").mapInArrow(run, "part int, counts binary").collect():
-        out[r["part"] * part : (r["part"] + 1) * part] = np.frombuffer(r["counts"], dtype=np.int64)
+        out[r["part"] * part : (r["part"] + 1) * part] = np.frombuffer(r["counts"], dtype=np.int32)
     return out
 
 
@@ -209,9 +209,23 @@ def _sized(a: str, b: str, percent: int):
 
 
 def _pairs(df: DataFrame) -> DataFrame:
-    """Distinct pairs, the query being the smaller class."""
+    """Distinct pairs, the query being the smaller class, and how many lists each pair shares."""
     first = F.col("q") < F.col("m")
-    return df.select(F.when(first, F.col("q")).otherwise(F.col("m")).alias("q"), F.when(first, F.col("m")).otherwise(F.col("q")).alias("m"), F.when(first, F.col("nq")).otherwise(F.col("nm")).alias("nq"), F.when(first, F.col("nm")).otherwise(F.col("nq")).alias("nm")).distinct()
+    return df.select(F.when(first, F.col("q")).otherwise(F.col("m")).alias("q"), F.when(first, F.col("m")).otherwise(F.col("q")).alias("m"), F.when(first, F.col("nq")).otherwise(F.col("nm")).alias("nq"), F.when(first, F.col("nm")).otherwise(F.col("nq")).alias("nm")).groupBy("q", "m", "nq", "nm").agg(F.count("*").alias("shared"))
+
+
+def _can_reach(pairs: DataFrame, lists: DataFrame, short_list: int, percent: int) -> DataFrame:
+    """Pairs that can still reach the needed overlap.
+
+    All common shingles up to the end of the prefix that ends first are common to both prefixes: those
+    in short lists are counted, those in long lists are at most as many as either set has there.
+    The rest lies beyond that prefix.
+    """
+    many = lists.filter(F.col("members") > short_list).groupBy("cls").agg(F.count("*").alias("long"))
+    both = pairs.join(many.select(F.col("cls").alias("q"), F.col("long").alias("lq")), "q", "left").join(many.select(F.col("cls").alias("m"), F.col("long").alias("lm")), "m", "left")
+    seen = F.col("shared") + F.least(F.coalesce("lq", F.lit(0)), F.coalesce("lm", F.lit(0)))
+    beyond = F.expr(f"({percent} * greatest(nq, nm) + 99) div 100 - 1")
+    return both.filter(seen + beyond >= F.expr(f"({percent} * (nq + nm) + {99 + percent}) div {100 + percent}")).select("q", "m", "nq", "nm")
 
 
 class Components:
@@ -241,17 +255,21 @@ def class_components(docs: DataFrame, width: int, percent: int, sketch: np.ndarr
     by_token = Window.partitionBy("token")
     rows = _postings(docs, width, percent, shared).repartition("token").groupBy("token", "cls").agg(F.first("n").alias("n"))
     lists = materialize(rows.withColumn("members", F.count("*").over(by_token)).filter("members > 1"), "jaccard-lists")
-    sets = materialize(_sets(docs, width, lists), "jaccard-sets")
     known = Components(spark)
     ring = max(1, 2 * percent - 100)
-    leaders, short_list = 1, SHORT_LIST
+    leaders, short_list, sets = 1, SHORT_LIST, None
     while True:
         short = (
             lists.filter(F.col("members") <= short_list)
             .withColumn("others", F.collect_list(F.struct(F.col("cls").alias("q"), F.col("n").alias("nq"))).over(by_token.orderBy("cls").rowsBetween(-short_list, -1)))
             .select(F.col("cls").alias("m"), F.col("n").alias("nm"), F.inline("others")).filter(_sized("nq", "nm", percent))
         )
-        known.add(compare(_pairs(short), sets, percent).select(F.col("q").alias("a"), F.col("m").alias("b")))
+        pairs = _pairs(short)
+        if sets is None:
+            pairs = materialize(_can_reach(pairs, lists, short_list, percent), "jaccard-pairs")
+            wanted = pairs.select(F.col("q").alias("cls")).unionByName(pairs.select(F.col("m").alias("cls"))).unionByName(lists.filter(F.col("members") > short_list).select("cls"))
+            sets = materialize(_sets(docs, width, wanted), "jaccard-sets")
+        known.add(compare(pairs.select("q", "m", "nq", "nm"), sets, percent).select(F.col("q").alias("a"), F.col("m").alias("b")))
         long = lists.filter(F.col("members") > short_list).select("token", "cls", "n")
         if not long.limit(1).count():
             return known.labels

@@ -13,7 +13,7 @@ def test_shingle_sets_count_like_brute_force():
     texts = ["".join(r.choice(parts) * r.choice([1, 1, 2]) + r.choice(["", " ", "\n", "\t "]) for _ in range(r.choice([0, 1, 8, 400]))) for _ in range(300)]
     texts += ["", " ", "a" * 3_000_000 + " b c", "x " * 400_000]
     for t, s in zip(texts, c.shingle_sets(pa.array(texts), 5)):
-        assert len(s) == len(word_shingles(t, 5)) and (np.diff(s) > 0).all()
+        assert len(s) == len(word_shingles(t, 5)) and (s[1:] > s[:-1]).all()
     a, b = c.shingle_sets(pa.array(["Ab c d e f g", "aB c d e f g"]), 5)
     assert a.tolist() == b.tolist()
 
