@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skyflow.llm import decontaminate, exact_dedup, jaccard_join, packing, tokens
+from skyflow.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, packing, tokens
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_exact_dedup": exact_dedup.query,
         "op6_decontaminate": decontaminate.query,
         "op7_jaccard_join": jaccard_join.query,
+        "op10_line_dedup": line_dedup.query,
     }
 
 
@@ -20,4 +21,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_exact_dedup": exact_dedup.ORACLE,
         "op6_decontaminate": decontaminate.ORACLE,
         "op7_jaccard_join": jaccard_join.ORACLE,
+        "op10_line_dedup": line_dedup.ORACLE,
     }
