@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skyflow.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, packing, tokens
+from skyflow.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, packing, tokens, url_filter
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_exact_dedup": exact_dedup.query,
         "op6_decontaminate": decontaminate.query,
         "op7_jaccard_join": jaccard_join.query,
+        "op9_url_filter": url_filter.query,
         "op10_line_dedup": line_dedup.query,
     }
 
@@ -21,5 +22,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_exact_dedup": exact_dedup.ORACLE,
         "op6_decontaminate": decontaminate.ORACLE,
         "op7_jaccard_join": jaccard_join.ORACLE,
+        "op9_url_filter": url_filter.ORACLE,
         "op10_line_dedup": line_dedup.ORACLE,
     }
