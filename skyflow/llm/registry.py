@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skyflow.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, packing, tokens, url_filter
+from skyflow.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, packing, tokens, toxicity, url_filter
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_exact_dedup": exact_dedup.query,
         "op6_decontaminate": decontaminate.query,
         "op7_jaccard_join": jaccard_join.query,
+        "op8_toxicity": toxicity.query,
         "op9_url_filter": url_filter.query,
         "op10_line_dedup": line_dedup.query,
     }
