@@ -3,7 +3,9 @@
 1. Every text becomes a set of shingle hashes; texts with equal sets form one class. A count sketch
    of fixed size over all shingles gives a global order, rare first.
 2. Two sets with Jaccard similarity t or more share a shingle among the first n - ceil(t * n) + 1 of
-   each in that order. These go to inverted lists; lists with one member end here.
+   each in that order. Of each set (1 - t) / 2 * n more are indexed, so that linked sets share at least
+   about as many. These go to inverted lists; lists with one member end here, and sets with too few
+   shared shingles to reach the needed overlap with any partner leave.
 3. Members of a short list are compared with each other. In a long list everybody is compared with
    a few leaders. Jaccard distance is a metric: who is linked to a leader can only be linked to
    somebody within twice the distance of it, so only these few are compared with the leader's links,
@@ -20,7 +22,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,7 +30,8 @@ from skyflow.llm.common import connected_components, join_groups, materialize, s
 from skyflow.llm.decontaminate import SHINGLES
 
 SKETCH_BITS, SKETCH_PARTS = 22, 64
-SHORT_LIST = 8
+SHORT_LIST = 16
+PRUNINGS = 2
 BLOCK_SETS = 256
 FILTER_BITS = 24
 SEEN_CLASSES = 200_000
@@ -106,7 +108,7 @@ def _postings(docs: DataFrame, width: int, percent: int, sketch) -> DataFrame:
             for s in shingle_sets(b.column(1), width):
                 if not len(s) or not _once(seen, c := _class_of(s)):
                     continue
-                k = len(s) + (-percent * len(s)) // 100 + 1
+                k = min(len(s), len(s) + (-percent * len(s)) // 100 + 1 + (100 - percent) * len(s) // 200)
                 tokens.append(s[np.lexsort((s, counts[_slot(s)]))[:k]])
                 cls.append(c)
                 n.append(len(s))
@@ -184,16 +186,40 @@ def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     members = dealt.join(sets.withColumnRenamed("cls", "m"), "m").select("q", "block", "m", "nq", "nm", "items")
     queries = many.join(sets.withColumnRenamed("cls", "q"), "q").select("q", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).cast("bigint").alias("m"), F.lit(-1).alias("nq"), F.lit(-1).alias("nm"), "items")
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        own = pdf["nq"] < 0
-        query = np.frombuffer(pdf["items"][own].iloc[0], dtype=np.int64)
-        rest = pdf[~own]
-        nm = rest["nm"].to_numpy(dtype=np.int64)
-        overlap = divide_skip(query, [np.frombuffer(x, dtype=np.int64) for x in rest["items"]], needed_overlap(len(query), nm, percent))
+    def search(q: int, query: np.ndarray, rest: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
+        m, nm = np.array([r[0] for r in rest], dtype=np.int64), np.array([r[1] for r in rest], dtype=np.int64)
+        overlap = divide_skip(query, [np.frombuffer(r[2], dtype=np.int64) for r in rest], needed_overlap(len(query), nm, percent))
         ok = overlap >= 0
-        return pd.DataFrame({"q": key[0], "m": rest["m"].to_numpy(dtype=np.int64)[ok], "nq": len(query), "nm": nm[ok], "overlap": overlap[ok]})
+        k = int(ok.sum())
+        return np.full(k, q, dtype=np.int64), m[ok], np.full(k, len(query), dtype=np.int32), nm[ok].astype(np.int32), overlap[ok]
 
-    return members.unionByName(queries).groupBy("q", "block").applyInPandas(run, "q bigint, m bigint, nq int, nm int, overlap bigint")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, query, rest, found = None, None, [], []
+
+        def out() -> pa.RecordBatch:
+            cols = [np.concatenate(c) for c in zip(*found)]
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["q", "m", "nq", "nm", "overlap"])
+
+        for b in batches:
+            for q, block, m, nq, nm, items in zip(*(c.to_pylist() for c in b.columns)):
+                if (q, block) != at:
+                    if rest:
+                        found.append(search(at[0], query, rest))
+                    at, query, rest = (q, block), None, []
+                if nq < 0:
+                    query = np.frombuffer(items, dtype=np.int64)
+                else:
+                    rest.append((m, nm, items))
+            if len(found) > 1000:
+                yield out()
+        if rest:
+            found.append(search(at[0], query, rest))
+        if found:
+            yield out()
+
+    # a block's query comes first, then its members
+    return members.unionByName(queries).repartition("q", "block").sortWithinPartitions("q", "block", "nq").mapInArrow(run, "q bigint, m bigint, nq int, nm int, overlap bigint")
 
 
 def _linked(percent: int):
@@ -214,6 +240,18 @@ def _pairs(df: DataFrame) -> DataFrame:
     return df.select(F.when(first, F.col("q")).otherwise(F.col("m")).alias("q"), F.when(first, F.col("m")).otherwise(F.col("q")).alias("m"), F.when(first, F.col("nq")).otherwise(F.col("nm")).alias("nq"), F.when(first, F.col("nm")).otherwise(F.col("nq")).alias("nm")).groupBy("q", "m", "nq", "nm").agg(F.count("*").alias("shared"))
 
 
+def _beyond(n: str, percent: int):
+    """Shingles of a set of n that are not among its indexed ones."""
+    return F.expr(f"greatest(0, ({percent} * {n} + 99) div 100 - 1 - ({100 - percent} * {n}) div 200)")
+
+
+def _prune(lists: DataFrame, percent: int) -> DataFrame:
+    """Leave out classes with too few shared shingles to reach the needed overlap with any size of partner."""
+    by_cls = Window.partitionBy("cls")
+    kept = lists.withColumn("own", F.count("*").over(by_cls)).filter(F.col("own") >= F.expr(f"({100 - percent} * n) div 200 - 2")).select("token", "cls", "n")
+    return materialize(kept.withColumn("members", F.count("*").over(Window.partitionBy("token"))).filter("members > 1"), "jaccard-lists")
+
+
 def _can_reach(pairs: DataFrame, lists: DataFrame, short_list: int, percent: int) -> DataFrame:
     """Pairs that can still reach the needed overlap.
 
@@ -224,7 +262,7 @@ def _can_reach(pairs: DataFrame, lists: DataFrame, short_list: int, percent: int
     many = lists.filter(F.col("members") > short_list).groupBy("cls").agg(F.count("*").alias("long"))
     both = pairs.join(many.select(F.col("cls").alias("q"), F.col("long").alias("lq")), "q", "left").join(many.select(F.col("cls").alias("m"), F.col("long").alias("lm")), "m", "left")
     seen = F.col("shared") + F.least(F.coalesce("lq", F.lit(0)), F.coalesce("lm", F.lit(0)))
-    beyond = F.expr(f"({percent} * greatest(nq, nm) + 99) div 100 - 1")
+    beyond = F.greatest(_beyond("nq", percent), _beyond("nm", percent))
     return both.filter(seen + beyond >= F.expr(f"({percent} * (nq + nm) + {99 + percent}) div {100 + percent}")).select("q", "m", "nq", "nm")
 
 
@@ -255,6 +293,8 @@ def class_components(docs: DataFrame, width: int, percent: int, sketch: np.ndarr
     by_token = Window.partitionBy("token")
     rows = _postings(docs, width, percent, shared).repartition("token").groupBy("token", "cls").agg(F.first("n").alias("n"))
     lists = materialize(rows.withColumn("members", F.count("*").over(by_token)).filter("members > 1"), "jaccard-lists")
+    for _ in range(PRUNINGS):
+        lists = _prune(lists, percent)
     known = Components(spark)
     ring = max(1, 2 * percent - 100)
     leaders, short_list, sets = 1, SHORT_LIST, None
