@@ -24,27 +24,31 @@ SMALL_GROUP = 16
 BROADCAST_ROWS = 1_000_000
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = text_of(docs, text_col)
-    return docs.select(docs[id_col].alias("id"), F.xxhash64(docs[id_col], text).alias("key"), F.posexplode(F.split(text, "\n")).alias("at", "line")).withColumn("line", F.trim(F.translate("line", "\t\r\x0b\x0c", "    ")))
+    return docs.select(docs[id_col].alias("id"), F.xxhash64(docs[id_col], text).alias("key"), text.alias("text"))
 
 
-def _distinct(lines: DataFrame, min_chars: int) -> DataFrame:
-    """Distinct lines with their first place and the four keys of the first split: two as indexed, two as probe."""
+def _lines(keyed: DataFrame) -> DataFrame:
+    return keyed.select("id", "key", F.posexplode(F.split("text", "\n")).alias("at", "line")).withColumn("line", F.trim("line", F.lit(" \t\r\x0b\x0c")))
+
+
+def _marked(lines: DataFrame, min_chars: int) -> DataFrame:
+    """Every line's place, digest and the four keys of the first split: two as indexed, two as probe."""
     size = F.char_length("line")
     own = "xxhash64(size, 0, substring(line, 1, size div 2)), xxhash64(size, 1, substring(line, size div 2 + 1, size))"
     other = "xxhash64(size - 1, 0, substring(line, 1, (size - 1) div 2)), xxhash64(size - 1, 1, substring(line, (size - 1) div 2 + 2, size))"
-    marked = lines.filter(size >= min_chars).select(F.unhex(F.md5(F.col("line").cast("binary"))).alias("mark"), F.struct("id", "key", "at").alias("place"), "line", size.alias("size"))
-    marked = marked.select("mark", "place", F.expr(f"array({own}, {other})").alias("keys"))
-    return marked.groupBy("mark").agg(F.min("place").alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys")).withColumn("lid", F.monotonically_increasing_id())
+    long = lines.withColumn("size", size).filter(F.col("size") >= min_chars)
+    return long.select("id", "key", "at", F.unhex(F.md5(F.col("line").cast("binary"))).alias("mark"), F.expr(f"array({own}, {other})").alias("keys"))
 
 
-def _texts(lines: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
-    """Text of the wanted distinct lines (``lid``, ``mark``, ``first``), read at their first place."""
-    own = lines.filter(F.char_length("line") >= min_chars).select(F.unhex(F.md5(F.col("line").cast("binary"))).alias("mark"), F.struct("id", "key", "at").alias("first"), "line")
+def _texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Text of the wanted distinct lines (``lid``, ``first``), read at their first place."""
+    places = wanted.select("lid", F.col("first.id").alias("own"), F.col("first.key").alias("key"), F.col("first.at").alias("at"))
     few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS  # the check; beyond it the join is shuffled
-    side = F.broadcast(wanted.select("mark")) if few else wanted.select("mark")
-    return own.join(side, "mark", "left_semi").join(wanted.withColumnRenamed("first", "place"), "mark").filter(F.col("first").eqNullSafe(F.col("place"))).groupBy("lid").agg(F.first("line").alias("line"))
+    keys = places.select("key").distinct()
+    rows = _lines(keyed.join(F.broadcast(keys) if few else keys, "key", "left_semi"))
+    return rows.join(F.broadcast(places) if few else places, ["key", "at"]).filter(F.col("id").eqNullSafe(F.col("own"))).groupBy("lid").agg(F.first("line").alias("line"))
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
@@ -84,11 +88,11 @@ def _must_match(regions: DataFrame, places: DataFrame) -> DataFrame:
     return df.join(least, "key").filter("(r = 1 and not probe and first > own) or (r = 0 and probe and first > own) or (r = 0 and not probe and first > other)").select("lid")
 
 
-def _near_repeats(lines: DataFrame, distinct: DataFrame, min_chars: int) -> DataFrame:
+def _near_repeats(keyed: DataFrame, distinct: DataFrame) -> DataFrame:
     """``lid`` of every distinct line that has another within one edit whose first place is earlier."""
     rows = distinct.select("lid", F.posexplode("keys").alias("k", "key")).select("lid", "key", (F.col("k") >= 2).alias("probe"))
     groups = materialize(_grouped(rows), "line-groups")
-    texts = materialize(_texts(lines, groups.select("lid").distinct().join(distinct.select("lid", "mark", "first"), "lid"), min_chars), "line-texts")
+    texts = materialize(_texts(keyed, groups.select("lid").distinct().join(distinct.select("lid", "first"), "lid")), "line-texts")
     places = distinct.select("lid", "first")
     known = texts.join(places, "lid")
     a, b = (known.select(*(F.col(c).alias(f"{c}_{x}") for c in ("lid", "line", "first"))) for x in "ab")
@@ -112,12 +116,13 @@ def _near_repeats(lines: DataFrame, distinct: DataFrame, min_chars: int) -> Data
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """Places (``id``, ``key``, ``at``) of lines that repeat an earlier one, exactly or within one edit."""
-    lines = _lines(docs, id_col, text_col)
-    distinct = materialize(_distinct(lines, min_chars), "line-distinct")
-    near = _near_repeats(lines, distinct, min_chars).withColumn("near", F.lit(True))
+    keyed = _keyed(docs, id_col, text_col)
+    marked = materialize(_marked(_lines(keyed), min_chars), "line-marks")
+    firsts = marked.groupBy("mark").agg(F.min(F.struct("id", "key", "at")).alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys"))
+    distinct = materialize(firsts.withColumn("lid", F.monotonically_increasing_id()), "line-distinct")
+    near = _near_repeats(keyed, distinct).withColumn("near", F.lit(True))
     groups = materialize(distinct.select("lid", "mark", "first", "n").join(near, "lid", "left").filter("n > 1 or near").select("mark", "first", "n", F.coalesce("near", F.lit(False)).alias("near")), "line-repeats")
-    own = lines.filter(F.char_length("line") >= min_chars).select(F.unhex(F.md5(F.col("line").cast("binary"))).alias("mark"), "id", "key", "at")
-    found = join_groups(own, groups, "mark", "n", distinct.count())
+    found = join_groups(marked.select("mark", "id", "key", "at"), groups, "mark", "n", distinct.count())
     return found.filter(F.col("near") | ~F.struct("id", "key", "at").eqNullSafe(F.col("first"))).select("id", "key", "at")
 
 
