@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skyflow.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, packing, quality, tokens, toxicity, url_filter
+from skyflow.llm import decontaminate, exact_dedup, html_extract, jaccard_join, line_dedup, packing, quality, tokens, toxicity, url_filter
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_token_counts": tokens.query,
         "op2_packing": packing.query,
         "op3_exact_dedup": exact_dedup.query,
+        "op4_html_extract": html_extract.query,
         "op5_quality": quality.query,
         "op6_decontaminate": decontaminate.query,
         "op7_jaccard_join": jaccard_join.query,
