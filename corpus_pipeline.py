@@ -1,8 +1,63 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: toxicity, line dedup, n-gram Jaccard join, benchmark decontamination, packing."""
 
-STAGES = []
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from skyflow.llm import decontaminate, jaccard_join, line_dedup, packing, toxicity
+from skyflow.llm.common import materialize
+
+#: Ids up to which a list of rejected documents is broadcast; longer lists are joined by shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose id is not in ``ids``; null ids stay."""
+    ids = materialize(ids.select("doc_id").distinct(), "pipeline-ids")
+    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.join(side, "doc_id", "left_anti").select(*docs.columns)
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    scores = toxicity.toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _without(docs, scores.filter("predicted = 1"))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rewrites texts and their n_chars; documents stay, even when every line is a repeat."""
+    out = line_dedup.line_dedup(docs).select(*docs.columns)
+    return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long"))) if "n_chars" in docs.columns else out
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each component stays."""
+    groups = jaccard_join.jaccard_components(docs)
+    return _without(docs, groups.filter("doc_id <> component_id"))
+
+
+def reject_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _without(docs, decontaminate.contained_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("line dedup", drop_repeated_lines),
+    ("n-gram Jaccard join", keep_one_of_near_copies),
+    ("benchmark decontamination", reject_benchmark),
+    ("packing", pack),
+]
+
+#: The toxicity and packing stages have no SQL form; tests/llm/test_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+    return STAGES[-1][1](spark, docs, sf_dir)
