@@ -67,11 +67,8 @@ def aid_number(ra: Column, dec: Column) -> Column:
 
 def aid_encode(n: Column) -> Column:
     """Base-26 lower-case letters, most significant first; 0 and null give the empty string and null."""
-    digits, rest = [], n
-    for _ in range(14):
-        digits.append(F.when(rest > 0, F.char((rest % 26 + 97).cast("int"))).otherwise(""))
-        rest = F.call_function("div", rest, F.lit(26).cast("long"))
-    return F.when(n.isNotNull(), F.concat(*reversed(digits)))
+    powers = F.filter(F.array(*(F.lit(26**k) for k in range(13, -1, -1))), lambda p: n >= p)
+    return F.array_join(F.transform(powers, lambda p: F.char((F.call_function("div", n, p) % 26 + 97).cast("int"))), "")
 
 
 def aid_decode(code: Column) -> Column:

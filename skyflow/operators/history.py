@@ -79,7 +79,6 @@ def shorten_ndet(obs: DataFrame, n: int) -> DataFrame:
 
 def trim_to_span(obs: DataFrame, days: float) -> DataFrame:
     """The window of ``days`` with most points of each object: the earliest among equals."""
-    w = Window.partitionBy("oid").orderBy("mjd").rangeBetween(0, days)
     o = Window.partitionBy("oid")
-    df = obs.withColumn("__n", F.count("*").over(w))
+    df = obs.withColumn("__n", F.expr(f"count(*) over (partition by oid order by mjd range between current row and {float(days)}D following)"))
     return df.withColumn("__start", F.min(F.struct((-F.col("__n")).alias("n"), F.col("mjd").alias("t"))).over(o)).filter((F.col("mjd") >= F.col("__start.t")) & (F.col("mjd") <= F.col("__start.t") + days)).drop("__n", "__start")
