@@ -6,11 +6,10 @@
    each in that order. Of each set (1 - t) / 2 * n more are indexed, so that linked sets share at least
    about as many. These go to inverted lists; lists with one member end here, and sets with too few
    shared shingles to reach the needed overlap with any partner leave.
-3. Members of a short list are compared with each other. In a long list everybody is compared with
-   a few leaders. Jaccard distance is a metric: who is linked to a leader can only be linked to
-   somebody within twice the distance of it, so only these few are compared with the leader's links,
-   and only where they are not in one component already. The others go on with next leaders. So no
-   link between components is lost and a large group of near copies takes a linear number of pairs.
+3. Members of a short list are compared with each other where they share enough lists. The members of a
+   long list are compared with its leader first. Those that are not linked to it are then searched in
+   the leader's whole group, in blocks and by size, leaving out who is in their component already. So a
+   large group of near copies takes a linear number of pairs, and no link between components is lost.
 4. Comparing is T-occurrence search (DivideSkip): a query's inverted lists over a block of sets are
    divided; the short ones are merged, and who can still reach the needed overlap is looked up in the
    long ones by binary search.
@@ -143,37 +142,45 @@ def _sets(docs: DataFrame, width: int, wanted: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "cls bigint, items binary").join(wanted.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("items").alias("items"))
 
 
-def divide_skip(query: np.ndarray, sets: list[np.ndarray], least: np.ndarray) -> np.ndarray:
-    """Overlap of the query with each set that reaches ``least[i]``, else -1."""
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    items = np.concatenate(sets)
-    at = np.searchsorted(query, items)
-    at[at == len(query)] = 0
-    hit = query[at] == items
-    at, owner = at[hit], owner[hit]
-    order = np.argsort(at, kind="stable")  # the inverted lists, each sorted by set
-    at, owner = at[order], owner[order]
-    size = np.bincount(at, minlength=len(query))
-    first = np.concatenate(([0], np.cumsum(size)))
-    bar = int(least.min())
-    n_long = min(len(query), int(bar / (0.01 * np.log2(max(2, int(size.max(initial=0)))) + 1)))
-    n_long = max(0, min(n_long, bar - 1))
-    by_size = np.argsort(size, kind="stable")
-    long_lists = by_size[len(query) - n_long :]
-    is_long = np.zeros(len(query), dtype=bool)
-    is_long[long_lists] = True
-    count = np.bincount(owner[~is_long[at]], minlength=len(sets))  # the short lists, merged
-    alive = np.flatnonzero(count >= least - n_long)
-    for k, lst in enumerate(long_lists[::-1]):
-        own = owner[first[lst] : first[lst + 1]]
-        if len(alive) and len(own):
+class BlockIndex:
+    """Inverted lists over a block of sets."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        items = np.concatenate(sets)
+        order = np.argsort(items, kind="stable")  # each list sorted by set
+        self.n, self.owner = len(sets), owner[order]
+        self.tokens, first = np.unique(items[order], return_index=True)
+        self.first = np.append(first, len(items))
+
+    def search(self, query: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """Overlap of the query with each set that reaches ``least[i]``, else -1 (DivideSkip)."""
+        out = np.full(self.n, -1, dtype=np.int64)
+        at = np.searchsorted(self.tokens, query)
+        at[at == len(self.tokens)] = 0
+        at = at[self.tokens[at] == query]
+        bar = int(least.min())
+        if len(at) < bar:
+            return out
+        size = self.first[at + 1] - self.first[at]
+        at = at[np.argsort(size, kind="stable")]
+        size = self.first[at + 1] - self.first[at]
+        n_long = max(0, min(bar - 1, int(bar / (0.01 * np.log2(max(2, int(size[-1]))) + 1)))) if len(at) else 0
+        short, ends = at[: len(at) - n_long], np.cumsum(size[: len(at) - n_long])
+        total = int(ends[-1]) if len(ends) else 0
+        place = np.arange(total) - np.repeat(ends - size[: len(short)], size[: len(short)]) + np.repeat(self.first[short], size[: len(short)])
+        count = np.bincount(self.owner[place], minlength=self.n)  # the short lists, merged
+        alive = np.flatnonzero(count >= least - n_long)
+        for k, lst in enumerate(at[len(at) - n_long :][::-1]):
+            if not len(alive):
+                break
+            own = self.owner[self.first[lst] : self.first[lst + 1]]
             p = np.searchsorted(own, alive)
             p[p == len(own)] = 0
             count[alive] += own[p] == alive
-        alive = alive[count[alive] + (n_long - 1 - k) >= least[alive]]
-    out = np.full(len(sets), -1, dtype=np.int64)
-    out[alive] = count[alive]
-    return out
+            alive = alive[count[alive] + (n_long - 1 - k) >= least[alive]]
+        out[alive] = count[alive]
+        return out
 
 
 def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -188,7 +195,7 @@ def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def search(q: int, query: np.ndarray, rest: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
         m, nm = np.array([r[0] for r in rest], dtype=np.int64), np.array([r[1] for r in rest], dtype=np.int64)
-        overlap = divide_skip(query, [np.frombuffer(r[2], dtype=np.int64) for r in rest], needed_overlap(len(query), nm, percent))
+        overlap = BlockIndex([np.frombuffer(r[2], dtype=np.int64) for r in rest]).search(query, needed_overlap(len(query), nm, percent))
         ok = overlap >= 0
         k = int(ok.sum())
         return np.full(k, q, dtype=np.int64), m[ok], np.full(k, len(query), dtype=np.int32), nm[ok].astype(np.int32), overlap[ok]
@@ -222,12 +229,44 @@ def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return members.unionByName(queries).repartition("q", "block").sortWithinPartitions("q", "block", "nq").mapInArrow(run, "q bigint, m bigint, nq int, nm int, overlap bigint")
 
 
-def _linked(percent: int):
-    return (100 + percent) * F.col("overlap") >= percent * (F.col("nq") + F.col("nm"))
+def search_groups(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (``a``, ``b``) of the open members of each group with all its members of another label.
 
+    ``groups`` has g, cls, n, label, open. Members lie in bands of size, so that linked ones are at most a
+    band apart, and in blocks of BLOCK_SETS. Every open member is searched in the blocks of the bands
+    around it; only links leave a block, never candidate pairs, however large a group is.
+    """
+    step = np.log(100 / percent)
+    banded = groups.withColumn("band", F.floor(F.log("n") / step + 1e-9).cast("int"))
+    blocks = banded.groupBy("g", "band").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"), F.max("open").alias("open_here"))
+    asked = banded.filter("open").select("g", F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)).alias("band")).distinct()
+    blocks = blocks.drop("open_here").join(asked, ["g", "band"])
+    members = banded.join(blocks, ["g", "band"]).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")).withColumn("asks", F.lit(False))
+    queries = banded.filter("open").withColumn("band", F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1))).join(blocks, ["g", "band"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("asks", F.lit(True))
+    cols = ["g", "band", "block", "asks", "cls", "n", "label", "open"]
+    rows = members.select(*cols).unionByName(queries.select(*cols)).join(sets, "cls").select(*cols, "items")
 
-def _distance():
-    return 1 - F.col("overlap") / (F.col("nq") + F.col("nm") - F.col("overlap"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, index, held, found = None, None, [], []
+        for b in batches:
+            for g, band, block, asks, cls, n, label, is_open, items in zip(*(c.to_pylist() for c in b.columns)):
+                if (g, band, block) != at:
+                    at, index, held = (g, band, block), None, []
+                if not asks:
+                    held.append((cls, n, label, is_open, np.frombuffer(items, dtype=np.int64)))
+                elif held:
+                    if index is None:
+                        index = BlockIndex([h[4] for h in held])
+                        ids, sizes, labels, opens = (np.array([h[k] for h in held]) for k in range(4))
+                    least = needed_overlap(n, sizes.astype(np.int64), percent)
+                    least[(labels == label) | (opens & (ids <= cls))] = 1 << 40  # of two open members one asks
+                    found.extend((cls, int(m)) for m in ids[index.search(np.frombuffer(items, dtype=np.int64), least) >= 0])
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+                found = []
+
+    keys = ("g", "band", "block")
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "asks").mapInArrow(run, "a bigint, b bigint")
 
 
 def _sized(a: str, b: str, percent: int):
@@ -295,43 +334,25 @@ def class_components(docs: DataFrame, width: int, percent: int, sketch: np.ndarr
     lists = materialize(rows.withColumn("members", F.count("*").over(by_token)).filter("members > 1"), "jaccard-lists")
     for _ in range(PRUNINGS):
         lists = _prune(lists, percent)
+    short_lists, long_lists = lists.filter(F.col("members") <= SHORT_LIST), lists.filter(F.col("members") > SHORT_LIST)
+    others = F.collect_list(F.struct(F.col("cls").alias("q"), F.col("n").alias("nq"))).over(by_token.orderBy("cls").rowsBetween(-SHORT_LIST, -1))
+    short = short_lists.withColumn("others", others).select(F.col("cls").alias("m"), F.col("n").alias("nm"), F.inline("others")).filter(_sized("nq", "nm", percent))
+    pairs = materialize(_can_reach(_pairs(short), lists, SHORT_LIST, percent), "jaccard-pairs")
+    # every long list has one leader; who shares a list shares its leader
+    lead = F.min(F.struct(F.xxhash64("cls").alias("h"), "cls", "n")).alias("lead")
+    groups = materialize(long_lists.join(long_lists.groupBy("token").agg(lead), "token").select(F.col("lead.cls").alias("g"), F.col("lead.n").alias("ng"), "cls", "n").distinct().filter("g <> cls"), "jaccard-led")
+    wanted = pairs.select(F.col("q").alias("cls")).unionByName(pairs.select(F.col("m").alias("cls"))).unionByName(groups.select("cls")).unionByName(groups.select(F.col("g").alias("cls")))
+    sets = materialize(_sets(docs, width, wanted), "jaccard-sets")
+    star = groups.filter(_sized("ng", "n", percent)).select(F.col("g").alias("q"), F.col("cls").alias("m"), F.col("ng").alias("nq"), F.col("n").alias("nm"))
+    led = materialize(compare(star, sets, percent).select(F.col("q").alias("a"), F.col("m").alias("b")), "jaccard-links")
     known = Components(spark)
-    ring = max(1, 2 * percent - 100)
-    leaders, short_list, sets = 1, SHORT_LIST, None
-    while True:
-        short = (
-            lists.filter(F.col("members") <= short_list)
-            .withColumn("others", F.collect_list(F.struct(F.col("cls").alias("q"), F.col("n").alias("nq"))).over(by_token.orderBy("cls").rowsBetween(-short_list, -1)))
-            .select(F.col("cls").alias("m"), F.col("n").alias("nm"), F.inline("others")).filter(_sized("nq", "nm", percent))
-        )
-        pairs = _pairs(short)
-        if sets is None:
-            pairs = materialize(_can_reach(pairs, lists, short_list, percent), "jaccard-pairs")
-            wanted = pairs.select(F.col("q").alias("cls")).unionByName(pairs.select(F.col("m").alias("cls"))).unionByName(lists.filter(F.col("members") > short_list).select("cls"))
-            sets = materialize(_sets(docs, width, wanted), "jaccard-sets")
-        known.add(compare(pairs.select("q", "m", "nq", "nm"), sets, percent).select(F.col("q").alias("a"), F.col("m").alias("b")))
-        long = lists.filter(F.col("members") > short_list).select("token", "cls", "n")
-        if not long.limit(1).count():
-            return known.labels
-        # everybody in a long list against its leaders
-        ranked = materialize(long.withColumn("lead", F.row_number().over(by_token.orderBy(F.xxhash64("cls"), "cls")) <= leaders), "jaccard-ranked")
-        led = ranked.filter("lead").select("token", F.col("cls").alias("q"), F.col("n").alias("nq"))
-        star = ranked.select("token", F.col("cls").alias("m"), F.col("n").alias("nm")).join(led, "token").filter((F.col("q") != F.col("m")) & _sized("nq", "nm", ring))
-        near = materialize(compare(star.select("q", "m", "nq", "nm").distinct(), sets, ring).select("q", "m", _linked(percent).alias("linked"), _distance().alias("d")), "jaccard-star")
-        known.add(near.filter("linked").select(F.col("q").alias("a"), F.col("m").alias("b")))
-        met = materialize(known.of(star.join(near, ["q", "m"]), "m", "label"), "jaccard-met")
-        # who is linked to a leader, against those near this leader that are not, in other components
-        follow = met.filter("linked").groupBy("token", "m").agg(F.min(F.struct("d", "q", "nm", "label")).alias("x")).select("token", "x.q", F.col("m").alias("a"), F.col("x.nm").alias("na"), F.col("x.d").alias("da"), F.col("x.label").alias("la"))
-        around = met.filter("not linked").join(follow, ["token", "q"]).filter((F.col("la") != F.col("label")) & (F.abs(F.col("d") - F.col("da")) <= 1 - percent / 100 + 1e-9) & _sized("na", "nm", percent))
-        known.add(compare(_pairs(around.select(F.col("a").alias("q"), F.col("na").alias("nq"), "m", "nm")), sets, percent).select(F.col("q").alias("a"), F.col("m").alias("b")))
-        # the rest goes on, unless it is of one component by now
-        rest = ranked.filter("not lead").drop("lead").join(follow.select("token", F.col("a").alias("cls")), ["token", "cls"], "left_anti")
-        lists = materialize(
-            known.of(rest, "cls", "label").withColumn("members", F.count("*").over(by_token)).withColumn("lo", F.min("label").over(by_token)).withColumn("hi", F.max("label").over(by_token))
-            .filter("members > 1 and lo <> hi").select("token", "cls", "n", "members"),
-            "jaccard-lists",
-        )
-        leaders, short_list = min(16, 4 * leaders), 4 * SHORT_LIST
+    known.add(compare(pairs, sets, percent).select(F.col("q").alias("a"), F.col("m").alias("b")).unionByName(led))
+    # who is not linked to the leader, against the leader's whole group in other components
+    linked = led.select(F.col("a").alias("g"), F.col("b").alias("cls"), F.lit(True).alias("linked"))
+    state = known.of(groups.join(linked, ["g", "cls"], "left"), "cls", "label").select("g", "cls", "n", "label", F.col("linked").isNull().alias("open"))
+    mixed = state.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("g")
+    known.add(search_groups(materialize(state.join(mixed, "g", "left_semi"), "jaccard-state"), sets, percent))
+    return known.labels
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:

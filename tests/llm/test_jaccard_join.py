@@ -64,5 +64,5 @@ def test_divide_skip_against_brute_force():
         sets = [np.unique(r.integers(0, 60, r.integers(1, 40))) for _ in range(r.integers(1, 30))]
         least = jj.needed_overlap(len(q), np.array([len(s) for s in sets]), int(r.choice([30, 60, 80])))
         want = [len(np.intersect1d(q, s)) for s in sets]
-        got = jj.divide_skip(q, sets, least)
+        got = jj.BlockIndex(sets).search(q, least)
         assert [w if w >= n else -1 for w, n in zip(want, least)] == got.tolist()
