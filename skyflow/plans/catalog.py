@@ -431,7 +431,7 @@ def coordinates_xyz(s, d):
 
 @register("tde_tail", """SELECT oid, fid, slope, off AS intercept, (syy - off * sy - slope * sxy) / (n - 2) AS chi FROM (SELECT *, (sy - slope * sx) / sw AS off FROM (SELECT *, (sw * sxy - sx * sy) / (sw * sxx - sx * sx) AS slope FROM (
  SELECT oid, fid, sum(w) sw, sum(w * x) sx, sum(w * mag) sy, sum(w * x * x) sxx, sum(w * x * mag) sxy, sum(w * mag * mag) syy, count(*) n FROM (SELECT *, 2.5 * log10(mjd - p + 40) AS x, 1 / pow(e_mag, 2) AS w FROM
- (SELECT *, (min((mag, mjd)) OVER (PARTITION BY oid, fid))[2] AS p FROM det WHERE NOT forced) WHERE mjd - p BETWEEN 0 AND 200) GROUP BY oid, fid) WHERE n >= 5)))""", "slope intercept chi", 2)
+ (SELECT *, (min((mag, mjd)) OVER (PARTITION BY oid, fid))[2] AS p FROM det WHERE NOT forced) WHERE mjd - p BETWEEN 0 AND 200) GROUP BY oid, fid) WHERE n >= 5))""", "slope intercept chi", 2)
 def tde_tail(s, d):
     return features.tde_tail(T.detections(s, d))
 
