@@ -501,3 +501,71 @@ def power_rates(s, d):
 def refined_periods(s, d):
     det, grid = T.detections(s, d), _grid(s, d)
     return period.period_features(period.refine(det, grid, period.multiband(period.mhaov(det, grid)), 3, 5), 20)
+
+
+from skyflow.operators import fits, variability  # noqa: E402
+
+
+@register("fleet_fits")
+def fleet_fits(s, d):
+    return fits.fit_fleet(T.detections(s, d))
+
+
+@register("microlensing_fits")
+def microlensing_fits(s, d):
+    return fits.fit_microlensing(T.detections(s, d))
+
+
+@register("supernova_fits")
+def supernova_fits(s, d):
+    return fits.fit_supernova(T.detections(s, d))
+
+
+@register("random_walk_fits")
+def random_walk_fits(s, d):
+    return fits.fit_drw(T.detections(s, d))
+
+
+IAR = """SELECT oid, fid, arg_min(phi, (nll, phi)) AS IAR_phi FROM (SELECT oid, fid, phi, round(sum(CASE WHEN pz IS NULL THEN z * z ELSE ln(v) + pow(z - a * pz, 2) / v END) / 2, 9) AS nll FROM (
+ SELECT *, pow(phi, dt) AS a, greatest(1 - pow(phi, 2 * dt), 1e-6) AS v FROM (SELECT *, lag(z) OVER o AS pz, mjd - lag(mjd) OVER o AS dt FROM (SELECT *, count(*) OVER g AS n, (mag - avg(mag) OVER g) / stddev_samp(mag) OVER g AS z FROM det WHERE NOT forced WINDOW g AS (PARTITION BY oid, fid))
+ WHERE n >= 6 WINDOW o AS (PARTITION BY oid, fid ORDER BY mjd, candid)), (SELECT (k + 0.5::double) / 20 AS phi FROM range(20) t(k))) GROUP BY oid, fid, phi) GROUP BY oid, fid"""
+
+
+@register("autoregression_fits", IAR, "IAR_phi")
+def autoregression_fits(s, d):
+    return fits.fit_iar_phi(T.detections(s, d))
+
+
+@register("autocor_length")
+def autocor_length(s, d):
+    return variability.autocor_length(T.detections(s, d))
+
+
+@register("slotted_autocorrelation", "SELECT oid, fid, slot, r / first_value(r) OVER (PARTITION BY oid, fid ORDER BY slot) AS r FROM (WITH z AS (SELECT *, (mag - avg(mag) OVER g) / stddev_pop(mag) OVER g AS z FROM det WHERE NOT forced WINDOW g AS (PARTITION BY oid, fid)) SELECT oid, fid, slot, avg(p) AS r FROM (SELECT a.oid, a.fid, CAST(floor(abs(b.mjd - a.mjd) + 0.5) AS INTEGER) AS slot, a.z * b.z AS p FROM z a JOIN z b ON a.oid = b.oid AND a.fid = b.fid) WHERE slot < 20 GROUP BY oid, fid, slot)", "r", 4)
+def slotted_autocorrelation(s, d):
+    return variability.slotted_autocorrelation(T.detections(s, d))
+
+
+@register("mhps")
+def mhps(s, d):
+    return variability.mhps(T.detections(s, d), 20.0, 5.0, 1.0)
+
+
+@register("sigma_clip", "SELECT candid, c OR abs(mag - avg(CASE WHEN NOT c THEN mag END) OVER g) > 1.5 * stddev_pop(CASE WHEN NOT c THEN mag END) OVER g AS clipped FROM (SELECT *, abs(mag - avg(mag) OVER g) > 1.5 * stddev_pop(mag) OVER g AS c FROM det WINDOW g AS (PARTITION BY oid, fid)) WINDOW g AS (PARTITION BY oid, fid)")
+def sigma_clip(s, d):
+    return variability.sigma_clip(T.detections(s, d), 1.5).select("candid", "clipped")
+
+
+@register("robust_scale", "SELECT oid, fid, min(mag) FILTER (q >= 0.5) AS location, (min(mag) FILTER (q >= 0.75) - min(mag) FILTER (q >= 0.25)) / 1.349 AS scale FROM (SELECT *, (sum(1 / pow(e_mag, 2)) OVER (PARTITION BY oid, fid ORDER BY mag, candid ROWS UNBOUNDED PRECEDING) - 0.5 / pow(e_mag, 2)) / sum(1 / pow(e_mag, 2)) OVER (PARTITION BY oid, fid) AS q FROM det WHERE NOT forced) GROUP BY oid, fid", "location scale")
+def robust_scale(s, d):
+    return variability.robust_scale(T.detections(s, d))
+
+
+@register("pvar")
+def pvar(s, d):
+    return variability.pvar(T.detections(s, d))
+
+
+@register("helio_times")
+def helio_times(s, d):
+    return variability.helio_correct(T.detections(s, d)).select("oid", "candid", "mjd", "mjd_original")
