@@ -22,7 +22,7 @@ def autocor_length(det: DataFrame, level: float = 0.36787944117144233) -> DataFr
 def slotted_autocorrelation(det: DataFrame, slot: float = 1.0, slots: int = 20) -> DataFrame:
     """Mean product of standardised magnitudes of all pairs of a slot of time difference, in units of slot 0."""
     g = Window.partitionBy(*KEYS)
-    d = det.filter(~F.col("forced")).withColumn("z", (F.col("mag") - F.avg("mag").over(g)) / F.stddev_pop("mag").over(g))
+    d = det.filter(~F.col("forced")).withColumn("__n", F.count("*").over(g)).filter(F.col("__n") >= MIN_POINTS).withColumn("z", (F.col("mag") - F.avg("mag").over(g)) / F.stddev_pop("mag").over(g))
     a = d.select(*KEYS, F.col("mjd").alias("t1"), F.col("z").alias("z1"))
     b = d.select(*KEYS, F.col("mjd").alias("t2"), F.col("z").alias("z2"))
     k = F.floor(F.abs(F.col("t2") - F.col("t1")) / slot + 0.5).cast("int")
@@ -83,8 +83,12 @@ def chi2_tail(x: Column, k: Column, terms: int = 200) -> Column:
     """Chi-square CDF by the series of the regularised lower gamma function."""
     a, h = k / 2, x / 2
     series = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s")), lambda acc, i: F.struct((acc["t"] * h / (a + i)).alias("t"), (acc["s"] + acc["t"] * h / (a + i)).alias("s")))["s"]
-    half = (a - F.lit(0.5)) * F.log(a) - a + 0.9189385332046727 + 1 / (12 * a) - 1 / (360 * F.pow(a, 3)) + 1 / (1260 * F.pow(a, 5)) + F.log(a)
-    return F.when(x <= 0, 0.0).otherwise(F.least(F.exp(a * F.log(h) - h - half) * series, F.lit(1.0)))
+    # log gamma(a + 1): Stirling's series at a + 6, brought down by the recurrence
+    z = a + 6
+    gamma = (z - 0.5) * F.log(z) - z + 0.9189385332046727 + 1 / (12 * z) - 1 / (360 * F.pow(z, 3))
+    for k in range(1, 6):
+        gamma = gamma - F.log(a + k)
+    return F.when(x <= 0, 0.0).otherwise(F.least(F.exp(a * F.log(h) - h - gamma) * series, F.lit(1.0)))
 
 
 def pvar(det: DataFrame) -> DataFrame:

@@ -541,7 +541,7 @@ def autocor_length(s, d):
     return variability.autocor_length(T.detections(s, d))
 
 
-@register("slotted_autocorrelation", "SELECT oid, fid, slot, r / first_value(r) OVER (PARTITION BY oid, fid ORDER BY slot) AS r FROM (WITH z AS (SELECT *, (mag - avg(mag) OVER g) / stddev_pop(mag) OVER g AS z FROM det WHERE NOT forced WINDOW g AS (PARTITION BY oid, fid)) SELECT oid, fid, slot, avg(p) AS r FROM (SELECT a.oid, a.fid, CAST(floor(abs(b.mjd - a.mjd) + 0.5) AS INTEGER) AS slot, a.z * b.z AS p FROM z a JOIN z b ON a.oid = b.oid AND a.fid = b.fid) WHERE slot < 20 GROUP BY oid, fid, slot)", "r", 4)
+@register("slotted_autocorrelation", "SELECT oid, fid, slot, r / first_value(r) OVER (PARTITION BY oid, fid ORDER BY slot) AS r FROM (WITH z AS (SELECT *, (mag - avg(mag) OVER g) / stddev_pop(mag) OVER g AS z FROM det WHERE NOT forced WINDOW g AS (PARTITION BY oid, fid) QUALIFY count(*) OVER g >= 6) SELECT oid, fid, slot, avg(p) AS r FROM (SELECT a.oid, a.fid, CAST(floor(abs(b.mjd - a.mjd) + 0.5) AS INTEGER) AS slot, a.z * b.z AS p FROM z a JOIN z b ON a.oid = b.oid AND a.fid = b.fid) WHERE slot < 20 GROUP BY oid, fid, slot)", "r", 4)
 def slotted_autocorrelation(s, d):
     return variability.slotted_autocorrelation(T.detections(s, d))
 

@@ -129,3 +129,63 @@ def test_sources(spark, tmp_path):
     assert {(r.key, r["topic"]) for r in readers.keyed_records(df.select("candid"), "candid", ["a", "b"]).collect()} == {("1", "a"), ("1", "b"), ("123", "a"), ("123", "b")}
     readers.archive_alerts(spark.createDataFrame([(2460310.5, 1), (2460311.4, 2)], "jd double, x int"), str(tmp_path / "arch"))
     assert {str(r.date) for r in spark.read.parquet(str(tmp_path / "arch")).collect()} == {"2024-01-01"}
+
+
+def curve(spark, f, n=60, fid="g", seed=3, e=0.05):
+    r = random.Random(seed)
+    t = sorted(r.uniform(0, 50) for _ in range(n))
+    rows = [("a", k, fid, x, f(x, r), e, False, 1) for k, x in enumerate(t)]
+    return spark.createDataFrame(rows, "oid string, candid long, fid string, mjd double, mag double, e_mag double, forced boolean, isdiffpos int"), [(x[3], x[4]) for x in rows]
+
+
+def test_random_walk_likelihood_against_a_loop(spark):
+    from skyflow.operators import fits
+
+    det, pts = curve(spark, lambda x, r: 17 + r.gauss(0, 0.3))
+    got = fits.fit_drw(det, [0.2, 0.4], [1.0, 5.0]).first()
+    mean = sum(m for _, m in pts) / len(pts)
+    best = None
+    for s in (0.2, 0.4):
+        for tau in (1.0, 5.0):
+            x, p, last, nll = 0.0, s * s, None, 0.0
+            for t, m in pts:
+                a = 0.0 if last is None else math.exp(-(t - last) / tau)
+                x, p = a * x, a * a * p + s * s * (1 - a * a)
+                q = p + 0.05**2
+                d = m - mean - x
+                nll += 0.5 * (math.log(q) + d * d / q)
+                x, p, last = x + p / q * d, p * (1 - p / q), t
+            best = min(best or (math.inf, 0, 0), (nll, s, tau))
+    assert abs(got.GP_DRW_nll - best[0]) < 1e-6 and (got.GP_DRW_sigma, got.GP_DRW_tau) == best[1:]
+
+
+def test_autocorrelation_and_pvar(spark):
+    from skyflow.operators import variability as v
+
+    det, pts = curve(spark, lambda x, r: 17 + math.sin(x / 5) + r.gauss(0, 0.05))
+    m = [y for _, y in pts]
+    mean = sum(m) / len(m)
+    z = [y - mean for y in m]
+    c0 = sum(x * x for x in z)
+    want = next(k for k in range(1, len(z)) if sum(a * b for a, b in zip(z, z[k:])) < c0 / math.e)
+    assert v.autocor_length(det).first().Autocor_length == want
+    x = one(spark, v.chi2_tail(F.lit(10.0), F.lit(10.0)), v.chi2_tail(F.lit(3.84), F.lit(1.0)), v.chi2_tail(F.lit(30.0), F.lit(20.0)))
+    assert abs(x[0] - 0.559507) < 2e-4 and abs(x[1] - 0.949957) < 1e-4 and abs(x[2] - 0.930146) < 2e-4
+    assert v.pvar(det).first().Pvar > 0.99
+
+
+def test_heliocentric_times_stay_within_the_light_time(spark):
+    from skyflow.operators import variability as v
+
+    det, _ = curve(spark, lambda x, r: 17.0)
+    d = v.helio_correct(det.withColumns({"ra": F.lit(266.0), "dec": F.lit(-23.0), "mjd": F.col("mjd") + 60000})).collect()
+    assert max(abs(r.mjd - r.mjd_original) for r in d) < 0.00586
+
+
+def test_fits_recover_grid_values(spark):
+    from skyflow.operators import fits
+
+    det, _ = curve(spark, lambda x, r: 20 - 2.5 * math.log10(1 + ((u := 0.09 + ((x - 25) / 5) ** 2) + 2) / math.sqrt(u * (u + 4)) - 1) + r.gauss(0, 0.005), e=0.01)
+    m = fits.fit_microlensing(det, [0.1, 0.3, 0.6], [2.0, 5.0, 10.0]).first()
+    assert (m.ulens_u0, m.ulens_tE) == (0.3, 5.0)
+    assert fits.fit_fleet(det).count() == 1 and fits.fit_supernova(det).first().SPM_chi >= 0
