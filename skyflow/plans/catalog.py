@@ -569,3 +569,55 @@ def pvar(s, d):
 @register("helio_times")
 def helio_times(s, d):
     return variability.helio_correct(T.detections(s, d)).select("oid", "candid", "mjd", "mjd_original")
+
+
+from skyflow.operators import outputs  # noqa: E402
+
+
+@register("latest_stamp_detection", "SELECT oid, arg_min(candid, (NOT new, -mjd, candid)) AS candid FROM det WHERE candid % 5 <> 1 GROUP BY oid")
+def latest_stamp_detection(s, d):
+    return outputs.latest_stamp_detection(T.detections(s, d).withColumn("has_stamp", F.col("candid") % 5 != 1)).select("oid", "candid")
+
+
+@register("patch_features", "SELECT oid, fid AS name, count(*) AS n, sum(CASE WHEN fid IN ('click', 'view') THEN mag + 1 ELSE mag END) AS value FROM det GROUP BY oid, fid", "value", 4)
+def patch_features(s, d):
+    old = T.detections(s, d).select("oid", F.col("fid").alias("name"), F.col("mag").alias("value"))
+    out = outputs.patch_features(old, old.withColumn("value", F.col("value") + 1), ["click", "view"])
+    return out.groupBy("oid", "name").agg(F.count("*").alias("n"), F.sum("value").alias("value"))
+
+
+@register("align_partitions", "SELECT doc_id AS oid, quality AS partition, row_number() OVER (PARTITION BY quality ORDER BY doc_id) - 1 AS row_id FROM labels WHERE doc_id IN (SELECT doc_id FROM documents WHERE n_chars > 500)")
+def align_partitions(s, d):
+    parts = T.table(s, d, "labels").select(F.col("doc_id").alias("oid"), F.col("quality").alias("partition"))
+    return outputs.align_partitions(parts, T.table(s, d, "documents").filter("n_chars > 500").select(F.col("doc_id").alias("oid")))
+
+
+@register("split_table_history", "SELECT p_partkey AS oid, p_size AS measurement_id, p_retailprice AS mag, p_brand AS e_mag FROM part")
+def split_table_history(s, d):
+    p = T.table(s, d, "part").select(F.col("p_partkey").alias("oid"), F.col("p_size").alias("measurement_id"), F.col("p_retailprice").alias("mag"), F.col("p_brand").alias("e_mag"))
+    return outputs.split_table_history(p.drop("e_mag"), p.drop("mag"))
+
+
+@register("merge_json_values", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, event_type AS kind FROM events")
+def merge_json_values(s, d):
+    e = T.table(s, d, "events").withColumn("new", F.to_json(F.struct(F.col("event_type").alias("kind"))))
+    m = e.withColumn("v", outputs.merge_json("props", "new"))
+    return m.select("event_id", F.get_json_object("v", "$.k").cast("int").alias("k"), F.get_json_object("v", "$.kind").alias("kind"))
+
+
+@register("attach_output", "SELECT o_orderkey AS oid, arg_max(class_name, (probability, class_name)) AS class, count(*) AS n FROM orders JOIN prob ON o_orderkey = oid GROUP BY o_orderkey")
+def attach_output(s, d):
+    f = T.table(s, d, "orders").select(F.col("o_orderkey").alias("oid"))
+    return outputs.attach_output(f, T.probabilities(s, d)).select("oid", "class", F.size("probabilities").cast("long").alias("n"))
+
+
+@register("debias_positions", "SELECT oid FROM (SELECT *, row_number() OVER (PARTITION BY k, dec < 0 ORDER BY md5(CAST(oid AS VARCHAR))) AS n FROM (SELECT *, oid % 3 AS k FROM obj )) WHERE NOT (k = 1 AND dec < 0) OR n <= 20")
+def debias_positions(s, d):
+    return outputs.debias_positions(T.objects(s, d).withColumn("k", (F.col("oid") % 3).cast("string")), "k", "1", 20).select("oid")
+
+
+@register("pull_training_set", "SELECT oid, count(*) AS n FROM det WHERE CAST(oid AS BIGINT) % 2 = 0 AND CAST(oid AS BIGINT) IN (SELECT c_custkey FROM customer) GROUP BY oid")
+def pull_training_set(s, d):
+    det = T.detections(s, d)
+    objs = T.table(s, d, "customer").select(F.col("c_custkey").cast("string").alias("oid"))
+    return outputs.pull_training_set(objs, det.filter("cast(oid as bigint) % 2 = 0"), det, objs.withColumn("w1", F.lit(1.0))).groupBy("oid").agg(F.count("*").alias("n"))
