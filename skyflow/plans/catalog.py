@@ -621,3 +621,53 @@ def pull_training_set(s, d):
     det = T.detections(s, d)
     objs = T.table(s, d, "customer").select(F.col("c_custkey").cast("string").alias("oid"))
     return outputs.pull_training_set(objs, det.filter("cast(oid as bigint) % 2 = 0"), det, objs.withColumn("w1", F.lit(1.0))).groupBy("oid").agg(F.count("*").alias("n"))
+
+
+from skyflow.operators import parse  # noqa: E402
+
+
+@register("pair_join", "SELECT a.oid, a.fid, count(*) AS n, sum(b.mjd - a.mjd) AS dt, sum(abs(b.mag - a.mag)) AS dm FROM det a JOIN det b ON a.oid = b.oid AND a.fid = b.fid AND (a.mjd, a.candid) < (b.mjd, b.candid) AND b.mjd - a.mjd <= 6 GROUP BY a.oid, a.fid", "dt dm", 4)
+def pair_join(s, d):
+    return features.pair_join(T.detections(s, d), 6.0).groupBy("oid", "fid").agg(F.count("*").alias("n"), F.sum("dt").alias("dt"), F.sum("dm").alias("dm"))
+
+
+@register("stack_units", "SELECT unit, count(*) AS n, avg(b) AS brightness FROM (SELECT 'magnitude' AS unit, mag AS b FROM det UNION ALL SELECT 'diff_flux', pow(10, -(mag - 23.9) / 2.5) * isdiffpos FROM det ) GROUP BY unit", "brightness", 4)
+def stack_units(s, d):
+    return parse.stack_units(T.detections(s, d)).groupBy("unit").agg(F.count("*").alias("n"), F.avg("brightness").alias("brightness"))
+
+
+@register("eligible_bands", "SELECT oid, fid, count(*) AS n FROM det WHERE NOT forced GROUP BY oid, fid HAVING count(*) >= 12")
+def eligible_bands(s, d):
+    return variability.eligible_bands(T.detections(s, d), 12).groupBy("oid", "fid").agg(F.count("*").alias("n"))
+
+
+@register("hierarchical_tables", "SELECT oid, 'forest_top' AS classifier_name, class_name, probability FROM prob WHERE oid % 2 = 0 UNION ALL SELECT oid, 'forest_late', class_name, probability FROM prob WHERE oid % 2 = 1", "probability")
+def hierarchical_tables(s, d):
+    p = T.probabilities(s, d)
+    return classify.hierarchical_tables("forest", p.filter("oid % 2 = 0"), {"Late": p.filter("oid % 2 = 1")}).select("oid", "classifier_name", "class_name", "probability")
+
+
+@register("fill_not_classified", "SELECT o_orderkey AS oid, CASE WHEN a IS NULL THEN 1.0::double ELSE 0 END AS NotClassified, coalesce(a, 0) AS a FROM orders LEFT JOIN (SELECT l_orderkey, sum(l_discount) AS a FROM lineitem WHERE l_orderkey % 3 = 0 GROUP BY 1) ON o_orderkey = l_orderkey", "a NotClassified")
+def fill_not_classified(s, d):
+    prob = T.table(s, d, "lineitem").filter("l_orderkey % 3 = 0").groupBy(F.col("l_orderkey").alias("oid")).agg(F.sum("l_discount").alias("a"))
+    return classify.fill_not_classified(T.table(s, d, "orders").select(F.col("o_orderkey").alias("oid")), prob, ["a"])
+
+
+@register("undersample_windows", "SELECT window_id FROM (SELECT *, row_number() OVER (PARTITION BY oid ORDER BY md5(window_id), window_id) AS n FROM (SELECT DISTINCT oid, oid || '_' || w AS window_id FROM (SELECT oid, (row_number() OVER (PARTITION BY oid ORDER BY mjd, candid) - 1) // 10 AS w FROM det ))) WHERE CAST(oid AS BIGINT) % 2 = 0 OR n = 1")
+def undersample_windows(s, d):
+    w = training.count_windows(T.detections(s, d), 10).select("oid", "window_id").distinct()
+    labels = w.select("oid").distinct().withColumn("label", F.when(F.col("oid").cast("bigint") % 2 == 0, "keep").otherwise("rest"))
+    return training.undersample_windows(w, labels, ["keep"]).select("window_id")
+
+
+@register("object_document", "SELECT oid, avg(ra) - 180 AS x, avg(dec) AS y, count(DISTINCT (fid, sid)) AS bands FROM det WHERE NOT forced GROUP BY oid", "x y", 3)
+def object_document(s, d):
+    det = T.detections(s, d)
+    obj = det.filter("not forced").groupBy("oid").agg(F.avg("ra").alias("meanra"), F.avg("dec").alias("meandec"))
+    doc = stats.object_document(obj, stats.generate_statistics(correct.with_flags(det).withColumn("mag_corr", F.col("mag")), only={"magmean", "ndet"}))
+    return doc.select("oid", F.col("loc.coordinates")[0].alias("x"), F.col("loc.coordinates")[1].alias("y"), F.size("magstats").cast("long").alias("bands"))
+
+
+@register("slotted_length")
+def slotted_length(s, d):
+    return variability.slotted_length(variability.slotted_autocorrelation(T.detections(s, d)))
