@@ -118,3 +118,15 @@ def assemble_messages(objects: DataFrame, det: DataFrame, nd: DataFrame) -> Data
     rows = lambda df, name: df.groupBy("oid").agg(F.sort_array(F.collect_list(F.struct("mjd", *(c for c in df.columns if c not in ("oid", "mjd"))))).alias(name))
     out = objects.join(rows(det, "detections"), "oid", "left").join(rows(nd, "non_detections"), "oid", "left")
     return out.withColumns({c: F.coalesce(c, F.array().cast(out.schema[c].dataType)) for c in ("detections", "non_detections")})
+
+
+def explode_lsst(alerts: DataFrame) -> DataFrame:
+    """Previous sources (forced = false) and forced sources (forced = true, at the alert's position) of the simulated survey."""
+    base = [F.col("diaSource.diaObjectId").cast("string").alias("oid"), F.col("alertId").cast("string").alias("parent_candid")]
+    shape = lambda ident, ra, dec, forced: [
+        "oid", "parent_candid", F.col(f"s.{ident}").cast("string").alias("candid"), F.col("s.midPointTai").alias("mjd"), F.col("s.filterName").alias("fid"), ra.alias("ra"), dec.alias("dec"), F.col("s.psFlux").alias("mag"), F.col("s.psFluxErr").alias("e_mag"),
+        F.signum("s.psFlux").cast("int").alias("isdiffpos"), F.lit(forced).alias("forced"), F.lit(False).alias("has_stamp"),
+    ]
+    own = alerts.select(*base, F.explode("prvDiaSources").alias("s")).select(*shape("diaSourceId", F.col("s.ra"), F.col("s.decl"), False))
+    at = alerts.select(*base, F.col("diaSource.ra").alias("ra"), F.col("diaSource.decl").alias("dec"), F.explode("prvDiaForcedSources").alias("s"))
+    return own.unionByName(at.select(*shape("diaForcedSourceId", F.col("ra"), F.col("dec"), True)))

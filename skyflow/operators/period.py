@@ -93,3 +93,21 @@ def power_rates(power: DataFrame) -> DataFrame:
     rates = F.explode(F.array(*(F.struct(F.lit(x).alias("times"), F.lit(y).alias("name")) for x, y in ((0.25, "1/4"), (1 / 3, "1/3"), (0.5, "1/2"), (2.0, "2"), (3.0, "3"), (4.0, "4")))))
     want = best.withColumn("x", rates).select("oid", "x.name", F.col("b.power").alias("peak"), F.round((F.col("b.freq") / F.col("x.times") - F.col("f0")) / F.col("df")).cast("int").alias("k"), "last")
     return want.join(power.select("oid", "k", "power"), ["oid", "k"], "left").select("oid", "name", (F.col("power") / F.col("peak")).alias("rate"))
+
+
+def qmi(obs: DataFrame, grid: DataFrame, mode: str = "cauchy_schwarz", h_phase: float = 0.4) -> DataFrame:
+    """Quadratic mutual information of phase and magnitude per frequency, by Gaussian and periodic kernels.
+
+    ``mode`` is cauchy_schwarz or euclidean. Pairs stay within an object: the grid multiplies them, so keep it short.
+    """
+    o = Window.partitionBy("oid")
+    d = obs.filter(~F.col("forced")).withColumns({"n": F.count("*").over(o), "h": 0.9 * F.stddev_pop("mag").over(o) * F.pow(F.count("*").over(o), -0.2)})
+    a = d.select("oid", F.col("candid").alias("i"), F.col("mjd").alias("t1"), F.col("mag").alias("m1"), "n", "h")
+    b = d.select("oid", F.col("mjd").alias("t2"), F.col("mag").alias("m2"))
+    pairs = a.join(b, "oid").select("oid", "i", "n", (F.col("t1") - F.col("t2")).alias("dt"), F.exp(-F.pow(F.col("m1") - F.col("m2"), 2) / (4 * F.pow("h", 2))).alias("km"))
+    p = pairs.join(grid.select("oid", "k", "freq"), "oid").withColumn("kp", F.exp((F.cos(2 * F.lit(3.141592653589793) * F.col("dt") * F.col("freq")) - 1) / h_phase**2))
+    row = p.groupBy("oid", "k", "freq", "i").agg(F.first("n").alias("n"), F.sum(F.col("km") * F.col("kp")).alias("j"), F.sum("km").alias("m"), F.sum("kp").alias("p"))
+    g = row.groupBy("oid", "k", "freq").agg(F.first("n").alias("n"), F.sum("j").alias("j"), F.sum("m").alias("m"), F.sum("p").alias("p"), F.sum(F.col("m") * F.col("p")).alias("c"))
+    vj, vm, vc = F.col("j") / F.pow("n", 2), F.col("m") * F.col("p") / F.pow("n", 4), F.col("c") / F.pow("n", 3)
+    value = F.log(vj * vm / F.pow(vc, 2)) if mode == "cauchy_schwarz" else vj + vm - 2 * vc
+    return g.select("oid", "k", "freq", value.alias("power"))

@@ -189,3 +189,20 @@ def test_fits_recover_grid_values(spark):
     m = fits.fit_microlensing(det, [0.1, 0.3, 0.6], [2.0, 5.0, 10.0]).first()
     assert (m.ulens_u0, m.ulens_tE) == (0.3, 5.0)
     assert fits.fit_fleet(det).count() == 1 and fits.fit_supernova(det).first().SPM_chi >= 0
+
+
+def test_mutual_information_peaks_at_the_period(spark):
+    det, pts = curve(spark, lambda x, r: 17 + math.sin(2 * math.pi * x / 2.5) + r.gauss(0, 0.05), n=50)
+    grid = spark.createDataFrame([("a", k, f) for k, f in enumerate((0.11, 0.23, 0.4, 0.57))], "oid string, k int, freq double")
+    for mode in ("cauchy_schwarz", "euclidean"):
+        got = {r.k: r.power for r in period.qmi(det, grid, mode).collect()}
+        assert max(got, key=got.get) == 2
+
+
+def test_simulated_survey_history(spark):
+    src = "struct<diaSourceId: long, diaObjectId: long, midPointTai: double, filterName: string, ra: double, decl: double, psFlux: double, psFluxErr: double>"
+    forced = "struct<diaForcedSourceId: long, diaObjectId: long, midPointTai: double, filterName: string, psFlux: double, psFluxErr: double>"
+    s = (7, 5, 60000.0, "g", 1.0, 2.0, -3.0, 0.1)
+    a = spark.createDataFrame([(1, s, [s], [(9, 5, 60001.0, "r", 4.0, 0.2)]), (2, s, None, None)], f"alertId long, diaSource {src}, prvDiaSources array<{src}>, prvDiaForcedSources array<{forced}>")
+    got = sorted((r.candid, r.forced, r.isdiffpos, r.ra) for r in parse.explode_lsst(a).collect())
+    assert got == [("7", False, -1, 1.0), ("9", True, 1, 1.0)]
