@@ -20,12 +20,16 @@ def _rounded(df: DataFrame, cols: list[str], digits: int) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in cols})
 
 
-def register(name: str, sql: str | None = None, floats: str = "", digits: int = 6):
-    """Register a query; doubles in ``floats`` are rounded on both sides, so that sums in another order agree."""
+def register(name: str, sql: str | None = None, floats: str = "", digits: int = 6, longs: str = ""):
+    """Register a query; doubles in ``floats`` are rounded on both sides, so that sums in another order agree; ``longs`` are widened."""
     cols = floats.split()
 
+    def run(fn, s, d):
+        df = fn(s, d).withColumns({c: F.col(c).cast("long") for c in longs.split()}) if longs else fn(s, d)
+        return _rounded(df, cols, digits) if cols else df
+
     def add(fn):
-        QUERIES[name] = (lambda s, d: _rounded(fn(s, d), cols, digits)) if cols else fn
+        QUERIES[name] = lambda s, d: run(fn, s, d)
         if sql:
             ctes = ", ".join(x for x in (DET, ND, CAT, OBJ, PROB) if f" {x.split()[0]} " in f" {sql} " or x is DET and " nd " in sql)
             head = f"WITH {ctes} " if ctes else ""
@@ -119,7 +123,7 @@ def union_history(s, d):
     return history.as_of_cut(history.union_history(batch, stored), batch).groupBy("oid").agg(F.count("*").alias("n"), F.count(F.when(F.col("new"), 1)).alias("n_new"))
 
 
-@register("top_k_magnitudes", "SELECT oid, candid, mag, rank FROM (SELECT *, row_number() OVER (PARTITION BY oid ORDER BY mag DESC, candid) rank FROM det ) WHERE rank <= 5", "mag")
+@register("top_k_magnitudes", "SELECT oid, candid, mag, rank FROM (SELECT *, row_number() OVER (PARTITION BY oid ORDER BY mag DESC, candid) rank FROM det ) WHERE rank <= 5", "mag", longs="rank")
 def top_k_magnitudes(s, d):
     return history.top_k(T.detections(s, d), ["oid"], "mag", 5, "candid").select("oid", "candid", "mag", "rank")
 
@@ -174,7 +178,7 @@ def exclude_objects(s, d):
 SEP = "2 * degrees(asin(sqrt(least(pow(sin(radians({b}.dec - {a}.dec) / 2), 2) + cos(radians({a}.dec)) * cos(radians({b}.dec)) * pow(sin(radians({b}.ra - {a}.ra) / 2), 2), 1)))) * 3600".format(a="o", b="c")
 
 
-@register("crossmatch", f"SELECT oid, cat_id, sep, rank FROM (SELECT *, row_number() OVER (PARTITION BY oid ORDER BY sep, cat_id) rank FROM (SELECT o.oid, cat_id, {SEP} sep FROM obj o, cat c) WHERE sep <= 1800) WHERE rank <= 2", "sep", 3)
+@register("crossmatch", f"SELECT oid, cat_id, sep, rank FROM (SELECT *, row_number() OVER (PARTITION BY oid ORDER BY sep, cat_id) rank FROM (SELECT o.oid, cat_id, {SEP} sep FROM obj o, cat c) WHERE sep <= 1800) WHERE rank <= 2", "sep", 3, longs="rank")
 def crossmatch(s, d):
     return sky.crossmatch(T.objects(s, d), T.catalog(s, d), 1800.0, 2).select("oid", "cat_id", "sep", "rank")
 
@@ -227,12 +231,12 @@ def flux_conversions(s, d):
     return T.detections(s, d).select("candid", f.alias("flux"), e.alias("e_flux"), C.object_key(F.col("candid")).alias("key"))
 
 
-@register("rank_probabilities", "SELECT oid, class_name, probability, row_number() OVER (PARTITION BY oid ORDER BY probability DESC, class_name) ranking FROM prob", "probability")
+@register("rank_probabilities", "SELECT oid, class_name, probability, row_number() OVER (PARTITION BY oid ORDER BY probability DESC, class_name) ranking FROM prob", "probability", longs="ranking")
 def rank_probabilities(s, d):
     return classify.rank_probabilities(T.probabilities(s, d)).select("oid", "class_name", "probability", "ranking")
 
 
-@register("dense_rank_probabilities", "SELECT oid, class_name, dense_rank() OVER (PARTITION BY oid ORDER BY probability DESC) ranking FROM prob")
+@register("dense_rank_probabilities", "SELECT oid, class_name, dense_rank() OVER (PARTITION BY oid ORDER BY probability DESC) ranking FROM prob", longs="ranking")
 def dense_rank_probabilities(s, d):
     return classify.rank_probabilities(T.probabilities(s, d), "dense").select("oid", "class_name", "ranking")
 
@@ -259,7 +263,7 @@ def insert_if_absent(s, d):
     return classify.insert_if_absent(stored, T.probabilities(s, d)).select("oid", "class_name")
 
 
-@register("replace_probabilities", "SELECT oid, class_name, round(probability, 6) + 0.0::double AS probability, ranking FROM (SELECT *, row_number() OVER (PARTITION BY oid ORDER BY probability DESC, class_name) ranking FROM prob WHERE oid % 2 = 0) UNION ALL SELECT o_orderkey, 'old', 1.0::double, 1 FROM orders WHERE o_orderkey NOT IN (SELECT oid FROM prob WHERE oid % 2 = 0)")
+@register("replace_probabilities", "SELECT oid, class_name, round(probability, 6) + 0.0::double AS probability, ranking FROM (SELECT *, row_number() OVER (PARTITION BY oid ORDER BY probability DESC, class_name) ranking FROM prob WHERE oid % 2 = 0) UNION ALL SELECT o_orderkey, 'old', 1.0::double, 1 FROM orders WHERE o_orderkey NOT IN (SELECT oid FROM prob WHERE oid % 2 = 0)", longs="ranking")
 def replace_probabilities(s, d):
     stored = T.table(s, d, "orders").select(F.col("o_orderkey").alias("oid"), F.lit("share").alias("classifier_name"), F.lit("1.0").alias("classifier_version"), F.lit("old").alias("class_name"), F.lit(1.0).alias("probability"), F.lit(1).alias("ranking"))
     out = classify.replace_probabilities(stored, T.probabilities(s, d).filter("oid % 2 = 0"))
@@ -344,7 +348,7 @@ def stratified_split(s, d):
     return training.stratified_split(T.table(s, d, "labels").select(F.col("doc_id").alias("oid"), F.col("quality").alias("label")))
 
 
-@register("stratified_kfold", "SELECT oid, label, ntile(5) OVER (PARTITION BY label ORDER BY md5(CAST(oid AS VARCHAR) || ':0'), oid) - 1 AS fold FROM (SELECT doc_id AS oid, quality AS label FROM labels)")
+@register("stratified_kfold", "SELECT oid, label, ntile(5) OVER (PARTITION BY label ORDER BY md5(CAST(oid AS VARCHAR) || ':0'), oid) - 1 AS fold FROM (SELECT doc_id AS oid, quality AS label FROM labels)", longs="fold")
 def stratified_kfold(s, d):
     return training.stratified_kfold(T.table(s, d, "labels").select(F.col("doc_id").alias("oid"), F.col("quality").alias("label")))
 
@@ -354,7 +358,7 @@ def count_windows(s, d):
     return training.count_windows(T.detections(s, d), 20).select("window_id", "candid")
 
 
-@register("feature_quantiles", "SELECT i AS name, k AS step, quantile_cont(v, 0.0) * 0 + CASE k " + " ".join(f"WHEN {k} THEN quantile_cont(v, {k / 10})" for k in range(11)) + " END AS quantile FROM (SELECT unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding)::double AS v FROM embeddings), range(11) t(k) GROUP BY i, k", "quantile")
+@register("feature_quantiles", "SELECT i AS name, k AS step, quantile_cont(v, 0.0) * 0 + CASE k " + " ".join(f"WHEN {k} THEN quantile_cont(v, {k / 10})" for k in range(11)) + " END AS quantile FROM (SELECT unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding)::double AS v FROM embeddings), range(11) t(k) GROUP BY i, k", "quantile", longs="step")
 def feature_quantiles(s, d):
     long = T.table(s, d, "embeddings").select(F.posexplode("embedding").alias("i", "v")).select((F.col("i") + 1).cast("long").alias("name"), F.col("v").cast("double").alias("v"))
     return training.feature_quantiles(long, "name", "v")
@@ -586,7 +590,7 @@ def patch_features(s, d):
     return out.groupBy("oid", "name").agg(F.count("*").alias("n"), F.sum("value").alias("value"))
 
 
-@register("align_partitions", "SELECT doc_id AS oid, quality AS partition, row_number() OVER (PARTITION BY quality ORDER BY doc_id) - 1 AS row_id FROM labels WHERE doc_id IN (SELECT doc_id FROM documents WHERE n_chars > 500)")
+@register("align_partitions", "SELECT doc_id AS oid, quality AS partition, row_number() OVER (PARTITION BY quality ORDER BY doc_id) - 1 AS row_id FROM labels WHERE doc_id IN (SELECT doc_id FROM documents WHERE n_chars > 500)", longs="row_id")
 def align_partitions(s, d):
     parts = T.table(s, d, "labels").select(F.col("doc_id").alias("oid"), F.col("quality").alias("partition"))
     return outputs.align_partitions(parts, T.table(s, d, "documents").filter("n_chars > 500").select(F.col("doc_id").alias("oid")))
