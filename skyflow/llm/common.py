@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes in one Arrow batch: a batch of long texts must fit a small worker.
-ARROW_ROWS, ARROW_BYTES = 4000, 8 << 20
+ARROW_ROWS, ARROW_BYTES = 1000, 2 << 20
 
 WHITESPACE = "[\\x20\\x09-\\x0D]"
 
@@ -62,7 +62,7 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_SEGMENT = 1 << 20
+_SEGMENT = 1 << 18
 _POWERS = np.zeros(0, dtype=np.uint64)
 
 

@@ -25,7 +25,7 @@ FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
 #: Labelled rows of the calibration fold used to fit two numbers; chosen by hash, so independent of order.
 CALIBRATION_ROWS = 50_000
 BROADCAST_LABELS = 1_000_000
-_SEGMENT = 1 << 20
+_SEGMENT = 1 << 18
 
 
 def _codes() -> np.ndarray:
