@@ -1,11 +1,19 @@
-"""Toxicity: class-conditional Kneser-Ney models over the characters of words.
-
-Characters fall into 48 symbols, so a table over all 4-grams has 48^4 cells whatever the corpus: the
-counts are summed in Spark over every labelled training text, and only the finished log-ratio table
-(21 MB) goes to the workers. Orders 4 and 3 have counts of their own for toxic and for ordinary texts;
-orders 2 and 1 are Kneser-Ney continuation counts of both classes together, so rare expressions are
-smoothed through shared backoff counts. A text's log-likelihood ratio, divided by its length, is
-mapped to a score by logistic calibration on a training fold that the counts have not seen.
+"""Toxicity: class-conditional Kneser-Ney models over words and over the characters of words.
+
+Word model: bigrams and words are counted in Spark by key, so the table grows with the labelled texts. A
+word's own probability comes from continuation counts of its class, backed off to those of both classes.
+The log-likelihood ratio of a text is a sum of one weight for each bigram and each word in it. Weights of
+the commonest keys go to the workers; all others are joined by key, with the same result.
+
+Character model: characters fall into 48 symbols, so a table over all 4-grams has 48^4 cells whatever the
+corpus; it rates words never seen. Orders 4 and 3 have counts of their own for toxic and for ordinary
+texts; orders 2 and 1 are Kneser-Ney continuation counts of both classes together.
+
+A few telling expressions drown in the sum over a long text, so the highest log ratio of a word, and of a
+bigram beyond its words, count too. Both ratios, divided by the text's length, and these two peaks are
+mapped to a score by logistic calibration. It is fitted on
+training rows, each rated by counts without its own half of the training folds; the scores themselves use
+the counts of all training folds.
 """
 
 from __future__ import annotations
@@ -17,14 +25,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyflow.llm.common import id_crc_mod, materialize, string_buffers, text_of, tune, word_spans
+from skyflow.llm.common import hash_spans, id_crc_mod, join_groups, materialize, string_buffers, text_of, tune, word_spans
 
 SYMBOLS, ORDER, DISCOUNT = 48, 4, 0.75
 START, END, DIGIT, OTHER = 0, 1, 28, 31
-FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
-#: Labelled rows of the calibration fold used to fit two numbers; chosen by hash, so independent of order.
+FOLDS, HELD_OUT, FIRST_HALF = 5, 0, 2
+#: Labelled training rows used to fit five numbers; chosen by hash, so independent of order.
 CALIBRATION_ROWS = 50_000
 BROADCAST_LABELS = 1_000_000
+#: At most so many keys, the commonest, are weighed by the workers themselves.
+NEAR_KEYS = 500_000
+#: Counts of all training folds, and without either half of them.
+VARIANTS = ((0, 1), (1,), (0,))
+_FIRST, _LAST = np.int64(1), np.int64(2)
+_PAIR = "((shiftleft(u, 1) | shiftrightunsigned(u, 63)) ^ w)"
 _SEGMENT = 1 << 18
 
 
@@ -40,6 +54,16 @@ def _codes() -> np.ndarray:
 
 
 _CODE = _codes()
+_WEIGHTS = ("v0", "v1", "v2", "r0", "r1", "r2")
+_COUNTS = ("c00", "c01", "c10", "c11")
+#: Bytes that make up words: ASCII letters and digits, and characters of two bytes.
+_WORD = np.zeros(256, dtype=bool)
+_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(192, 224)]] = True
+#: Bytes of the characters that stand alone, at their first byte.
+_WIDTH = np.zeros(256, dtype=np.int64)
+_WIDTH[33:127] = 1
+_WIDTH[_WORD] = 0
+_WIDTH[224:240], _WIDTH[240:248] = 3, 4
 
 
 def grams(col: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -95,19 +119,108 @@ def log_ratio(ordinary: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return out.reshape(-1).astype(np.float32)
 
 
-def calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept of a ridge logistic fit, by Newton steps."""
+def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, 64-bit hash) of every token: words, single ASCII signs, and single characters from U+0800 on."""
+    raw, offsets = string_buffers(col)
+    if not len(raw):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    border = np.zeros(len(raw) + 1, dtype=bool)
+    border[offsets] = True
+    word = _WORD[raw]
+    word[1:] |= (raw[1:] >= 128) & (raw[1:] < 192) & (raw[:-1] >= 192) & (raw[:-1] < 224)
+    before = np.concatenate(([False], word[:-1]))
+    after = np.concatenate((word[1:], [False]))
+    starts = np.flatnonzero(word & (~before | border[:-1]))
+    ends = np.flatnonzero(word & (~after | border[1:])) + 1
+    one = np.flatnonzero(_WIDTH[raw] > 0)
+    begin = np.concatenate((starts, one))
+    order = np.argsort(begin, kind="stable")
+    begin, end = begin[order], np.concatenate((ends, one + _WIDTH[raw[one]]))[order]
+    return np.searchsorted(offsets, begin, "right") - 1, hash_spans(raw, begin, end).view(np.int64)
+
+
+def pairs(owner: np.ndarray, word: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, before, word, key) of every two neighbours; a text begins with _FIRST and ends with _LAST."""
+    n = np.bincount(owner, minlength=rows)
+    own = np.repeat(np.arange(rows), n + 1)
+    stop = np.cumsum(n + 1) - 1
+    inside = np.ones(len(own), dtype=bool)
+    inside[stop] = False
+    w = np.full(len(own), _LAST)
+    w[inside] = word
+    u = np.concatenate(([_FIRST], w[:-1]))
+    u[stop - n] = _FIRST
+    turned = u.view(np.uint64)
+    key = ((turned << np.uint64(1)) | (turned >> np.uint64(63))).view(np.int64) ^ w  # as _PAIR
+    return own, u, w, key
+
+
+def word_counts(rows: DataFrame) -> DataFrame:
+    """Bigram counts (``u``, ``w``, ``c00`` to ``c11`` by half and label) of rows (``half``, ``label``, ``text``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            kind = b.column(0).to_numpy() * 2 + (b.column(1).to_numpy() > 0)
+            own, u, w, key = pairs(*tokens(b.column(2)), b.num_rows)
+            found, first, number = np.unique(key, return_index=True, return_inverse=True)
+            c = np.bincount(number * 4 + kind[own], minlength=4 * len(found)).reshape(-1, 4)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (u[first], w[first], *c.T)], ["u", "w", *_COUNTS])
+
+    got = rows.select("half", "label", "text").mapInArrow(run, "u bigint, w bigint, c00 bigint, c01 bigint, c10 bigint, c11 bigint")
+    return materialize(got.groupBy("u", "w").agg(*(F.sum(c).alias(c) for c in _COUNTS)), "toxicity-bigrams")
+
+
+def word_weights(counts: DataFrame) -> DataFrame:
+    """(``key``, ``n``, ``pair``, ``v0`` to ``v2``, ``r0`` to ``r2``): what one bigram or word adds to log p(text, toxic) - log p(text, ordinary), by variant.
+
+    A bigram's weight is its log ratio less what its two words stand for when it was never seen: a word's
+    weight is its own log ratio, and that of backing off from it to the next word;
+    ``r`` is without the latter.
+    """
+    d = DISCOUNT
+    cells = [(v, c) for v in range(len(VARIANTS)) for c in (0, 1)]
+    own = {(v, c): sum((F.col(f"c{half}{c}") for half in VARIANTS[v]), F.lit(0)) for v, c in cells}
+    seen = {x: (own[x] > 0).cast("long") for x in cells}
+    either = {v: ((own[v, 0] + own[v, 1]) > 0).cast("long") for v in range(len(VARIANTS))}
+    left = counts.groupBy(F.col("u").alias("word")).agg(F.count("*").alias("right"), *(F.sum(own[v, c]).alias(f"n{v}{c}") for v, c in cells), *(F.sum(seen[v, c]).alias(f"t{v}{c}") for v, c in cells))
+    cont = counts.groupBy(F.col("w").alias("word")).agg(
+        F.count("*").alias("left"), F.sum(sum(F.col(c) for c in _COUNTS)).alias("n"), *(F.sum(seen[v, c]).alias(f"k{v}{c}") for v, c in cells), *(F.sum(either[v]).alias(f"k{v}") for v in range(len(VARIANTS)))
+    )
+    words = cont.join(left, "word", "full").fillna(0)
+    sums = words.agg(*(F.sum(c).alias(c) for c in words.columns if c[0] == "k"), *(F.sum((F.col(f"k{v}{c}") > 0).cast("long")).alias(f"d{v}{c}") for v, c in cells), F.sum("left").alias("rows")).first()
+    for v, c in cells:
+        base = F.col(f"k{v}") / F.lit(max(1, sums[f"k{v}"] or 0))
+        total, kinds = sums[f"k{v}{c}"] or 0, sums[f"d{v}{c}"] or 0
+        p = F.greatest(F.col(f"k{v}{c}") - d, F.lit(0)) / total + d * kinds / total * base if total else base
+        words = words.withColumn(f"p{v}{c}", p).withColumn(f"b{v}{c}", F.when(F.col(f"n{v}{c}") > 0, d * F.col(f"t{v}{c}") / F.col(f"n{v}{c}")).otherwise(1.0))
+    ratio = {v: F.when(F.col(f"k{v}") > 0, F.log(F.col(f"p{v}1") / F.col(f"p{v}0"))).otherwise(0.0) for v in range(len(VARIANTS))}
+    back = {v: F.log(F.col(f"b{v}1") / F.col(f"b{v}0")) for v in range(len(VARIANTS))}
+    words = materialize(words.select("word", "n", "left", "right", *(f"{x}{v}{c}" for x in "npb" for v, c in cells), *((ratio[v] + back[v]).cast("float").alias(f"v{v}") for v in range(len(VARIANTS))), *(ratio[v].cast("float").alias(f"r{v}") for v in range(len(VARIANTS)))), "toxicity-words")
+    total = sums["rows"] or 0
+    at_u = words.filter("right > 0").select(F.col("word").alias("u"), "right", *(f"{x}{v}{c}" for x in "nb" for v, c in cells))
+    at_w = words.filter("left > 0").select(F.col("word").alias("w"), "left", *(f"p{v}{c}" for v, c in cells))
+    both = join_groups(join_groups(counts, at_u, "u", "right", total), at_w, "w", "left", total)
+    p2 = {(v, c): F.when(F.col(f"n{v}{c}") > 0, F.greatest(own[v, c] - d, F.lit(0)) / F.col(f"n{v}{c}")).otherwise(0.0) + F.col(f"b{v}{c}") * F.col(f"p{v}{c}") for v, c in cells}
+    gain = [F.when(either[v] > 0, F.log(p2[v, 1] / p2[v, 0]) - back[v] - F.log(F.col(f"p{v}1") / F.col(f"p{v}0"))).otherwise(0.0).cast("float").alias(f"v{v}") for v in range(len(VARIANTS))]
+    bigrams = both.select(F.expr(_PAIR).alias("key"), sum(F.col(c) for c in _COUNTS).alias("n"), F.lit(True).alias("pair"), *gain)
+    bigrams = bigrams.withColumns({f"r{v}": F.col(f"v{v}") for v in range(len(VARIANTS))})
+    return materialize(bigrams.unionByName(words.select(F.col("word").alias("key"), "n", F.lit(False).alias("pair"), *_WEIGHTS)), "toxicity-weights")
+
+
+def calibrate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """A slope for each column of ``x`` and the intercept of a ridge logistic fit, by Newton steps."""
+    k = x.shape[1]
     if len(set(y.tolist())) < 2:
-        return 0.0, -1.0
-    scale = float(np.abs(x).max()) or 1.0
+        return np.array([0.0] * k + [-1.0])
+    scale = np.maximum(np.abs(x).max(axis=0), 1e-12)
     z = np.column_stack([x / scale, np.ones(len(x))])
-    w = np.zeros(2)
-    ridge = np.array([1e-2, 1e-6])
+    w = np.zeros(k + 1)
+    ridge = np.array([1e-2] * k + [1e-6])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         h = (z * (p * (1 - p))[:, None]).T @ z + np.diag(ridge)
         w = w - np.linalg.solve(h, z.T @ (p - y) + ridge * w)
-    return float(w[0] / scale), float(w[1])
+    return np.append(w[:k] / scale, w[k])
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str) -> tuple[DataFrame, DataFrame]:
@@ -117,28 +230,28 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str) -
     return own, F.broadcast(own) if own.count() <= BROADCAST_LABELS else own
 
 
-def _counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """4-gram counts of each class over all rows (``label``, ``text``); at most 48^4 sums reach the driver."""
+def _counts(rows: DataFrame) -> np.ndarray:
+    """4-gram counts by half and class over all rows (``half``, ``label``, ``text``); at most 4 x 48^4 sums reach the driver."""
     size = SYMBOLS**ORDER
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2 * size, dtype=np.int32)
+        total = np.zeros(4 * size, dtype=np.int32)
         for b in batches:
-            label = b.column(0).to_numpy(zero_copy_only=False)
-            for owner, gram in grams(b.column(1)):
-                np.add.at(total, gram + size * (label[owner] > 0), 1)
+            kind = b.column(0).to_numpy() * 2 + (b.column(1).to_numpy() > 0)
+            for owner, gram in grams(b.column(2)):
+                np.add.at(total, gram + size * kind[owner], 1)
         used = np.flatnonzero(total)
         for k in range(0, len(used), 100_000):
             part = used[k : k + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(total[part], pa.int64())], ["gram", "n"])
 
-    sums = rows.select("label", "text").mapInArrow(run, "gram int, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(2 * size, dtype=np.int64)
+    sums = rows.select("half", "label", "text").mapInArrow(run, "gram int, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(4 * size, dtype=np.int64)
     out[sums["gram"].to_numpy()] = sums["n"].to_numpy()
-    return out[:size], out[size:]
+    return out.reshape(2, 2, size)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", near_keys: int = NEAR_KEYS) -> DataFrame:
     """Score every whole text for toxicity.
 
     Labels count only from rows whose crc32(id) mod 5 is not 0. Returns one row for each input row: the
@@ -150,26 +263,76 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     spark = docs.sparkSession
     tune(spark)
     own, small = _labelled(docs, labels, id_col, label_col)
-    texts = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
-    train = texts.join(small.filter(id_crc_mod(F.col("id"), FOLDS) != CALIBRATION), "id")
-    table = log_ratio(*_counts(train))
-    shared = spark.sparkContext.broadcast(table)
+    texts = docs.select(docs[id_col].alias("id"), F.lower(text_of(docs, text_col)).alias("text"))
+    half = (id_crc_mod(F.col("id"), FOLDS) > FIRST_HALF).cast("int")
+    train = materialize(texts.join(small, "id").select("id", half.alias("half"), "label", "text"), "toxicity-train")
+    counts = _counts(train)
+    shared = spark.sparkContext.broadcast([log_ratio(*counts[list(v)].sum(axis=0)) for v in VARIANTS])
+    del counts
+    weights = word_weights(word_counts(train))
+    # the least count of a key that the workers know: NEAR_KEYS keys at most
+    least, known, keys = 1, 0, 0
+    for n, k in sorted((r["n"], r["k"]) for r in weights.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count("*").alias("k")).collect())[::-1]:
+        keys += k
+        known, least = (keys, n) if keys <= near_keys else (known, least)
+    near = weights.filter((F.col("n") >= least) if known else F.lit(False)).select("key", *_WEIGHTS).toArrow()
+    order = np.argsort(near["key"].to_numpy())
+    table = spark.sparkContext.broadcast((near["key"].to_numpy()[order], np.stack([near[c].to_numpy()[order] for c in _WEIGHTS])))
+    has_far = keys > known
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratio = shared.value
+    sums_of, peaks_of = ("words", "words_out"), ("word_peak", "word_peak_out", "pair_peak", "pair_peak_out")
+
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ratio, (key, value) = shared.value, table.value
+        rng = np.random.default_rng()
         for b in batches:
-            total, n = np.zeros(b.num_rows), np.zeros(b.num_rows)
+            rows, without = b.num_rows, b.column(2).to_numpy()  # 0, or the variant without the row's own half
+            chars, chars_out, n = np.zeros(rows), np.zeros(rows), np.zeros(rows)
             for owner, gram in grams(b.column(1)):
-                total += np.bincount(owner, ratio[gram], b.num_rows)
-                n += np.bincount(owner, minlength=b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(total / np.maximum(n, 1), pa.float64())], ["id", "ratio"])
+                n += np.bincount(owner, minlength=rows)
+                chars += np.bincount(owner, ratio[0][gram], rows)
+                for v in (1, 2):
+                    use = without[owner] == v
+                    chars_out += np.bincount(owner[use], ratio[v][gram[use]], rows)
+            own, _, w, pair = pairs(*tokens(b.column(1)), rows)
+            begin = np.searchsorted(own, np.arange(rows))
+            sums, peaks, far_own, far = np.zeros((2, rows)), [], [], []
+            for ks in (w, pair):
+                at = np.minimum(np.searchsorted(key, ks), max(0, len(key) - 1))
+                hit = key[at] == ks if len(key) else np.zeros(len(ks), dtype=bool)
+                for k, v in enumerate((np.zeros_like(own), without[own])):
+                    here = np.zeros((2, len(ks)))
+                    here[:, hit] = value[v[hit], at[hit]], value[v[hit] + 3, at[hit]]
+                    sums[k] += np.add.reduceat(here[0], begin) if rows else 0
+                    peaks.append(np.maximum(0, np.maximum.reduceat(here[1], begin)) if rows else np.zeros(0))
+                far_own.append(own[~hit & has_far])
+                far.append(ks[~hit & has_far])
+            far_own, far = np.concatenate(far_own), np.concatenate(far)
+            far = far[np.argsort(far_own, kind="stable")]
+            ends = np.concatenate(([0], np.cumsum(np.bincount(far_own, minlength=rows)))).astype(np.int32)
+            m = np.bincount(own, minlength=rows)
+            cols = [pa.array(rng.integers(-(2**63), 2**63 - 1, rows, dtype=np.int64)), pa.array(chars / np.maximum(n, 1)), pa.array(chars_out / np.maximum(n, 1)), *(pa.array(x, pa.float64()) for x in (*sums, *peaks)), pa.array(m)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), *cols, pa.ListArray.from_arrays(pa.array(ends), pa.array(far))], ["id", "without", "label", "uid", "chars", "chars_out", *sums_of, *peaks_of, "m", "far"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rated = materialize(texts.mapInArrow(run, f"id {kind}, ratio double"), "toxicity-ratios")
-    fold = own.filter(id_crc_mod(F.col("id"), FOLDS) == CALIBRATION)
-    seen = rated.join(F.broadcast(fold) if small is not own else fold, "id").orderBy(F.xxhash64("id")).limit(CALIBRATION_ROWS).select("ratio", "label").toPandas()
-    slope, intercept = calibrate(seen["ratio"].to_numpy(dtype=float), (seen["label"].to_numpy() > 0).astype(float))
-    score = 1 / (1 + F.exp(-(F.col("ratio") * slope + intercept)))
+    marked = texts.join(small, "id", "left").select("id", "text", F.when(F.col("label").isNull(), 0).otherwise(half + 1).alias("without"), "label")
+    rated = materialize(marked.mapInArrow(rate, f"id {kind}, without int, label int, uid bigint, chars double, chars_out double, words double, words_out double, word_peak double, word_peak_out double, pair_peak double, pair_peak_out double, m bigint, far array<bigint>"), "toxicity-ratios")
+    if has_far:
+        rest = weights.filter((F.col("n") < least) if known else F.lit(True)).select("key", "pair", *_WEIGHTS)
+        met = rated.select("uid", "without", F.explode("far").alias("key")).join(rest, "key")
+        out = {x: F.element_at(F.array(*(F.col(f"{x}{v}") for v in range(len(VARIANTS)))), F.col("without") + 1) for x in "vr"}
+        more = [F.sum("v0"), F.sum(out["v"]), *(F.max(F.when(F.col("pair") == p, x)) for p in (False, True) for x in (F.col("r0"), out["r"]))]
+        names = (*sums_of, *peaks_of)
+        more = met.groupBy("uid").agg(*(x.cast("double").alias(f"far_{c}") for c, x in zip(names, more)))
+        rated = rated.drop("far").join(more, "uid", "left")
+        rated = rated.withColumns({c: F.col(c) + F.coalesce(f"far_{c}", F.lit(0.0)) if c in sums_of else F.greatest(c, f"far_{c}") for c in names})
+        rated = materialize(rated.drop(*(f"far_{c}" for c in names)), "toxicity-ratios")
+    rated = rated.withColumns({c: F.col(c) / F.col("m") for c in sums_of})
+    used = ("chars", "words", "word_peak", "pair_peak")
+    seen = rated.filter("label is not null").orderBy(F.xxhash64("id"), "uid").limit(CALIBRATION_ROWS).select(*(f"{c}_out" for c in used), "label").toPandas()
+    *slopes, intercept = calibrate(seen.drop(columns="label").to_numpy(dtype=float), (seen["label"].to_numpy() > 0).astype(float)).tolist()
+    blank = F.col("m") <= 1
+    score = 1 / (1 + F.exp(-(F.when(blank, 0.0).otherwise(sum(F.col(c) * a for c, a in zip(used, slopes))) + intercept)))
     held = F.coalesce(id_crc_mod(F.col("id"), FOLDS) == HELD_OUT, F.lit(True))
     return rated.select(F.col("id").alias(id_col), held.alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
 

@@ -54,3 +54,26 @@ def test_held_out_accuracy(spark):
     bare = tx.toxicity(d, spark.createDataFrame([], "doc_id long, toxic int")).collect()
     assert len(bare) == 603 and {x.predicted for x in bare} == {0}
     assert tx.toxicity(d.limit(0), spark.createDataFrame(labels, "doc_id long, toxic int")).collect() == []
+
+
+def test_tokens():
+    owner, word = tx.tokens(pa.array(["Ab1, é日本 ab1", "", "é.", "x"]))
+    assert owner.tolist() == [0] * 6 + [2, 2, 3]
+    assert word[0] == word[5] and word[2] == word[6] and len(set(word.tolist())) == 7
+
+
+def test_every_fold_and_pairs_of_ordinary_words_count(spark):
+    """The words of both classes are the same; only their order tells. One neutral table answers at any near bound."""
+    r = random.Random(3)
+    docs, labels = [], []
+    for i in range(500):
+        toxic = int(r.random() < 0.4)
+        pair = ["red door", "цвет дом"] if toxic else ["door red", "дом цвет"]
+        docs.append((i, " ".join(r.choices(["one", "two", "three", "four"], k=12) + [r.choice(pair)] + r.choices(["one", "two", "three"], k=5))))
+        labels.append((i, toxic))
+    d, y = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    out = {x.doc_id: x for x in tx.toxicity(d, y).collect()}
+    held = [i for i in out if out[i].held_out]
+    assert sum(out[i].predicted == labels[i][1] for i in held) > 0.95 * len(held)
+    for near in (0, 20):
+        assert all(abs(x.score - out[x.doc_id].score) < 1e-6 for x in tx.toxicity(d, y, near_keys=near).collect())
