@@ -17,6 +17,7 @@ from skyflow.llm.common import join_groups, materialize
 
 #: (verdict, host and path)
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+#: Levels of the SQL; the tree itself grows as deep as the paths.
 LEVELS = 3
 VARIABLE_FROM = 8
 SMOOTHING, THRESHOLD, CHI2 = 4.0, 0.5, 3.84
@@ -67,7 +68,8 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     Returns one row for each input row: the id, ``host``, ``path``, ``rule`` (null if none fits),
     ``verdict``, ``template``, ``purity``. Null, empty and malformed URLs have an empty host and path,
     fit no rule and are allowed. Repeated rows count each; an empty table gives an empty result; other
-    columns are ignored. Segments below level LEVELS do not refine the template.
+    columns are ignored. The tree is as deep as the
+    longest path.
     """
     url = pages[url_col].cast("string")
     host, path = split_url(url)
@@ -75,9 +77,9 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", rule).withColumn("verdict", verdict).withColumn("blocked", (F.col("verdict") == "block").cast("int"))
     segs = F.filter(F.split("path", "/"), lambda s: s != "")
-    rows = materialize(rows.withColumn("segs", F.slice(segs, 1, LEVELS)).withColumn("node", F.col("host")).withColumn("prior", F.lit(0.0)), "url-rows")
-    total = rows.count()
-    for k in range(1, LEVELS + 1):
+    rows = materialize(rows.withColumn("segs", segs).withColumn("node", F.col("host")).withColumn("prior", F.lit(0.0)), "url-rows")
+    total, deepest = rows.agg(F.count("*"), F.coalesce(F.max(F.size("segs")), F.lit(0))).first()
+    for k in range(1, deepest + 1):
         rows = materialize(_level(rows, k, total), "url-rows")
     stats = rows.groupBy("node").agg(F.count("*").alias("n"), F.count("blocked").alias("l"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("b"))
     found = join_groups(rows, stats, "node", "n", total)

@@ -25,3 +25,13 @@ def test_templates_generalise_and_follow_purity(spark):
         by.setdefault(r.template, set()).add((r.rule is None, r.verdict))
     assert by["spam.example/win/*"] == {(True, "block"), (False, "block")}
     assert by["spam.example/blog/*"] == {(True, "allow"), (False, "allow")}
+
+
+def test_branches_below_the_third_segment_are_told_apart(spark):
+    rows = [f"http://h.example/a/b/c/{kind}/x/{k}" for kind in ("spam", "news") for k in range(40)]
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    rules = [("block", f"h.example/a/b/c/spam/x/{k}") for k in range(1, 10)] + [("allow", f"h.example/a/b/c/news/x/{k}") for k in range(1, 10)]
+    got = {r.page_id: r for r in uf.filter_urls(df, rules=rules).collect()}
+    assert {got[i].template for i in range(40)} == {"h.example/~/~/~/spam/~/*"} and {got[i].template for i in range(40, 80)} == {"h.example/~/~/~/news/~/*"}
+    assert {got[i].verdict for i in range(40) if got[i].rule is None} <= {"block"} and {got[i].verdict for i in range(40, 80)} == {"allow"}
+    assert got[0].rule is None
