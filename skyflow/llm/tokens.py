@@ -13,14 +13,20 @@ from pyspark.sql import functions as F
 
 from skyflow.llm.common import text_of, tune
 
-# White space as the tokenizer's pattern knows it. A cut between a visible character and
-# white space never changes the tokens: no part of the pattern crosses such a place.
-_CHUNK = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
-_JOINS = re.compile(r"[^\S\x1c-\x1f]+[\S\x1c-\x1f]")  # such a chunk may follow any that ends visibly
-_CUT = re.compile(r"(?<=\S)(?=[ \t\n\r])")
+# White space as the tokenizer's pattern knows it. A cut between a visible character and white space
+# never changes the tokens, nor does one between a letter and an ASCII sign: no part of the pattern
+# crosses such a place. Letters here are those of old blocks, which every Unicode version agrees on.
+_LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0400-\u045f\u3042-\u3093\u30a2-\u30f3\u4e00-\u9fa5\uac00-\ud7a3"
+_SIGN = "!-/:-@\\[-`{-~\u3001\u3002\uff0c\uff01\uff1f"
+_SPACE, _INK = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
+_CHUNK = re.compile(rf"{_SPACE}*(?:[{_LETTER}]++(?:(?=[{_SIGN}])|{_INK}*)|{_INK}+)|{_SPACE}+")
+_JOINS = re.compile(rf"{_SPACE}+{_INK}")  # such a chunk may follow any that ends visibly
+_CUT = re.compile(r"(?<=\S)(?=[ \t\n\r])|(?<=[\u3042-\u3093\u30a2-\u30f3\u4e00-\u9fa5])(?=[\u3001\u3002\uff0c\uff01\uff1f])")  # never inside a special string
 PIECE_CHARS = 1 << 16
-BATCH_BYTES = 1 << 18
-CACHE_CHUNKS = 600_000
+#: UTF-8 bytes given to the tokenizer at once, and in one of the strings among them.
+BATCH_BYTES, STRING_BYTES = 1 << 18, 4096
+#: Bytes of chunks that a generation of the cache holds, each with ENTRY_BYTES of its own; longer chunks are never kept.
+CACHE_BYTES, ENTRY_BYTES, LONGEST_KEPT = 16 << 20, 16, 64
 
 
 def default_tokenizer() -> str:
@@ -50,66 +56,78 @@ def safe_pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
 class ChunkEncoder:
     """Encodes byte-balanced batches of the chunks that it has not met yet and keeps what each became.
 
-    ``ids=False`` keeps lengths only. The cache is emptied when it holds CACHE_CHUNKS entries,
-    so a worker's memory is bounded whatever the corpus.
+    ``ids=False`` keeps lengths only. Chunks of more than LONGEST_KEPT characters are encoded each time;
+    the others are kept in two generations of CACHE_BYTES each, so a worker's memory is bounded whatever
+    the corpus, and chunks in use survive when the older generation goes.
     """
 
     def __init__(self, path: str, ids: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tok, self.ids, self.seen = Tokenizer.from_file(path), ids, {}
+        self.tok, self.ids = Tokenizer.from_file(path), ids
+        self.seen, self.older, self.held = {}, {}, 0
         self.tok.no_truncation()
         self.tok.no_padding()
         self.bytes_of = _byte_lengths(self.tok)
 
-    def learn(self, chunks: Iterable[str]) -> None:
-        batches, batch, size = [], [], 0
+    def learn(self, chunks: Iterable[str]) -> dict:
+        """What each of the distinct ``chunks`` becomes."""
+        strings, own, size = [], [], 0  # a string is some chunks with their lengths
         for c in chunks:
-            if not _JOINS.match(c):
-                batches.append([c])
+            n = len(c) if c.isascii() else len(c.encode())
+            if not _JOINS.match(c) or n > STRING_BYTES:
+                strings.append((n, [c], [n]))
                 continue
-            batch.append(c)
-            size += len(c)
-            if size >= 4096:
-                batches.append(batch)
-                batch, size = [], 0
-        if batch:
-            batches.append(batch)
-        at = 0
-        while at < len(batches):
+            if not own or size >= STRING_BYTES:
+                own, lengths, size = [], [], 0
+                strings.append((0, own, lengths))
+            own.append(c)
+            lengths.append(n)
+            size += n
+        out, at = {}, 0
+        while at < len(strings):
             group, total = [], 0
-            while at < len(batches) and total < BATCH_BYTES:
-                group.append(batches[at])
-                total += sum(map(len, batches[at]))
+            while at < len(strings) and total < BATCH_BYTES:
+                group.append(strings[at])
+                total += strings[at][0] or STRING_BYTES
                 at += 1
-            for own, enc in zip(group, self.tok.encode_batch_fast(["".join(b) for b in group], add_special_tokens=False)):
+            for (_, own, lengths), enc in zip(group, self.tok.encode_batch_fast(["".join(x[1]) for x in group], add_special_tokens=False)):
+                if len(own) == 1:
+                    out[own[0]] = np.array(enc.ids, dtype="<u4").tobytes() if self.ids else len(enc)
+                    continue
                 ids = np.array(enc.ids, dtype="<u4")
-                ends = np.cumsum(np.fromiter((len(c.encode()) for c in own), np.int64, len(own)))
-                cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
+                cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(lengths)) + 1
                 if self.ids:
-                    raw, last = ids.tobytes(), 0
-                    for c, k in zip(own, (cuts * 4).tolist()):
-                        self.seen[c] = raw[last:k]
-                        last = k
+                    raw, ends = ids.tobytes(), (cuts * 4).tolist()
+                    out.update(zip(own, [raw[i:j] for i, j in zip([0, *ends], ends)]))
                 else:
-                    self.seen.update(zip(own, np.diff(cuts, prepend=0).tolist()))
+                    out.update(zip(own, np.diff(cuts, prepend=0).tolist()))
+        return out
 
-    def _chunks(self, text: str) -> list[str]:
+    def _values(self, text: str) -> Iterable:
+        """What each chunk of the text becomes, in order."""
         found = _CHUNK.findall(text)
-        seen = self.seen
-        if new := {c for c in found if c not in seen}:
-            if len(seen) + len(new) > CACHE_CHUNKS:
-                seen.clear()
-                new = set(found)
-            self.learn(new)
-        return found
+        if self.held > CACHE_BYTES:
+            self.seen, self.older, self.held = {}, self.seen, 0
+        seen, older = self.seen, self.older
+        new = set(found).difference(seen)
+        if not new:
+            return map(seen.__getitem__, found)
+        got = {c: older[c] for c in new if c in older} if older else {}
+        got.update(self.learn(new.difference(got)))
+        self.held += sum(map(len, got)) + ENTRY_BYTES * len(got)
+        if max(map(len, got)) <= LONGEST_KEPT:
+            seen.update(got)
+            return map(seen.__getitem__, found)
+        seen.update((c, v) for c, v in got.items() if len(c) <= LONGEST_KEPT)
+        return [seen[c] if c in seen else got[c] for c in found]
 
     def length(self, text: str) -> int:
-        return sum(sum(map(self.seen.__getitem__, self._chunks(p))) for p in safe_pieces(text))
+        return sum(sum(self._values(p)) for p in safe_pieces(text))
 
     def encode(self, text: str) -> bytes:
-        return b"".join(b"".join(map(self.seen.__getitem__, self._chunks(p))) for p in safe_pieces(text))
+        return b"".join(b"".join(self._values(p)) for p in safe_pieces(text))
 
 
 _ENCODERS: dict[tuple[str, bool], ChunkEncoder] = {}
@@ -128,7 +146,8 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Returns one row for each input row: the id, ``n_bytes`` (UTF-8), ``n_tokens``, ``over_limit``
     (n_tokens > limit). Null and empty texts count 0. Repeated rows stay, other columns are
     ignored, an empty table gives an empty result. Texts of any length are cut at safe places,
-    so a worker holds one piece at a time.
+    so a worker holds one piece at a time. Special strings of the tokenizer must begin with a sign and
+    hold no white space.
     """
     tune(docs.sparkSession)
     path = tokenizer or default_tokenizer()

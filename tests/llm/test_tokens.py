@@ -14,13 +14,13 @@ def tok():
 
 
 HARD = [
-    "", " ", "  ", "\n\n", "a  b \t\n x<|endoftext|>y <|endoftext|>  ", "    x y\x85 z\x1c q!", "don't  'll we're 12ab ß日本 語　a", "x" * 200_000, "ab cd " * 40_000, " \x1d\x1e a\x1f b", "Foo", "BarBaz", "!!??..", "  x    y",
+    "", " ", "  ", "\n\n", "a  b \t\n x<|endoftext|>y <|endoftext|>  ", "    x y\x85 z\x1c q!", "don't  'll we're 12ab ß日本 語　a", "x" * 200_000, "ab cd " * 40_000, " \x1d\x1e a\x1f b", "Foo", "BarBaz", "foo.bar,baz's don't'll 's't x'S", "日本。語、", "Привет,мир! ½, x²: é, e\u0301,", "a<|endoftext|>,b<|endof text|>.", "!!??..", "  x    y",
 ]
 
 
 def test_chunks_give_the_tokens_of_whole_texts(tok):
     r = random.Random(9)
-    alphabet = list("abcXYZ019 .,'!\n\t") + [" ", "  ", "é", "日", " ", " ", "<|endoftext|>", "'s", "\x1c", "\x85"]
+    alphabet = list("abcXYZ019 .,'!|<>_-\n\t½²。\u0301") + [" ", "  ", "é", "日", " ", " ", "<|endoftext|>", "'s", "\x1c", "\x85"]
     texts = HARD + ["".join(r.choices(alphabet, k=r.randint(1, 300))) for _ in range(400)]
     ids, lens = tokens.ChunkEncoder(tokens.default_tokenizer(), True), tokens.ChunkEncoder(tokens.default_tokenizer(), False)
     for t in texts:
@@ -30,12 +30,20 @@ def test_chunks_give_the_tokens_of_whole_texts(tok):
 
 
 def test_cache_is_bounded(monkeypatch, tok):
-    monkeypatch.setattr(tokens, "CACHE_CHUNKS", 50)
+    monkeypatch.setattr(tokens, "CACHE_BYTES", 2000)
     enc = tokens.ChunkEncoder(tokens.default_tokenizer(), False)
     for k in range(40):
-        t = " ".join(f"word{k}{j}" for j in range(20))
+        t = " ".join(f"word{k}{j}, common" for j in range(20))
         assert enc.length(t) == len(tok.encode(t, add_special_tokens=False).ids)
-        assert len(enc.seen) <= 70
+        assert max(len(enc.seen), len(enc.older)) <= 150
+
+
+def test_texts_without_spaces_are_not_kept(tok):
+    enc = tokens.ChunkEncoder(tokens.default_tokenizer(), True)
+    for k in range(2000):
+        t = f"{k}" + "漢字" * 60 + f"a{k}" * 90
+        assert np.frombuffer(enc.encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+    assert sum(map(len, enc.seen)) + sum(map(len, enc.older)) < 5000
 
 
 def test_counts(spark, tok):
