@@ -15,7 +15,6 @@ from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -154,33 +153,34 @@ def _shard_of(digest, shards: int):
 def _apply(changes: DataFrame, id_type: str, label: str) -> DataFrame:
     """Run each shard's stored keys (kind 0), deletions (1) and insertions (2) through its table."""
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["kind"], kind="stable")
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by("kind")  # a stable sort
         keys: list[bytes | None] = []
         kept: list[tuple] = []
-        table = CuckooTable(keys)
-        for kind, d, row, i, n, c in zip(pdf["kind"], pdf["digest"], pdf["keep_row"], pdf["keep_id"], pdf["keep_len"], pdf["group_size"]):
+        cuckoo = CuckooTable(keys)
+        for kind, d, row, i, n, c in zip(*(table[x].to_pylist() for x in ("kind", "digest", "keep_row", "keep_id", "keep_len", "group_size"))):
             if kind == 1:
-                if (place := table.delete(bytes(d))) >= 0:
+                if (place := cuckoo.delete(d)) >= 0:
                     keys[place] = None
                 continue
-            d, i = bytes(d), None if pd.isna(i) else i
-            new, s = (n, i, row), table.find(d)
+            new, s = (n, i, row), cuckoo.find(d)
             if s < 0:
                 keys.append(d)
                 kept.append((*new, c))
-                table.insert(len(keys) - 1)
+                cuckoo.insert(len(keys) - 1)
             else:
-                old = kept[table.places[s]]
-                kept[table.places[s]] = (*(new if _better(new, old) else old[:3]), old[3] + c)
-        live = [(d, k) for d, k in zip(keys, kept) if d is not None]
-        out = pd.DataFrame({
-            "shard": key[0], "kind": 0, "digest": [d for d, _ in live], "keep_row": [k[2] for _, k in live], "keep_id": pd.Series([k[1] for _, k in live], dtype=object),
-            "keep_len": [k[0] for _, k in live], "group_size": [k[3] for _, k in live], "marks": None, "grown": 0,
-        })
-        return pd.concat([out, pd.DataFrame({"shard": [key[0]], "kind": [3], "digest": [None], "keep_row": [0], "keep_id": pd.Series([None], dtype=object), "keep_len": [0], "group_size": [0], "marks": [table.marks.tobytes()], "grown": [table.grown]})], ignore_index=True)
-
-    return materialize(changes.groupBy("shard").applyInPandas(run, _ENTRY.format(id=id_type)), label)
+                old = kept[cuckoo.places[s]]
+                kept[cuckoo.places[s]] = (*(new if _better(new, old) else old[:3]), old[3] + c)
+        live = [(d, *k) for d, k in zip(keys, kept) if d is not None]
+        n = len(live)
+        digest, length, ids, row, copies = zip(*live) if live else [()] * 5
+        marks = [None] * n + [cuckoo.marks.tobytes()]
+        cols = [[key[0].as_py()] * (n + 1), [0] * n + [3], [*digest, None], [*row, 0], [*ids, None], [*length, 0], [*copies, 0], marks, [0] * n + [cuckoo.grown]]
+        kinds = [pa.int32(), pa.int32(), pa.binary(), pa.int64(), table.schema.field("keep_id").type, pa.int64(), pa.int64(), pa.binary(), pa.int32()]
+        names = ["shard", "kind", "digest", "keep_row", "keep_id", "keep_len", "group_size", "marks", "grown"]
+        return pa.table([pa.array(c, k) for c, k in zip(cols, kinds)], names)
+
+    return materialize(changes.groupBy("shard").applyInArrow(run, _ENTRY.format(id=id_type)), label)
 
 
 def _index(entries: DataFrame, shards: int) -> DedupIndex:

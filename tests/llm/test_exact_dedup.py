@@ -46,6 +46,14 @@ def test_against_brute_force(spark):
     assert ed.exact_dedup(df.limit(0)).collect() == []
 
 
+def test_null_ids_leave_large_ids_whole(spark):
+    big = 2**53
+    rows = [(big + k, f"t{k // 2}") for k in range(60)] + [(None, "a"), (None, "b")]
+    got = ed.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x.keep_id for x in got} == {big + k for k in range(0, 60, 2)} | {None}
+    assert all(x.doc_id == x.keep_id for x in got if x.kept)
+
+
 def test_index_insert_and_delete(spark):
     def rows(*texts):
         return ed.digests(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text")
