@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from skyflow.llm.common import shingle_sets, text_of, tune
 
@@ -104,6 +105,7 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     tune(spark)
     kinds = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
     texts = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
+    item_type = to_arrow_type(items.schema[item_col].dataType)
     schema = f"id {kinds[0]}, item {kinds[1]}, n_shingles bigint, overlap bigint"
     out = spark.createDataFrame([], schema)
     for block in _blocks(items, item_col, "text"):
@@ -114,7 +116,7 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
             for b in batches:
                 found = [(i, *hit) for i, doc, text in zip(b.column(0).to_pylist(), shingle_sets(b.column(1), width), b.column(1)) if len(doc) for hit in index.search(doc, _text(text))]
                 cols = list(zip(*found)) if found else [[], [], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], b.column(0).type), pa.array(cols[1]) if found else pa.array([], pa.null()).cast(pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())], ["id", "item", "n_shingles", "overlap"])
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0], b.column(0).type), pa.array(cols[1], item_type), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())], ["id", "item", "n_shingles", "overlap"])
 
         out = out.unionByName(texts.mapInArrow(run, schema))
     return out.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "n_shingles", "overlap", (F.col("overlap") / F.col("n_shingles")).alias("containment"))

@@ -31,3 +31,12 @@ def test_against_brute_force(spark):
     got = [(x.doc_id, x.item_id, x.n_shingles, x.overlap) for x in dc.contained_items(d, b).collect()]
     assert sorted(got) == sorted(want) and len(want) > 30
     assert dc.contained_items(d, b.limit(0)).collect() == [] == dc.contained_items(d.limit(0), b).collect()
+
+
+def test_ids_of_other_types_and_repeated_rows(spark):
+    words = " ".join(f"w{i}" for i in range(30))
+    d = spark.createDataFrame([(1, words), (1, words), (None, words + " x" * 50_000), (2, "")], "doc_id int, text string")
+    for kind, ids in (("int", [7, 8]), ("string", ["a", "b"]), ("smallint", [7, 8])):
+        b = spark.createDataFrame(list(zip(ids, [words, "other"])), f"item_id {kind}, text string")
+        got = dc.contained_items(d, b).collect()
+        assert sorted((x.doc_id or 0, x.item_id) for x in got) == [(0, ids[0]), (1, ids[0]), (1, ids[0])]
