@@ -1,34 +1,35 @@
 """HTML extraction: element subtrees that recur on many pages of a host are templates and are deleted.
 
 Pages are parsed in Arrow functions; every element outside the article gets a hash of its subtree (tag,
-attributes without addresses, text, children). Spark counts the pages of each (host, hash). A subtree
-recurring on many pages of its host goes, as do elements whose tag, role or class says menu, header,
-footer, sidebar, notice, advert, form, script, style or reader comments. What is left is decoded,
-white space becomes one space, and the blocks are joined by one space in page order.
+attributes without addresses, text, children). Spark counts the pages of each (host, hash). A subtree on
+MIN_PAGES pages of its host or more goes, however many pages the host has, as do elements whose tag, role
+or class says menu, header, footer, sidebar, notice, advert, form, script, style or reader comments. What
+is left is decoded, white space (of ASCII; a no-break or wide space is a character) becomes one space, and
+the blocks are joined by one space in page order.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as _html
 import re
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyflow.llm.common import text_of, tune
+from skyflow.llm.common import join_groups, materialize, text_of, tune
 from skyflow.llm.url_filter import split_url
 
-MIN_PAGES, MIN_SHARE = 5, 0.3
-#: Elements nested deeper are hung on the element at this depth; no text is lost.
-MAX_NESTING = 200
+MIN_PAGES = 5
+#: Templates up to which their list is broadcast (8 bytes each); longer lists are joined by shuffle, hot hosts apart.
+BROADCAST_TEMPLATES = 1_000_000
 
 # Fixed values of HTML.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style noscript template textarea title svg math iframe object".split())
-_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
+_INLINE = frozenset("a abbr acronym area b bdi bdo big cite code data del dfn em embed font i img input ins kbd label mark q s samp small span strike strong source sub sup time track tt u var wbr".split())
 _DROP_TAGS = frozenset("head nav footer aside form button select option dialog menu canvas audio video".split()) | _RAW
 _DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 _MAIN = frozenset(("article", "main"))
@@ -38,23 +39,39 @@ _DROP_WORDS = frozenset(
     "overlay newsletter subscribe subscription signup login search share sharing social related recommended comment comments disqus pagination pager toolbar widget skip".split()
 )
 
-_PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
-_ATTR = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+#: In a class or id these words behind a word of _DROP_WORDS name its box; the last word says what the element is.
+_BOX_WORDS = frozenset("area bar block body bottom box button buttons col column container content group holder inner item items left link links list message outer pane panel region right row section slot strip text top unit wrap wrapper".split())
+_MODIFIERS = frozenset("has is no non not with without".split())
+
+# a quote counts only behind an equals sign; anywhere else it is a character of the tag
+_PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+_ATTR = re.compile(r"([^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 _NAMES = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("attrs", "inside", "kids", "tag")
+    """An element; ``inside`` an article, or one that ``holds`` an article."""
+
+    __slots__ = ("attrs", "holds", "inside", "kids", "tag")
 
     def __init__(self, tag: str, attrs: dict[str, str], inside: bool):
-        self.tag, self.attrs, self.inside, self.kids = tag, attrs, inside, []
+        self.tag, self.attrs, self.inside, self.holds, self.kids = tag, attrs, inside, False, []
 
 
 def parse(page: str) -> Node:
-    """A tree of elements and texts; end tags that match nothing are ignored, open elements end with the page."""
+    """A tree of elements and texts at any depth; end tags that match nothing are ignored, open elements end with the page."""
     root = Node("", {}, False)
-    stack, at = [root], 0
+    stack, at, marked = [root], 0, 0  # the first ``marked`` of the stack hold an article
+    is_open: dict[str, int] = {}
+
+    def close(k: int) -> None:
+        nonlocal marked
+        for n in stack[k:]:
+            is_open[n.tag] -= 1
+        del stack[k:]
+        marked = min(marked, k)
+
     while m := _PIECE.search(page, at):
         if m.start() > at:
             stack[-1].kids.append(page[at : m.start()])
@@ -63,68 +80,75 @@ def parse(page: str) -> Node:
         if not tag:
             continue
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            if is_open.get(tag):
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
             continue
-        if tag in _CLOSES_P or tag == "li":
-            same = ("li",) if tag == "li" else ("p",)
+        same = "li" if tag == "li" else "p"
+        if (tag in _CLOSES_P or tag == "li") and is_open.get(same):
             for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in same:
-                    del stack[k:]
+                if stack[k].tag == same:
+                    close(k)
                     break
                 if stack[k].tag not in _INLINE and stack[k].tag != "p":
                     break
         attrs = {a[1].lower(): next((x for x in a.groups()[1:] if x is not None), "") for a in _ATTR.finditer(m[3])} if m[3] else {}
         node = Node(tag, attrs, stack[-1].inside or tag in _MAIN)
+        if tag in _MAIN:
+            for n in stack[marked:]:
+                n.holds = True
+            marked = len(stack)
         stack[-1].kids.append(node)
         if tag in _RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             node.kids.append(page[at : end.start() if end else len(page)])
             at = end.end() if end else len(page)
-        elif tag not in _VOID and not m[3].endswith("/") and len(stack) < MAX_NESTING:
+        elif tag not in _VOID and not m[3].endswith("/"):
             stack.append(node)
+            is_open[tag] = is_open.get(tag, 0) + 1
     if at < len(page):
         stack[-1].kids.append(page[at:])
     return root
 
 
+def _names_furniture(name: str) -> bool:
+    """Whether a class or id names furniture: its last word does, or an earlier one before words for a box."""
+    words = _NAMES.findall(name)
+    if not words or words[0] in _MODIFIERS:
+        return False
+    while len(words) > 1 and words[-1] in _BOX_WORDS:
+        words.pop()
+    return words[-1] in _DROP_WORDS
+
+
 def is_furniture(node: Node) -> bool:
     """Whether tag, role, class or id say that this is not the article."""
     if node.tag in _DROP_TAGS or node.tag == "header" and not node.inside or node.attrs.get("role", "").lower() in _DROP_ROLES or "hidden" in node.attrs:
         return True
-    if node.tag in _MAIN or node.tag in ("body", "html"):
+    if node.holds or node.tag in _MAIN or node.tag in ("body", "html"):
         return False
-    return any(w in _DROP_WORDS for w in _NAMES.findall(f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}".lower()))
+    return any(_names_furniture(n) for n in f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}".lower().split())
 
 
 def subtree_hashes(root: Node) -> list[tuple[Node, int]]:
     """Every element that could be a template, outside the article and not around it, with its subtree's hash."""
     out: list[tuple[Node, int]] = []
-    _hash(root, out)
+    hashes: dict[int, int] = {}
+    todo = [(root, False)]
+    while todo:
+        node, done = todo.pop()
+        if not done:
+            todo.append((node, True))
+            todo.extend((k, False) for k in node.kids if not isinstance(k, str))
+            continue
+        parts = [node.tag, *(f"{k}={v}" for k, v in sorted(node.attrs.items()) if k in ("class", "id", "role"))]
+        parts += [_SPACES.sub(" ", k) if isinstance(k, str) else str(hashes.pop(id(k))) for k in node.kids]
+        h = int.from_bytes(hashlib.blake2b("\x1f".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+        hashes[id(node)] = h
+        if node.tag and not node.inside and node.tag not in ("html", "body") and node.tag not in _RAW and not node.holds:
+            out.append((node, h))
     return out
 
 
-def _hash(node: Node, out: list[tuple[Node, int]]) -> tuple[bool, int]:
-    """Whether the subtree holds an article, and its hash."""
-    parts = [node.tag, *(f"{k}={v}" for k, v in sorted(node.attrs.items()) if k in ("class", "id", "role"))]
-    holds = False
-    for kid in node.kids:
-        if isinstance(kid, str):
-            parts.append(_SPACES.sub(" ", kid))
-        else:
-            inner, h = _hash(kid, out)
-            holds |= inner
-            parts.append(str(h))
-    text = "\x1f".join(parts).encode("utf-8", "surrogatepass")
-    h = zlib.crc32(text) << 32 | zlib.adler32(text)
-    h -= 1 << 64 if h >= 1 << 63 else 0
-    if node.tag and not node.inside and node.tag not in ("html", "body") and node.tag not in _RAW and not holds:
-        out.append((node, h))
-    return holds or node.tag in _MAIN, h
-
-
 def extract(root: Node, gone: set[int]) -> str:
     """Text of what is neither furniture nor template (``gone``: ids of template nodes)."""
     blocks, line = [], []
@@ -156,52 +180,56 @@ def _with_host(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> Da
     return pages.select(pages[id_col].alias("id"), pages[url_col].alias("url"), split_url(pages[url_col].cast("string"))[0].alias("host"), text_of(pages, html_col).alias("html"))
 
 
-def template_hashes(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, hash) of subtrees on at least ``min_pages`` pages and ``min_share`` of the pages of their host."""
+def template_hashes(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, hash) of subtrees on at least ``min_pages`` pages of their host."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hosts, hashes, n = [], [], []
             seen: dict[tuple[str, int], int] = {}
             for host, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for h in {h for _, h in subtree_hashes(parse(page))} | {0}:  # 0 counts the pages
+                for h in {h for _, h in subtree_hashes(parse(page))}:
                     seen[host, h] = seen.get((host, h), 0) + 1
-            for (host, h), k in seen.items():
-                hosts.append(host)
-                hashes.append(h)
-                n.append(k)
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(n, pa.int64())], ["host", "hash", "n"])
+            hosts, hashes = zip(*seen) if seen else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(seen.values(), pa.int64())], ["host", "hash", "n"])
 
     counts = pages.select("host", "html").mapInArrow(run, "host string, hash bigint, n bigint").groupBy("host", "hash").agg(F.sum("n").alias("n"))
-    total = counts.filter("hash = 0").select("host", F.col("n").alias("pages"))
-    many = counts.filter((F.col("hash") != 0) & (F.col("n") >= min_pages))
-    return many.join(total, "host").filter(F.col("n") >= min_share * F.col("pages")).select("host", "hash")
+    return counts.filter(F.col("n") >= min_pages).select("host", "hash")
+
+
+def _with_templates(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows with the templates of their host. Pages move only where the list of all templates is too long to broadcast."""
+    by_host = materialize(known.groupBy("host").agg(F.collect_set("hash").alias("templates")), "html-templates")
+    if (by_host.agg(F.sum(F.size("templates"))).first()[0] or 0) <= BROADCAST_TEMPLATES:
+        return rows.join(F.broadcast(by_host), "host", "left")
+    sizes = materialize(rows.groupBy("host").agg(F.count("*").alias("pages")), "html-hosts")
+    every = sizes.join(by_host, "host", "left")
+    return join_groups(rows, every, "host", "pages", sizes.agg(F.sum("pages")).first()[0])
 
 
-def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
     """The main text of every page.
 
     Returns one row for each input row: the id, the url, ``text``, ``n_chars`` (code points). Null and
-    empty pages give an empty text; a null url counts as a host of its own. Repeated rows stay; a page cut
-    off anywhere is parsed as far as it goes. Template removal never touches what is inside an article
-    element. An empty table gives an empty result; other columns are ignored.
+    empty pages give an empty text; pages without a host (null url) are counted as one host. Repeated rows
+    stay and count each; a page cut off anywhere is parsed as far as it goes. Template removal never
+    touches what is inside an article element, and a page that it would leave empty, such as one of many
+    copies of a page, keeps its text. An empty table gives an empty result; other columns are
+    ignored.
     """
     tune(pages.sparkSession)
     rows = _with_host(pages, id_col, url_col, html_col)
-    # templates of one host: at most subtrees-per-page / min_share, so the list is as long as a few pages
-    known = template_hashes(rows).groupBy("host").agg(F.collect_set("hash").alias("templates"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             text = []
             for page, templates in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                root = parse(page)
-                known = set(templates or ())
-                text.append(extract(root, {id(n) for n, h in subtree_hashes(root) if h in known} if known else known))
+                root, known = parse(page), set(templates or ())
+                gone = {id(n) for n, h in subtree_hashes(root) if h in known} if known else set()
+                text.append(extract(root, gone) or (extract(root, set()) if gone else ""))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())], ["id", "url", "text", "n_chars"])
 
     kind = pages.schema[id_col].dataType.simpleString()
-    out = rows.join(known, "host", "left").select("id", "url", "html", "templates").mapInArrow(run, f"id {kind}, url string, text string, n_chars bigint")
+    out = _with_templates(rows, template_hashes(rows, min_pages)).select("id", "url", "html", "templates").mapInArrow(run, f"id {kind}, url string, text string, n_chars bigint")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_chars")
 
 

@@ -18,6 +18,31 @@ def test_small_pages():
     assert text("<div>" * 5000 + "deep") == "deep"
 
 
+def test_quotes_depth_inline_and_class_words():
+    assert text("<p title=don't>Hello there</p>") == "Hello there"
+    assert text("<p title=it's>Lost text</p><p>Bob's house</p><p>end</p>") == "Lost text Bob's house end"
+    assert text("<p title='a>b' data-x=\"c>d\">x</p><p title=\"open>y</p>") == "x y"
+    assert text("super<wbr>cali<img src=x>fragi") == "supercalifragi"
+    for name in ("search-results-article", "story with-comments", "related-work", "skip-intro", "no-sidebar", "adventure"):
+        assert text(f"<div class='{name}'>stays</div>") == "stays", name
+    for name in ("main-sidebar", "comment-list", "x site-footer", "ad-slot", "share_buttons", "cookie-banner-wrapper"):
+        assert text(f"<div class='{name}'>goes</div>") == "", name
+    assert text("<div class=page-menu>n<article>stays</article></div>") == "n stays" and text("<p hidden>h</p><p>v</p>") == "v"
+    assert text("<div>" * 205 + "<nav>MENU</nav>ok") == "ok" and text("<article>" + "<div>" * 210 + "<aside>AD</aside>ok") == "ok"
+    deep = hx.parse("<div>" * 20_000 + "x" + "</b>" * 20_000)
+    assert len(hx.subtree_hashes(deep)) == 20_000
+
+
+def test_templates_of_a_large_host_and_either_join(spark, monkeypatch):
+    rows = [(i, f"http://big.a/{i}", f"<div>{'<ul><li>Menu of a section</ul>' if i % 20 == 0 else ''}<p>Own text {i}</p></div>") for i in range(300)]
+    rows += [(1000 + i, f"http://h{i}.b/", f"<p>Page {i}</p>") for i in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {i: f"Own text {i}" for i in range(300)} | {1000 + i: f"Page {i}" for i in range(40)}
+    assert {r.page_id: r.text for r in hx.extract_text(df).collect()} == want
+    monkeypatch.setattr(hx, "BROADCAST_TEMPLATES", 0)
+    assert {r.page_id: r.text for r in hx.extract_text(df).collect()} == want
+
+
 def test_templates_go_and_articles_stay(spark):
     rows = [(i, "http://a.b/x", f"<div><div class=x>Same box <a href=/{i}>go</a></div><p>Body {i}</p></div>", "t") for i in range(8)]
     rows += [(20, "http://c.d/", "<div><div class=x>Same box <a>go</a></div><p>Body</p></div>", "t"), (21, None, None, None), (22, "http://a.b/", "", None)]
