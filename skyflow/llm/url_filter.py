@@ -1,16 +1,18 @@
 """URL filters: rules, and a path-template tree per host for what no rule fits. DataFrame functions only.
 
 The tree grows level by level. Below a node, a path segment that looks like a number, or whose siblings
-are mostly different from each other, becomes a wildcard. Labelled siblings whose share of blocked pages
-does not differ significantly from all their labelled siblings together are merged into one branch. The
-pages that a rule fits are the labelled ones. A template is rejected when its purity, the share of
-blocked among its labelled pages smoothed towards the share among all pages of its parent, reaches the
-threshold; so a template without labels follows its parent, and a host without any is allowed.
+are mostly different from each other, becomes a wildcard. The other labelled siblings are put in order of
+their share of blocked pages, in BINS steps, and neighbours whose shares do not differ significantly from
+each other are merged into one branch; siblings without labels form one branch too. The pages that a
+rule fits are the labelled ones. A template is rejected when its purity, the share of blocked among its
+labelled pages, reaches the threshold. Purity is smoothed towards that of its parent, which is smoothed
+in the same way; so a template without labels follows its nearest labelled ancestor, and a host without
+any is allowed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyflow.llm.common import join_groups, materialize
@@ -20,6 +22,7 @@ RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 #: Levels of the SQL; the tree itself grows as deep as the paths.
 LEVELS = 3
 VARIABLE_FROM = 8
+BINS = 20
 SMOOTHING, THRESHOLD, CHI2 = 4.0, 0.5, 3.84
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NUMBER = r"^[0-9]+(\.[a-z]+)?$"
@@ -46,20 +49,36 @@ def rule_of(host: Column, path: Column, rules) -> tuple[Column, Column]:
     return (none, none) if rule is None else (rule.otherwise(none), verdict.otherwise(none))
 
 
+def _branches(kids: DataFrame) -> DataFrame:
+    """For each node, the branch of each step of shares among its labelled children: at most BINS + 1 rows a node."""
+    named = kids.filter((F.col("l") > 0) & ~F.col("seg").rlike(NUMBER))
+    bins = named.groupBy("node", F.floor(BINS * F.col("b") / F.col("l") + 0.5).cast("int").alias("bin")).agg(F.sum("l").alias("l"), F.sum("b").alias("b"), F.count("*").alias("segs"))
+    in_order = Window.partitionBy("node").orderBy("bin")
+    bins = bins.withColumn("l0", F.lag("l").over(in_order)).withColumn("b0", F.lag("b").over(in_order))
+    p = (F.col("b") + F.col("b0")) / (F.col("l") + F.col("l0"))
+    differs = F.pow(F.col("b") / F.col("l") - F.col("b0") / F.col("l0"), 2) > CHI2 * p * (1 - p) * (1 / F.col("l") + 1 / F.col("l0")) + 1e-9
+    bins = bins.withColumn("branch", F.sum(F.coalesce(differs.cast("int"), F.lit(0))).over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    bins = bins.withColumn("segs", F.sum("segs").over(Window.partitionBy("node", "branch")))
+    entry = F.struct(F.col("bin"), F.struct(F.col("branch"), F.col("segs")))
+    return bins.groupBy("node").agg(F.map_from_entries(F.collect_list(entry)).alias("branches"))
+
+
 def _level(rows: DataFrame, k: int, total: int) -> DataFrame:
     """Move rows that have a ``k``-th segment to their child node."""
     going = rows.filter(F.size("segs") >= k).withColumn("seg", F.element_at("segs", k)).withColumn("key", F.concat_ws("\n", "node", "seg"))
     stays = rows.filter(F.size("segs") < k)
-    kids = going.groupBy("key").agg(F.first("node").alias("node"), F.first("seg").alias("seg"), F.count("*").alias("n"), F.count("blocked").alias("l"), F.sum("blocked").alias("b")).withColumn("b", F.coalesce("b", F.lit(0)))
+    kids = going.groupBy("key").agg(F.first("node").alias("node"), F.first("seg").alias("seg"), F.first("prior").alias("prior"), F.count("*").alias("n"), F.count("blocked").alias("l"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("b"))
+    kids = materialize(kids, "url-kids")
     homes = kids.groupBy("node").agg(F.count("*").alias("kids"), F.sum("n").alias("pn"), F.sum("l").alias("pl"), F.sum("b").alias("pb"))
-    both = kids.join(homes, "node")
+    both = join_groups(kids, homes.join(_branches(kids), "node", "left"), "node", "kids", kids.count())
     wild = F.col("seg").rlike(NUMBER) | ((F.col("kids") >= VARIABLE_FROM) & (2 * F.col("kids") >= F.col("pn")))
-    p = F.col("pb") / F.col("pl")
-    like = (F.col("l") > 0) & (F.pow(F.col("b") - F.col("l") * p, 2) <= CHI2 * F.col("l") * p * (1 - p) + 1e-9)
-    child = F.concat_ws("/", "node", F.when(wild, "*").when(like, "~").otherwise(F.col("seg")))
-    moved = both.select("key", "n", child.alias("child"), (F.col("pb") / F.col("pn")).alias("prior"))
-    found = join_groups(going.drop("node", "prior"), moved.withColumnRenamed("n", "n_key"), "key", "n_key", total)
-    return stays.unionByName(found.select("page", "host", "path", "rule", "verdict", "blocked", "segs", F.col("child").alias("node"), F.col("prior").alias("prior")))
+    branch = F.col("branches")[F.floor(BINS * F.col("b") / F.col("l") + 0.5).cast("int")]
+    alone = F.when(F.col("l") > 0, branch["segs"] == 1).otherwise(F.col("kids") == 1)
+    own = F.when(wild, "*").when(alone, F.col("seg")).when(F.col("l") > 0, F.concat(F.lit("~"), branch["branch"].cast("string"))).otherwise("~")
+    prior = (F.col("pb") + SMOOTHING * F.col("prior")) / (F.col("pl") + SMOOTHING)
+    moved = both.select("key", F.col("n").alias("n_key"), F.concat_ws("/", "node", own).alias("child"), prior.alias("prior"))
+    found = join_groups(going.drop("node", "prior"), moved, "key", "n_key", total)
+    return stays.unionByName(found.select("page", "host", "path", "rule", "verdict", "blocked", "segs", F.col("child").alias("node"), "prior"))
 
 
 def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES) -> DataFrame:
@@ -102,10 +121,15 @@ hp AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER
 r0 AS (SELECT *, {rule} AS rule, {verdict} AS verdict, list_filter(string_split(path, '/'), lambda s: s <> '') AS segs, host AS node, 0.0::double AS prior FROM hp)"""
     for k in range(1, LEVELS + 1):
         sql += f""",
-k{k} AS (SELECT node, segs[{k}] AS seg, count(*) AS n, count(verdict) AS l, count(*) FILTER (verdict = 'block') AS b FROM r{k - 1} WHERE len(segs) >= {k} GROUP BY ALL),
+k{k} AS (SELECT node, segs[{k}] AS seg, regexp_matches(seg, '{NUMBER}') AS numeral, any_value(prior) AS prior, count(*) AS n, count(verdict) AS l, count(*) FILTER (verdict = 'block') AS b,
+  CASE WHEN l > 0 THEN floor({BINS} * b / l + 0.5)::int END AS bin FROM r{k - 1} WHERE len(segs) >= {k} GROUP BY node, seg),
 h{k} AS (SELECT node, count(*) AS kids, sum(n) AS pn, sum(l) AS pl, sum(b) AS pb FROM k{k} GROUP BY node),
-m{k} AS (SELECT node, seg, node || '/' || CASE WHEN regexp_matches(seg, '{NUMBER}') OR (kids >= {VARIABLE_FROM} AND 2 * kids >= pn) THEN '*'
-  WHEN l > 0 AND pow(b - l * (pb / pl), 2) <= {CHI2} * l * (pb / pl) * (1 - pb / pl) + 1e-9 THEN '~' ELSE seg END AS child, pb / pn AS p FROM k{k} JOIN h{k} USING (node)),
+b{k} AS (SELECT *, lag(l) OVER w AS l0, lag(b) OVER w AS b0, (b + b0) / (l + l0) AS p
+  FROM (SELECT node, bin, sum(l) AS l, sum(b) AS b, count(*) AS segs FROM k{k} WHERE l > 0 AND NOT numeral GROUP BY node, bin) WINDOW w AS (PARTITION BY node ORDER BY bin)),
+g{k} AS (SELECT node, bin, segs, sum(CASE WHEN pow(b / l - b0 / l0, 2) > {CHI2} * p * (1 - p) * (1 / l + 1 / l0) + 1e-9 THEN 1 ELSE 0 END) OVER (PARTITION BY node ORDER BY bin) AS branch FROM b{k}),
+e{k} AS (SELECT node, bin, branch, sum(segs) OVER (PARTITION BY node, branch) AS segs FROM g{k}),
+m{k} AS (SELECT node, seg, node || '/' || CASE WHEN numeral OR (kids >= {VARIABLE_FROM} AND 2 * kids >= pn) THEN '*' WHEN CASE WHEN l > 0 THEN e.segs = 1 ELSE kids = 1 END THEN seg
+  WHEN l > 0 THEN '~' || e.branch::int ELSE '~' END AS child, (pb + {SMOOTHING} * prior) / (pl + {SMOOTHING}) AS p FROM k{k} JOIN h{k} USING (node) LEFT JOIN e{k} e USING (node, bin)),
 r{k} AS (SELECT page_id, host, path, rule, verdict, segs, coalesce(child, r.node) AS node, coalesce(p, prior) AS prior
   FROM r{k - 1} r LEFT JOIN m{k} m ON r.node = m.node AND segs[{k}] = m.seg)"""
     return sql + f""",

@@ -32,6 +32,23 @@ def test_branches_below_the_third_segment_are_told_apart(spark):
     df = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
     rules = [("block", f"h.example/a/b/c/spam/x/{k}") for k in range(1, 10)] + [("allow", f"h.example/a/b/c/news/x/{k}") for k in range(1, 10)]
     got = {r.page_id: r for r in uf.filter_urls(df, rules=rules).collect()}
-    assert {got[i].template for i in range(40)} == {"h.example/~/~/~/spam/~/*"} and {got[i].template for i in range(40, 80)} == {"h.example/~/~/~/news/~/*"}
+    assert {got[i].template for i in range(40)} == {"h.example/a/b/c/spam/x/*"} and {got[i].template for i in range(40, 80)} == {"h.example/a/b/c/news/x/*"}
     assert {got[i].verdict for i in range(40) if got[i].rule is None} <= {"block"} and {got[i].verdict for i in range(40, 80)} == {"allow"}
     assert got[0].rule is None
+
+
+def test_similar_branches_merge_and_unlabelled_ones_follow_the_nearest_label(spark):
+    rows, rules = [], []
+    for name, verdict in (("cheap", "block"), ("deals", "block"), ("blog", "allow"), ("docs", "allow")):
+        rows += [f"http://h.example/{name}/p/{k}" for k in range(30)]
+        rules += [(verdict, f"h.example/{name}/p/{k}") for k in range(20, 30)]
+    rows += ["http://h.example/other/q", "http://h.example/more", "http://bad.example/x/y/z/1", "http://bad.example/x/w/2"]
+    rows += [f"http://bad.example/x/v/{k}" for k in range(20)]
+    rules += [("block", f"bad.example/x/v/{k}") for k in range(20)]
+    d = spark.createDataFrame([*enumerate(rows), (None, None), (3, rows[3]), (3, rows[3])], "page_id long, url string")
+    got = uf.filter_urls(d, rules=rules).collect()
+    of = {rows[r.page_id]: r for r in got if r.page_id is not None}
+    assert len(got) == len(rows) + 3
+    assert of["http://h.example/cheap/p/1"].template == of["http://h.example/deals/p/1"].template == "h.example/~1/p/*" and of["http://h.example/blog/p/1"].template == "h.example/~0/p/*"
+    assert {of[f"http://h.example/{n}/p/1"].verdict for n in ("cheap", "deals")} == {"block"} and {of[f"http://h.example/{n}/p/1"].verdict for n in ("blog", "docs")} == {"allow"}
+    assert of["http://h.example/other/q"].template.startswith("h.example/~/") and of["http://bad.example/x/y/z/1"].verdict == of["http://bad.example/x/w/2"].verdict == "block"
