@@ -1,9 +1,14 @@
 """Toxicity: class-conditional Kneser-Ney models over words and over the characters of words.
 
-Word model: bigrams and words are counted in Spark by key, so the table grows with the labelled texts. A
-word's own probability comes from continuation counts of its class, backed off to those of both classes.
-The log-likelihood ratio of a text is a sum of one weight for each bigram and each word in it. Weights of
-the commonest keys go to the workers; all others are joined by key, with the same result.
+Word model: words are counted in Spark by key, so the table grows with the labelled texts. A word is
+frequent when it makes up FREQUENT of their words or more, so there are at most 1 / FREQUENT such words;
+all others are one unknown word to the bigrams, which are counted by key too. A frequent word's own
+probability comes from continuation counts of its class, over all bigrams, backed off to those of both
+classes; a rare word's is that of the unknown word times its share among the rare words of its class,
+backed off to its share in both classes. Bigrams and rare words that occur once, or make up less than
+OWN of all, have no entry of their own: they are discounted fully and left to the backoff, which keeps
+their mass. The log-likelihood ratio of a text is a sum of one weight for each bigram and each word in
+it; entries are at most 1 / OWN words and 1 / OWN bigrams, so the workers hold them all.
 
 Character model: characters fall into 48 symbols, so a table over all 4-grams has 48^4 cells whatever the
 corpus; it rates words never seen. Orders 4 and 3 have counts of their own for toxic and for ordinary
@@ -25,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyflow.llm.common import hash_spans, id_crc_mod, join_groups, materialize, string_buffers, text_of, tune, word_spans
+from skyflow.llm.common import hash_spans, id_crc_mod, materialize, mix64, string_buffers, text_of, tune, word_spans
 
 SYMBOLS, ORDER, DISCOUNT = 48, 4, 0.75
 START, END, DIGIT, OTHER = 0, 1, 28, 31
@@ -33,12 +38,14 @@ FOLDS, HELD_OUT, FIRST_HALF = 5, 0, 2
 #: Labelled training rows used to fit five numbers; chosen by hash, so independent of order.
 CALIBRATION_ROWS = 50_000
 BROADCAST_LABELS = 1_000_000
-#: At most so many keys, the commonest, are weighed by the workers themselves.
-NEAR_KEYS = 500_000
+#: Least share of a frequent word among all words.
+FREQUENT = 5e-6
+#: Least share of a rare word among all words, and of a bigram among all bigrams, for an entry of its own.
+OWN = 1e-6
 #: Counts of all training folds, and without either half of them.
 VARIANTS = ((0, 1), (1,), (0,))
-_FIRST, _LAST = np.int64(1), np.int64(2)
-_PAIR = "((shiftleft(u, 1) | shiftrightunsigned(u, 63)) ^ w)"
+#: Word numbers that stand for a rare word and the ends of a text; frequent words follow.
+_RARE, _FIRST, _LAST, _OWN = 0, 1, 2, 3
 _SEGMENT = 1 << 18
 
 
@@ -54,7 +61,7 @@ def _codes() -> np.ndarray:
 
 
 _CODE = _codes()
-_WEIGHTS = ("v0", "v1", "v2", "r0", "r1", "r2")
+_WEIGHTS = ("v0", "v1", "v2")
 _COUNTS = ("c00", "c01", "c10", "c11")
 #: Bytes that make up words: ASCII letters and digits, and characters of two bytes.
 _WORD = np.zeros(256, dtype=bool)
@@ -94,29 +101,38 @@ def grams(col: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         lo = hi
 
 
-def log_ratio(ordinary: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """log p(last symbol | context, toxic) - the same for ordinary, for every 4-gram."""
+def ratio_parts(ordinary: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What ``log_ratio`` needs: log ratios of order 3, those of backing off to it, and the 4-grams that occur with theirs."""
     s, d = SYMBOLS, DISCOUNT
     counts = [x.reshape(s, s, s, s).astype(np.float32) for x in (ordinary, toxic)]
     pooled3 = sum(c.sum(axis=0) for c in counts)
     cont2 = (pooled3 > 0).sum(axis=0).astype(np.float32)
     cont1 = (pooled3.sum(axis=0) > 0).sum(axis=0).astype(np.float32)
 
-    def smooth(c: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    def smooth(c: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         total = c.sum(axis=-1, keepdims=True)
         kinds = (c > 0).sum(axis=-1, keepdims=True).astype(np.float32)
         share = np.where(total > 0, d * kinds, 1) / np.maximum(total, 1)
-        out = np.maximum(c - d, 0)
-        out /= np.maximum(total, 1)
-        out += share * lower
-        return out
+        return np.maximum(c - d, 0) / np.maximum(total, 1) + share * lower, share[..., 0]
+
+    p2 = smooth(cont2, smooth(cont1, np.full(s, 1 / s, dtype=np.float32))[0])[0]
+    p3 = [smooth(c.sum(axis=0), p2)[0] for c in counts]
+    p4 = [smooth(c, p) for c, p in zip(counts, p3)]
+    used = np.flatnonzero(ordinary + toxic).astype(np.int32)
+    log = [np.log(p.reshape(-1)[used]) for p, _ in p4]
+    return np.log(p3[1] / p3[0]), np.log(p4[1][1] / p4[0][1]), used, log[1] - log[0]
 
-    p2 = smooth(cont2, smooth(cont1, np.full(s, 1 / s, dtype=np.float32)))
-    out = None
-    for c in counts[::-1]:
-        p = np.log(smooth(c, smooth(c.sum(axis=0), p2)))
-        out = p if out is None else out - p
-    return out.reshape(-1).astype(np.float32)
+
+def dense_ratio(lower: np.ndarray, back: np.ndarray, used: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The table over all 4-grams; the parts are far smaller to send."""
+    out = (back[..., None] + lower[None]).reshape(-1)
+    out[used] = values
+    return out
+
+
+def log_ratio(ordinary: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """log p(last symbol | context, toxic) - the same for ordinary, for every 4-gram."""
+    return dense_ratio(*ratio_parts(ordinary, toxic))
 
 
 def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -139,72 +155,144 @@ def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(offsets, begin, "right") - 1, hash_spans(raw, begin, end).view(np.int64)
 
 
-def pairs(owner: np.ndarray, word: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, before, word, key) of every two neighbours; a text begins with _FIRST and ends with _LAST."""
+def pairs(owner: np.ndarray, word: np.ndarray, rows: int, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, hash, number, number before) of every word; a text begins with _FIRST and ends with _LAST, whose hash is 0."""
     n = np.bincount(owner, minlength=rows)
     own = np.repeat(np.arange(rows), n + 1)
     stop = np.cumsum(n + 1) - 1
     inside = np.ones(len(own), dtype=bool)
     inside[stop] = False
-    w = np.full(len(own), _LAST)
-    w[inside] = word
-    u = np.concatenate(([_FIRST], w[:-1]))
-    u[stop - n] = _FIRST
-    turned = u.view(np.uint64)
-    key = ((turned << np.uint64(1)) | (turned >> np.uint64(63))).view(np.int64) ^ w  # as _PAIR
-    return own, u, w, key
+    number, hashes = np.full(len(own), _LAST), np.zeros(len(own), dtype=np.int64)
+    hashes[inside] = word
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, word), len(frequent) - 1)
+        number[inside] = np.where(frequent[at] == word, at + _OWN, _RARE)
+    else:
+        number[inside] = _RARE
+    before = np.concatenate(([_FIRST], number[:-1]))
+    before[stop - n] = _FIRST
+    return own, hashes, number, before
+
 
+def pair_key(before: np.ndarray, number: np.ndarray) -> np.ndarray:
+    return mix64((before << 32 | number).view(np.uint64)).view(np.int64)
 
-def word_counts(rows: DataFrame) -> DataFrame:
-    """Bigram counts (``u``, ``w``, ``c00`` to ``c11`` by half and label) of rows (``half``, ``label``, ``text``)."""
+
+def _counted(rows: DataFrame, keys_of, label: str) -> DataFrame:
+    """Counts (``key``, ``c00`` to ``c11`` by half and label) of the keys of rows (``half``, ``label``, ``text``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             kind = b.column(0).to_numpy() * 2 + (b.column(1).to_numpy() > 0)
-            own, u, w, key = pairs(*tokens(b.column(2)), b.num_rows)
-            found, first, number = np.unique(key, return_index=True, return_inverse=True)
+            own, key = keys_of(b.column(2))
+            found, number = np.unique(key, return_inverse=True)
             c = np.bincount(number * 4 + kind[own], minlength=4 * len(found)).reshape(-1, 4)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (u[first], w[first], *c.T)], ["u", "w", *_COUNTS])
-
-    got = rows.select("half", "label", "text").mapInArrow(run, "u bigint, w bigint, c00 bigint, c01 bigint, c10 bigint, c11 bigint")
-    return materialize(got.groupBy("u", "w").agg(*(F.sum(c).alias(c) for c in _COUNTS)), "toxicity-bigrams")
-
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (found, *c.T)], ["key", *_COUNTS])
+
+    got = rows.select("half", "label", "text").mapInArrow(run, "key bigint, c00 bigint, c01 bigint, c10 bigint, c11 bigint")
+    return materialize(got.groupBy("key").agg(*(F.sum(c).alias(c) for c in _COUNTS)), label)
+
+
+_CELLS = [(v, c) for v in range(len(VARIANTS)) for c in (0, 1)]
+
+
+def _of_class(v: int, c: int):
+    return sum((F.col(f"c{half}{c}") for half in VARIANTS[v]), F.lit(0))
+
+
+_ALL = "(c00 + c01 + c10 + c11)"
+
+
+class WordModel:
+    """Kneser-Ney statistics of the frequent words, at most 1 / FREQUENT of them, and weights of words by number."""
+
+    def __init__(self, frequent: np.ndarray, bigrams: DataFrame, least: int):
+        self.frequent = frequent
+        size = len(frequent) + _OWN
+        d = DISCOUNT
+        own = {x: _of_class(*x) for x in _CELLS}
+        # what a bigram leaves to the backoff: all of it when it has no entry
+        left = {(v, c): F.when((F.expr(_ALL) >= least) & (own[v, 0] + own[v, 1] >= 2), F.least(own[v, c], F.lit(d))).otherwise(own[v, c]) for v, c in _CELLS}
+        by_u = bigrams.groupBy(F.shiftright("key", 32).alias("w")).agg(*(F.sum(own[v, c]).alias(f"n{v}{c}") for v, c in _CELLS), *(F.sum(left[v, c]).alias(f"t{v}{c}") for v, c in _CELLS)).toArrow()
+        by_w = bigrams.groupBy(F.col("key").bitwiseAND(0xFFFFFFFF).alias("w")).agg(
+            *(F.sum((own[v, c] > 0).cast("long")).alias(f"k{v}{c}") for v, c in _CELLS), *(F.sum(((own[v, 0] + own[v, 1]) > 0).cast("long")).alias(f"k{v}") for v in range(len(VARIANTS)))
+        ).toArrow()
+
+        def column(table: pa.Table, name: str) -> np.ndarray:
+            out = np.zeros(size)
+            out[table["w"].to_numpy()] = table[name].to_numpy()
+            return out
+
+        self.n, self.p, self.back = {}, {}, {}
+        for v, c in _CELLS:
+            pooled, k = column(by_w, f"k{v}"), column(by_w, f"k{v}{c}")
+            base = pooled / max(1, pooled.sum())
+            self.p[v, c] = np.maximum(k - d, 0) / k.sum() + np.minimum(k, d).sum() / k.sum() * base if k.sum() else base
+            self.n[v, c] = column(by_u, f"n{v}{c}")
+            self.back[v, c] = np.where(self.n[v, c] > 0, column(by_u, f"t{v}{c}") / np.maximum(self.n[v, c], 1), 1.0)
+        self.ratio = np.zeros((len(VARIANTS), size))
+        self.weight = np.zeros((len(VARIANTS), size))
+        for v in range(len(VARIANTS)):
+            known = (self.p[v, 0] > 0) & (self.p[v, 1] > 0)
+            self.ratio[v, known] = np.log(self.p[v, 1][known] / self.p[v, 0][known])
+            self.weight[v] = self.ratio[v] + np.log(np.maximum(self.back[v, 1], 1e-9) / np.maximum(self.back[v, 0], 1e-9))
+
+    def gains(self, key: np.ndarray, counts: list[np.ndarray]) -> list[np.ndarray]:
+        """For each variant, what a bigram adds to the log ratio beyond the weights of its words."""
+        u, w, out = key >> 32, key & 0xFFFFFFFF, []
+        for v, halves in enumerate(VARIANTS):
+            own = [sum(counts[2 * h + c] for h in halves) for c in (0, 1)]
+            seen = own[0] + own[1] >= 2
+            u_, w_ = u[seen], w[seen]
+            p = [np.maximum(own[c][seen] - DISCOUNT, 0) / np.maximum(self.n[v, c][u_], 1) + np.maximum(self.back[v, c][u_], 1e-9) * self.p[v, c][w_] for c in (0, 1)]
+            gain = np.zeros(len(key), dtype=np.float32)
+            gain[seen] = np.log(p[1] / p[0]) - np.log(np.maximum(self.back[v, 1][u_], 1e-9) / np.maximum(self.back[v, 0][u_], 1e-9)) - self.ratio[v][w_]
+            out.append(gain)
+        return out
 
-def word_weights(counts: DataFrame) -> DataFrame:
-    """(``key``, ``n``, ``pair``, ``v0`` to ``v2``, ``r0`` to ``r2``): what one bigram or word adds to log p(text, toxic) - log p(text, ordinary), by variant.
 
-    A bigram's weight is its log ratio less what its two words stand for when it was never seen: a word's
-    weight is its own log ratio, and that of backing off from it to the next word;
-    ``r`` is without the latter.
-    """
-    d = DISCOUNT
-    cells = [(v, c) for v in range(len(VARIANTS)) for c in (0, 1)]
-    own = {(v, c): sum((F.col(f"c{half}{c}") for half in VARIANTS[v]), F.lit(0)) for v, c in cells}
-    seen = {x: (own[x] > 0).cast("long") for x in cells}
-    either = {v: ((own[v, 0] + own[v, 1]) > 0).cast("long") for v in range(len(VARIANTS))}
-    left = counts.groupBy(F.col("u").alias("word")).agg(F.count("*").alias("right"), *(F.sum(own[v, c]).alias(f"n{v}{c}") for v, c in cells), *(F.sum(seen[v, c]).alias(f"t{v}{c}") for v, c in cells))
-    cont = counts.groupBy(F.col("w").alias("word")).agg(
-        F.count("*").alias("left"), F.sum(sum(F.col(c) for c in _COUNTS)).alias("n"), *(F.sum(seen[v, c]).alias(f"k{v}{c}") for v, c in cells), *(F.sum(either[v]).alias(f"k{v}") for v in range(len(VARIANTS)))
-    )
-    words = cont.join(left, "word", "full").fillna(0)
-    sums = words.agg(*(F.sum(c).alias(c) for c in words.columns if c[0] == "k"), *(F.sum((F.col(f"k{v}{c}") > 0).cast("long")).alias(f"d{v}{c}") for v, c in cells), F.sum("left").alias("rows")).first()
-    for v, c in cells:
-        base = F.col(f"k{v}") / F.lit(max(1, sums[f"k{v}"] or 0))
-        total, kinds = sums[f"k{v}{c}"] or 0, sums[f"d{v}{c}"] or 0
-        p = F.greatest(F.col(f"k{v}{c}") - d, F.lit(0)) / total + d * kinds / total * base if total else base
-        words = words.withColumn(f"p{v}{c}", p).withColumn(f"b{v}{c}", F.when(F.col(f"n{v}{c}") > 0, d * F.col(f"t{v}{c}") / F.col(f"n{v}{c}")).otherwise(1.0))
-    ratio = {v: F.when(F.col(f"k{v}") > 0, F.log(F.col(f"p{v}1") / F.col(f"p{v}0"))).otherwise(0.0) for v in range(len(VARIANTS))}
-    back = {v: F.log(F.col(f"b{v}1") / F.col(f"b{v}0")) for v in range(len(VARIANTS))}
-    words = materialize(words.select("word", "n", "left", "right", *(f"{x}{v}{c}" for x in "npb" for v, c in cells), *((ratio[v] + back[v]).cast("float").alias(f"v{v}") for v in range(len(VARIANTS))), *(ratio[v].cast("float").alias(f"r{v}") for v in range(len(VARIANTS)))), "toxicity-words")
-    total = sums["rows"] or 0
-    at_u = words.filter("right > 0").select(F.col("word").alias("u"), "right", *(f"{x}{v}{c}" for x in "nb" for v, c in cells))
-    at_w = words.filter("left > 0").select(F.col("word").alias("w"), "left", *(f"p{v}{c}" for v, c in cells))
-    both = join_groups(join_groups(counts, at_u, "u", "right", total), at_w, "w", "left", total)
-    p2 = {(v, c): F.when(F.col(f"n{v}{c}") > 0, F.greatest(own[v, c] - d, F.lit(0)) / F.col(f"n{v}{c}")).otherwise(0.0) + F.col(f"b{v}{c}") * F.col(f"p{v}{c}") for v, c in cells}
-    gain = [F.when(either[v] > 0, F.log(p2[v, 1] / p2[v, 0]) - back[v] - F.log(F.col(f"p{v}1") / F.col(f"p{v}0"))).otherwise(0.0).cast("float").alias(f"v{v}") for v in range(len(VARIANTS))]
-    bigrams = both.select(F.expr(_PAIR).alias("key"), sum(F.col(c) for c in _COUNTS).alias("n"), F.lit(True).alias("pair"), *gain)
-    bigrams = bigrams.withColumns({f"r{v}": F.col(f"v{v}") for v in range(len(VARIANTS))})
-    return materialize(bigrams.unionByName(words.select(F.col("word").alias("key"), "n", F.lit(False).alias("pair"), *_WEIGHTS)), "toxicity-weights")
+def _rare_weights(rare: DataFrame, least: int) -> tuple[list[float], DataFrame]:
+    """Log ratio of the mass left to rare words without an entry, by variant; and (``key``, weights) of the others beyond it."""
+    own = {x: _of_class(*x) for x in _CELLS}
+    both = {v: own[v, 0] + own[v, 1] for v in range(len(VARIANTS))}
+    entry = {v: (F.expr(_ALL) >= least) & (both[v] >= 2) for v in range(len(VARIANTS))}
+    kept = {(v, c): F.when(entry[v], F.greatest(own[v, c] - DISCOUNT, F.lit(0.0))).otherwise(0.0) for v, c in _CELLS}
+    sums = rare.agg(*(F.sum(own[x]).alias(f"n{x[0]}{x[1]}") for x in _CELLS), *(F.sum(kept[x]).alias(f"k{x[0]}{x[1]}") for x in _CELLS)).first()
+    weights, unseen = [], []
+    for v in range(len(VARIANTS)):
+        total = [sums[f"n{v}{c}"] or 0 for c in (0, 1)]
+        share = both[v] / F.lit(float(max(1, sum(total))))
+        mass = [1 - sums[f"k{v}{c}"] / total[c] if total[c] else 1.0 for c in (0, 1)]
+        q = [kept[v, c] / F.lit(float(max(1, total[c]))) / max(mass[c], 1e-9) + share for c in (0, 1)]
+        weights.append(F.when(entry[v], F.log(q[1] / q[0])).otherwise(0.0).cast("float"))
+        unseen.append(float(np.log(max(mass[1], 1e-9) / max(mass[0], 1e-9))))
+    return unseen, rare.filter(F.expr(_ALL) >= least).select("key", *(w.alias(f"v{v}") for v, w in enumerate(weights)))
+
+
+def word_model(spark: SparkSession, train: DataFrame) -> tuple[WordModel, np.ndarray, np.ndarray]:
+    """The model of the frequent words; keys and weights (by variant) of the entries of rare words and bigrams."""
+    words = _counted(train, tokens, "toxicity-words")
+    total = words.agg(F.sum(F.expr(_ALL))).first()[0] or 0
+    least, entry = (max(2, int(np.ceil(total * share))) for share in (FREQUENT, OWN))
+    frequent = np.sort(words.filter(f"{_ALL} >= {least}").select("key").toArrow()["key"].to_numpy())  # at most 1 / FREQUENT
+    shared = spark.sparkContext.broadcast(frequent)
+
+    def bigrams_of(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        own, _, number, before = pairs(*tokens(col), len(col), shared.value)
+        return own, before << 32 | number
+
+    bigrams = _counted(train, bigrams_of, "toxicity-bigrams")
+    model = WordModel(frequent, bigrams, entry)
+    unseen, rare = _rare_weights(words.filter(f"{_ALL} < {least}"), entry)
+    model.weight[:, _RARE] += unseen
+    # at most 1 / OWN rows of either
+    rare, explicit = rare.toArrow(), bigrams.filter(f"{_ALL} >= {entry}").select("key", *_COUNTS).toArrow()
+    pair = explicit["key"].to_numpy()
+    gains = model.gains(pair, [explicit[c].to_numpy() for c in _COUNTS])
+    key = np.concatenate((rare["key"].to_numpy(), pair_key(pair >> 32, pair & 0xFFFFFFFF)))
+    value = np.stack([np.concatenate((rare[c].to_numpy(), g)) for c, g in zip(_WEIGHTS, gains)]).astype(np.float32)
+    order = np.argsort(key)
+    return model, key[order], value[:, order]
 
 
 def calibrate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -251,11 +339,11 @@ def _counts(rows: DataFrame) -> np.ndarray:
     return out.reshape(2, 2, size)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", near_keys: int = NEAR_KEYS) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """Score every whole text for toxicity.
 
     Labels count only from rows whose crc32(id) mod 5 is not 0. Returns one row for each input row: the
-    id, ``held_out``, ``score`` (0 to 1), ``predicted`` (score >= 0.5). Null and empty texts score the
+    id, ``held_out``, ``score`` (0 to 1), ``predicted`` (score >= 0.5), ``text_hash`` (xxhash64). Null and empty texts score the
     intercept alone; without labels of both classes every score is the same and below 0.5. A null id is
     held out and never labelled. Repeated rows answer each for itself; an empty table gives an empty
     result; other columns are ignored.
@@ -263,28 +351,21 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     spark = docs.sparkSession
     tune(spark)
     own, small = _labelled(docs, labels, id_col, label_col)
-    texts = docs.select(docs[id_col].alias("id"), F.lower(text_of(docs, text_col)).alias("text"))
+    texts = docs.select(docs[id_col].alias("id"), F.lower(text_of(docs, text_col)).alias("text"), F.xxhash64(text_of(docs, text_col)).alias("text_hash"))
     half = (id_crc_mod(F.col("id"), FOLDS) > FIRST_HALF).cast("int")
-    train = materialize(texts.join(small, "id").select("id", half.alias("half"), "label", "text"), "toxicity-train")
+    train = texts.join(small, "id").select("id", half.alias("half"), "label", "text")
     counts = _counts(train)
-    shared = spark.sparkContext.broadcast([log_ratio(*counts[list(v)].sum(axis=0)) for v in VARIANTS])
+    shared = spark.sparkContext.broadcast([ratio_parts(*counts[list(v)].sum(axis=0)) for v in VARIANTS])
     del counts
-    weights = word_weights(word_counts(train))
-    # the least count of a key that the workers know: NEAR_KEYS keys at most
-    least, known, keys = 1, 0, 0
-    for n, k in sorted((r["n"], r["k"]) for r in weights.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count("*").alias("k")).collect())[::-1]:
-        keys += k
-        known, least = (keys, n) if keys <= near_keys else (known, least)
-    near = weights.filter((F.col("n") >= least) if known else F.lit(False)).select("key", *_WEIGHTS).toArrow()
-    order = np.argsort(near["key"].to_numpy())
-    table = spark.sparkContext.broadcast((near["key"].to_numpy()[order], np.stack([near[c].to_numpy()[order] for c in _WEIGHTS])))
-    has_far = keys > known
+    model, keys, values = word_model(spark, train)
+    table = spark.sparkContext.broadcast((model.frequent, model.weight.astype(np.float32), model.ratio.astype(np.float32), keys, values))
+    del model, keys, values
 
     sums_of, peaks_of = ("words", "words_out"), ("word_peak", "word_peak_out", "pair_peak", "pair_peak_out")
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratio, (key, value) = shared.value, table.value
-        rng = np.random.default_rng()
+        ratio = [dense_ratio(*x) for x in shared.value]
+        (frequent, weight, peak, key, value) = table.value
         for b in batches:
             rows, without = b.num_rows, b.column(2).to_numpy()  # 0, or the variant without the row's own half
             chars, chars_out, n = np.zeros(rows), np.zeros(rows), np.zeros(rows)
@@ -294,47 +375,40 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
                 for v in (1, 2):
                     use = without[owner] == v
                     chars_out += np.bincount(owner[use], ratio[v][gram[use]], rows)
-            own, _, w, pair = pairs(*tokens(b.column(1)), rows)
+            own, hashes, number, before = pairs(*tokens(b.column(1)), rows, frequent)
             begin = np.searchsorted(own, np.arange(rows))
-            sums, peaks, far_own, far = np.zeros((2, rows)), [], [], []
-            for ks in (w, pair):
+            rare = number == _RARE
+            sums, peaks = np.zeros((2, rows)), []
+            for of_words in (True, False):
+                use = rare if of_words else np.ones(len(own), dtype=bool)
+                ks = hashes[rare] if of_words else pair_key(before, number)
                 at = np.minimum(np.searchsorted(key, ks), max(0, len(key) - 1))
                 hit = key[at] == ks if len(key) else np.zeros(len(ks), dtype=bool)
+                where = np.flatnonzero(use)[hit]
                 for k, v in enumerate((np.zeros_like(own), without[own])):
-                    here = np.zeros((2, len(ks)))
-                    here[:, hit] = value[v[hit], at[hit]], value[v[hit] + 3, at[hit]]
-                    sums[k] += np.add.reduceat(here[0], begin) if rows else 0
-                    peaks.append(np.maximum(0, np.maximum.reduceat(here[1], begin)) if rows else np.zeros(0))
-                far_own.append(own[~hit & has_far])
-                far.append(ks[~hit & has_far])
-            far_own, far = np.concatenate(far_own), np.concatenate(far)
-            far = far[np.argsort(far_own, kind="stable")]
-            ends = np.concatenate(([0], np.cumsum(np.bincount(far_own, minlength=rows)))).astype(np.int32)
+                    here = np.zeros(len(own))
+                    here[where] = value[v[where], at[hit]]
+                    best = here
+                    if of_words:
+                        best = peak[v, number] * ~rare + here
+                        here = weight[v, number] + here
+                    sums[k] += np.add.reduceat(here, begin) if rows else 0
+                    peaks.append(np.maximum(0, np.maximum.reduceat(best, begin)) if rows else np.zeros(0))
             m = np.bincount(own, minlength=rows)
-            cols = [pa.array(rng.integers(-(2**63), 2**63 - 1, rows, dtype=np.int64)), pa.array(chars / np.maximum(n, 1)), pa.array(chars_out / np.maximum(n, 1)), *(pa.array(x, pa.float64()) for x in (*sums, *peaks)), pa.array(m)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), *cols, pa.ListArray.from_arrays(pa.array(ends), pa.array(far))], ["id", "without", "label", "uid", "chars", "chars_out", *sums_of, *peaks_of, "m", "far"])
+            cols = [pa.array(chars / np.maximum(n, 1)), pa.array(chars_out / np.maximum(n, 1)), *(pa.array(x, pa.float64()) for x in (*sums, *peaks)), pa.array(m)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), b.column(4), *cols], ["id", "without", "label", "text_hash", "chars", "chars_out", *sums_of, *peaks_of, "m"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    marked = texts.join(small, "id", "left").select("id", "text", F.when(F.col("label").isNull(), 0).otherwise(half + 1).alias("without"), "label")
-    rated = materialize(marked.mapInArrow(rate, f"id {kind}, without int, label int, uid bigint, chars double, chars_out double, words double, words_out double, word_peak double, word_peak_out double, pair_peak double, pair_peak_out double, m bigint, far array<bigint>"), "toxicity-ratios")
-    if has_far:
-        rest = weights.filter((F.col("n") < least) if known else F.lit(True)).select("key", "pair", *_WEIGHTS)
-        met = rated.select("uid", "without", F.explode("far").alias("key")).join(rest, "key")
-        out = {x: F.element_at(F.array(*(F.col(f"{x}{v}") for v in range(len(VARIANTS)))), F.col("without") + 1) for x in "vr"}
-        more = [F.sum("v0"), F.sum(out["v"]), *(F.max(F.when(F.col("pair") == p, x)) for p in (False, True) for x in (F.col("r0"), out["r"]))]
-        names = (*sums_of, *peaks_of)
-        more = met.groupBy("uid").agg(*(x.cast("double").alias(f"far_{c}") for c, x in zip(names, more)))
-        rated = rated.drop("far").join(more, "uid", "left")
-        rated = rated.withColumns({c: F.col(c) + F.coalesce(f"far_{c}", F.lit(0.0)) if c in sums_of else F.greatest(c, f"far_{c}") for c in names})
-        rated = materialize(rated.drop(*(f"far_{c}" for c in names)), "toxicity-ratios")
+    marked = texts.join(small, "id", "left").select("id", "text", F.when(F.col("label").isNull(), 0).otherwise(half + 1).alias("without"), "label", "text_hash")
+    rated = materialize(marked.mapInArrow(rate, f"id {kind}, without int, label int, text_hash bigint, chars double, chars_out double, words double, words_out double, word_peak double, word_peak_out double, pair_peak double, pair_peak_out double, m bigint"), "toxicity-ratios")
     rated = rated.withColumns({c: F.col(c) / F.col("m") for c in sums_of})
     used = ("chars", "words", "word_peak", "pair_peak")
-    seen = rated.filter("label is not null").orderBy(F.xxhash64("id"), "uid").limit(CALIBRATION_ROWS).select(*(f"{c}_out" for c in used), "label").toPandas()
+    seen = rated.filter("label is not null").orderBy(F.xxhash64("id"), "text_hash").limit(CALIBRATION_ROWS).select(*(f"{c}_out" for c in used), "label").toPandas()
     *slopes, intercept = calibrate(seen.drop(columns="label").to_numpy(dtype=float), (seen["label"].to_numpy() > 0).astype(float)).tolist()
     blank = F.col("m") <= 1
     score = 1 / (1 + F.exp(-(F.when(blank, 0.0).otherwise(sum(F.col(c) * a for c, a in zip(used, slopes))) + intercept)))
     held = F.coalesce(id_crc_mod(F.col("id"), FOLDS) == HELD_OUT, F.lit(True))
-    return rated.select(F.col("id").alias(id_col), held.alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+    return rated.select(F.col("id").alias(id_col), held.alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), "text_hash")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

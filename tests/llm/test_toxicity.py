@@ -75,5 +75,40 @@ def test_every_fold_and_pairs_of_ordinary_words_count(spark):
     out = {x.doc_id: x for x in tx.toxicity(d, y).collect()}
     held = [i for i in out if out[i].held_out]
     assert sum(out[i].predicted == labels[i][1] for i in held) > 0.95 * len(held)
-    for near in (0, 20):
-        assert all(abs(x.score - out[x.doc_id].score) < 1e-6 for x in tx.toxicity(d, y, near_keys=near).collect())
+
+
+def test_word_model_is_a_distribution(spark, monkeypatch):
+    """What the weights stand for sums to one over the words of the model, whatever the entries."""
+    monkeypatch.setattr(tx, "FREQUENT", 0.02)
+    r = random.Random(5)
+    vocab = [f"w{chr(97 + i)}" for i in range(26)]
+    rows = [(i % 2, int(i % 3 == 0), " ".join(r.choices(vocab, [1 / (k + 1) for k in range(26)], k=40))) for i in range(60)]
+    train = spark.createDataFrame(rows, "half int, label int, text string")
+    for own in (1e-6, 0.01):
+        monkeypatch.setattr(tx, "OWN", own)
+        model, _, _ = tx.word_model(spark, train)
+        bigrams = Counter()
+        for _, y, t in rows:
+            w = [tx._FIRST]
+            _, _, number, _ = tx.pairs(*tx.tokens(pa.array([t])), 1, model.frequent)
+            for n in number.tolist():
+                bigrams[y, w[-1], n] += 1
+                w.append(n)
+        pooled = Counter()
+        for (_, u, w), n in bigrams.items():
+            pooled[u, w] += n
+        least = max(2, int(np.ceil(40 * 60 * own)))
+        for c in (0, 1):
+            assert abs(model.p[0, c].sum() - 1) < 1e-9
+            for u in {u for y, u, _ in bigrams if y == c}:
+                n = sum(x for (y, v, _), x in bigrams.items() if y == c and v == u)
+                explicit = sum(max(bigrams[c, u, w] - tx.DISCOUNT, 0) for (v, w), x in pooled.items() if v == u and x >= least)
+                assert n == model.n[0, c][u] and abs(explicit / n + model.back[0, c][u] - 1) < 1e-9
+
+
+def test_repeated_rows_and_ties_answer_alike(spark):
+    docs = [(i, ("bad zork " if i % 3 == 0 else "fine words ") * 8) for i in range(60)]
+    docs += [(3, docs[3][1])] * 3 + [(61, "x" * 300_000), (62, "zork " * 60_000)]
+    labels = [(i, int(i % 3 == 0)) for i in range(60)] + [(3, 1), (3, 0), (4, None), (None, 1)]
+    out = tx.toxicity(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    assert len(out) == len(docs) and len({(x.score, x.predicted) for x in out if x.doc_id == 3}) == 1
