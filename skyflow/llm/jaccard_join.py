@@ -66,7 +66,7 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())], names)
         if kind is not None:
             none = pa.nulls(SKETCH_PARTS)
-            yield pa.RecordBatch.from_arrays([none.cast(kind), none.cast(pa.int64()), none.cast(pa.int64()), pa.array(range(SKETCH_PARTS), pa.int32()), pa.array([np.minimum(sketch[k * part : (k + 1) * part], 65535).astype(np.uint16).tobytes() for k in range(SKETCH_PARTS)], pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(SKETCH_PARTS, kind), none.cast(pa.int64()), none.cast(pa.int64()), pa.array(range(SKETCH_PARTS), pa.int32()), pa.array([np.minimum(sketch[k * part : (k + 1) * part], 65535).astype(np.uint16).tobytes() for k in range(SKETCH_PARTS)], pa.binary())], names)
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.mapInArrow(run, f"id {kind}, n bigint, cls bigint, part int, counts binary")
