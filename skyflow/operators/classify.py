@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,7 +64,7 @@ def fill_not_classified(messages: DataFrame, prob: DataFrame, classes: list[str]
 
 def wide_features(features: DataFrame, names: list[str]) -> DataFrame:
     """One row per object and one column per feature; the last message wins."""
-    return features.groupBy("oid").pivot("name", names).agg(F.max_by("value", "candid"))
+    return features.groupBy("oid").pivot("name", names).agg(F.max_by("value", F.struct("candid", "value")))
 
 
 def drop_bad_supernovae(prob: DataFrame, det: DataFrame) -> DataFrame:
@@ -70,3 +72,25 @@ def drop_bad_supernovae(prob: DataFrame, det: DataFrame) -> DataFrame:
     bad = det.filter((F.col("isdiffpos") == -1) | ((F.col("sgscore1") > 0.5) & (F.col("distpsnr1") < 1))).select("oid").distinct()
     sn = top_class(prob).filter("class_name = 'SN'").select("oid").join(bad, "oid", "left_semi")
     return prob.join(sn, "oid", "left_anti")
+
+
+def stamp_output(prob: DataFrame, name: str, version: str) -> DataFrame:
+    """One message per object: its classes by probability, the classifier, and the time of publication in ms."""
+    rows = F.sort_array(F.collect_list(F.struct((-F.col("probability")).alias("o"), "class_name", "probability")))
+    out = prob.groupBy("oid").agg(F.transform(rows, lambda x: F.struct(x["class_name"].alias("class_name"), x["probability"].alias("probability"))).alias("classifications"))
+    return out.withColumns({"classifier_name": F.lit(name), "classifier_version": F.lit(version), "brokerPublishTime": F.unix_millis(F.current_timestamp())})
+
+
+#: Classifiers by name: how features become the model's input, and how this becomes long probabilities.
+CLASSIFIERS: dict[str, tuple[Callable[[DataFrame], DataFrame], Callable[[DataFrame], DataFrame]]] = {}
+
+
+def register_classifier(name: str, mapper: Callable[[DataFrame], DataFrame], predict: Callable[[DataFrame], DataFrame]) -> None:
+    CLASSIFIERS[name] = (mapper, predict)
+
+
+def classify(name: str, features: DataFrame) -> DataFrame:
+    """Long probabilities (oid, class_name, probability) of a registered classifier, ranked."""
+    mapper, predict = CLASSIFIERS[name]
+    prob = predict(mapper(features)).withColumns({"classifier_name": F.lit(name)})
+    return rank_probabilities(prob if "classifier_version" in prob.columns else prob.withColumn("classifier_version", F.lit("1.0")))

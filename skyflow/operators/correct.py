@@ -67,3 +67,33 @@ def mean_coordinates(det: DataFrame) -> DataFrame:
     """Weighted mean position of each object's detections, weights 1 / error^2."""
     w = {c: F.pow(F.col(f"e_{c}"), -2) for c in ("ra", "dec")}
     return det.filter(~F.col("forced")).groupBy("oid").agg(*((F.sum(F.col(c) * w[c]) / F.sum(w[c])).alias(f"mean{c}") for c in w))
+
+
+#: Columns that only serve the correction.
+HELPERS = ["magnr", "sigmagnr", "distnr", "distpsnr1", "sgscore1", "chinr", "sharpnr"]
+
+
+def corrected_output(det: DataFrame, helpers: list[str] = HELPERS, keep: str = "extra_fields") -> DataFrame:
+    """Corrected rows as they leave the stage: infinities as 100 or null, helper columns gone, extra fields with
+    no ids of their own, ordered by object and time."""
+    out = det
+    for c in ("mag_corr", "e_mag_corr", "e_mag_corr_ext"):
+        x = F.col(c)
+        out = out.withColumn(c, F.when(x == INF, ZERO_MAG).when(F.isnan(x) | (x == -INF), None).otherwise(x))
+    if keep in out.columns:
+        out = out.withColumn(keep, F.map_filter(keep, lambda k, _: ~k.isin("oid", "candid")))
+    return out.drop(*helpers).orderBy("oid", "mjd", "candid")
+
+
+def correct_multistream(batch: DataFrame, *stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(corrected rows, mean coordinates) of a batch keyed by measurement_id and band, with the stored history:
+    union, one row a measurement, as-of cut, correction and ordered output."""
+    from skyflow.operators.history import as_of_cut, dedup_detections, union_history
+
+    names = {"measurement_id": "candid", "band": "fid"}
+    named = lambda df: df.withColumnsRenamed({k: v for k, v in names.items() if k in df.columns})
+    new = named(batch).withColumn("new", F.lit(True))
+    det = as_of_cut(dedup_detections(union_history(new, *map(named, stored))), new)
+    rows = correct_magnitudes(with_flags(det))
+    back = {v: k for k, v in names.items()}
+    return corrected_output(rows).withColumnsRenamed(back), mean_coordinates(rows)

@@ -6,6 +6,9 @@ partitioning, so one shuffle serves every feature; one aggregation over the same
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,11 +86,22 @@ def feature_columns() -> dict[str, Column]:
     }
 
 
-def basic_features(det: DataFrame, only: list[str] | None = None) -> DataFrame:
+#: Features added by users: name to a function of options that returns an aggregate over the window columns.
+_ADDED: dict[str, Callable[..., Column]] = {}
+
+
+def register_feature(name: str, build: Callable[..., Column]) -> None:
+    """Add a feature by name: ``build(**options)`` is an aggregate over mag, e_mag, mjd and the columns of ``_windows``."""
+    _ADDED[name] = build
+
+
+def basic_features(det: DataFrame, only: list[str] | None = None, options: dict[str, dict] | None = None) -> DataFrame:
     """One row per (oid, fid) with more than five detections, one column per feature; others have none."""
     df = det.filter(~F.col("forced")).withColumns(_windows()).filter(F.col("n") >= MIN_POINTS)
     df = df.withColumn("sd1", F.sqrt(F.sum(F.pow(F.col("mag") - F.col("wmean"), 2)).over(Window.partitionBy(*KEYS)) / (F.col("n") - 1)))
-    cols = feature_columns()
+    cols = feature_columns() | {k: f(**(options or {}).get(k, {})) for k, f in _ADDED.items()}
+    if unknown := set(only or ()) - set(cols):
+        raise ValueError(f"unknown features {sorted(unknown)}")
     return df.groupBy(*KEYS).agg(*(clean(v.cast("double")).alias(k) for k, v in cols.items() if only is None or k in only))
 
 
@@ -96,23 +110,70 @@ def long_features(wide: DataFrame, version: str, keys: list[str] = KEYS) -> Data
     return wide.unpivot(keys, names, "name", "value").withColumn("version", F.lit(version))
 
 
-def pair_join(obs: DataFrame, within: float | None = None) -> DataFrame:
-    """Pairs of one object's observations in a band: dt, abs(dm), summed squared errors."""
+def near_pairs(a: DataFrame, b: DataFrame, keys: list[str], at: str, other: str, reach: float) -> DataFrame:
+    """Pairs of rows of one key whose times ``at`` (of a) and ``other`` (of b) are at most ``reach`` apart.
+
+    Times fall into cells as long as the reach, and only neighbouring cells meet, so a long light curve is
+    never crossed with itself.
+    """
+    cell = lambda t: F.floor(F.col(t) / reach).cast("long")
+    left = a.withColumn("__cell", F.explode(F.sequence(cell(at) - 1, cell(at) + 1)))
+    pairs = left.join(b.withColumn("__cell", cell(other)), [*keys, "__cell"]).drop("__cell")
+    return pairs.filter(F.abs(F.col(at) - F.col(other)) <= reach)
+
+
+def pair_join(obs: DataFrame, within: float) -> DataFrame:
+    """Pairs of one object's observations in a band, at most ``within`` days apart: dt, abs(dm), summed squared errors."""
     a = obs.select(*KEYS, F.col("mjd").alias("t1"), F.col("candid").alias("c1"), F.col("mag").alias("m1"), F.col("e_mag").alias("e1"))
     b = obs.select(*KEYS, F.col("mjd").alias("t2"), F.col("candid").alias("c2"), F.col("mag").alias("m2"), F.col("e_mag").alias("e2"))
-    on = F.struct("t1", "c1") < F.struct("t2", "c2")
-    pairs = a.join(b, KEYS).filter(on if within is None else on & (F.col("t2") - F.col("t1") <= within))
+    pairs = near_pairs(a, b, KEYS, "t1", "t2", within).filter(F.struct("t1", "c1") < F.struct("t2", "c2"))
     return pairs.select(*KEYS, (F.col("t2") - F.col("t1")).alias("dt"), F.abs(F.col("m2") - F.col("m1")).alias("dm"), (F.col("e1") * F.col("e1") + F.col("e2") * F.col("e2")).alias("err2"))
 
 
-def structure_function(obs: DataFrame, low: float = 0.5, high: float = 32.0, bins: int = 6) -> DataFrame:
-    """Slope (gamma) and amplitude of the log-binned structure function; -0.5 where it cannot be computed."""
-    k = F.floor(F.log(F.col("dt") / low) / F.log(F.lit(high / low)) * bins)
-    binned = pair_join(obs.filter(~F.col("forced")), high).filter((F.col("dt") >= low) & (F.col("dt") < high)).withColumn("bin", k).groupBy(*KEYS, "bin").agg(F.avg(F.col("dm") * F.col("dm") - F.col("err2")).alias("sf2"), F.avg("dt").alias("dt"), F.count("*").alias("n"))
-    x, y = F.log10("dt"), F.log10(F.sqrt("sf2"))
-    fit = binned.filter("sf2 > 0 and n >= 3").groupBy(*KEYS).agg(F.count("*").alias("n_bins"), F.regr_slope(y, x).alias("gamma"), F.regr_intercept(y, x).alias("a"))
-    good = F.col("n_bins") >= 3
-    return fit.select(*KEYS, F.when(good, F.col("gamma")).otherwise(-0.5).alias("SF_ML_gamma"), F.when(good, F.pow(F.lit(10.0), "a")).otherwise(-0.5).alias("SF_ML_amplitude"))
+def structure_function(obs: DataFrame, low: float = 5.0, high: float = 365.0, step: float = 0.1, longest: float = 2000.0) -> DataFrame:
+    """Slope (gamma) and amplitude (at a year) of the structure function in bins of ``step`` dex from ``low`` days.
+
+    A bin's value is the root of its mean squared difference less the errors; negative means are left out. The line
+    is fitted where 0.01 < tau <= 0.5 years. Amplitudes under 0.005 count as 0, with slope 0, and are at most 15;
+    slopes lie between -0.5 and 3. Both are -0.5 where fewer than two bins, or fewer than two fitted ones, have a value.
+    """
+    last = int((math.log10(longest) - math.log10(low)) / step - 1e-9)
+    k = F.floor((F.log10("dt") - math.log10(low)) / step + 1e-12).cast("int")
+    edge = lambda n: F.pow(F.lit(10.0), math.log10(low) + step * n)
+    pairs = pair_join(obs.filter(~F.col("forced")), high).filter(F.col("dt").between(low, high))
+    binned = pairs.withColumn("bin", k).filter(F.col("bin") < last).groupBy(*KEYS, "bin").agg(F.avg(F.col("dm") * F.col("dm") - F.col("err2")).alias("sf2"))
+    tau = (edge(F.col("bin")) + edge(F.col("bin") + 1)) / 2 / 365
+    x, y = F.log10(tau), F.log10(F.sqrt("sf2"))
+    fitted = (tau > 0.01) & (tau <= 0.5)
+    fit = binned.filter("sf2 > 0").groupBy(*KEYS).agg(
+        F.count("*").alias("n_bins"), F.count(F.when(fitted, 1)).alias("n_fit"), F.regr_slope(F.when(fitted, y), F.when(fitted, x)).alias("gamma"), F.pow(F.lit(10.0), F.regr_intercept(F.when(fitted, y), F.when(fitted, x))).alias("a")
+    )
+    all_keys = obs.filter(~F.col("forced")).select(*KEYS).distinct().join(fit, KEYS, "left")
+    good, faint = (F.col("n_bins") >= 2) & (F.col("n_fit") >= 2), F.col("a") < 0.005
+    gamma = F.when(faint, 0.0).otherwise(F.greatest(F.least("gamma", F.lit(3.0)), F.lit(-0.5)))
+    return all_keys.select(*KEYS, F.when(good, gamma).otherwise(-0.5).alias("SF_ML_gamma"), F.when(good, F.when(faint, 0.0).otherwise(F.least("a", F.lit(15.0)))).otherwise(-0.5).alias("SF_ML_amplitude"))
+
+
+def structure_function_indices(obs: DataFrame, points: int = 100) -> DataFrame:
+    """Slopes between the log structure functions of order 1, 2 and 3 of the light curve interpolated at equal steps."""
+    own = obs.filter(~F.col("forced"))
+    series = own.groupBy(*KEYS, "mjd").agg(F.avg("mag").alias("mag"))  # one value a time
+    o = Window.partitionBy(*KEYS).orderBy("mjd")
+    g = Window.partitionBy(*KEYS)
+    d = series.withColumns({"t2": F.lead("mjd").over(o), "m2": F.lead("mag").over(o), "lo": F.min("mjd").over(g), "hi": F.max("mjd").over(g), "n": F.count("*").over(g)}).filter(F.col("n") >= MIN_POINTS)
+    step = (F.col("hi") - F.col("lo")) / (points - 1)
+    # the grid points from this observation up to the next one; the last of all belongs to the last piece
+    first = F.ceil((F.col("mjd") - F.col("lo")) / step - 1e-9).cast("int")
+    after = F.when(F.col("t2") >= F.col("hi"), F.lit(points)).otherwise(F.ceil((F.col("t2") - F.col("lo")) / step - 1e-9).cast("int"))
+    cut = d.filter("t2 is not null").withColumns({"step": step, "a": first, "b": after}).filter("b > a")
+    at = cut.withColumn("j", F.explode(F.sequence(F.col("a"), F.col("b") - 1)))
+    value = F.col("mag") + (F.col("lo") + F.col("j") * F.col("step") - F.col("mjd")) / (F.col("t2") - F.col("mjd")) * (F.col("m2") - F.col("mag"))
+    curve = at.groupBy(*KEYS).agg(F.transform(F.sort_array(F.collect_list(F.struct("j", value.alias("v")))), lambda x: x["v"]).alias("c"))
+    lagged = curve.withColumn("tau", F.explode(F.sequence(F.lit(1), F.lit(points - 1))))
+    gaps = F.zip_with(F.slice("c", F.lit(1), F.lit(points) - F.col("tau")), F.slice("c", F.col("tau") + 1, F.lit(points) - F.col("tau")), lambda x, y: F.abs(x - y))
+    sums = F.aggregate("gaps", F.struct(*(F.lit(0.0).alias(f"s{p}") for p in (1, 2, 3))), lambda acc, x: F.struct((acc["s1"] + x).alias("s1"), (acc["s2"] + x * x).alias("s2"), (acc["s3"] + x * x * x).alias("s3")))
+    sf = lagged.withColumn("gaps", gaps).withColumn("s", sums).filter("s.s1 > 0").select(*KEYS, *(F.log10(F.col(f"s.s{p}") / F.size("gaps")).alias(f"y{p}") for p in (1, 2, 3)))
+    return sf.groupBy(*KEYS).agg(*(F.regr_slope(f"y{b}", f"y{a}").alias(f"StructureFunction_index_{b}{a}") for b, a in ((2, 1), (3, 1), (3, 2))))
 
 
 def colors(det: DataFrame, a: str, b: str) -> DataFrame:
@@ -126,8 +187,30 @@ def colors(det: DataFrame, a: str, b: str) -> DataFrame:
     return d.groupBy("oid").agg((F.avg(x["a"]) - F.avg(x["b"])).alias("color_mean"), (F.min(x["a"]) - F.min(x["b"])).alias("color_max"), (f["a"] / (f["b"] + 1)).alias("color_flux_p90"))
 
 
-def color_variation(det: DataFrame, a: str, b: str, days: float = 10.0, least: int = 1) -> DataFrame:
-    """Sample spread of the mean colour over windows of ``days`` from the first point."""
+def color_mean_max(det: DataFrame, bands: list[str], column: str = "mag", suffix: str = "") -> DataFrame:
+    """Differences of neighbouring bands' means and brightest magnitudes; ``column`` holds corrected or difference magnitudes."""
+    d = det.filter(~F.col("forced"))
+    x = {b: F.when(F.col("fid") == b, F.col(column)) for b in bands}
+    cols = [((f(x[a]) - f(x[b])).alias(f"{a}-{b}_{name}{suffix}")) for a, b in zip(bands, bands[1:]) for name, f in (("mean", F.avg), ("max", F.min))]
+    return d.groupBy("oid").agg(*cols)
+
+
+def q31_color(det: DataFrame, a: str, b: str) -> DataFrame:
+    """Interquartile range of the colour at the times of band ``a``, against the point of ``b`` nearest in time."""
+    own = det.filter(~F.col("forced") & F.col("fid").isin(a, b))
+    o = Window.partitionBy("oid").orderBy("mjd", "candid")
+    point = F.when(F.col("fid") == b, F.struct("mjd", "mag"))
+    d = own.withColumns({
+        "__p": F.last(point, ignorenulls=True).over(o.rowsBetween(Window.unboundedPreceding, 0)), "__n": F.first(point, ignorenulls=True).over(o.rowsBetween(0, Window.unboundedFollowing)),
+    }).filter(F.col("fid") == a)
+    before, after = F.col("mjd") - F.col("__p.mjd"), F.col("__n.mjd") - F.col("mjd")
+    near = F.when(F.col("__n").isNull() | (before <= after), F.col("__p.mag")).otherwise(F.col("__n.mag"))
+    c = F.col("mag") - near
+    return d.groupBy("oid").agg((F.percentile(c, 0.75) - F.percentile(c, 0.25)).alias("Q31_color"))
+
+
+def color_variation(det: DataFrame, a: str, b: str, days: float = 10.0, least: int = 3) -> DataFrame:
+    """Sample spread of the mean colour over windows of ``days`` from the first point with ``least`` points in each band."""
     first = F.min("mjd").over(Window.partitionBy("oid"))
     d = det.filter(~F.col("forced")).withColumn("bucket", F.floor((F.col("mjd") - first) / days))
     xa, xb = (F.when(F.col("fid") == k, F.col("mag")) for k in (a, b))
@@ -135,16 +218,27 @@ def color_variation(det: DataFrame, a: str, b: str, days: float = 10.0, least: i
     return per.filter((F.col("na") >= least) & (F.col("nb") >= least)).groupBy("oid").agg(F.stddev_samp("c").alias("color_variation"), F.count("*").alias("n_windows"))
 
 
-def sn_features(det: DataFrame) -> DataFrame:
-    """Positive share, and forced points before and after the first detection."""
+def reference_features(obs: DataFrame, references: DataFrame) -> DataFrame:
+    """Mean and sample sigma of the distance to the reference, and sharpness and chi of the references weighted by their observations."""
+    own = obs.groupBy("oid").agg(F.avg("distnr").alias("mean_distnr"), F.stddev_samp("distnr").alias("sigma_distnr"))
+    used = obs.filter("rfid is not null").groupBy("oid", F.col("rfid").cast("long").alias("rfid")).agg(F.count("*").alias("n"))
+    side = references.select("oid", F.col("rfid").cast("long").alias("rfid"), "sharpnr", "chinr")
+    mean = lambda c: (F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(f"mean_{c}")
+    return own.join(used.join(side, ["oid", "rfid"]).groupBy("oid").agg(mean("sharpnr"), mean("chinr")), "oid", "left")
+
+
+def sn_features(det: DataFrame, column: str = "mag") -> DataFrame:
+    """Positive share, forced points before and after the first detection, and the jumps from the former to it."""
     first = F.min(F.when(~F.col("forced"), F.col("mjd"))).over(Window.partitionBy("oid"))
     d = det.withColumn("__first", first)
-    before, after = F.col("forced") & (F.col("mjd") < F.col("__first")), F.col("forced") & (F.col("mjd") >= F.col("__first"))
-    own = ~F.col("forced")
+    before, after = F.col("forced") & (F.col("mjd") < F.col("__first")), F.col("forced") & (F.col("mjd") > F.col("__first"))
+    own, at = ~F.col("forced"), F.struct("mjd", "candid")
+    x = lambda c: F.when(c, F.col(column))
+    start, last, middle = F.min_by(x(own), F.when(own, at)), F.max_by(x(before), F.when(before, at)), F.percentile(x(before), 0.5)
     return d.groupBy("oid", "fid").agg(
-        (F.count(F.when(own & (F.col("isdiffpos") > 0), 1)) / F.count(F.when(own, 1))).alias("positive_fraction"), F.count(F.when(before, 1)).alias("n_before"), F.max(F.when(before, F.col("mag"))).alias("max_before"),
-        F.percentile(F.when(before, F.col("mag")), 0.5).alias("median_before"), F.max_by(F.when(before, F.col("mag")), F.when(before, F.struct("mjd", "candid"))).alias("last_before"), F.count(F.when(after, 1)).alias("n_after"),
-        F.max(F.when(after, F.col("mag"))).alias("max_after"), F.percentile(F.when(after, F.col("mag")), 0.5).alias("median_after"),
+        (F.count(F.when(own & (F.col("isdiffpos") > 0), 1)) / F.nullif(F.count(F.when(own, 1)), F.lit(0))).alias("positive_fraction"), F.count(F.when(before, 1)).alias("n_before"), F.max(x(before)).alias("max_before"),
+        middle.alias("median_before"), last.alias("last_before"), (start - last).alias("dbrightness_first_det"), (start - middle).alias("dbrightness_forced_phot"), F.count(F.when(after, 1)).alias("n_after"),
+        F.max(x(after)).alias("max_after"), F.percentile(x(after), 0.5).alias("median_after"),
     )
 
 

@@ -24,6 +24,15 @@ def read_history(stored: DataFrame, batch: DataFrame, key: str = "oid", **flags)
     return out.withColumns({k: F.lit(v) for k, v in flags.items()})
 
 
+def read_limits(stored: DataFrame, batch: DataFrame, key: str = "oid") -> DataFrame:
+    """Stored non-detections of the batch's objects."""
+    return stored.join(batch.select(key).distinct(), key, "left_semi")
+
+
+def read_forced(stored: DataFrame, batch: DataFrame, key: str = "oid") -> DataFrame:
+    return read_history(stored, batch, key, forced=True)
+
+
 def union_history(batch: DataFrame, *stored: DataFrame) -> DataFrame:
     return union_aligned(batch, *(read_history(s, batch) for s in stored))
 
@@ -31,19 +40,29 @@ def union_history(batch: DataFrame, *stored: DataFrame) -> DataFrame:
 def dedup_detections(det: DataFrame) -> DataFrame:
     """One row per (candid, oid): with a stamp first, then new first."""
     stamp = F.col("has_stamp").desc() if "has_stamp" in det.columns else F.lit(0).asc()
-    return first_row(det, ["candid", "oid"], stamp, F.col("new").desc())
+    order = [F.col(c) for c in ("mjd", "mag") if c in det.columns]
+    return first_row(det, ["candid", "oid"], stamp, F.col("new").desc(), *order)
 
 
 def dedup_limits(nd: DataFrame) -> DataFrame:
     return nd.dropDuplicates(["oid", "fid", "mjd"])
 
 
-def keep_last(df: DataFrame, key: str, order: str) -> DataFrame:
-    return first_row(df, [key], F.col(order).desc())
+def _ties(df: DataFrame, tie: str | None) -> list[Column]:
+    """The tie column, or every orderable one in order of names: equal rows remain only where whole rows are equal."""
+    if tie:
+        return [F.col(tie)]
+    return [F.col(f.name) for f in sorted(df.schema, key=lambda f: f.name) if f.dataType.typeName() not in ("map", "variant")]
+
+
+def keep_last(df: DataFrame, key: str, order: str, tie: str | None = None) -> DataFrame:
+    """The latest row of each key; of rows at the same time the greatest by ``tie``."""
+    return first_row(df, [key], F.col(order).desc(), *(c.desc() for c in _ties(df, tie)))
 
 
-def keep_earliest(df: DataFrame, key: str, order: str) -> DataFrame:
-    return first_row(df, [key], F.col(order).asc())
+def keep_earliest(df: DataFrame, key: str, order: str, tie: str | None = None) -> DataFrame:
+    """The earliest row of each key; of rows at the same time the smallest by ``tie``."""
+    return first_row(df, [key], F.col(order).asc(), *_ties(df, tie))
 
 
 def as_of_cut(det: DataFrame, batch: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import time
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,19 +20,28 @@ def last_write_wins(cmds: DataFrame, keys: list[str], order: str) -> DataFrame:
     return cmds.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
 
 
+def one_a_key(df: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """One row of each key: the last in ``order``; without it, or where it ties, the greatest of the other columns."""
+    rest = [c for c in df.columns if c not in keys and c != order and df.schema[c].dataType.typeName() not in ("map", "variant")]
+    by = [F.col(c).desc_nulls_last() for c in ([order] if order else []) + rest]
+    w = Window.partitionBy(*keys).orderBy(*(by or [F.lit(0)]))
+    return df.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+
+
 def upsert(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """New rows replace stored ones of the same key."""
+    """New rows replace stored ones of the same key; of new rows with one key the greatest counts."""
+    new = one_a_key(new, keys)
     return target.join(new.select(*keys), keys, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
 def insert_ignore(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key is stored already are ignored."""
-    return target.unionByName(new.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti"), allowMissingColumns=True)
+    return target.unionByName(one_a_key(new, keys).join(target.select(*keys), keys, "left_anti"), allowMissingColumns=True)
 
 
 def update_columns(target: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Set only ``columns``, and only where the new value is not null; unknown keys are ignored."""
-    side = new.select(*keys, *(F.col(c).alias(f"__{c}") for c in columns))
+    side = one_a_key(new.select(*keys, *columns), keys).select(*keys, *(F.col(c).alias(f"__{c}") for c in columns))
     return target.join(side, keys, "left").withColumns({c: F.coalesce(f"__{c}", c) for c in columns}).select(*target.columns)
 
 
@@ -63,31 +73,47 @@ def kind_of() -> Column:
     )
 
 
-class VersionedTable:
-    """A table whose every merge writes a new version directory; a pointer file names the current one. One writer at a time."""
+class KeyedTable:
+    """A Parquet table in ``buckets`` partitions by a hash of ``by`` (the keys, or some of them).
+
+    A merge reads and rewrites only the partitions that its rows fall in: they are written beside the table
+    first and then put in place by Spark's dynamic partition overwrite. Merges are keyed, so one that
+    stopped halfway is repaired by running it again. One writer at a time.
+    """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], by: list[str] | None = None, buckets: int = 64):
+        self.spark, self.path, self.keys, self.by, self.buckets = spark, path.rstrip("/"), keys, by or keys, buckets
 
-    def _pointer(self):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT")
-        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.by), F.lit(self.buckets)).cast("int")
 
-    def read(self) -> DataFrame | None:
-        p, fs = self._pointer()
-        if not fs.exists(p):
+    def _touched(self, rows: DataFrame) -> list[int]:
+        return [r["b"] for r in rows.select(self._bucket().alias("b")).distinct().collect()]  # at most ``buckets``
+
+    def _stored(self) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(self.path)
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             return None
-        return self.spark.read.parquet(f"{self.path}/{self.spark.read.text(f'{self.path}/CURRENT').first()[0]}")
-
-    def write(self, df: DataFrame) -> None:
-        version = f"v{time.time_ns()}"
-        df.write.parquet(f"{self.path}/{version}")
-        p, fs = self._pointer()
-        out = fs.create(p, True)
-        out.write(version.encode())
-        out.close()
-
-    def merge(self, new: DataFrame, keys: list[str], mode: str = "upsert") -> None:
-        old = self.read()
-        self.write(new.dropDuplicates(keys) if old is None else (upsert if mode == "upsert" else insert_ignore)(old, new, keys))
+
+    def read(self, like: DataFrame | None = None) -> DataFrame | None:
+        """The table, or only the partitions that rows ``like`` these (with the columns ``by``) fall in; null before the first merge."""
+        df = self._stored()
+        if df is not None and like is not None:
+            df = df.filter(F.col("bucket").isin(self._touched(like)))
+        return None if df is None else df.drop("bucket")
+
+    def merge(self, new: DataFrame, mode: str = "upsert", order: str | None = None) -> None:
+        new = one_a_key(new, self.keys, order)
+        touched, old = self._touched(new), self._stored()
+        if old is not None:
+            old = old.filter(F.col("bucket").isin(touched)).drop("bucket")
+            new = (upsert if mode == "upsert" else insert_ignore)(old, new, self.keys)
+        beside = f"{self.path}.{uuid.uuid4().hex}"
+        new.withColumn("bucket", self._bucket()).repartition("bucket").write.partitionBy("bucket").parquet(beside)
+        moved = self.spark.read.parquet(beside)
+        moved.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path)
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(beside)
+        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyflow.functions.columns import mjd
+from skyflow.functions.columns import band_number, mjd
 from skyflow.operators.history import first_row
+from skyflow.operators.ranking import hash_ranked
 
 
 def metadata_tables(alerts: DataFrame) -> dict[str, DataFrame]:
@@ -45,15 +48,33 @@ def attach_output(features: DataFrame, prob: DataFrame) -> DataFrame:
     return features.join(nested, "oid")
 
 
-def watchlist_values(matches: DataFrame, fields: list[str]) -> DataFrame:
-    """The asked fields of each match as a JSON object; absent ones are left out."""
-    return matches.withColumn("values", F.to_json(F.struct(*(c for c in fields if c in matches.columns))))
+def _watched_alerts(matches: DataFrame, fields: list[str]) -> DataFrame:
+    cols = [band_number(F.col(c)).alias(c) if c == "fid" and dict(matches.dtypes)[c] == "string" else F.col(c) for c in fields if c in matches.columns]
+    return matches.withColumn("values", F.to_json(F.struct(*cols)))
+
+
+#: How the values of matches are made, by name; users add their own.
+WATCHLIST_STRATEGIES: dict[str, Callable[[DataFrame, list[str]], DataFrame]] = {"alerts": _watched_alerts}
+
+
+def watchlist_values(matches: DataFrame, fields: list[str] | dict[str, list[str]], strategy: str = "alerts", by: str = "filter_type") -> DataFrame:
+    """The asked fields of each match as a JSON object; absent ones are left out, band letters become numbers.
+
+    ``fields`` may depend on the match's filter, a dict by the value of column ``by``; others ask for nothing.
+    """
+    make = WATCHLIST_STRATEGIES[strategy]
+    if not isinstance(fields, dict):
+        return make(matches, fields)
+    out = matches.filter(~F.coalesce(F.col(by).isin(*fields), F.lit(False))).withColumn("values", F.lit("{}"))
+    for name, cols in fields.items():
+        out = out.unionByName(make(matches.filter(F.col(by) == name), cols))
+    return out
 
 
 def merge_json(old: str, new: str):
-    """Column: JSON object ``old`` updated by ``new``."""
-    kind = "map<string,string>"
-    a, b = (F.coalesce(F.from_json(F.col(c), kind), F.create_map().cast(kind)) for c in (old, new))
+    """Column: JSON object ``old`` updated by ``new``; numbers, booleans and nested values stay what they are."""
+    kind = "map<string,variant>"
+    a, b = (F.coalesce(F.from_json(F.col(c), kind), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<variant>"))) for c in (old, new))
     return F.to_json(F.map_concat(F.map_filter(a, lambda k, _: ~F.array_contains(F.map_keys(b), k)), b))
 
 
@@ -86,11 +107,25 @@ def sequence_masks(seq: DataFrame) -> DataFrame:
     return seq.withColumn("relative", F.zip_with("time", "mask", lambda t, m: F.when(m == 1, t - first).otherwise(0.0)))
 
 
-def debias_positions(features: DataFrame, label: str, rare: str, most: int, dec: str = "dec") -> DataFrame:
-    """At most ``most`` southern objects of a class, chosen by hash."""
+def debias_positions(features: DataFrame, label: str, rare: str, most: int, dec: str = "dec", resampled: list[str] | None = None) -> DataFrame:
+    """At most ``most`` southern objects of a class, chosen by hash, keep their place.
+
+    The others go; with ``resampled`` they stay, and take these columns from the class's objects that kept theirs,
+    in turn by hash, so that each of these gives about as often.
+    """
     south = (F.col(label) == rare) & (F.col(dec) < 0)
-    n = F.row_number().over(Window.partitionBy(label, F.col(dec) < 0).orderBy(F.md5(F.col("oid").cast("string"))))
-    return features.withColumn("__n", n).filter(~south | (F.col("__n") <= most)).drop("__n")
+    digest, tie = F.md5(F.col("oid").cast("string")), F.col("oid")
+    ranked = hash_ranked(features, [F.coalesce(south, F.lit(False))], digest, tie)
+    moved = F.coalesce(south, F.lit(False)) & (F.col("rank") > most)
+    kept = ranked.filter(~moved).drop("rank", "size")
+    if not resampled:
+        return kept
+    givers = hash_ranked(kept.filter(F.col(label) == rare).select("oid", *resampled), [F.lit(0)], digest, tie)
+    side = givers.select((F.col("rank") - 1).alias("__k"), "size", *(F.col(c).alias(f"__{c}") for c in resampled))
+    total = side.agg(F.max("size")).first()[0] or 1
+    taken = hash_ranked(ranked.filter(moved).drop("rank", "size"), [F.lit(0)], digest, tie).withColumn("__k", (F.col("rank") - 1) % total).drop("rank", "size")
+    out = taken.join(side.drop("size"), "__k").withColumns({c: F.col(f"__{c}") for c in resampled})
+    return kept.unionByName(out.select(*kept.columns))
 
 
 def pull_training_set(objects: DataFrame, processed: DataFrame, light_curves: DataFrame, catalog: DataFrame) -> DataFrame:

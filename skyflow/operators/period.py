@@ -1,44 +1,84 @@
-"""Period search: objects cross their own frequency grid, and aggregates per (object, frequency) give the power."""
+"""Period search: objects cross their own frequency grid, and aggregates per (object, frequency) give the power.
+
+A grid is dealt in blocks of frequencies. Observations go once to every block of their object, both sides
+are partitioned by (object, block), and all that follows groups within these: one shuffle of narrow rows,
+none of the crossed ones, and a long light curve with a fine grid is spread over many tasks.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+BLOCK = 256
+TWO_PI = 6.283185307179586
+KEYS = ["oid", "block", "k", "freq"]
+
 
-def frequency_grid(obs: DataFrame, pmin: float, pmax: float, shift: float = 0.1, least: int = 1000, most: int | None = None) -> DataFrame:
-    """(oid, k, freq): max(least, ceil(range * timespan / (2 * shift))) equal steps from 1 / pmax to 1 / pmin."""
+def frequency_grid(obs: DataFrame, pmin: float, pmax: float, shift: float = 0.1, least: int = 1000) -> DataFrame:
+    """(oid, t0, block, k, freq): max(least, ceil(range * timespan / (2 * shift))) equal steps from 1 / pmax to 1 / pmin."""
     lo, hi = 1 / pmax, 1 / pmin
     span = obs.groupBy("oid").agg((F.max("mjd") - F.min("mjd")).alias("span"), F.min("mjd").alias("t0"))
     n = F.greatest(F.lit(least), F.ceil((hi - lo) * F.col("span") / (2 * shift)).cast("int"))
-    n = n if most is None else F.least(n, F.lit(most))
-    return span.withColumn("n", n).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select("oid", "t0", "k", (lo + F.col("k") * (hi - lo) / (F.col("n") - 1)).alias("freq"))
+    rows = span.withColumn("n", n).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    return rows.select("oid", "t0", F.expr(f"k div {BLOCK}").cast("int").alias("block"), "k", (lo + F.col("k") * (hi - lo) / (F.col("n") - 1)).alias("freq"))
 
 
 def _phased(obs: DataFrame, grid: DataFrame) -> DataFrame:
-    return obs.filter(~F.col("forced")).join(grid, "oid").withColumn("phase", F.pmod((F.col("mjd") - F.col("t0")) * F.col("freq"), F.lit(1.0)))
-
-
-def mhaov(obs: DataFrame, grid: DataFrame, by_band: bool = True) -> DataFrame:
-    """Weighted sum of squares explained by one harmonic, per band; bands add up in ``multiband``."""
-    keys = ["oid", "fid", "k", "freq"] if by_band else ["oid", "k", "freq"]
-    w, y = F.pow("e_mag", -2), F.col("mag")
-    c, s = F.cos(2 * F.lit(3.141592653589793) * F.col("phase")), F.sin(2 * F.lit(3.141592653589793) * F.col("phase"))
-    sums = {"w": w, "y": w * y, "c": w * c, "s": w * s, "cc": w * c * c, "ss": w * s * s, "cs": w * c * s, "yc": w * y * c, "ys": w * y * s}
-    g = _phased(obs, grid).groupBy(*keys).agg(*(F.sum(v).alias(f"s_{k}") for k, v in sums.items()))
-    ctr = lambda a, b, ab: F.col(f"s_{ab}") - F.col(f"s_{a}") * F.col(f"s_{b}") / F.col("s_w")
-    cc, ss, cs, yc, ys = ctr("c", "c", "cc"), ctr("s", "s", "ss"), ctr("c", "s", "cs"), ctr("y", "c", "yc"), ctr("y", "s", "ys")
-    det = cc * ss - cs * cs
-    power = F.when(F.abs(det) > 1e-9, (yc * yc * ss - 2 * yc * ys * cs + ys * ys * cc) / det).otherwise(0.0)
-    return g.select(*keys, power.alias("power"))
-
+    blocks = grid.select("oid", "block").distinct()
+    dealt = obs.filter(~F.col("forced")).join(blocks, "oid")
+    return dealt.hint("merge").join(grid, ["oid", "block"]).withColumn("phase", F.pmod((F.col("mjd") - F.col("t0")) * F.col("freq"), F.lit(1.0)))
 
-def multiband(power: DataFrame) -> DataFrame:
-    return power.groupBy("oid", "k", "freq").agg(F.sum("power").alias("power"))
 
+def mhaov(obs: DataFrame, grid: DataFrame, harmonics: int = 1) -> DataFrame:
+    """Per band: sum of squares that a Fourier series explains (``power``), about the weighted mean (``wvar``),
+    degrees of freedom ``d2``, and their variance ratio (``ratio``). Bands add up in ``multiband``.
 
-def phase_bins(obs: DataFrame, grid: DataFrame, bins: int = 8) -> DataFrame:
-    return _phased(obs, grid).groupBy("oid", "k", "freq", F.floor(F.col("phase") * bins).alias("bin")).agg(F.count("*").alias("n"), F.avg("mag").alias("mean"), F.sum(F.col("mag") * F.col("mag")).alias("sq"), F.sum("mag").alias("sum"))
+    The normal equations are centred and solved by a Cholesky factor, column by column.
+    """
+    keys = ["oid", "fid", *KEYS[1:]]
+    w, y = F.pow("e_mag", -2), F.col("mag")
+    basis = [f(TWO_PI * h * F.col("phase")) for h in range(1, harmonics + 1) for f in (F.cos, F.sin)]
+    m = len(basis)
+    sums = {"n": F.count("*"), "w": F.sum(w), "y": F.sum(w * y), "yy": F.sum(w * y * y)}
+    for i, a in enumerate(basis):
+        sums |= {f"b{i}": F.sum(w * a), f"y{i}": F.sum(w * y * a)} | {f"a{i}_{j}": F.sum(w * a * basis[j]) for j in range(i + 1)}
+    g = _phased(obs, grid).groupBy(*keys).agg(*(v.alias(f"s_{k}") for k, v in sums.items()))
+    s = lambda name: F.col(f"s_{name}")
+    for i in range(m):
+        for j in range(i):
+            x = s(f"a{i}_{j}") - s(f"b{i}") * s(f"b{j}") / s("w")
+            for q in range(j):
+                x = x - F.col(f"l{i}_{q}") * F.col(f"l{j}_{q}")
+            g = g.withColumn(f"l{i}_{j}", F.when(F.col(f"l{j}_{j}") > 1e-6, x / F.col(f"l{j}_{j}")).otherwise(0.0))
+        diagonal = s(f"a{i}_{i}") - s(f"b{i}") * s(f"b{i}") / s("w")
+        rest = s(f"y{i}") - s("y") * s(f"b{i}") / s("w")
+        for q in range(i):
+            diagonal, rest = diagonal - F.col(f"l{i}_{q}") * F.col(f"l{i}_{q}"), rest - F.col(f"l{i}_{q}") * F.col(f"z{q}")
+        g = g.withColumn(f"l{i}_{i}", F.sqrt(F.greatest(diagonal, F.lit(0.0))))
+        g = g.withColumn(f"z{i}", F.when(F.col(f"l{i}_{i}") > 1e-6, rest / F.col(f"l{i}_{i}")).otherwise(0.0))
+    power = sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(1, m)), F.col("z0") * F.col("z0"))
+    d2 = F.greatest(s("n") - m - 1, F.lit(0)).cast("double")
+    out = g.select(*keys, power.alias("power"), (s("yy") - s("y") * s("y") / s("w")).alias("wvar"), d2.alias("d2"), F.lit(float(m)).alias("d1"))
+    return out.withColumn("ratio", _ratio())
+
+
+def _ratio() -> Column:
+    return F.col("d2") * F.col("power") / (F.col("d1") * F.greatest(F.col("wvar") - F.col("power"), F.lit(1e-9)))
+
+
+def multiband(bands: DataFrame) -> DataFrame:
+    """Variance ratio of all bands together: their explained sums, variances and degrees of freedom add up."""
+    total = bands.groupBy(*KEYS).agg(F.sum("power").alias("power"), F.sum("wvar").alias("wvar"), F.sum("d2").alias("d2"), F.first("d1").alias("d1"))
+    return total.select(*KEYS, _ratio().alias("power"))
+
+
+def phase_bins(obs: DataFrame, grid: DataFrame, bins: int = 8, weighted: bool = False) -> DataFrame:
+    """Per phase bin: count, sums of magnitudes and squares, and its mean (weighted by 1 / error^2 or not)."""
+    w = F.pow("e_mag", -2) if weighted else F.lit(1.0)
+    return _phased(obs, grid).groupBy(*KEYS, F.floor(F.col("phase") * bins).alias("bin")).agg(
+        F.count("*").alias("n"), (F.sum(w * F.col("mag")) / F.sum(w)).alias("mean"), F.sum(F.col("mag") * F.col("mag")).alias("sq"), F.sum("mag").alias("sum"), F.sum(w * F.col("mag")).alias("wy"), F.sum(w).alias("w")
+    )
 
 
 def pdm(obs: DataFrame, grid: DataFrame, bins: int = 8) -> DataFrame:
@@ -46,68 +86,114 @@ def pdm(obs: DataFrame, grid: DataFrame, bins: int = 8) -> DataFrame:
     var = obs.filter(~F.col("forced")).groupBy("oid").agg(F.var_samp("mag").alias("total"))
     inside = F.sum(F.when(F.col("n") > 2, F.col("sq") - F.col("sum") * F.col("sum") / F.col("n")))
     free = F.sum(F.when(F.col("n") > 2, F.col("n") - 1))
-    return phase_bins(obs, grid, bins).groupBy("oid", "k", "freq").agg((inside / free).alias("pooled")).join(var, "oid").select("oid", "k", "freq", (F.col("pooled") / F.col("total")).alias("theta"))
+    pooled = phase_bins(obs, grid, bins).groupBy(*KEYS).agg((inside / free).alias("pooled"))
+    return pooled.join(var, "oid").select("oid", "k", "freq", (F.col("pooled") / F.col("total")).alias("theta"))
 
 
-def aov(obs: DataFrame, grid: DataFrame, bins: int = 8) -> DataFrame:
-    """Analysis of variance over phase bins: between-bin against within-bin variance."""
-    g = phase_bins(obs, grid, bins).groupBy("oid", "k", "freq").agg(F.sum("n").alias("n"), F.count("*").alias("r"), F.sum("sum").alias("sum"), F.sum("sq").alias("sq"), F.sum(F.col("sum") * F.col("sum") / F.col("n")).alias("between"))
-    a, b = F.col("between") - F.col("sum") * F.col("sum") / F.col("n"), F.col("sq") - F.col("between")
-    return g.filter("n > r and r > 1").select("oid", "k", "freq", (a / (F.col("r") - 1) / F.nullif(b / (F.col("n") - F.col("r")), F.lit(0.0))).alias("power"))
+def aov(obs: DataFrame, grid: DataFrame, bins: int = 8, weighted: bool = False) -> DataFrame:
+    """Analysis of variance over phase bins: between-bin against within-bin variance; bin and total means weighted or not."""
+    total = F.sum("wy") / F.sum("w")
+    b = phase_bins(obs, grid, bins, weighted)
+    # sum n (mean - total)^2 and sum (x - mean)^2 from the bins' sums
+    parts = b.groupBy(*KEYS).agg(
+        F.sum("n").alias("n"), F.count("*").alias("r"), total.alias("total"), F.sum(F.col("n") * F.col("mean") * F.col("mean")).alias("nmm"), F.sum(F.col("n") * F.col("mean")).alias("nm"),
+        F.sum(F.col("sq") - 2 * F.col("mean") * F.col("sum") + F.col("n") * F.col("mean") * F.col("mean")).alias("inside"),
+    )
+    between = F.col("nmm") - 2 * F.col("total") * F.col("nm") + F.col("n") * F.col("total") * F.col("total")
+    ratio = between / (F.col("r") - 1) / F.nullif(F.col("inside") / (F.col("n") - F.col("r")), F.lit(0.0))
+    return parts.filter("n > r and r > 1").select("oid", "k", "freq", ratio.alias("power"))
 
 
 def string_length(obs: DataFrame, grid: DataFrame) -> DataFrame:
     """Error-weighted squared neighbour differences in phase order, wrap-around included."""
-    key = Window.partitionBy("oid", "k")
+    key = Window.partitionBy(*KEYS)
     o = key.orderBy("phase", "candid")
     ends = o.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    d = _phased(obs, grid).withColumns({"pm": F.coalesce(F.lag("mag").over(o), F.last("mag").over(ends)), "pe": F.coalesce(F.lag("e_mag").over(o), F.last("e_mag").over(ends))})
-    return d.groupBy("oid", "k", "freq").agg(F.sum(F.pow(F.col("mag") - F.col("pm"), 2) / (F.pow("e_mag", 2) + F.pow("pe", 2))).alias("length"))
+    before = {name: F.coalesce(F.lag(c).over(o), F.last(c).over(ends)) for name, c in (("pm", "mag"), ("pe", "e_mag"))}
+    d = _phased(obs, grid).select(*KEYS, "phase", "candid", "mag", "e_mag").withColumns(before)
+    return d.groupBy(*KEYS).agg(F.sum(F.pow(F.col("mag") - F.col("pm"), 2) / (F.pow("e_mag", 2) + F.pow("pe", 2))).alias("length")).drop("block")
 
 
 def local_maxima(power: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` highest grid points that exceed both neighbours."""
     o = Window.partitionBy("oid").orderBy("k")
-    p = power.withColumns({"__a": F.lag("power").over(o), "__b": F.lead("power").over(o)}).filter("(__a is null or power > __a) and (__b is null or power >= __b)").drop("__a", "__b")
+    p = power.withColumns({"__a": F.lag("power").over(o), "__b": F.lead("power").over(o), "before": F.lag("freq").over(o), "after": F.lead("freq").over(o)})
+    p = p.filter("power > __a and power > __b").drop("__a", "__b")
     return p.withColumn("rank", F.row_number().over(Window.partitionBy("oid").orderBy(F.col("power").desc(), "k"))).filter(F.col("rank") <= n)
 
 
-def refine(obs: DataFrame, grid: DataFrame, power: DataFrame, peaks: int = 10, finer: int = 10) -> DataFrame:
-    """A grid ``finer`` times as fine around the best local maxima; the best of both grids stays."""
-    step = grid.groupBy("oid").agg(((F.max("freq") - F.min("freq")) / (F.count("*") - 1)).alias("step"), F.first("t0").alias("t0"))
-    near = local_maxima(power, peaks).select("oid", F.col("freq").alias("centre"), "rank").join(step, "oid")
-    fine = near.withColumn("j", F.explode(F.sequence(F.lit(-finer), F.lit(finer)))).select("oid", "t0", (F.col("rank") * 1000 + F.col("j") + finer).cast("int").alias("k"), (F.col("centre") + F.col("j") * F.col("step") / finer).alias("freq")).filter("freq > 0")
-    return multiband(mhaov(obs, fine))
+def refine(obs: DataFrame, grid: DataFrame, bands: DataFrame, peaks: int = 10, finer: int = 10, harmonics: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(multiband power, power by band) with the best local maxima searched on a grid ``finer`` times as fine.
+
+    Around each maximum 2 * finer points lie between its neighbours; where the best of them has more power than
+    the grid point it takes its place. Both results keep every other grid point.
+    """
+    power = multiband(bands)
+    steps = 2 * finer
+    near = local_maxima(power, peaks).select("oid", "k", F.col("power").alias("coarse"), "before", "after")
+    start = grid.groupBy("oid").agg(F.first("t0").alias("t0"))
+    j = F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("j")
+    fine = near.join(start, "oid").select("*", j).select("oid", "t0", F.col("k").alias("block"), "j", (F.col("before") + F.col("j") * (F.col("after") - F.col("before")) / (steps - 1)).alias("freq"), "coarse")
+    fine_bands = mhaov(obs, fine.select("oid", "t0", "block", F.col("j").alias("k"), "freq"), harmonics)
+    best = multiband(fine_bands).groupBy("oid", "block").agg(F.max_by(F.struct("k", "freq", "power"), F.struct("power", -F.col("k"))).alias("b"))
+    won = best.join(near.select("oid", F.col("k").alias("block"), "coarse"), ["oid", "block"]).filter("b.power > coarse").select("oid", F.col("block").alias("k"), "b")
+    out = power.join(won, ["oid", "k"], "left").select("oid", "block", "k", F.coalesce("b.freq", "freq").alias("freq"), F.coalesce("b.power", "power").alias("power"))
+    chosen = won.select("oid", F.col("k").alias("block"), F.col("b.k").alias("k"))
+    side = fine_bands.join(chosen, ["oid", "block", "k"]).select("oid", "fid", F.col("block").alias("k"), F.col("freq").alias("__freq"), F.col("ratio").alias("__ratio"))
+    by_band = bands.join(side, ["oid", "fid", "k"], "left").select("oid", "fid", "block", "k", F.coalesce("__freq", "freq").alias("freq"), F.coalesce("__ratio", "ratio").alias("ratio"))
+    return out, by_band
 
 
 def period_features(power: DataFrame, top: int = 100) -> DataFrame:
-    """Best period, its power, and 1 - entropy / log(top) of the largest powers."""
+    """Multiband period, its power, and PPE: 1 - entropy / log(top) of the largest powers, each + 0.01."""
     w = Window.partitionBy("oid").orderBy(F.col("power").desc(), "k")
     t = power.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= top).withColumn("q", F.col("power") + 0.01)
     share = F.col("q") / F.sum("q").over(Window.partitionBy("oid"))
-    return t.withColumn("p", share).groupBy("oid").agg((1 / F.max_by("freq", F.struct("power", -F.col("k")))).alias("period"), F.max("power").alias("peak"), (1 + F.sum(F.col("p") * F.log("p")) / F.log(F.lit(float(top)))).alias("ppe"))
+    best = F.max_by("freq", F.struct("power", -F.col("k")))
+    return t.withColumn("p", share).groupBy("oid").agg((1 / best).alias("period"), F.max("power").alias("peak"), (1 + F.sum(F.col("p") * F.log("p")) / F.log(F.lit(float(top)))).alias("ppe"))
 
 
-def power_rates(power: DataFrame) -> DataFrame:
-    """Power at 1/4, 1/3, 1/2, 2, 3 and 4 times the best period over the peak's, at the nearest grid point."""
-    best = power.groupBy("oid").agg(F.max(F.struct("power", (-F.col("k")).alias("nk"), "freq")).alias("b"), F.min("freq").alias("f0"), ((F.max("freq") - F.min("freq")) / (F.count("*") - 1)).alias("df"), F.max("k").alias("last"))
-    rates = F.explode(F.array(*(F.struct(F.lit(x).alias("times"), F.lit(y).alias("name")) for x, y in ((0.25, "1/4"), (1 / 3, "1/3"), (0.5, "1/2"), (2.0, "2"), (3.0, "3"), (4.0, "4")))))
-    want = best.withColumn("x", rates).select("oid", "x.name", F.col("b.power").alias("peak"), F.round((F.col("b.freq") / F.col("x.times") - F.col("f0")) / F.col("df")).cast("int").alias("k"), "last")
-    return want.join(power.select("oid", "k", "power"), ["oid", "k"], "left").select("oid", "name", (F.col("power") / F.col("peak")).alias("rate"))
+def band_periods(bands: DataFrame, periods: DataFrame) -> DataFrame:
+    """Each band's own best period and its distance from the object's."""
+    best = bands.groupBy("oid", "fid").agg((1 / F.max_by("freq", F.struct("ratio", -F.col("k")))).alias("Period_band"))
+    return best.join(periods.select("oid", "period"), "oid").select("oid", "fid", "Period_band", F.abs(F.col("period") - F.col("Period_band")).alias("delta_period"))
 
 
-def qmi(obs: DataFrame, grid: DataFrame, mode: str = "cauchy_schwarz", h_phase: float = 0.4) -> DataFrame:
-    """Quadratic mutual information of phase and magnitude per frequency, by Gaussian and periodic kernels.
+RATES = ((0.25, "1/4"), (1 / 3, "1/3"), (0.5, "1/2"), (2.0, "2"), (3.0, "3"), (4.0, "4"))
 
-    ``mode`` is cauchy_schwarz or euclidean. Pairs stay within an object: the grid multiplies them, so keep it short.
+
+def power_rates(power: DataFrame) -> DataFrame:
+    """Power at 1/4, 1/3, 1/2, 2, 3 and 4 times the best period over the peak's, at the nearest grid point."""
+    best = power.groupBy("oid").agg(F.max(F.struct("power", (-F.col("k")).alias("nk"), "freq")).alias("b"), F.min("freq").alias("f0"), F.max("freq").alias("f1"), F.max("k").alias("last"))
+    rates = F.explode(F.array(*(F.struct(F.lit(x).alias("times"), F.lit(y).alias("name")) for x, y in RATES)))
+    want = best.withColumn("x", rates).withColumn("f", F.col("b.freq") / F.col("x.times"))
+    guess = F.round((F.col("f") - F.col("f0")) / (F.col("f1") - F.col("f0")) * F.col("last")).cast("int")
+    guess = F.least(F.greatest(guess, F.lit(0)), F.col("last"))
+    # a refined point may lie off the even grid, so the neighbours are looked at too
+    near = want.select("oid", "x.name", F.col("b.power").alias("peak"), "f", "last", F.explode(F.array(guess - 1, guess, guess + 1)).alias("k")).filter("k between 0 and last")
+    met = near.join(power.select("oid", "k", "freq", "power"), ["oid", "k"])
+    found = met.groupBy("oid", "name", "peak").agg(F.min_by("power", F.struct(F.round(F.abs(F.col("freq") - F.col("f")), 12), "k")).alias("power"))
+    return found.select("oid", "name", (F.col("power") / F.col("peak")).alias("rate"))
+
+
+def qmi(obs: DataFrame, grid: DataFrame, mode: str = "cauchy_schwarz", h_phase: float = 0.4, kernel: str = "gaussian") -> DataFrame:
+    """Quadratic mutual information of phase and magnitude per frequency, with a periodic kernel in phase.
+
+    ``mode`` is cauchy_schwarz, euclidean or entropy; ``kernel`` (of magnitude) gaussian or cauchy. The value
+    needs every pair of an object's points at every frequency; pairs are dealt to the grid's blocks, so they
+    are never shuffled crossed with it.
     """
     o = Window.partitionBy("oid")
     d = obs.filter(~F.col("forced")).withColumns({"n": F.count("*").over(o), "h": 0.9 * F.stddev_pop("mag").over(o) * F.pow(F.count("*").over(o), -0.2)})
-    a = d.select("oid", F.col("candid").alias("i"), F.col("mjd").alias("t1"), F.col("mag").alias("m1"), "n", "h")
-    b = d.select("oid", F.col("mjd").alias("t2"), F.col("mag").alias("m2"))
-    pairs = a.join(b, "oid").select("oid", "i", "n", (F.col("t1") - F.col("t2")).alias("dt"), F.exp(-F.pow(F.col("m1") - F.col("m2"), 2) / (4 * F.pow("h", 2))).alias("km"))
-    p = pairs.join(grid.select("oid", "k", "freq"), "oid").withColumn("kp", F.exp((F.cos(2 * F.lit(3.141592653589793) * F.col("dt") * F.col("freq")) - 1) / h_phase**2))
-    row = p.groupBy("oid", "k", "freq", "i").agg(F.first("n").alias("n"), F.sum(F.col("km") * F.col("kp")).alias("j"), F.sum("km").alias("m"), F.sum("kp").alias("p"))
-    g = row.groupBy("oid", "k", "freq").agg(F.first("n").alias("n"), F.sum("j").alias("j"), F.sum("m").alias("m"), F.sum("p").alias("p"), F.sum(F.col("m") * F.col("p")).alias("c"))
+    dealt = d.join(grid.select("oid", "block").distinct(), "oid")
+    a = dealt.select("oid", "block", F.col("candid").alias("i"), F.col("mjd").alias("t1"), F.col("mag").alias("m1"), "n", "h")
+    b = dealt.select("oid", "block", F.col("mjd").alias("t2"), F.col("mag").alias("m2"))
+    far = (F.col("m1") - F.col("m2")) / F.col("h")
+    shape = F.exp(-F.pow(far, 2) / 4) if kernel == "gaussian" else 1 / (1 + F.pow(far / 2, 2))
+    pairs = a.hint("merge").join(b, ["oid", "block"]).select("oid", "block", "i", "n", (F.col("t1") - F.col("t2")).alias("dt"), shape.alias("km"))
+    p = pairs.hint("merge").join(grid.select("oid", "block", "k", "freq"), ["oid", "block"]).withColumn("kp", F.exp((F.cos(TWO_PI * F.col("dt") * F.col("freq")) - 1) / h_phase**2))
+    row = p.groupBy(*KEYS, "i").agg(F.first("n").alias("n"), F.sum(F.col("km") * F.col("kp")).alias("j"), F.sum("km").alias("m"), F.sum("kp").alias("p"))
+    g = row.groupBy(*KEYS).agg(F.first("n").alias("n"), F.sum("j").alias("j"), F.sum("m").alias("m"), F.sum("p").alias("p"), F.sum(F.col("m") * F.col("p")).alias("c"))
     vj, vm, vc = F.col("j") / F.pow("n", 2), F.col("m") * F.col("p") / F.pow("n", 4), F.col("c") / F.pow("n", 3)
-    value = F.log(vj * vm / F.pow(vc, 2)) if mode == "cauchy_schwarz" else vj + vm - 2 * vc
-    return g.select("oid", "k", "freq", value.alias("power"))
+    values = {"cauchy_schwarz": F.log(vj * vm / F.pow(vc, 2)), "euclidean": vj + vm - 2 * vc, "entropy": F.abs(F.log(vj) - F.log(vm))}
+    return g.select("oid", "k", "freq", values[mode].alias("power"))

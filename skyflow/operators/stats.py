@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,14 @@ def magnitude_columns(column: str, suffix: str, where: Column | None = None) ->
     }
 
 
+#: Statistics added by users: name to a function that gives an aggregate column.
+_ADDED: dict[str, Callable[[], Column]] = {}
+
+
+def register_statistic(name: str, build: Callable[[], Column]) -> None:
+    _ADDED[name] = build
+
+
 def statistics() -> dict[str, Column]:
     """Every statistic of an (object, survey, band); one aggregation computes any choice of them."""
     saturated = F.lit(None).cast("double")
@@ -31,7 +41,7 @@ def statistics() -> dict[str, Column]:
         saturated = F.when(F.first("sid") == survey, F.count(F.when(F.col("mag_corr") < limit, 1)) / F.nullif(F.count(F.when(F.col("corrected"), 1)), F.lit(0)))
     return {
         **magnitude_columns("mag", ""), **magnitude_columns("mag_corr", "_corr", F.col("corrected")), "firstmjd": F.min("mjd"), "lastmjd": F.max("mjd"), "corrected": _at("corrected", "first"),
-        "stellar": _at("stellar", "first"), "ndubious": F.count(F.when(F.col("dubious"), 1)), "saturation_rate": saturated, "ndet": F.count("*"),
+        "stellar": _at("stellar", "first"), "ndubious": F.count(F.when(F.col("dubious"), 1)), "saturation_rate": saturated, "ndet": F.count("*"), **{k: f() for k, f in _ADDED.items()},
     }
 
 
@@ -65,9 +75,16 @@ def object_statistics(det: DataFrame) -> DataFrame:
         "firstmjd": F.min("mjd"), "lastmjd": F.max("mjd"), "deltamjd": F.max("mjd") - F.min("mjd"), "sids": F.array_join(F.sort_array(F.collect_set("sid")), ","), "corrected": F.min_by("corrected", ztf),
         "stellar": F.min_by("stellar", ztf), "ndet": F.count("*"), "diffpos": _at("isdiffpos", "first") > 0,
     }
+    if "tid" in det.columns:
+        out["tids"] = F.sort_array(F.collect_set("tid"))
     return rows.groupBy("oid").agg(*(v.alias(k) for k, v in out.items()))
 
 
+def reference_change(det: DataFrame) -> DataFrame:
+    """Whether the reference of an object's last row ended after its first."""
+    return det.groupBy("oid").agg((F.max_by("mjdendref", F.struct("mjd", "candid")) > F.min("mjd")).alias("reference_change"))
+
+
 def object_document(objects: DataFrame, magstats: DataFrame) -> DataFrame:
     """Object row with its per-band rows nested and a GeoJSON point."""
     from skyflow.functions.columns import geo_point

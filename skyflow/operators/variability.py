@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyflow.functions.columns import isclose, missing
-from skyflow.operators.features import KEYS, MIN_POINTS
+from skyflow.functions.columns import missing
+from skyflow.operators.features import KEYS, MIN_POINTS, near_pairs
 
 
 def autocor_length(det: DataFrame, level: float = 0.36787944117144233) -> DataFrame:
@@ -19,41 +21,85 @@ def autocor_length(det: DataFrame, level: float = 0.36787944117144233) -> DataFr
     return g.withColumn("z", z).select(*KEYS, F.coalesce(F.get(first, F.lit(0)).cast("long"), F.col("n")).alias("Autocor_length"))
 
 
-def slotted_autocorrelation(det: DataFrame, slot: float = 1.0, slots: int = 20) -> DataFrame:
-    """Mean product of standardised magnitudes of all pairs of a slot of time difference, in units of slot 0."""
-    g = Window.partitionBy(*KEYS)
-    d = det.filter(~F.col("forced")).withColumn("__n", F.count("*").over(g)).filter(F.col("__n") >= MIN_POINTS).withColumn("z", (F.col("mag") - F.avg("mag").over(g)) / F.stddev_pop("mag").over(g))
-    a = d.select(*KEYS, F.col("mjd").alias("t1"), F.col("z").alias("z1"))
-    b = d.select(*KEYS, F.col("mjd").alias("t2"), F.col("z").alias("z2"))
-    k = F.floor(F.abs(F.col("t2") - F.col("t1")) / slot + 0.5).cast("int")
-    p = a.join(b, KEYS).withColumn("slot", k).filter(F.col("slot") < slots).groupBy(*KEYS, "slot").agg(F.avg(F.col("z1") * F.col("z2")).alias("r"))
-    return p.withColumn("r", F.col("r") / F.first("r").over(Window.partitionBy(*KEYS).orderBy("slot")))
-
-
-def slotted_length(acf: DataFrame, level: float = 0.36787944117144233) -> DataFrame:
-    return acf.groupBy(*KEYS).agg(F.min(F.when(F.col("r") < level, F.col("slot"))).alias("SlottedA_length"))
+def slotted_autocorrelation(det: DataFrame, slot: float = 1.0, slots: int = 100, first: int = 0) -> DataFrame:
+    """Mean product of centred magnitudes of the pairs in each slot of time difference, in units of slot 0.
 
-
-def mhps(det: DataFrame, t1: float = 100.0, t2: float = 10.0, dt: float = 5.0, eps: float = 0.01) -> DataFrame:
-    """Mexican-hat power at two time scales: ratio, low, high and points used.
-
-    Each scale filters with the difference of two normalised Gaussians of widths s / sqrt(1 + eps) and
-    s * sqrt(1 + eps), s = 0.225 times the scale; support is 6 widths (6 dt at least); points with at most
-    three neighbours within 4 widths are left out.
+    Slots ``first`` to ``slots`` - 1; a slot without pairs has no row. Slot 0 has each point with itself too.
+    """
+    g = Window.partitionBy(*KEYS)
+    d = det.filter(~F.col("forced")).withColumn("__n", F.count("*").over(g)).filter(F.col("__n") >= MIN_POINTS).withColumn("z", F.col("mag") - F.avg("mag").over(g))
+    a = d.select(*KEYS, F.col("mjd").alias("t1"), F.col("candid").alias("c1"), F.col("z").alias("z1"))
+    b = d.select(*KEYS, F.col("mjd").alias("t2"), F.col("candid").alias("c2"), F.col("z").alias("z2"))
+    k = F.floor((F.col("t2") - F.col("t1")) / slot + 0.5).cast("int")
+    pairs = near_pairs(a, b, KEYS, "t1", "t2", slot * slots).filter(F.struct("t1", "c1") <= F.struct("t2", "c2")).withColumn("slot", k)
+    pairs = pairs.filter((F.col("slot") == 0) | F.col("slot").between(first, slots - 1))
+    p = pairs.groupBy(*KEYS, "slot").agg(F.avg(F.col("z1") * F.col("z2")).alias("r"))
+    p = p.withColumn("r", F.col("r") / F.first("r").over(Window.partitionBy(*KEYS).orderBy("slot")))
+    return p.filter((F.col("slot") >= first) & (F.col("slot") < slots))
+
+
+def slotted_length(det: DataFrame, slot: float = 1.0, slots: int = 100, level: float = 0.36787944117144233) -> DataFrame:
+    """First slot whose autocorrelation is below 1/e, times the slot.
+
+    ``slots`` are searched first; they are doubled for the light curves that have none yet and span more, so the
+    search goes as far as each light curve does; null where no slot of it is below.
     """
-    d = det.filter(~F.col("forced")).select(*KEYS, F.col("mjd").alias("t"), "mag", "candid")
+    own = det.filter(~F.col("forced")).groupBy(*KEYS).agg((F.max("mjd") - F.min("mjd")).alias("span"), F.count("*").alias("n")).filter(F.col("n") >= MIN_POINTS)
+    longest = own.agg(F.max("span")).first()[0] or 0.0
+    found, open_, first = None, det, 0
+    while True:
+        below = slotted_autocorrelation(open_, slot, slots, first).filter(F.col("r") < level).groupBy(*KEYS).agg((F.min("slot") * F.lit(float(slot))).alias("SlottedA_length"))
+        found = below if found is None else found.unionByName(below)
+        if slots * slot > longest:
+            return own.select(*KEYS).join(found, KEYS, "left")
+        open_ = open_.join(below, KEYS, "left_anti").join(own.filter(F.col("span") >= slots * slot).select(*KEYS), KEYS, "left_semi")
+        first, slots = slots, 2 * slots
+
+
+def stetson_k_ac(acf: DataFrame) -> DataFrame:
+    """Stetson's K of the slotted autocorrelation: how peaked its values are about their mean."""
+    z = F.col("r") - F.avg("r").over(Window.partitionBy(*KEYS))
+    g = acf.withColumn("z", z).groupBy(*KEYS).agg(F.count("*").alias("n"), F.sum(F.abs("z")).alias("a"), F.sum(F.col("z") * F.col("z")).alias("q"))
+    return g.select(*KEYS, F.when((F.col("n") > 1) & (F.col("q") > 0), F.col("a") / F.sqrt(F.col("n") * F.col("q"))).alias("StetsonK_AC"))
+
+
+def mhps(det: DataFrame, t1: float = 100.0, t2: float = 10.0, dt: float = 5.0, eps: float = 1.0, unit: str = "magnitude", zero_point: float = 19.0) -> DataFrame:
+    """Mexican-hat power at two time scales: ratio, low, high, points used, and whether noise exceeds the high one.
+
+    Each scale filters with the difference of two normalised Gaussians, of widths s and (1 + eps) * s with
+    s = 0.225 * scale / sqrt(1 + eps), over 6 s (6 dt at least) to each side. A point with at most three within
+    two thirds of that, itself included, is left out. Power is relative to the squared mean, and less the squared
+    relative mean error. ``diff_flux`` takes mag and e_mag as fluxes; magnitudes are made fluxes first.
+    """
+    own = det.filter(~F.col("forced")).select(*KEYS, F.col("mjd").alias("t"), "candid", "mag", "e_mag")
+    if unit == "magnitude":
+        flux = F.pow(F.lit(10.0), (zero_point - F.col("mag")) * 0.4)
+        own = own.withColumns({"y": flux, "e": math.log(10) * 0.4 * flux * F.col("e_mag")})
+    else:
+        own = own.withColumns({"y": F.col("mag"), "e": F.col("e_mag")})
+    mean = F.avg("y").over(Window.partitionBy(*KEYS))
+    d = own.withColumn("mean", mean).withColumn("x", F.col("y") - F.col("mean"))
     out = None
     for name, scale in (("low", t1), ("high", t2)):
-        s = 0.225 * scale
-        c1, c2 = s / (1 + eps) ** 0.5, s * (1 + eps) ** 0.5
+        c1 = 0.225 * scale / math.sqrt(1 + eps)
+        c2 = (1 + eps) * c1
         reach = max(6 * c1, 6 * dt)
-        b = d.select(*KEYS, F.col("t").alias("u"), F.col("mag").alias("y"))
-        p = d.join(b, KEYS).withColumn("x", F.abs(F.col("t") - F.col("u"))).filter(F.col("x") <= reach)
-        w = {k: F.exp(-F.pow("x", 2) / (2 * c * c)) for k, c in (("1", c1), ("2", c2))}
-        point = p.groupBy(*KEYS, "candid").agg(*((F.sum(v * F.col("y")) / F.sum(v)).alias(f"f{k}") for k, v in w.items()), F.count(F.when((F.col("x") <= 4 * c1) & (F.col("x") > 0), 1)).alias("near")).filter("near > 3")
-        power = point.groupBy(*KEYS).agg((F.avg(F.pow(F.col("f1") - F.col("f2"), 2)) / eps**2).alias(f"MHPS_{name}"), F.count("*").alias(f"n_{name}"))
-        out = power if out is None else out.join(power, KEYS)
-    return out.withColumn("MHPS_ratio", F.col("MHPS_low") / F.nullif("MHPS_high", F.lit(0.0)))
+        grid = [reach * (k / 500 - 1) for k in range(1001)]
+        bell = [[math.exp(-(t * t) / (2 * c * c)) for t in grid] for c in (c1, c2)]
+        area = [sum(b) * reach / 500 for b in bell]
+        norm = sum((x / area[0] - y / area[1]) ** 2 for x, y in zip(*bell)) * reach / 500
+        b = d.select(*KEYS, F.col("t").alias("u"), F.col("x").alias("v"))
+        p = near_pairs(d, b, KEYS, "t", "u", reach).withColumn("gap", F.abs(F.col("t") - F.col("u"))).filter(F.col("gap") < reach)
+        w = [F.exp(-F.pow("gap", 2) / (2 * c * c)) for c in (c1, c2)]
+        point = p.groupBy(*KEYS, "candid").agg(*((F.sum(v * F.col("v")) / F.sum(v)).alias(f"f{k}") for k, v in enumerate(w)), F.count(F.when(F.col("gap") <= reach / 3 * 2, 1)).alias("near"), F.first("mean").alias("mean"), F.first("e").alias("e")).filter("near > 3")
+        power = F.avg(F.pow(F.col("f0") - F.col("f1"), 2)) / norm / F.pow(F.first("mean"), 2)
+        side = point.groupBy(*KEYS).agg(power.alias(f"__{name}"), F.count("*").alias(f"n_{name}"), F.pow(F.avg("e") / F.first("mean"), 2).alias(f"__noise_{name}"))
+        out = side if out is None else out.join(side, KEYS)
+    noise = F.col("__noise_low")
+    quiet = F.col("__high") > noise
+    high = F.when(quiet, F.col("__high") - noise).otherwise(F.col("__high"))
+    out = out.withColumns({"MHPS_low": F.col("__low") - noise, "MHPS_high": high})
+    return out.select(*KEYS, (F.col("MHPS_low") / F.nullif("MHPS_high", F.lit(0.0))).alias("MHPS_ratio"), "MHPS_low", "MHPS_high", F.col("n_high").alias("MHPS_non_zero"), F.when(quiet, 0).otherwise(1).alias("MHPS_PN_flag"))
 
 
 def sigma_clip(det: DataFrame, width: float = 3.0, column: str = "mag") -> DataFrame:
@@ -66,17 +112,34 @@ def sigma_clip(det: DataFrame, width: float = 3.0, column: str = "mag") -> DataF
 
 
 def robust_scale(det: DataFrame) -> DataFrame:
-    """Weighted median and interquartile range (weights 1 / error^2) of each light curve."""
+    """Weighted median, and the lesser of the weighted deviation and IQR / 1.349 (weights 1 / error^2) of each light curve.
+
+    A quantile lies between the two points whose cumulated weights (their own counted half) enclose it.
+    """
     w = F.pow("e_mag", -2)
     g, o = Window.partitionBy(*KEYS), Window.partitionBy(*KEYS).orderBy("mag", "candid")
-    d = det.filter(~F.col("forced")).withColumn("q", (F.sum(w).over(o.rowsBetween(Window.unboundedPreceding, 0)) - w / 2) / F.sum(w).over(g))
-    at = lambda p: F.min(F.when(F.col("q") >= p, F.col("mag")))
-    return d.groupBy(*KEYS).agg(at(0.5).alias("location"), ((at(0.75) - at(0.25)) / 1.349).alias("scale"))
+    d = det.filter(~F.col("forced")).withColumns({"w": w, "q": (F.sum(w).over(o.rowsBetween(Window.unboundedPreceding, 0)) - w / 2) / F.sum(w).over(g)})
+    d = d.withColumns({"q0": F.lag("q").over(o), "m0": F.lag("mag").over(o), "mean": F.sum(F.col("w") * F.col("mag")).over(g) / F.sum("w").over(g)})
+
+    def at(p: float) -> Column:
+        inside = (F.col("q") >= p) & (F.col("q0") < p)
+        between = (F.col("m0") * (F.col("q") - p) + F.col("mag") * (p - F.col("q0"))) / (F.col("q") - F.col("q0"))
+        below = F.max(F.when(F.col("q") < p, F.struct("q", "mag")))["mag"]
+        return F.coalesce(F.min(F.when(inside, between)), F.min(F.when((F.col("q") >= p) & F.col("q0").isNull(), F.col("mag"))), below)
+
+    std = F.sqrt(F.sum(F.col("w") * F.pow(F.col("mag") - F.col("mean"), 2)) / F.sum("w"))
+    return d.groupBy(*KEYS).agg(at(0.5).alias("location"), F.least(std, (at(0.75) - at(0.25)) / 1.349).alias("scale"))
 
 
 def eligible_bands(det: DataFrame, n: int) -> DataFrame:
-    """Rows of bands with at least ``n`` detections."""
-    return det.filter(~F.col("forced")).withColumn("__n", F.count("*").over(Window.partitionBy(*KEYS))).filter(F.col("__n") >= n).drop("__n")
+    """Rows of bands with at least ``n`` detections, of objects with at least ``n`` in these bands."""
+    own = det.filter(~F.col("forced")).withColumn("__n", F.count("*").over(Window.partitionBy(*KEYS))).filter(F.col("__n") >= n)
+    return own.withColumn("__n", F.count("*").over(Window.partitionBy("oid"))).filter(F.col("__n") >= n).drop("__n")
+
+
+def for_every_object(values: DataFrame, objects: DataFrame, key: str = "oid") -> DataFrame:
+    """Values of all objects; nulls where an object was not eligible."""
+    return objects.select(key).distinct().join(values, key, "left")
 
 
 def chi2_tail(x: Column, k: Column, terms: int = 200) -> Column:
@@ -111,10 +174,10 @@ def panstarrs_colors(meta: DataFrame) -> DataFrame:
 
 
 def unique_neighbour_flags(alerts: DataFrame, stored: DataFrame, column: str) -> DataFrame:
-    """``unique`` is false where any stored row of the object differs from the alert's neighbour by more than 1e-3."""
-    far = ~isclose(F.col(column), F.col(f"__{column}"), 1e-3, 1e-3)
-    other = alerts.join(stored.select("oid", F.col(column).alias(f"__{column}")), "oid").groupBy("oid", "candid").agg(F.max(far).alias("differs"))
-    return alerts.join(other, ["oid", "candid"], "left").withColumn("unique", ~F.coalesce("differs", F.lit(False))).drop("differs")
+    """``unique`` is false where a stored row of the object has the alert's neighbour, to 1e-3; see ``commands.close_neighbours``."""
+    from skyflow.operators.commands import close_neighbours
+
+    return close_neighbours(alerts, stored, [column], ["unique"])[0]
 
 
 def merge_references(new: DataFrame, stored: DataFrame) -> DataFrame:

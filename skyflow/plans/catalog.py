@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,16 +99,18 @@ def survey_dispatch(s, d):
     return T.detections(s, d).select("candid", correct.by_survey({"ztf": F.col("mag"), "atlas": correct.correct_lsst(F.col("mag"))}, None).alias("value"))
 
 
-@register("dedup_detections", "SELECT oid, fid, count(*) n FROM det GROUP BY oid, fid")
+@register("dedup_detections", "SELECT oid, candid, fid, new, mag FROM det ", "mag")
 def dedup_detections(s, d):
     det = T.detections(s, d)
-    return history.dedup_detections(det.unionByName(det.withColumn("new", F.lit(False)))).groupBy("oid", "fid").agg(F.count("*").alias("n"))
+    both = det.unionByName(det.withColumns({"new": F.lit(False), "mag": F.col("mag") + 1}))
+    # of a new row and its copy the new one stays, of two old ones the brighter
+    return history.dedup_detections(both).select("oid", "candid", "fid", "new", "mag")
 
 
-@register("dedup_limits", "SELECT oid, fid, count(DISTINCT mjd) n FROM nd GROUP BY oid, fid")
+@register("dedup_limits", "SELECT DISTINCT oid, fid, mjd FROM nd ")
 def dedup_limits(s, d):
     nd = T.limits(s, d)
-    return history.dedup_limits(nd.unionByName(nd)).groupBy("oid", "fid").agg(F.count("*").alias("n"))
+    return history.dedup_limits(nd.unionByName(nd)).select("oid", "fid", "mjd")
 
 
 @register("keep_last_earliest", "SELECT oid, arg_max(candid, mjd) last_candid, arg_min(candid, mjd) first_candid FROM det GROUP BY oid")
@@ -116,11 +119,15 @@ def keep_last_earliest(s, d):
     return history.keep_last(det, "oid", "mjd").select("oid", F.col("candid").alias("last_candid")).join(history.keep_earliest(det, "oid", "mjd").select("oid", F.col("candid").alias("first_candid")), "oid")
 
 
-@register("union_history", "SELECT x.oid, count(*) n, count(*) FILTER (x.new) n_new FROM det x JOIN (SELECT oid, max(mjd) m FROM det WHERE new AND candid % 3 = 0 GROUP BY oid) l ON x.oid = l.oid AND x.mjd <= l.m WHERE (x.new AND x.candid % 3 = 0) OR NOT x.new GROUP BY x.oid")
+@register(
+    "union_history",
+    """SELECT x.oid, candid, new FROM det x JOIN (SELECT oid, max(mjd) m FROM det WHERE new GROUP BY oid) l
+ ON x.oid = l.oid AND x.mjd <= l.m""",
+)
 def union_history(s, d):
     det = T.detections(s, d)
-    batch, stored = det.filter("new and candid % 3 = 0"), det.filter("not new")
-    return history.as_of_cut(history.union_history(batch, stored), batch).groupBy("oid").agg(F.count("*").alias("n"), F.count(F.when(F.col("new"), 1)).alias("n_new"))
+    batch, stored = det.filter("new"), det.filter("not new")
+    return history.as_of_cut(history.union_history(batch, stored), batch).select("oid", "candid", "new")
 
 
 @register("top_k_magnitudes", "SELECT oid, candid, mag, rank FROM (SELECT *, row_number() OVER (PARTITION BY oid ORDER BY mag DESC, candid) rank FROM det ) WHERE rank <= 5", "mag", longs="rank")
@@ -169,10 +176,14 @@ def watchlist_filter(s, d):
     return filters.ready_to_notify(T.detections(s, d), WATCH, ["mag", "rb"]).select("candid", "ready_to_notify")
 
 
-@register("exclude_objects", "SELECT count(*) n, count(DISTINCT oid) objects FROM det WHERE CAST(oid AS BIGINT) NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0)")
+@register(
+    "exclude_objects",
+    """SELECT oid, candid FROM det WHERE CAST(oid AS BIGINT) NOT IN
+ (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""",
+)
 def exclude_objects(s, d):
-    listed = T.table(s, d, "customer").filter("c_custkey % 3 = 0").select(F.col("c_custkey").cast("string").alias("oid"))
-    return filters.exclude_objects(T.detections(s, d), listed).agg(F.count("*").alias("n"), F.count_distinct("oid").alias("objects"))
+    listed = T.table(s, d, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").cast("string").alias("oid"))
+    return filters.exclude_objects(T.detections(s, d), listed).select("oid", "candid")
 
 
 SEP = "2 * degrees(asin(sqrt(least(pow(sin(radians({b}.dec - {a}.dec) / 2), 2) + cos(radians({a}.dec)) * cos(radians({b}.dec)) * pow(sin(radians({b}.ra - {a}.ra) / 2), 2), 1)))) * 3600".format(a="o", b="c")
@@ -197,8 +208,10 @@ def neighbour_distance(s, d):
 
 @register("assign_aid")
 def assign_aid(s, d):
+    # known are the objects of the first ten days, and each alert is looked up by object, then by position
     alerts = T.detections(s, d)
-    known = alerts.filter("cast(oid as int) % 3 = 0").groupBy("oid").agg(F.first("ra").alias("ra"), F.first("dec").alias("dec")).withColumn("aid", F.concat(F.lit("AL"), "oid"))
+    early = alerts.filter("mjd < 60320")
+    known = early.groupBy("oid").agg(F.min("ra").alias("ra"), F.min("dec").alias("dec")).withColumn("aid", F.concat(F.lit("AL"), "oid"))
     return sky.assign_aid(alerts, known)
 
 
@@ -257,16 +270,24 @@ def melt_probabilities(s, d):
     return classify.melt_probabilities(wide, "oid", ["a", "b"])
 
 
-@register("insert_if_absent", "SELECT oid, class_name FROM prob WHERE oid NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 4 = 0)")
+@register("insert_if_absent", "SELECT oid, class_name FROM prob WHERE oid NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
 def insert_if_absent(s, d):
-    stored = T.table(s, d, "orders").filter("o_orderkey % 4 = 0").select(F.col("o_orderkey").alias("oid"), F.lit("share").alias("classifier_name"))
+    stored = T.table(s, d, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("oid"), F.lit("share").alias("classifier_name"))
     return classify.insert_if_absent(stored, T.probabilities(s, d)).select("oid", "class_name")
 
 
-@register("replace_probabilities", "SELECT oid, class_name, round(probability, 6) + 0.0::double AS probability, ranking FROM (SELECT *, row_number() OVER (PARTITION BY oid ORDER BY probability DESC, class_name) ranking FROM prob WHERE oid % 2 = 0) UNION ALL SELECT o_orderkey, 'old', 1.0::double, 1 FROM orders WHERE o_orderkey NOT IN (SELECT oid FROM prob WHERE oid % 2 = 0)", longs="ranking")
+@register(
+    "replace_probabilities",
+    """SELECT oid, class_name, round(probability, 6) + 0.0::double AS probability, ranking FROM
+ (SELECT *, row_number() OVER (PARTITION BY oid ORDER BY probability DESC, class_name) ranking FROM prob )
+ UNION ALL SELECT o_orderkey, 'old', 1.0::double, 1 FROM orders WHERE o_orderdate >= '1998-01-01' OR o_orderkey NOT IN (SELECT oid FROM prob )""",
+    longs="ranking",
+)
 def replace_probabilities(s, d):
-    stored = T.table(s, d, "orders").select(F.col("o_orderkey").alias("oid"), F.lit("share").alias("classifier_name"), F.lit("1.0").alias("classifier_version"), F.lit("old").alias("class_name"), F.lit(1.0).alias("probability"), F.lit(1).alias("ranking"))
-    out = classify.replace_probabilities(stored, T.probabilities(s, d).filter("oid % 2 = 0"))
+    version = F.when(F.col("o_orderdate") < "1998-01-01", "1.0").otherwise("0.9")
+    fixed = {"classifier_name": F.lit("share"), "classifier_version": version, "class_name": F.lit("old"), "probability": F.lit(1.0), "ranking": F.lit(1)}
+    stored = T.table(s, d, "orders").select(F.col("o_orderkey").alias("oid"), *(v.alias(k) for k, v in fixed.items()))
+    out = classify.replace_probabilities(stored, T.probabilities(s, d))
     return out.select("oid", "class_name", (F.round("probability", 6) + F.lit(0.0)).alias("probability"), "ranking")
 
 
@@ -275,28 +296,30 @@ def wide_features(s, d):
     return classify.wide_features(T.detections(s, d).select("oid", "candid", F.col("fid").alias("name"), F.col("mag").alias("value")), ["click", "view"])
 
 
-NEW = "SELECT l_orderkey AS k, sum(l_extendedprice) AS v FROM lineitem WHERE l_orderkey % 5 < 2 GROUP BY l_orderkey"
+# stored are the orders up to 1997; the batch has sums of all lines, so later orders are new to the store
+NEW = "SELECT l_orderkey AS k, sum(l_extendedprice) AS v FROM lineitem GROUP BY l_orderkey"
+STORED = "SELECT o_orderkey AS k, o_totalprice AS v FROM orders WHERE o_orderdate < '1998-01-01'"
 
 
 def _updates(s, d):
-    return T.table(s, d, "lineitem").filter("l_orderkey % 5 < 2").groupBy(F.col("l_orderkey").alias("k")).agg(F.sum("l_extendedprice").alias("v"))
+    return T.table(s, d, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.sum("l_extendedprice").alias("v"))
 
 
 def _target(s, d):
-    return T.table(s, d, "orders").filter("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"))
+    return T.table(s, d, "orders").filter(F.col("o_orderdate") < "1998-01-01").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"))
 
 
-@register("upsert", f"SELECT coalesce(n.k, o.k) AS k, coalesce(n.v, o.v) AS v FROM (SELECT o_orderkey AS k, o_totalprice AS v FROM orders WHERE o_orderkey % 3 <> 0) o FULL JOIN ({NEW}) n ON o.k = n.k", "v", 2)
+@register("upsert", f"SELECT coalesce(n.k, o.k) AS k, coalesce(n.v, o.v) AS v FROM ({STORED}) o FULL JOIN ({NEW}) n ON o.k = n.k", "v", 2)
 def upsert(s, d):
     return merge.upsert(_target(s, d), _updates(s, d), ["k"])
 
 
-@register("insert_ignore", f"SELECT coalesce(o.k, n.k) AS k, coalesce(o.v, n.v) AS v FROM (SELECT o_orderkey AS k, o_totalprice AS v FROM orders WHERE o_orderkey % 3 <> 0) o FULL JOIN ({NEW}) n ON o.k = n.k", "v", 2)
+@register("insert_ignore", f"SELECT coalesce(o.k, n.k) AS k, coalesce(o.v, n.v) AS v FROM ({STORED}) o FULL JOIN ({NEW}) n ON o.k = n.k", "v", 2)
 def insert_ignore(s, d):
     return merge.insert_ignore(_target(s, d), _updates(s, d), ["k"])
 
 
-@register("update_columns", f"SELECT o.k, coalesce(n.v, o.v) AS v FROM (SELECT o_orderkey AS k, o_totalprice AS v FROM orders WHERE o_orderkey % 3 <> 0) o LEFT JOIN ({NEW}) n ON o.k = n.k", "v", 2)
+@register("update_columns", f"SELECT o.k, coalesce(n.v, o.v) AS v FROM ({STORED}) o LEFT JOIN ({NEW}) n ON o.k = n.k", "v", 2)
 def update_columns(s, d):
     return merge.update_columns(_target(s, d), _updates(s, d), ["k"], ["v"])
 
@@ -416,14 +439,29 @@ def colors(s, d):
     return features.colors(T.detections(s, d), "click", "view")
 
 
-@register("color_variation", "SELECT oid, stddev_samp(c) AS color_variation, count(*) AS n_windows FROM (SELECT oid, b, avg(mag) FILTER (fid = 'click') - avg(mag) FILTER (fid = 'view') AS c, count(*) FILTER (fid = 'click') AS na, count(*) FILTER (fid = 'view') AS nb FROM (SELECT *, floor((mjd - min(mjd) OVER (PARTITION BY oid)) / 5) AS b FROM det WHERE NOT forced) GROUP BY oid, b) WHERE na >= 1 AND nb >= 1 GROUP BY oid", "color_variation")
+@register(
+    "color_variation",
+    """SELECT oid, stddev_samp(c) AS color_variation, count(*) AS n_windows FROM (SELECT oid, b,
+ avg(mag) FILTER (fid = 'click') - avg(mag) FILTER (fid = 'view') AS c, count(*) FILTER (fid = 'click') AS na, count(*) FILTER (fid = 'view') AS nb
+ FROM (SELECT *, floor((mjd - min(mjd) OVER (PARTITION BY oid)) / 10) AS b FROM det WHERE NOT forced) GROUP BY oid, b)
+ WHERE na >= 3 AND nb >= 3 GROUP BY oid""",
+    "color_variation",
+)
 def color_variation(s, d):
-    return features.color_variation(T.detections(s, d), "click", "view", 5.0)
-
-
-@register("sn_features", """SELECT oid, fid, count(*) FILTER (NOT forced AND isdiffpos > 0) / nullif(count(*) FILTER (NOT forced), 0) AS positive_fraction, count(*) FILTER (b) AS n_before, max(mag) FILTER (b) AS max_before, quantile_cont(mag, 0.5) FILTER (b) AS median_before,
- arg_max(mag, (mjd, candid)) FILTER (b) AS last_before, count(*) FILTER (a) AS n_after, max(mag) FILTER (a) AS max_after, quantile_cont(mag, 0.5) FILTER (a) AS median_after
- FROM (SELECT *, forced AND mjd < f AS b, forced AND mjd >= f AS a FROM (SELECT *, min(CASE WHEN NOT forced THEN mjd END) OVER (PARTITION BY oid) AS f FROM det )) GROUP BY oid, fid""", "positive_fraction max_before median_before last_before max_after median_after")
+    return features.color_variation(T.detections(s, d), "click", "view")
+
+
+@register(
+    "sn_features",
+    """SELECT *, first - last_before AS dbrightness_first_det, first - median_before AS dbrightness_forced_phot FROM (
+ SELECT oid, fid, count(*) FILTER (NOT forced AND isdiffpos > 0) / nullif(count(*) FILTER (NOT forced), 0) AS positive_fraction,
+ count(*) FILTER (b) AS n_before, max(mag) FILTER (b) AS max_before, quantile_cont(mag, 0.5) FILTER (b) AS median_before,
+ arg_max(mag, (mjd, candid)) FILTER (b) AS last_before, arg_min(mag, (mjd, candid)) FILTER (NOT forced) AS first,
+ count(*) FILTER (a) AS n_after, max(mag) FILTER (a) AS max_after, quantile_cont(mag, 0.5) FILTER (a) AS median_after
+ FROM (SELECT *, forced AND mjd < f AS b, forced AND mjd > f AS a FROM
+ (SELECT *, min(CASE WHEN NOT forced THEN mjd END) OVER (PARTITION BY oid) AS f FROM det )) GROUP BY oid, fid)""".replace("SELECT *, first", "SELECT * EXCLUDE (first), first"),
+    "positive_fraction max_before median_before last_before max_after median_after dbrightness_first_det dbrightness_forced_phot",
+)
 def sn_features(s, d):
     return features.sn_features(T.detections(s, d))
 
@@ -440,7 +478,22 @@ def tde_tail(s, d):
     return features.tde_tail(T.detections(s, d))
 
 
-@register("structure_function")
+@register(
+    "structure_function",
+    """WITH p AS (SELECT a.oid, a.fid, b.mjd - a.mjd AS dt, pow(b.mag - a.mag, 2) - pow(a.e_mag, 2) - pow(b.e_mag, 2) AS d
+ FROM det a JOIN det b ON a.oid = b.oid AND a.fid = b.fid AND (a.mjd, a.candid) < (b.mjd, b.candid) AND NOT a.forced AND NOT b.forced
+ WHERE b.mjd - a.mjd BETWEEN 5 AND 365),
+b AS (SELECT oid, fid, floor((log10(dt) - log10(5)) / 0.1::double + 1e-12)::int AS k, avg(d) AS s FROM p GROUP BY ALL HAVING s > 0),
+t AS (SELECT *, (pow(10, log10(5) + 0.1::double * k) + pow(10, log10(5) + 0.1::double * (k + 1))) / 730 AS tau FROM b WHERE k < 26),
+f AS (SELECT oid, fid, count(*) AS n, count(*) FILTER (tau > 0.01 AND tau <= 0.5) AS m,
+ regr_slope(log10(sqrt(s)), log10(tau)) FILTER (tau > 0.01 AND tau <= 0.5) AS g,
+ pow(10, regr_intercept(log10(sqrt(s)), log10(tau)) FILTER (tau > 0.01 AND tau <= 0.5)) AS a FROM t GROUP BY oid, fid)
+SELECT oid, fid, CASE WHEN n >= 2 AND m >= 2 THEN CASE WHEN a < 0.005 THEN 0 ELSE greatest(least(g, 3), -0.5) END ELSE -0.5 END AS SF_ML_gamma,
+ CASE WHEN n >= 2 AND m >= 2 THEN CASE WHEN a < 0.005 THEN 0 ELSE least(a, 15) END ELSE -0.5 END AS SF_ML_amplitude
+FROM (SELECT DISTINCT oid, fid FROM det WHERE NOT forced) LEFT JOIN f USING (oid, fid)""",
+    "SF_ML_gamma SF_ML_amplitude",
+    4,
+)
 def structure_function(s, d):
     return features.structure_function(T.detections(s, d))
 
@@ -458,53 +511,108 @@ def folded_kim(s, d):
 
 @register("harmonics")
 def harmonics(s, d):
-    return features.harmonics(T.detections(s, d), _periods(s, d), 2)
+    return features.harmonics(T.detections(s, d), _periods(s, d))
 
 
 def _grid(s, d):
-    return period.frequency_grid(T.detections(s, d), 0.5, 10.0, least=40, most=40)
+    return period.frequency_grid(T.detections(s, d), 0.045, 100.0)
 
 
-PHASED = """(SELECT *, (mjd - t0) * freq - floor((mjd - t0) * freq) AS phase FROM (SELECT det.*, t0, CAST(k AS INTEGER) AS k, 0.1::double + k * 1.9::double / 39 AS freq FROM det JOIN (SELECT oid, min(mjd) AS t0 FROM det GROUP BY oid) USING (oid), range(40) g(k) WHERE NOT forced))"""
+LO, STEP = "0.01::double", "(1 / 0.045::double - 0.01::double)"
+GRID = f"""(SELECT oid, t0, unnest(range(n)) AS k, n FROM (SELECT oid, min(mjd) AS t0,
+ greatest(1000, ceil({STEP} * (max(mjd) - min(mjd)) / 0.2::double)::int) AS n FROM det GROUP BY oid))"""
+PHASED = f"""(SELECT *, (mjd - t0) * freq - floor((mjd - t0) * freq) AS phase FROM (SELECT det.*, t0, CAST(k AS INTEGER) AS k,
+ {LO} + k * {STEP} / (n - 1) AS freq FROM det JOIN {GRID} USING (oid) WHERE NOT forced))"""
+BAND_POWER = f"""(SELECT *, n - 3 AS d2, syy - sy * sy / sw AS wvar,
+ CASE WHEN cc > 1e-12 AND ss - cs * cs / cc > 1e-12 THEN yc * yc / cc + pow(ys - cs * yc / cc, 2) / (ss - cs * cs / cc) ELSE 0 END AS power FROM (
+ SELECT oid, fid, k, freq, count(*) AS n, sum(w) AS sw, sum(w * mag) AS sy, sum(w * mag * mag) AS syy,
+ sum(w * c * c) - pow(sum(w * c), 2) / sum(w) AS cc, sum(w * s * s) - pow(sum(w * s), 2) / sum(w) AS ss,
+ sum(w * c * s) - sum(w * c) * sum(w * s) / sum(w) AS cs, sum(w * mag * c) - sum(w * mag) * sum(w * c) / sum(w) AS yc,
+ sum(w * mag * s) - sum(w * mag) * sum(w * s) / sum(w) AS ys
+ FROM (SELECT *, 1 / pow(e_mag, 2) AS w, cos(2 * pi() * phase) AS c, sin(2 * pi() * phase) AS s FROM {PHASED}) GROUP BY oid, fid, k, freq))"""
+POWER = f"""(SELECT oid, k, freq, sum(d2) * sum(power) / (2 * greatest(sum(wvar) - sum(power), 1e-9)) AS power FROM {BAND_POWER} GROUP BY oid, k, freq)"""
 
 
-@register("mhaov_periodogram", f"""SELECT oid, k, freq, sum(power) AS power FROM (SELECT *, CASE WHEN abs(cc * ss - cs * cs) > 1e-9 THEN (yc * yc * ss - 2 * yc * ys * cs + ys * ys * cc) / (cc * ss - cs * cs) ELSE 0 END AS power FROM (
- SELECT oid, fid, k, freq, sum(w * c * c) - pow(sum(w * c), 2) / sum(w) AS cc, sum(w * s * s) - pow(sum(w * s), 2) / sum(w) AS ss, sum(w * c * s) - sum(w * c) * sum(w * s) / sum(w) AS cs, sum(w * mag * c) - sum(w * mag) * sum(w * c) / sum(w) AS yc, sum(w * mag * s) - sum(w * mag) * sum(w * s) / sum(w) AS ys
- FROM (SELECT *, 1 / pow(e_mag, 2) AS w, cos(2 * pi() * phase) AS c, sin(2 * pi() * phase) AS s FROM {PHASED}) GROUP BY oid, fid, k, freq)) GROUP BY oid, k, freq""", "freq power", 1)
-def mhaov_periodogram(s, d):
+def _power(s, d):
     return period.multiband(period.mhaov(T.detections(s, d), _grid(s, d)))
 
 
-@register("pdm_periodogram", f"SELECT oid, k, freq, pooled / total AS theta FROM (SELECT oid, k, freq, sum(sq - su * su / n) FILTER (n > 2) / sum(n - 1) FILTER (n > 2) AS pooled FROM (SELECT oid, k, freq, floor(phase * 8) AS b, count(*) AS n, sum(mag * mag) AS sq, sum(mag) AS su FROM {PHASED} GROUP BY ALL) GROUP BY oid, k, freq) JOIN (SELECT oid, var_samp(mag) AS total FROM det WHERE NOT forced GROUP BY oid) USING (oid)", "freq theta", 4)
+@register("mhaov_periodogram", f"SELECT oid, k, freq, power FROM {POWER}", "freq power", 3)
+def mhaov_periodogram(s, d):
+    return _power(s, d).select("oid", "k", "freq", "power")
+
+
+@register(
+    "pdm_periodogram",
+    f"""SELECT oid, k, freq, pooled / total AS theta FROM (SELECT oid, k, freq, sum(sq - su * su / n) FILTER (n > 2) / sum(n - 1) FILTER (n > 2) AS pooled
+ FROM (SELECT oid, k, freq, floor(phase * 8) AS b, count(*) AS n, sum(mag * mag) AS sq, sum(mag) AS su FROM {PHASED} GROUP BY ALL) GROUP BY oid, k, freq)
+ JOIN (SELECT oid, var_samp(mag) AS total FROM det WHERE NOT forced GROUP BY oid) USING (oid)""",
+    "freq theta",
+    3,
+)
 def pdm_periodogram(s, d):
     return period.pdm(T.detections(s, d), _grid(s, d))
 
 
-@register("aov_periodogram", f"SELECT oid, k, freq, ((between_ - su * su / n) / (r - 1)) / ((sq - between_) / (n - r)) AS power FROM (SELECT oid, k, freq, sum(n) AS n, count(*) AS r, sum(su) AS su, sum(sq) AS sq, sum(su * su / n) AS between_ FROM (SELECT oid, k, freq, floor(phase * 8) AS b, count(*) AS n, sum(mag * mag) AS sq, sum(mag) AS su FROM {PHASED} GROUP BY ALL) GROUP BY oid, k, freq) WHERE n > r AND r > 1", "freq power", 4)
+def _aov_sql(weight: str) -> str:
+    return f"""SELECT oid, k, freq, (nmm - 2 * total * nm + n * total * total) / (r - 1) / (inside / (n - r)) AS power FROM (
+ SELECT oid, k, freq, sum(n) AS n, count(*) AS r, sum(wy) / sum(w) AS total, sum(n * mean * mean) AS nmm, sum(n * mean) AS nm, sum(sq - 2 * mean * su + n * mean * mean) AS inside
+ FROM (SELECT *, wy / w AS mean FROM (SELECT oid, k, freq, floor(phase * 8) AS b, count(*) AS n, sum(mag * mag) AS sq, sum(mag) AS su, sum({weight} * mag) AS wy, sum({weight}) AS w
+ FROM {PHASED} GROUP BY ALL)) GROUP BY oid, k, freq) WHERE n > r AND r > 1"""
+
+
+@register("aov_periodogram", _aov_sql("1"), "freq power", 3)
 def aov_periodogram(s, d):
     return period.aov(T.detections(s, d), _grid(s, d))
 
 
-@register("string_length", f"SELECT oid, k, freq, sum(pow(mag - pm, 2) / (pow(e_mag, 2) + pow(pe, 2))) AS length FROM (SELECT *, coalesce(lag(mag) OVER o, last_value(mag) OVER e) AS pm, coalesce(lag(e_mag) OVER o, last_value(e_mag) OVER e) AS pe FROM {PHASED} WINDOW o AS (PARTITION BY oid, k ORDER BY phase, candid), e AS (PARTITION BY oid, k ORDER BY phase, candid ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) GROUP BY oid, k, freq", "freq length", 2)
+@register("weighted_aov_periodogram", _aov_sql("1 / pow(e_mag, 2)"), "freq power", 3)
+def weighted_aov_periodogram(s, d):
+    return period.aov(T.detections(s, d), _grid(s, d), weighted=True)
+
+
+@register(
+    "string_length",
+    f"""SELECT oid, k, freq, sum(pow(mag - pm, 2) / (pow(e_mag, 2) + pow(pe, 2))) AS length FROM (SELECT *, coalesce(lag(mag) OVER o, last_value(mag) OVER e) AS pm,
+ coalesce(lag(e_mag) OVER o, last_value(e_mag) OVER e) AS pe FROM {PHASED} WINDOW o AS (PARTITION BY oid, k ORDER BY phase, candid),
+ e AS (PARTITION BY oid, k ORDER BY phase, candid ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) GROUP BY oid, k, freq""",
+    "freq length",
+    3,
+)
 def string_length(s, d):
     return period.string_length(T.detections(s, d), _grid(s, d))
 
 
-@register("period_features")
+@register(
+    "period_features",
+    f"""SELECT oid, 1 / arg_max(freq, (power, -k)) AS period, max(power) AS peak, 1 + sum(p * ln(p)) / ln(100) AS ppe FROM (SELECT *, (power + 0.01::double) / sum(power + 0.01::double) OVER (PARTITION BY oid) AS p
+ FROM (SELECT *, row_number() OVER (PARTITION BY oid ORDER BY power DESC, k) AS r FROM {POWER}) WHERE r <= 100) GROUP BY oid""",
+    "period peak ppe",
+    4,
+)
 def period_features(s, d):
-    det, grid = T.detections(s, d), _grid(s, d)
-    return period.period_features(period.multiband(period.mhaov(det, grid)), 20)
+    return period.period_features(_power(s, d))
 
 
-@register("power_rates")
+@register(
+    "power_rates",
+    f"""WITH pw AS MATERIALIZED (SELECT * FROM {POWER}), best AS (SELECT oid, arg_max(freq, (power, -k)) AS bf, max(power) AS peak, min(freq) AS f0, max(freq) AS f1, max(k) AS last FROM pw GROUP BY oid),
+ want AS (SELECT *, bf / times AS f FROM best, (VALUES (0.25::double, '1/4'), (1 / 3::double, '1/3'), (0.5::double, '1/2'), (2.0::double, '2'), (3.0::double, '3'), (4.0::double, '4')) v(times, name))
+ SELECT want.oid, name, power / peak AS rate FROM want JOIN pw ON pw.oid = want.oid AND pw.k = least(greatest(round((f - f0) / (f1 - f0) * last)::int, 0), last)""",
+    "rate",
+    3,
+)
 def power_rates(s, d):
-    return period.power_rates(period.multiband(period.mhaov(T.detections(s, d), _grid(s, d))))
+    return period.power_rates(_power(s, d))
 
 
 @register("refined_periods")
 def refined_periods(s, d):
     det, grid = T.detections(s, d), _grid(s, d)
-    return period.period_features(period.refine(det, grid, period.multiband(period.mhaov(det, grid)), 3, 5), 20)
+    power, bands = period.refine(det, grid, period.mhaov(det, grid))
+    best = period.period_features(power)
+    own = period.band_periods(bands, best).groupBy("oid").agg(F.count("*").alias("bands"), F.max("delta_period").alias("delta_period"))
+    return best.join(own, "oid")
 
 
 from skyflow.operators import fits, variability  # noqa: E402
@@ -545,14 +653,41 @@ def autocor_length(s, d):
     return variability.autocor_length(T.detections(s, d))
 
 
-@register("slotted_autocorrelation", "SELECT oid, fid, slot, r / first_value(r) OVER (PARTITION BY oid, fid ORDER BY slot) AS r FROM (WITH z AS (SELECT *, (mag - avg(mag) OVER g) / stddev_pop(mag) OVER g AS z FROM det WHERE NOT forced WINDOW g AS (PARTITION BY oid, fid) QUALIFY count(*) OVER g >= 6) SELECT oid, fid, slot, avg(p) AS r FROM (SELECT a.oid, a.fid, CAST(floor(abs(b.mjd - a.mjd) + 0.5) AS INTEGER) AS slot, a.z * b.z AS p FROM z a JOIN z b ON a.oid = b.oid AND a.fid = b.fid) WHERE slot < 20 GROUP BY oid, fid, slot)", "r", 4)
+ACF = """(WITH z AS (SELECT *, mag - avg(mag) OVER (PARTITION BY oid, fid) AS z FROM det WHERE NOT forced QUALIFY count(*) OVER (PARTITION BY oid, fid) >= 6)
+ SELECT oid, fid, slot, r / first_value(r) OVER (PARTITION BY oid, fid ORDER BY slot) AS r FROM (
+ SELECT a.oid, a.fid, CAST(floor(b.mjd - a.mjd + 0.5::double) AS INTEGER) AS slot, avg(a.z * b.z) AS r
+ FROM z a JOIN z b ON a.oid = b.oid AND a.fid = b.fid AND (a.mjd, a.candid) <= (b.mjd, b.candid) GROUP BY ALL))"""
+
+
+@register("slotted_autocorrelation", f"SELECT * FROM {ACF} WHERE slot < 100 OR 'det ' = ''", "r", 4)
 def slotted_autocorrelation(s, d):
     return variability.slotted_autocorrelation(T.detections(s, d))
 
 
-@register("mhps")
+def _mhps_sql(t1: float, t2: float) -> str:
+    """The same filter in SQL; its constants are sums over the support as in the operator."""
+    parts = []
+    for name, scale in (("low", t1), ("high", t2)):
+        c1 = 0.225 * scale / math.sqrt(2)
+        c2, reach = 2 * c1, max(6 * c1, 30.0)
+        bell = [[math.exp(-((reach * (k / 500 - 1)) ** 2) / (2 * c * c)) for k in range(1001)] for c in (c1, c2)]
+        area = [sum(b) * reach / 500 for b in bell]
+        norm = sum((x / area[0] - y / area[1]) ** 2 for x, y in zip(*bell)) * reach / 500
+        gap = "(a.mjd - b.mjd)"
+        w = [f"exp(-pow({gap}, 2) / {2 * c * c!r}::double)" for c in (c1, c2)]
+        parts.append(
+            f"""{name} AS (SELECT oid, fid, avg(pow(f0 - f1, 2)) / {norm!r}::double / pow(any_value(mean), 2) AS p_{name}, count(*) AS n_{name}, pow(avg(e) / any_value(mean), 2) AS noise_{name} FROM (
+ SELECT a.oid, a.fid, a.candid, sum({w[0]} * b.x) / sum({w[0]}) AS f0, sum({w[1]} * b.x) / sum({w[1]}) AS f1, count(*) FILTER (abs{gap} <= {reach!r}::double / 3 * 2) AS near, any_value(a.mean) AS mean, any_value(a.e) AS e
+ FROM y a JOIN y b ON a.oid = b.oid AND a.fid = b.fid AND abs{gap} < {reach!r}::double GROUP BY a.oid, a.fid, a.candid) WHERE near > 3 GROUP BY oid, fid)"""
+        )
+    return f"""WITH y AS (SELECT *, y - mean AS x FROM (SELECT *, avg(y) OVER (PARTITION BY oid, fid) AS mean FROM (SELECT *, pow(10, (19 - mag) * 0.4::double) AS y, ln(10) * 0.4::double * pow(10, (19 - mag) * 0.4::double) * e_mag AS e FROM det WHERE NOT forced))),
+ {", ".join(parts)}, q AS (SELECT *, p_low - noise_low AS lo, CASE WHEN p_high > noise_low THEN p_high - noise_low ELSE p_high END AS hi FROM low JOIN high USING (oid, fid))
+ SELECT oid, fid, lo / nullif(hi, 0) AS MHPS_ratio, lo AS MHPS_low, hi AS MHPS_high, n_high AS MHPS_non_zero, CASE WHEN p_high > noise_low THEN 0 ELSE 1 END AS MHPS_PN_flag FROM q"""
+
+
+@register("mhps", _mhps_sql(100.0, 10.0), "MHPS_ratio MHPS_low MHPS_high", 4)
 def mhps(s, d):
-    return variability.mhps(T.detections(s, d), 20.0, 5.0, 1.0)
+    return variability.mhps(T.detections(s, d))
 
 
 @register("sigma_clip", "SELECT candid, c OR abs(mag - avg(CASE WHEN NOT c THEN mag END) OVER g) > 1.5 * stddev_pop(CASE WHEN NOT c THEN mag END) OVER g AS clipped FROM (SELECT *, abs(mag - avg(mag) OVER g) > 1.5 * stddev_pop(mag) OVER g AS c FROM det WINDOW g AS (PARTITION BY oid, fid)) WINDOW g AS (PARTITION BY oid, fid)")
@@ -560,7 +695,16 @@ def sigma_clip(s, d):
     return variability.sigma_clip(T.detections(s, d), 1.5).select("candid", "clipped")
 
 
-@register("robust_scale", "SELECT oid, fid, min(mag) FILTER (q >= 0.5) AS location, (min(mag) FILTER (q >= 0.75) - min(mag) FILTER (q >= 0.25)) / 1.349 AS scale FROM (SELECT *, (sum(1 / pow(e_mag, 2)) OVER (PARTITION BY oid, fid ORDER BY mag, candid ROWS UNBOUNDED PRECEDING) - 0.5 / pow(e_mag, 2)) / sum(1 / pow(e_mag, 2)) OVER (PARTITION BY oid, fid) AS q FROM det WHERE NOT forced) GROUP BY oid, fid", "location scale")
+@register(
+    "robust_scale",
+    """WITH q AS (SELECT *, lag(q) OVER o AS q0, lag(mag) OVER o AS m0 FROM (SELECT *, (sum(w) OVER (PARTITION BY oid, fid ORDER BY mag, candid ROWS UNBOUNDED PRECEDING) - w / 2) / sum(w) OVER g AS q,
+ sum(w * mag) OVER g / sum(w) OVER g AS mean FROM (SELECT *, 1 / pow(e_mag, 2) AS w FROM det WHERE NOT forced) WINDOW g AS (PARTITION BY oid, fid)) WINDOW o AS (PARTITION BY oid, fid ORDER BY mag, candid)),
+ a AS (SELECT oid, fid, p, coalesce(min((m0 * (q - p) + mag * (p - q0)) / (q - q0)) FILTER (q >= p AND q0 < p), min(mag) FILTER (q >= p AND q0 IS NULL), max(mag) FILTER (q < p)) AS v
+ FROM q, (VALUES (0.25::double), (0.5::double), (0.75::double)) t(p) GROUP BY oid, fid, p),
+ s AS (SELECT oid, fid, sqrt(sum(w * pow(mag - mean, 2)) / sum(w)) AS sd FROM q GROUP BY oid, fid)
+ SELECT oid, fid, max(v) FILTER (p = 0.5) AS location, least(any_value(sd), (max(v) FILTER (p = 0.75) - max(v) FILTER (p = 0.25)) / 1.349) AS scale FROM a JOIN s USING (oid, fid) GROUP BY oid, fid""",
+    "location scale",
+)
 def robust_scale(s, d):
     return variability.robust_scale(T.detections(s, d))
 
@@ -583,11 +727,10 @@ def latest_stamp_detection(s, d):
     return outputs.latest_stamp_detection(T.detections(s, d).withColumn("has_stamp", F.col("candid") % 5 != 1)).select("oid", "candid")
 
 
-@register("patch_features", "SELECT oid, fid AS name, count(*) AS n, sum(CASE WHEN fid IN ('click', 'view') THEN mag + 1 ELSE mag END) AS value FROM det GROUP BY oid, fid", "value", 4)
+@register("patch_features", "SELECT oid, candid, fid AS name, CASE WHEN fid IN ('click', 'view') THEN mag + 1 ELSE mag END AS value FROM det ", "value", 4)
 def patch_features(s, d):
-    old = T.detections(s, d).select("oid", F.col("fid").alias("name"), F.col("mag").alias("value"))
-    out = outputs.patch_features(old, old.withColumn("value", F.col("value") + 1), ["click", "view"])
-    return out.groupBy("oid", "name").agg(F.count("*").alias("n"), F.sum("value").alias("value"))
+    old = T.detections(s, d).select("oid", "candid", F.col("fid").alias("name"), F.col("mag").alias("value"))
+    return outputs.patch_features(old, old.withColumn("value", F.col("value") + 1), ["click", "view"])
 
 
 @register("align_partitions", "SELECT doc_id AS oid, quality AS partition, row_number() OVER (PARTITION BY quality ORDER BY doc_id) - 1 AS row_id FROM labels WHERE doc_id IN (SELECT doc_id FROM documents WHERE n_chars > 500)", longs="row_id")
@@ -602,11 +745,11 @@ def split_table_history(s, d):
     return outputs.split_table_history(p.drop("e_mag"), p.drop("mag"))
 
 
-@register("merge_json_values", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, event_type AS kind FROM events")
+@register("merge_json_values", """SELECT event_id, '{"k":' || json_extract_string(props, '$.k') || ',"kind":"' || event_type || '","value":' || (event_id % 7) || '}' AS v FROM events""")
 def merge_json_values(s, d):
-    e = T.table(s, d, "events").withColumn("new", F.to_json(F.struct(F.col("event_type").alias("kind"))))
-    m = e.withColumn("v", outputs.merge_json("props", "new"))
-    return m.select("event_id", F.get_json_object("v", "$.k").cast("int").alias("k"), F.get_json_object("v", "$.kind").alias("kind"))
+    new = F.to_json(F.struct(F.col("event_type").alias("kind"), (F.col("event_id") % 7).alias("value")))
+    e = T.table(s, d, "events").withColumn("new", new)
+    return e.select("event_id", outputs.merge_json("props", "new").alias("v"))
 
 
 @register("attach_output", "SELECT o_orderkey AS oid, arg_max(class_name, (probability, class_name)) AS class, count(*) AS n FROM orders JOIN prob ON o_orderkey = oid GROUP BY o_orderkey")
@@ -620,11 +763,12 @@ def debias_positions(s, d):
     return outputs.debias_positions(T.objects(s, d).withColumn("k", (F.col("oid") % 3).cast("string")), "k", "1", 20).select("oid")
 
 
-@register("pull_training_set", "SELECT oid, count(*) AS n FROM det WHERE CAST(oid AS BIGINT) % 2 = 0 AND CAST(oid AS BIGINT) IN (SELECT c_custkey FROM customer) GROUP BY oid")
+@register("pull_training_set", "SELECT oid, candid FROM det WHERE CAST(oid AS BIGINT) IN (SELECT c_custkey FROM customer) AND oid IN (SELECT oid FROM det WHERE fid = 'purchase')")
 def pull_training_set(s, d):
     det = T.detections(s, d)
     objs = T.table(s, d, "customer").select(F.col("c_custkey").cast("string").alias("oid"))
-    return outputs.pull_training_set(objs, det.filter("cast(oid as bigint) % 2 = 0"), det, objs.withColumn("w1", F.lit(1.0))).groupBy("oid").agg(F.count("*").alias("n"))
+    processed = det.filter("fid = 'purchase'")
+    return outputs.pull_training_set(objs, processed, det, objs.withColumn("w1", F.lit(1.0))).select("oid", "candid")
 
 
 from skyflow.operators import parse  # noqa: E402
@@ -645,15 +789,25 @@ def eligible_bands(s, d):
     return variability.eligible_bands(T.detections(s, d), 12).groupBy("oid", "fid").agg(F.count("*").alias("n"))
 
 
-@register("hierarchical_tables", "SELECT oid, 'forest_top' AS classifier_name, class_name, probability FROM prob WHERE oid % 2 = 0 UNION ALL SELECT oid, 'forest_late', class_name, probability FROM prob WHERE oid % 2 = 1", "probability")
+@register(
+    "hierarchical_tables",
+    """SELECT oid, 'forest_top' AS classifier_name, class_name, probability FROM prob
+ UNION ALL SELECT oid, 'forest_late', class_name, probability FROM prob WHERE starts_with(class_name, 'N')""",
+    "probability",
+)
 def hierarchical_tables(s, d):
     p = T.probabilities(s, d)
-    return classify.hierarchical_tables("forest", p.filter("oid % 2 = 0"), {"Late": p.filter("oid % 2 = 1")}).select("oid", "classifier_name", "class_name", "probability")
+    return classify.hierarchical_tables("forest", p, {"Late": p.filter("class_name like 'N%'")}).select("oid", "classifier_name", "class_name", "probability")
 
 
-@register("fill_not_classified", "SELECT o_orderkey AS oid, CASE WHEN a IS NULL THEN 1.0::double ELSE 0 END AS NotClassified, coalesce(a, 0) AS a FROM orders LEFT JOIN (SELECT l_orderkey, sum(l_discount) AS a FROM lineitem WHERE l_orderkey % 3 = 0 GROUP BY 1) ON o_orderkey = l_orderkey", "a NotClassified")
+@register(
+    "fill_not_classified",
+    """SELECT o_orderkey AS oid, CASE WHEN a IS NULL THEN 1.0::double ELSE 0 END AS NotClassified, coalesce(a, 0) AS a FROM orders
+ LEFT JOIN (SELECT l_orderkey, sum(l_discount) AS a FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) ON o_orderkey = l_orderkey""",
+    "a NotClassified",
+)
 def fill_not_classified(s, d):
-    prob = T.table(s, d, "lineitem").filter("l_orderkey % 3 = 0").groupBy(F.col("l_orderkey").alias("oid")).agg(F.sum("l_discount").alias("a"))
+    prob = T.table(s, d, "lineitem").filter("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("oid")).agg(F.sum("l_discount").alias("a"))
     return classify.fill_not_classified(T.table(s, d, "orders").select(F.col("o_orderkey").alias("oid")), prob, ["a"])
 
 
@@ -672,6 +826,9 @@ def object_document(s, d):
     return doc.select("oid", F.col("loc.coordinates")[0].alias("x"), F.col("loc.coordinates")[1].alias("y"), F.size("magstats").cast("long").alias("bands"))
 
 
-@register("slotted_length")
+@register("slotted_length", f"SELECT oid, fid, min(slot) FILTER (r < exp(-1)) * 1.0::double AS SlottedA_length FROM {ACF} GROUP BY oid, fid HAVING 'det ' <> ''", "SlottedA_length")
 def slotted_length(s, d):
-    return variability.slotted_length(variability.slotted_autocorrelation(T.detections(s, d)))
+    return variability.slotted_length(T.detections(s, d))
+
+
+from skyflow.plans import catalog_more  # noqa: E402, F401

@@ -35,11 +35,11 @@ DET = """det AS (SELECT CAST(user_id AS VARCHAR) AS oid, event_id AS candid, eve
 
 
 def limits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Non-detections: every seventh event, a day earlier and a magnitude fainter."""
-    return detections(spark, sf_dir).filter("candid % 7 = 0").select("oid", "sid", "fid", (F.col("mjd") - 1).alias("mjd"), (F.col("mag") + 1).alias("diffmaglim"))
+    """Non-detections: one for each event, a day earlier and a magnitude fainter."""
+    return detections(spark, sf_dir).select("oid", "sid", "fid", (F.col("mjd") - 1).alias("mjd"), (F.col("mag") + 1).alias("diffmaglim"))
 
 
-ND = "nd AS (SELECT oid, sid, fid, mjd - 1 AS mjd, mag + 1 AS diffmaglim FROM det WHERE candid % 7 = 0)"
+ND = "nd AS (SELECT oid, sid, fid, mjd - 1 AS mjd, mag + 1 AS diffmaglim FROM det )"
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,3 +69,20 @@ def probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PROB = """prob AS (SELECT oid, 'share' AS classifier_name, '1.0' AS classifier_version, class_name, q / sum(q) OVER (PARTITION BY oid) AS probability
  FROM (SELECT l_orderkey AS oid, l_returnflag || l_linestatus AS class_name, sum(l_quantity) AS q FROM lineitem GROUP BY ALL))"""
+
+
+def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a nested alert: a candidate, one previous candidate or limit, and one forced measurement."""
+    det = detections(spark, sf_dir)
+    uid, n = F.col("oid").cast("long"), F.col("candid")
+    letter = lambda x: F.char((97 + x % 26).cast("int"))
+    name = F.concat(F.lit("ZTF"), F.lpad((F.call_function("div", uid, F.lit(676)) % 100).cast("string"), 2, "0"), F.lit("aaaaa"), letter(F.call_function("div", uid, F.lit(26))), letter(uid))
+    jd, band, sign = F.col("mjd") + 2400000.5, (1 + n % 3).alias("fid"), F.when(F.col("isdiffpos") == 1, "t").otherwise("f").alias("isdiffpos")
+    candidate = F.struct(jd.alias("jd"), band, "ra", "dec", F.col("mag").alias("magpsf"), F.col("e_mag").alias("sigmapsf"), sign, (n * 7).alias("pid"), (F.col("mag") + 1).alias("diffmaglim"), "rb", "distnr")
+    seen = F.when(n % 2 == 0, n * 1000003 + 1)
+    previous = F.struct(
+        seen.alias("candid"), (jd - 1).alias("jd"), band, "ra", "dec", (F.col("mag") + 0.5).alias("magpsf"), F.col("e_mag").alias("sigmapsf"), sign, (n * 7 + 2).alias("pid"), (F.col("mag") + 1).alias("diffmaglim")
+    )
+    flux = (10.0 * (n % 5)).alias("forcediffimflux")
+    forced = F.struct((n * 7 + 1).alias("pid"), (jd - 2).alias("jd"), band, flux, F.lit(1.0).alias("forcediffimfluxunc"), F.lit(26.0).alias("magzpsci"), F.lit("0").alias("procstatus"))
+    return det.select(name.alias("objectId"), n.alias("candid"), candidate.alias("candidate"), F.array(previous).alias("prv_candidates"), F.array(forced).alias("fp_hists"))

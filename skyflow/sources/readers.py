@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,16 +50,58 @@ def decode_value(df: DataFrame, schema: str, fmt: str = "json") -> DataFrame:
     return df.withColumn("__v", value).select(*(c for c in ("topic", "timestamp") if c in df.columns), "__v.*")
 
 
-def encode_value(df: DataFrame, schema: str | None = None) -> DataFrame:
-    """One ``value`` column: JSON, or Avro where a schema is given."""
-    row = F.struct(*df.columns)
+def encode_value(df: DataFrame, schema: str | None = None, strict: bool = False) -> DataFrame:
+    """One ``value`` column: JSON, or Avro (without container) where a schema is given.
+
+    ``strict`` asks that the rows have exactly the schema's fields; else missing ones are null and others left out.
+    """
     if schema is None:
-        return df.select(F.to_json(row).alias("value"))
+        return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
     from pyspark.sql.avro.functions import to_avro
 
+    names = [f["name"] for f in json.loads(schema)["fields"]]
+    if strict and set(names) != set(df.columns):
+        raise ValueError(f"fields differ from the schema: {sorted(set(names) ^ set(df.columns))}")
+    row = F.struct(*(F.col(n) if n in df.columns else F.lit(None).alias(n) for n in names))
     return df.select(to_avro(row, schema).alias("value"))
 
 
+def mirror_topic(records: DataFrame, keep_timestamp: bool = True, keep_topic: bool = True, topic: str | None = None) -> DataFrame:
+    """Raw records for another cluster: key and value as they are, with their topic and time or a new topic and none."""
+    head = [F.col("topic") if keep_topic else F.lit(topic).alias("topic")]
+    return records.select("key", "value", *head, *(["timestamp"] if keep_timestamp else []))
+
+
+def write_metrics(metrics: DataFrame, path: str | None = None, servers: str | None = None, topic: str = "metrics") -> None:
+    """Metric rows as JSON, appended to text files or sent to a topic."""
+    rows = metrics.select(F.to_json(F.struct(*metrics.columns)).alias("value"))
+    if path:
+        rows.write.mode("append").text(path)
+    if servers:
+        rows.withColumn("topic", F.lit(topic)).write.format("kafka").option("kafka.bootstrap.servers", servers).save()
+
+
+#: Sources and sinks by name, as configuration names them; users add their own.
+SOURCES: dict[str, Callable[..., DataFrame]] = {}
+SINKS: dict[str, Callable[..., None]] = {}
+
+
+def from_config(spark: SparkSession, config: dict) -> DataFrame:
+    """Read as a configuration says: ``kind`` is a registered name, else a format of Spark's; the rest are options."""
+    options = {k: v for k, v in config.items() if k not in ("kind", "path", "stream")}
+    if config["kind"] in SOURCES:
+        return SOURCES[config["kind"]](spark, path=config.get("path"), **options)
+    r = spark.readStream if config.get("stream") else spark.read
+    return r.format(config["kind"]).options(**options).load(config.get("path"))
+
+
+def to_config(df: DataFrame, config: dict) -> None:
+    options = {k: v for k, v in config.items() if k not in ("kind", "path", "mode")}
+    if config["kind"] in SINKS:
+        return SINKS[config["kind"]](df, path=config.get("path"), **options)
+    df.write.format(config["kind"]).mode(config.get("mode", "append")).options(**options).save(config.get("path"))
+
+
 def keyed_records(df: DataFrame, key: str, topics: Sequence[str]) -> DataFrame:
     """(key, value, topic) rows for one or several topics; integer keys become strings."""
     return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*df.columns)).alias("value"), F.explode(F.array(*map(F.lit, topics))).alias("topic"))
@@ -76,6 +119,11 @@ def daily_topics(spark: SparkSession, template: str, now: str, change_hour: int,
     return spark.range(1).select(days_col).select("day", F.format_string(template, F.date_format("day", "yyyyMMdd")).alias("topic"))
 
 
+def topic_pattern(template: str) -> str:
+    """A pattern for ``read_topic(pattern=True)`` that takes every daily topic, so a new day is joined when it appears."""
+    return template.replace(".", r"\.").replace("%s", "[0-9]{8}")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("header", False).csv(path)
 
@@ -84,10 +132,20 @@ def write_json(df: DataFrame, path: str, buffer_size: int) -> None:
     df.write.mode("append").option("maxRecordsPerFile", buffer_size).json(path)
 
 
-def archive_alerts(df: DataFrame, root: str, jd: str = "jd", fmt: str = "parquet") -> None:
-    """Alerts by calendar date of their Julian day, compressed with snappy."""
+def archive_alerts(df: DataFrame, root: str, jd: str = "jd", fmt: str = "parquet", survey: str | None = None) -> None:
+    """Alerts by calendar date of their Julian day, compressed with snappy.
+
+    Folders are date=2024-01-31 of Spark's own layout; with ``survey`` each date is a folder survey_20240131, one
+    write a date of the batch.
+    """
     date = F.to_date(F.timestamp_seconds((F.col(jd) - 2440587.5) * 86400))
-    df.withColumn("date", date).write.mode("append").partitionBy("date").option("compression", "snappy").format(fmt).save(root)
+    rows = df.withColumn("date", date)
+    if survey is None:
+        rows.write.mode("append").partitionBy("date").option("compression", "snappy").format(fmt).save(root)
+        return
+    for r in rows.select("date").distinct().collect():  # the few nights of a batch
+        day = rows.filter(F.col("date").eqNullSafe(F.lit(r["date"]))).drop("date")
+        day.write.mode("append").option("compression", "snappy").format(fmt).save(f"{root}/{survey}_{r['date']:%Y%m%d}")
 
 
 def compact_archive(spark: SparkSession, path: str, out: str, files: int, per_part: int = 2200, fmt: str = "parquet") -> None:

@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skyflow.operators import correct, history, stats
-from skyflow.operators.merge import VersionedTable
+from skyflow.operators.commands import KINDS, rejected
+from skyflow.operators.merge import KeyedTable, parse_commands
+from skyflow.sources.readers import read_topic, topic_pattern
 
 Frame = Callable[[DataFrame], DataFrame]
 
+#: Tables that each kind of command writes.
+TABLES_OF = {
+    "insert_object": ["object"], "update_object_from_stats": ["object"], "upsert_detections": ["detection"], "upsert_forced": ["forced_photometry"], "upsert_object_stats": ["object", "magstats"],
+    "upsert_non_detections": ["non_detection"], "upsert_features": ["feature"], "upsert_probabilities": ["probability"], "upsert_xmatch": ["xmatch"], "upsert_score": ["score"],
+}
+
 
 def run_stage(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, pre: Frame | None = None, execute: Frame | None = None, post: Frame | None = None, available_now: bool = True, every: str = "30 seconds") -> StreamingQuery:
     """Consume, pre, execute, post, produce, commit. Empty batches are skipped; an exception stops the stage; offsets are committed after the sink."""
@@ -42,26 +51,74 @@ def fan_out(*sinks: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, in
     return sink
 
 
-def batch_metrics(df: DataFrame, number: int, fields: dict[str, str] | None = None) -> DataFrame:
-    """One row: batch number, time, messages, and arrays of the chosen fields under their aliases."""
-    extra = [F.collect_list(F.col(c).cast("string")).alias(alias) for c, alias in (fields or {}).items()]
-    return df.agg(F.lit(number).alias("batch"), F.current_timestamp().alias("at"), F.count("*").alias("n_messages"), *extra)
+def batch_metrics(df: DataFrame, number: int, fields: dict[str, str] | list[dict] | None = None, received: float | None = None, sent: float | None = None) -> DataFrame:
+    """One row: batch number, received and sent time with the seconds between, messages, and arrays of chosen fields.
+
+    A field is a name with its alias, or a dict of ``key`` (dots go into nested rows), ``alias``, ``format`` (a
+    function of the column) and ``default`` for nulls.
+    """
+    fields = [{"key": k, "alias": v} for k, v in fields.items()] if isinstance(fields, dict) else fields or []
+    extra = []
+    for f in fields:
+        c = F.col(f["key"]) if f["key"].split(".")[0] in df.columns else F.lit(None)
+        c = f["format"](c) if f.get("format") else c
+        c = F.coalesce(c.cast("string"), F.lit(f["default"]).cast("string")) if "default" in f else c.cast("string")
+        extra.append(F.collect_list(c).alias(f.get("alias", f["key"])))
+    now = time.time()
+    received, sent = now if received is None else received, now if sent is None else sent
+    times = [F.timestamp_seconds(F.lit(x)).alias(n) for n, x in (("timestamp_received", received), ("timestamp_sent", sent))]
+    return df.agg(F.lit(number).alias("batch"), *times, F.lit(sent - received).alias("execution_time"), F.count("*").alias("n_messages"), *extra)
+
+
+def topic_stage(spark: SparkSession, servers: str, template: str, sink: Callable[[DataFrame, int], None], checkpoint: str, max_messages: int = 1000, every: str = "30 seconds", **parts: Frame) -> StreamingQuery:
+    """A stage over daily topics that rolls over by itself, bounded by messages and by time a batch."""
+    stream = read_topic(spark, servers, topic_pattern(template), max_messages=max_messages, pattern=True)
+    return run_stage(stream, sink, checkpoint, available_now=False, every=every, **parts)
+
+
+def bounded_replay(spark: SparkSession, servers: str, topics: str, start_ms: int | None = None, end_ms: int | None = None) -> DataFrame:
+    """All records between two times, as a batch; it ends at the ends of the partitions or at the given time."""
+    return read_topic(spark, servers, topics, stream=False, start_ms=start_ms, end_ms=end_ms)
+
+
+def command_stage(tables: dict[str, KeyedTable], metrics: Callable[[DataFrame], None] | None = None) -> Callable[[DataFrame, int], None]:
+    """Apply a batch of JSON commands (column ``payload``, ordered by ``seq``) to stored tables.
+
+    Invalid commands are skipped and counted; anything else that fails stops the stage.
+    """
+
+    def sink(batch: DataFrame, number: int) -> None:
+        cmds = parse_commands(batch).select("kind", "valid", "cmd", "cmd.criteria", "cmd.data", "seq").persist()
+        try:
+            if metrics:
+                metrics(rejected(cmds))
+            for kind in [r["kind"] for r in cmds.filter("valid").select("kind").distinct().collect()]:  # the few kinds
+                own = cmds.filter((F.col("kind") == kind) & F.col("valid"))
+                names = TABLES_OF[kind]
+                stored = {n: tables[n].read() for n in names}
+                for n, df in KINDS[kind](stored, own).items():
+                    changed = df.exceptAll(stored[n].select(*df.columns))
+                    tables[n].merge(changed)
+        finally:
+            cmds.unpersist()
+
+    return sink
 
 
-def light_curve_stage(stored: VersionedTable, statistics: VersionedTable) -> Callable[[DataFrame, int], None]:
+def light_curve_stage(stored: KeyedTable, statistics: KeyedTable) -> Callable[[DataFrame, int], None]:
     """Join a batch with stored history, correct it, store the rows and refresh its objects' statistics.
 
-    Both merges are keyed, so a replayed batch changes nothing.
+    The tables are partitioned by object, so a batch reads and rewrites the partitions of its objects only. Both merges are keyed, so a replayed batch changes nothing.
     """
 
     def sink(batch: DataFrame, number: int) -> None:
         batch = batch.withColumn("new", F.lit(True)).persist()
-        old = stored.read()
+        old = stored.read(batch)
         det = history.union_history(batch, old) if old is not None else batch
         det = history.as_of_cut(history.dedup_detections(det), batch)
         det = correct.correct_magnitudes(correct.with_flags(det)).persist()
-        stored.merge(det, ["candid", "oid"])
-        statistics.merge(stats.generate_statistics(det), ["oid", "sid", "fid"])
+        stored.merge(det)
+        statistics.merge(stats.generate_statistics(det))
         det.unpersist()
         batch.unpersist()
 

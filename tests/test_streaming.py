@@ -1,4 +1,4 @@
-from skyflow.operators.merge import VersionedTable
+from skyflow.operators.merge import KeyedTable
 from skyflow.plans import driver_tables as T
 from skyflow.sources.readers import replay_alert_dir
 from skyflow.streaming.stages import batch_metrics, fan_out, light_curve_stage, run_stage
@@ -9,7 +9,7 @@ DIR = "/root/testdata/sf0.001"
 def test_light_curve_stage_replays_without_change(spark, tmp_path):
     det = T.detections(spark, DIR).filter("cast(oid as int) < 20").drop("new")
     det.repartition(2).write.parquet(str(tmp_path / "in"))
-    stored, stats = VersionedTable(spark, str(tmp_path / "det")), VersionedTable(spark, str(tmp_path / "stats"))
+    stored, stats = KeyedTable(spark, str(tmp_path / "det"), ["candid", "oid"], ["oid"], 8), KeyedTable(spark, str(tmp_path / "stats"), ["oid", "sid", "fid"], ["oid"], 8)
     seen = []
     sink = fan_out(light_curve_stage(stored, stats), lambda df, n: seen.append(batch_metrics(df, n, {"candid": "candids"}).first().n_messages))
 
