@@ -108,6 +108,8 @@ class KeyedTable:
     def merge(self, new: DataFrame, mode: str = "upsert", order: str | None = None) -> None:
         new = one_a_key(new, self.keys, order)
         touched, old = self._touched(new), self._stored()
+        if not touched:
+            return
         if old is not None:
             old = old.filter(F.col("bucket").isin(touched)).drop("bucket")
             new = (upsert if mode == "upsert" else insert_ignore)(old, new, self.keys)

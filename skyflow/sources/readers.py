@@ -21,7 +21,7 @@ def replay_alert_dir(spark: SparkSession, path: str, schema: StructType | str, f
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, **options) -> DataFrame:
-    r = spark.read.options(header=True, **options)
+    r = spark.read.options(**({"header": True} | options))
     return (r.schema(schema) if schema else r.option("inferSchema", True)).csv(path)
 
 

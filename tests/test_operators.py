@@ -1,12 +1,13 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from skyflow.functions import columns as C
-from skyflow.operators import features, filters, merge, parse, period, sky
+from skyflow.operators import features, filters, merge, outputs, parse, period, sky, training
 from skyflow.sources import readers
 
 
@@ -66,15 +67,23 @@ def test_filters_reject_unknown_trees():
         filters.compile_filter('{"type": "constant", "params": {"field": "mag", "constant": 1, "op": "near"}}')
 
 
-def test_versioned_table_is_idempotent(spark, tmp_path):
-    t = merge.VersionedTable(spark, str(tmp_path / "t"))
-    a = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
-    b = spark.createDataFrame([(2, "z"), (3, "w")], "k int, v string")
-    for df in (a, b, b):
-        t.merge(df, ["k"])
-    assert sorted(map(tuple, t.read().collect())) == [(1, "x"), (2, "z"), (3, "w")]
-    t.merge(spark.createDataFrame([(1, "late")], "k int, v string"), ["k"], "ignore")
-    assert sorted(map(tuple, t.read().collect()))[0] == (1, "x")
+def test_keyed_table_rewrites_touched_partitions_only(spark, tmp_path):
+    import os
+
+    t = merge.KeyedTable(spark, str(tmp_path / "t"), ["k"], buckets=8)
+    assert t.read() is None
+    a = spark.createDataFrame([(k, "x") for k in range(40)], "k int, v string")
+    b = spark.createDataFrame([(2, "z"), (2, "y"), (77, "w")], "k int, v string")
+    t.merge(a)
+    files = lambda: {f: os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(tmp_path / "t") for f in fs if f.endswith(".parquet")}
+    before = files()
+    for _ in range(2):
+        t.merge(b)
+    assert len(set(before) & set(files())) >= len(before) - 2 and os.listdir(tmp_path) == ["t"]
+    want = sorted([(k, "x") for k in range(40) if k != 2] + [(2, "z"), (77, "w")])
+    assert sorted(map(tuple, t.read().collect())) == want
+    t.merge(spark.createDataFrame([(1, "late")], "k int, v string"), "ignore")
+    assert sorted(map(tuple, t.read().collect())) == want and t.read(b).count() < 42
 
 
 ALERT = """schemavsn string, publisher string, objectId string, candid long,
@@ -111,7 +120,12 @@ def test_period_of_a_sine(spark):
     grid = period.frequency_grid(det, 0.2, 5.0, least=1500)
     power = period.multiband(period.mhaov(det, grid))
     assert abs(period.period_features(power).first().period - 0.5388) < 0.01
-    fine = period.period_features(period.refine(det, grid, power)).first()
+    bands = period.mhaov(det, grid)
+    refined, by_band = period.refine(det, grid, bands)
+    fine = period.period_features(refined).first()
+    coarse, better = ({r.k: r.power for r in x.collect()} for x in (power, refined))
+    assert coarse.keys() == better.keys() and sum(better[k] != coarse[k] for k in coarse) <= 10 and all(better[k] >= coarse[k] for k in coarse)
+    assert period.band_periods(by_band, period.period_features(refined)).first().delta_period < 1e-9
     assert abs(fine.period - 0.5388) < 0.002
     per = spark.createDataFrame([("a", 0.5388)], "oid string, period double")
     h = features.harmonics(det, per, 3).first()
@@ -193,10 +207,11 @@ def test_fits_recover_grid_values(spark):
 
 def test_mutual_information_peaks_at_the_period(spark):
     det, pts = curve(spark, lambda x, r: 17 + math.sin(2 * math.pi * x / 2.5) + r.gauss(0, 0.05), n=50)
-    grid = spark.createDataFrame([("a", k, f) for k, f in enumerate((0.11, 0.23, 0.4, 0.57))], "oid string, k int, freq double")
-    for mode in ("cauchy_schwarz", "euclidean"):
-        got = {r.k: r.power for r in period.qmi(det, grid, mode).collect()}
+    grid = spark.createDataFrame([("a", 0, k, f) for k, f in enumerate((0.11, 0.23, 0.4, 0.57))], "oid string, block int, k int, freq double")
+    for mode, kernel in (("cauchy_schwarz", "gaussian"), ("euclidean", "gaussian"), ("cauchy_schwarz", "cauchy")):
+        got = {r.k: r.power for r in period.qmi(det, grid, mode, kernel=kernel).collect()}
         assert max(got, key=got.get) == 2
+    assert len(period.qmi(det, grid, "entropy").collect()) == 4
 
 
 def test_simulated_survey_history(spark):
@@ -206,3 +221,146 @@ def test_simulated_survey_history(spark):
     a = spark.createDataFrame([(1, s, [s], [(9, 5, 60001.0, "r", 4.0, 0.2)]), (2, s, None, None)], f"alertId long, diaSource {src}, prvDiaSources array<{src}>, prvDiaForcedSources array<{forced}>")
     got = sorted((r.candid, r.forced, r.isdiffpos, r.ra) for r in parse.explode_lsst(a).collect())
     assert got == [("7", False, -1, 1.0), ("9", True, 1, 1.0)]
+
+
+def test_harmonic_powers_against_least_squares(spark):
+    det, pts = curve(spark, lambda x, r: 17 + math.sin(2 * math.pi * x / 3) + 0.4 * math.cos(4 * math.pi * x / 3) + r.gauss(0, 0.1), n=40)
+    t0 = min(t for t, _ in pts)
+    y = np.array([m for _, m in pts])
+    for h in (1, 2, 3):
+        grid = period.frequency_grid(det, 1.0, 10.0, least=20)
+        got = period.mhaov(det, grid, h).collect()
+        for r in got[::7]:
+            phase = 2 * np.pi * np.array([(t - t0) * r.freq for t, _ in pts])
+            x = np.column_stack([np.ones(len(y))] + [f(k * phase) for k in range(1, h + 1) for f in (np.cos, np.sin)]) / 0.05
+            fit = np.linalg.lstsq(x, y / 0.05, rcond=None)[0]
+            total, rest = np.sum(((y - y.mean()) / 0.05) ** 2), np.sum((y / 0.05 - x @ fit) ** 2)
+            assert abs(r.power - (total - rest)) < 1e-6 * total and abs(r.ratio - (40 - 2 * h - 1) / (2 * h) * (total - rest) / rest) < 1e-4 * r.ratio + 1e-6
+
+
+def test_structure_function_indices_against_a_loop(spark):
+    det, pts = curve(spark, lambda x, r: 17 + math.sin(x / 4) + r.gauss(0, 0.05), n=30)
+    t, m = (np.array(x) for x in zip(*pts))
+    c = np.interp(np.linspace(t.min(), t.max(), 100), t, m)
+    y = [np.log10([np.mean(np.abs(c[:-k] - c[k:]) ** p) for k in range(1, 100)]) for p in (1, 2, 3)]
+    got = features.structure_function_indices(det).first()
+    for name, a, b in (("21", 0, 1), ("31", 0, 2), ("32", 1, 2)):
+        assert abs(got[f"StructureFunction_index_{name}"] - np.polyfit(y[a], y[b], 1)[0]) < 1e-6
+
+
+def test_sequences_against_a_loop(spark):
+    det, pts = curve(spark, lambda x, r: 17.0 + x / 100, n=30)
+    times = [t for t, _ in pts]
+
+    def nearest(times, marks):
+        free, got = list(times), []
+        for m in marks:
+            if free:
+                got.append(min(free, key=lambda t: (abs(t - m), t)))
+                free.remove(got[-1])
+        return sorted(got)
+
+    marks = [times[0] + 40 ** (j / 7) for j in range(8)]
+    assert [x for x in training.sequence_sample(det, 8, "log_time", 40.0).first().time] == nearest(times, marks)
+    late = det.withColumn("forced", F.col("mjd") < times[12])
+    early = [times[j * 11 // 2] for j in range(3)]
+    marks = [times[12] + 0.5 * 80 ** (j / 4) for j in range(5)]
+    assert training.sequence_sample(late, 8, "linear_log_time", 40.0, 3).first().time == sorted(early + nearest(times[12:], marks))
+    idx = sorted({round(30 ** (j / 7) - 1) for j in range(8)})
+    got = training.sequence_sample(det, 8, "log_index").first()
+    assert got.time == [times[k] for k in idx] + [0.0] * (8 - len(idx)) and sum(got["mask"]) == len(idx)
+    assert training.sequence_sample(det, 8, "windows").count() == 0 and training.sequence_sample(det, 40, "windows").first()["mask"] == [1] * 30 + [0] * 10
+
+
+def test_quantile_transform_and_metadata(spark):
+    vals = [float(x * x) for x in range(101)] + [0.0] * 30
+    df = spark.createDataFrame([("f", v) for v in vals], "name string, v double")
+    q = training.feature_quantiles(df, "name", "v", 20)
+    edges = np.quantile(vals, np.linspace(0, 1, 21))
+    for r in training.quantile_transform(df, q, "name", "v", 20).distinct().collect():
+        place = np.linspace(0, 1, 21)
+        want = (np.interp(r.v, edges, place) - np.interp(-r.v, -edges[::-1], -place[::-1])) / 2
+        assert abs(r.uniform - want) < 1e-9
+    md = spark.createDataFrame([("a", "1.5"), ("b", "x"), ("c", None), ("d", "NaN"), ("e", "9")], "oid string, m string")
+    parts = spark.createDataFrame([("a", "train"), ("e", "train"), ("b", "test")], "oid string, partition string")
+    got = {r.oid: (r.value, r.uniform) for r in training.metadata_quantiles(md, parts, ["m"]).collect()}
+    assert got == {"a": (1.5, 0.0), "b": (-9999.0, 0.0), "c": (-9999.0, 0.0), "d": (-9999.0, 0.0), "e": (9.0, 1.0)}
+
+
+def test_ranks_splits_and_resampled_positions(spark):
+    rows = [(k, "big" if k % 10 else "small", float(k % 7 - 3)) for k in range(300)]
+    df = spark.createDataFrame(rows, "oid long, label string, dec double")
+    folds = training.stratified_kfold(df, 7).groupBy("label", "fold").count().collect()
+    for name, n in (("big", 270), ("small", 30)):
+        assert sorted(r["count"] for r in folds if r.label == name) == sorted([n // 7 + (k < n % 7) for k in range(7)])
+    parts = training.partitions(df, 5)
+    assert parts.count() == 300 and parts.filter("blind_label = 'unknown'").count() == 60 and {r.class_id for r in parts.select("class_id").distinct().collect()} == {0, 1}
+    out = outputs.debias_positions(df.withColumn("z", F.col("dec")), "label", "big", 10, resampled=["dec"])
+    assert out.count() == 300 and out.filter("label = 'big' and dec < 0").count() < 40 and outputs.debias_positions(df, "label", "big", 10).filter("label = 'big' and dec < 0").count() == 10
+
+
+def test_added_features_statistics_classifiers_and_strategies(spark):
+    from skyflow.operators import classify, feature_sets, stats
+
+    det, pts = curve(spark, lambda x, r: 17 + r.gauss(0, 0.1), n=20)
+    features.register_feature("Above", lambda level=17.0: F.sum((F.col("mag") > level).cast("double")))
+    assert features.basic_features(det, ["Above"], {"Above": {"level": 0.0}}).first().Above == 20
+    with pytest.raises(ValueError):
+        features.basic_features(det, ["nothing"])
+    stats.register_statistic("spread", lambda: F.max("mag") - F.min("mag"))
+    rows = det.withColumns({"sid": F.lit("ztf"), "mag_corr": F.col("mag"), "corrected": F.lit(True), "stellar": F.lit(True), "dubious": F.lit(False)})
+    assert stats.generate_statistics(rows, only={"spread"}).first().spread > 0
+    feature_sets.register_extractor("n", lambda x: feature_sets.long(x.obs.groupBy("oid").agg(F.count("*").alias("n")), ["oid"]))
+    feature_sets.register_set("mine", ["n", "reference"])
+    assert [tuple(r) for r in feature_sets.feature_set(det, "mine", ["g"]).collect()] == [("a", "", "n", 20.0, "1.0.0")]
+    classify.register_classifier("even", lambda f: f.select("oid"), lambda x: x.select("oid", F.explode(F.map_from_arrays(F.array(F.lit("A"), F.lit("B")), F.array(F.lit(0.4), F.lit(0.6)))).alias("class_name", "probability")))
+    assert [(r.class_name, r.ranking) for r in classify.classify("even", det.select("oid").distinct()).orderBy("ranking").collect()] == [("B", 1), ("A", 2)]
+    outputs.WATCHLIST_STRATEGIES["none"] = lambda m, fields: m.withColumn("values", F.lit("{}"))
+    assert outputs.watchlist_values(det, ["mag"], "none").first()["values"] == "{}"
+
+
+def test_small_sources_and_outputs(spark, tmp_path):
+    from skyflow.operators import ingest
+
+    df = spark.createDataFrame([(1, "a", 2460310.5), (2, None, 2460311.6)], "candid long, topic string, jd double")
+    stamped = ingest.stamp_ingest_time(df).collect()
+    assert [r.topic for r in stamped] == ["a", ""] and stamped[0].brokerIngestTimestamp > 1.6e9
+    assert ingest.passthrough_alert(df).first().non_detections == []
+    shapes = spark.createDataFrame([(63, 63), (62, 63), (None, 63)], "stamp_rows int, stamp_columns int")
+    assert ingest.stamp_shape_ok(shapes).count() == 1
+    assert ingest.column_profile(df.withColumnsRenamed({"topic": "fid"}), "batch", ["time", "band"]).columns == ["time", "band"]
+    readers.archive_alerts(df, str(tmp_path / "a"), survey="ztf")
+    assert sorted(x.name for x in (tmp_path / "a").iterdir()) == ["ztf_20240101", "ztf_20240102"]
+    rec = spark.createDataFrame([(b"k", b"v", "old")], "key binary, value binary, topic string")
+    assert readers.mirror_topic(rec, False, False, "new").first().topic == "new" and readers.mirror_topic(rec, False).first().topic == "old"
+    readers.write_metrics(df, str(tmp_path / "m"))
+    assert spark.read.text(str(tmp_path / "m")).count() == 2
+    readers.to_config(df, {"kind": "json", "path": str(tmp_path / "j")})
+    assert readers.from_config(spark, {"kind": "json", "path": str(tmp_path / "j")}).count() == 2
+    readers.SOURCES["mine"] = lambda spark, path, **o: spark.range(3)
+    assert readers.from_config(spark, {"kind": "mine"}).count() == 3
+    import re
+
+    assert re.fullmatch(readers.topic_pattern("ztf.%s_x"), "ztf.20240131_x") and not re.fullmatch(readers.topic_pattern("ztf.%s_x"), "ztf-20240131_x")
+    readers.write_csv(df, str(tmp_path / "c"))
+    assert readers.read_csv(spark, str(tmp_path / "c"), "candid long, topic string, jd double", header=False).count() == 2
+    (tmp_path / "x.json").write_text('[{"a": 1}, {"a": 2}]')
+    assert readers.read_json_array(spark, str(tmp_path / "x.json")).count() == 2
+
+
+def test_command_stage_applies_and_counts(spark, tmp_path):
+    from skyflow.streaming.stages import command_stage
+
+    t = merge.KeyedTable(spark, str(tmp_path / "d"), ["oid", "fid", "mjd"], ["oid"], 4)
+    t.merge(spark.createDataFrame([("a", 1, 1.0, 20.0), ("b", 2, 1.0, 20.0)], "oid string, fid int, mjd double, diffmaglim double"))
+    rows = spark.createDataFrame([("a", "g", 1.0, 21.0), ("a", "g", 1.0, 22.0), ("c", "r", 3.0, 19.0)], "oid string, fid string, mjd double, diffmaglim double")
+    good = merge.command_rows(rows, "non_detection", "update", ["oid", "fid", "mjd"], ["diffmaglim"])
+    bad = merge.command_rows(rows, "nothing", "update", ["oid"], ["mjd"])
+    batch = good.unionByName(bad).withColumn("seq", F.monotonically_increasing_id())
+    counted = []
+    stage = command_stage({"non_detection": t}, lambda m: counted.extend(m.collect()))
+    for n in range(2):  # a replay changes nothing
+        stage(batch, n)
+        got = sorted(map(tuple, t.read().select("oid", "fid", "mjd", "diffmaglim").collect()))
+        assert got == [("a", 1, 1.0, 22.0), ("b", 2, 1.0, 20.0), ("c", 2, 3.0, 19.0)]
+    assert [r.n for r in counted] == [3, 3]
