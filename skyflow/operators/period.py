@@ -45,18 +45,19 @@ def mhaov(obs: DataFrame, grid: DataFrame, harmonics: int = 1) -> DataFrame:
         sums |= {f"b{i}": F.sum(w * a), f"y{i}": F.sum(w * y * a)} | {f"a{i}_{j}": F.sum(w * a * basis[j]) for j in range(i + 1)}
     g = _phased(obs, grid).groupBy(*keys).agg(*(v.alias(f"s_{k}") for k, v in sums.items()))
     s = lambda name: F.col(f"s_{name}")
+    tiny = 3e-5 * F.sqrt(s("w"))  # below it a pivot is rounding: the points do not tell that term from the others
     for i in range(m):
         for j in range(i):
             x = s(f"a{i}_{j}") - s(f"b{i}") * s(f"b{j}") / s("w")
             for q in range(j):
                 x = x - F.col(f"l{i}_{q}") * F.col(f"l{j}_{q}")
-            g = g.withColumn(f"l{i}_{j}", F.when(F.col(f"l{j}_{j}") > 1e-6, x / F.col(f"l{j}_{j}")).otherwise(0.0))
+            g = g.withColumn(f"l{i}_{j}", F.when(F.col(f"l{j}_{j}") > tiny, x / F.col(f"l{j}_{j}")).otherwise(0.0))
         diagonal = s(f"a{i}_{i}") - s(f"b{i}") * s(f"b{i}") / s("w")
         rest = s(f"y{i}") - s("y") * s(f"b{i}") / s("w")
         for q in range(i):
             diagonal, rest = diagonal - F.col(f"l{i}_{q}") * F.col(f"l{i}_{q}"), rest - F.col(f"l{i}_{q}") * F.col(f"z{q}")
         g = g.withColumn(f"l{i}_{i}", F.sqrt(F.greatest(diagonal, F.lit(0.0))))
-        g = g.withColumn(f"z{i}", F.when(F.col(f"l{i}_{i}") > 1e-6, rest / F.col(f"l{i}_{i}")).otherwise(0.0))
+        g = g.withColumn(f"z{i}", F.when(F.col(f"l{i}_{i}") > tiny, rest / F.col(f"l{i}_{i}")).otherwise(0.0))
     power = sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(1, m)), F.col("z0") * F.col("z0"))
     d2 = F.greatest(s("n") - m - 1, F.lit(0)).cast("double")
     out = g.select(*keys, power.alias("power"), (s("yy") - s("y") * s("y") / s("w")).alias("wvar"), d2.alias("d2"), F.lit(float(m)).alias("d1"))

@@ -523,13 +523,13 @@ GRID = f"""(SELECT oid, t0, unnest(range(n)) AS k, n FROM (SELECT oid, min(mjd)
  greatest(1000, ceil({STEP} * (max(mjd) - min(mjd)) / 0.2::double)::int) AS n FROM det GROUP BY oid))"""
 PHASED = f"""(SELECT *, (mjd - t0) * freq - floor((mjd - t0) * freq) AS phase FROM (SELECT det.*, t0, CAST(k AS INTEGER) AS k,
  {LO} + k * {STEP} / (n - 1) AS freq FROM det JOIN {GRID} USING (oid) WHERE NOT forced))"""
-BAND_POWER = f"""(SELECT *, n - 3 AS d2, syy - sy * sy / sw AS wvar,
- CASE WHEN cc > 1e-12 AND ss - cs * cs / cc > 1e-12 THEN yc * yc / cc + pow(ys - cs * yc / cc, 2) / (ss - cs * cs / cc) ELSE 0 END AS power FROM (
+BAND_POWER = f"""(SELECT *, greatest(n - 3, 0) AS d2, syy - sy * sy / sw AS wvar,
+ CASE WHEN cc > 9e-10 * sw THEN yc * yc / cc ELSE 0 END + CASE WHEN ss - l * l > 9e-10 * sw THEN pow(ys - l * z, 2) / (ss - l * l) ELSE 0 END AS power FROM (SELECT *, CASE WHEN cc > 9e-10 * sw THEN cs / sqrt(cc) ELSE 0 END AS l, CASE WHEN cc > 9e-10 * sw THEN yc / sqrt(cc) ELSE 0 END AS z FROM (
  SELECT oid, fid, k, freq, count(*) AS n, sum(w) AS sw, sum(w * mag) AS sy, sum(w * mag * mag) AS syy,
  sum(w * c * c) - pow(sum(w * c), 2) / sum(w) AS cc, sum(w * s * s) - pow(sum(w * s), 2) / sum(w) AS ss,
  sum(w * c * s) - sum(w * c) * sum(w * s) / sum(w) AS cs, sum(w * mag * c) - sum(w * mag) * sum(w * c) / sum(w) AS yc,
  sum(w * mag * s) - sum(w * mag) * sum(w * s) / sum(w) AS ys
- FROM (SELECT *, 1 / pow(e_mag, 2) AS w, cos(2 * pi() * phase) AS c, sin(2 * pi() * phase) AS s FROM {PHASED}) GROUP BY oid, fid, k, freq))"""
+ FROM (SELECT *, 1 / pow(e_mag, 2) AS w, cos(2 * pi() * phase) AS c, sin(2 * pi() * phase) AS s FROM {PHASED}) GROUP BY oid, fid, k, freq)))"""
 POWER = f"""(SELECT oid, k, freq, sum(d2) * sum(power) / (2 * greatest(sum(wvar) - sum(power), 1e-9)) AS power FROM {BAND_POWER} GROUP BY oid, k, freq)"""
 
 
