@@ -54,20 +54,57 @@ def fit_microlensing(det: DataFrame, u0: list[float] | None = None, te: list[flo
     return best.select(*KEYS, F.col("x.u0").alias("ulens_u0"), F.col("x.te").alias("ulens_tE"), (F.col("x.b") / F.nullif(F.col("x.a"), F.lit(0.0))).alias("ulens_fs"), (F.col("x.chi2") / F.greatest(F.col("x.n") - 5, F.lit(1))).alias("ulens_chi"), F.col("x.t0").alias("ulens_t0"), (20 - 2.5 * F.log10(F.when(F.col("x.a") > 0, F.col("x.a")))).alias("ulens_mag0"))
 
 
-def fit_supernova(det: DataFrame, gamma: list[float] | None = None, rise: list[float] | None = None, fall: list[float] | None = None, beta: list[float] | None = None) -> DataFrame:
-    """Rise, plateau and fall of the flux per band; the amplitude in closed form, the rest on the grid."""
-    d = _grid(_observations(det, 5), gamma=gamma or [5.0, 15.0, 40.0], rise=rise or [1.0, 4.0], fall=fall or [8.0, 30.0, 80.0], beta=beta or [0.2, 0.6], lead=[2.0, 8.0]).withColumn("t0", F.col("t_peak") - F.col("lead"))
-    dt = F.col("mjd") - F.col("t0")
+SPM = ["gamma", "rise", "fall", "beta", "lead"]
+
+
+def _spm_fit(d: DataFrame) -> DataFrame:
+    """Best (A, parameters, chi2, n) of each light curve whose rows carry the parameters to try."""
+    dt = F.col("mjd") - F.col("t_peak") + F.col("lead")
     plateau = 1 - F.col("beta") * dt / F.col("gamma")
     decline = (1 - F.col("beta")) * F.exp(-(dt - F.col("gamma")) / F.col("fall"))
     shape = F.when(dt < F.col("gamma"), plateau).otherwise(decline) / (1 + F.exp(F.greatest(F.least(-dt / F.col("rise"), F.lit(50.0)), F.lit(-50.0))))
-    flux = F.pow(F.lit(10.0), -0.4 * (F.col("mag") - 23.9)) * F.col("isdiffpos")
-    w = F.pow(F.abs(flux) * F.col("e_mag") + 1e-6, -2) * F.when(flux < 0, 0.25).otherwise(1.0)
-    keys = [*KEYS, "gamma", "rise", "fall", "beta", "t0"]
-    s = d.withColumns({"__s": shape, "__f": flux, "__w": w}).groupBy(*keys).agg(F.sum(F.expr("__w * __s * __f")).alias("sf"), F.sum(F.expr("__w * __s * __s")).alias("ss"), F.sum(F.expr("__w * __f * __f")).alias("ff"), F.count("*").alias("n"))
+    keys = [*KEYS, "t_peak", *SPM]
+    sums = {"sf": "w * s * f", "ss": "w * s * s", "ff": "w * f * f"}
+    s = d.withColumns({"s": shape, "f": F.col("flux"), "w": F.col("weight")}).groupBy(*keys).agg(*(F.sum(F.expr(v)).alias(k) for k, v in sums.items()), F.count("*").alias("n"))
     s = s.withColumn("A", F.greatest(F.col("sf") / F.nullif("ss", F.lit(0.0)), F.lit(0.0))).withColumn("chi2", F.expr("ff - 2 * A * sf + A * A * ss"))
-    best = s.filter("A is not null").groupBy(*KEYS).agg(F.min_by(F.struct("A", *keys[2:], "chi2", "n"), F.struct("chi2", *keys[2:])).alias("x"))
-    return best.select(*KEYS, F.col("x.A").alias("SPM_A"), F.col("x.t0").alias("SPM_t0"), F.col("x.gamma").alias("SPM_gamma"), F.col("x.beta").alias("SPM_beta"), F.col("x.rise").alias("SPM_tau_rise"), F.col("x.fall").alias("SPM_tau_fall"), (F.col("x.chi2") / F.greatest(F.col("x.n") - 6, F.lit(1))).alias("SPM_chi"))
+    return s.filter("A is not null").groupBy(*KEYS).agg(F.min_by(F.struct("A", "t_peak", *SPM, "chi2", "n"), F.struct("chi2", *SPM)).alias("x"))
+
+
+def fit_supernova(
+    det: DataFrame, gamma: list[float] | None = None, rise: list[float] | None = None, fall: list[float] | None = None, beta: list[float] | None = None, lead: list[float] | None = None, prelude: float = 30.0,
+    redshift: str | None = None, ebv: str | None = None, extinction: dict[str, float] | None = None, refine: bool = True,
+) -> DataFrame:
+    """Rise, plateau and fall of the flux per band; the amplitude in closed form, the rest on a grid, searched
+    again at half steps around the best point.
+
+    Forced points up to ``prelude`` days before the first detection count too, and negative fluxes at a quarter of
+    their weight. ``redshift`` and ``ebv`` name columns: times are divided by 1 + z, and fluxes corrected by
+    ``extinction`` (magnitudes for each unit of reddening, by band).
+    """
+    g = Window.partitionBy(*KEYS)
+    own = ~F.col("forced")
+    d = det.withColumns({"__n": F.count(F.when(own, 1)).over(g), "__a": F.min(F.when(own, F.col("mjd"))).over(g), "t_peak": F.min(F.when(own, F.struct("mag", "mjd"))).over(g)["mjd"]})
+    d = d.filter((F.col("__n") >= 5) & (own | F.col("mjd").between(F.col("__a") - prelude, F.col("__a"))))
+    flux = F.pow(F.lit(10.0), -0.4 * (F.col("mag") - 23.9)) * F.col("isdiffpos")
+    if ebv:
+        dust = F.lit(0.0)
+        for band, r in (extinction or {}).items():
+            dust = F.when(F.col("fid") == band, r).otherwise(dust)
+        flux = flux * F.pow(F.lit(10.0), 0.4 * dust * F.col(ebv))
+    if redshift:
+        d = d.withColumn("mjd", F.col("t_peak") + (F.col("mjd") - F.col("t_peak")) / (1 + F.coalesce(F.col(redshift), F.lit(0.0))))
+    weight = F.pow(F.abs("flux") * F.col("e_mag") + 1e-6, -2) * F.when(F.col("flux") < 0, 0.25).otherwise(1.0)
+    d = d.withColumn("flux", flux).withColumn("weight", weight).select(*KEYS, "mjd", "t_peak", "flux", "weight")
+    best = _spm_fit(_grid(d, gamma=gamma or [5.0, 15.0, 40.0], rise=rise or [1.0, 4.0], fall=fall or [8.0, 30.0, 80.0], beta=beta or [0.2, 0.6], lead=lead or [2.0, 8.0]))
+    if refine:
+        around = d.join(best, KEYS).select(*d.columns, *(F.col(f"x.{p}").alias(f"__{p}") for p in SPM))
+        for p in SPM:
+            around = around.withColumn(p, F.explode(F.array(*(F.col(f"__{p}") * x for x in (0.7, 1.0, 1.4)))))
+        best = _spm_fit(around.withColumn("beta", F.least("beta", F.lit(0.99))).drop(*(f"__{p}" for p in SPM)))
+    return best.select(
+        *KEYS, F.col("x.A").alias("SPM_A"), (F.col("x.t_peak") - F.col("x.lead")).alias("SPM_t0"), F.col("x.gamma").alias("SPM_gamma"), F.col("x.beta").alias("SPM_beta"), F.col("x.rise").alias("SPM_tau_rise"),
+        F.col("x.fall").alias("SPM_tau_fall"), (F.col("x.chi2") / F.greatest(F.col("x.n") - 6, F.lit(1))).alias("SPM_chi"),
+    )
 
 
 def fit_drw(det: DataFrame, sigmas: list[float] | None = None, taus: list[float] | None = None) -> DataFrame:
@@ -90,12 +127,49 @@ def fit_drw(det: DataFrame, sigmas: list[float] | None = None, taus: list[float]
 
 
 def fit_iar_phi(det: DataFrame, steps: int = 20) -> DataFrame:
-    """Irregular autoregression: phi in (0, 1) of greatest likelihood for the standardised magnitudes."""
+    """Irregular autoregression: phi in (0, 1) of greatest likelihood for the standardised magnitudes, on ``steps``
+    values and then on as many within the best one's step."""
     g, o = Window.partitionBy(*KEYS), Window.partitionBy(*KEYS).orderBy("mjd", "candid")
     d = det.filter(~F.col("forced")).withColumns({"n": F.count("*").over(g), "z": (F.col("mag") - F.avg("mag").over(g)) / F.stddev_samp("mag").over(g)}).filter("n >= 6")
-    d = d.withColumns({"pz": F.lag("z").over(o), "dt": F.col("mjd") - F.lag("mjd").over(o)})
-    d = _grid(d, phi=[(k + 0.5) / steps for k in range(steps)])
-    a = F.pow("phi", "dt")
-    v = F.greatest(1 - a * a, F.lit(1e-6))
-    cost = F.when(F.col("pz").isNull(), F.pow("z", 2)).otherwise(F.log(v) + F.pow(F.col("z") - a * F.col("pz"), 2) / v)
-    return d.groupBy(*KEYS, "phi").agg((F.sum(cost) / 2).alias("nll")).groupBy(*KEYS).agg(F.min_by("phi", F.struct("nll", "phi")).alias("IAR_phi"))
+    d = d.withColumns({"pz": F.lag("z").over(o), "dt": F.col("mjd") - F.lag("mjd").over(o)}).select(*KEYS, "z", "pz", "dt")
+
+    def best(rows: DataFrame) -> DataFrame:
+        a = F.pow("phi", "dt")
+        v = F.greatest(1 - a * a, F.lit(1e-6))
+        cost = F.when(F.col("pz").isNull(), F.pow("z", 2)).otherwise(F.log(v) + F.pow(F.col("z") - a * F.col("pz"), 2) / v)
+        nll = rows.groupBy(*KEYS, "phi").agg(F.round(F.sum(cost) / 2, 9).alias("nll"))
+        return nll.groupBy(*KEYS).agg(F.min_by("phi", F.struct("nll", "phi")).alias("IAR_phi"))
+
+    coarse = best(_grid(d, phi=[(k + 0.5) / steps for k in range(steps)]))
+    offsets = F.explode(F.array(*(F.lit(((k + 0.5) / steps - 0.5) / steps) for k in range(steps))))
+    fine = d.join(coarse, KEYS).withColumn("__o", offsets).withColumn("phi", F.col("IAR_phi") + F.col("__o"))
+    return best(fine)
+
+
+def fit_ciar(det: DataFrame, real: list[float] | None = None, imaginary: list[float] | None = None) -> DataFrame:
+    """Complex irregular autoregression: phi = (CIAR_phiR, CIAR_phiI) inside the unit circle of greatest likelihood, by
+    a Kalman fold over the standardised light curve; six points at least."""
+    g = Window.partitionBy(*KEYS)
+    d = det.filter(~F.col("forced")).withColumns({"n": F.count("*").over(g), "z": (F.col("mag") - F.avg("mag").over(g)) / F.stddev_samp("mag").over(g)}).filter("n >= 6")
+    s = d.groupBy(*KEYS).agg(F.sort_array(F.collect_list(F.struct("mjd", "z"))).alias("s"))
+    axis = [-0.9, -0.6, -0.3, 0.1, 0.3, 0.6, 0.9, 0.99]
+    s = _grid(s, a=real or axis, b=imaginary or axis).filter("a * a + b * b < 1")
+    zero, one = F.lit(0.0), F.lit(1.0)
+    start = F.struct(F.lit(None).cast("double").alias("t"), zero.alias("x"), zero.alias("y"), one.alias("p"), zero.alias("q"), one.alias("r"), zero.alias("nll"))
+    size, angle = F.sqrt(F.col("a") * F.col("a") + F.col("b") * F.col("b")), F.atan2("b", "a")
+
+    def step(acc: Column, o: Column) -> Column:
+        dt = F.coalesce(o["mjd"] - acc["t"], zero)
+        m = F.when(acc["t"].isNull(), zero).otherwise(F.pow(size, dt))
+        c, w, rest = m * F.cos(dt * angle), m * F.sin(dt * angle), 1 - m * m
+        x, y = c * acc["x"] - w * acc["y"], w * acc["x"] + c * acc["y"]
+        p = c * c * acc["p"] - 2 * c * w * acc["q"] + w * w * acc["r"] + rest
+        q = c * w * (acc["p"] - acc["r"]) + (c * c - w * w) * acc["q"]
+        r = w * w * acc["p"] + 2 * c * w * acc["q"] + c * c * acc["r"] + rest
+        v, e = F.greatest(p, F.lit(1e-9)), o["z"] - x
+        return F.struct(
+            o["mjd"].alias("t"), (x + p / v * e).alias("x"), (y + q / v * e).alias("y"), (p - p * p / v).alias("p"), (q - p * q / v).alias("q"), (r - q * q / v).alias("r"), (acc["nll"] + (F.log(v) + e * e / v) / 2).alias("nll")
+        )
+
+    fit = s.withColumn("nll", F.aggregate("s", start, step)["nll"])
+    return fit.groupBy(*KEYS).agg(F.min_by(F.struct("a", "b"), F.struct(F.round("nll", 9), "a", "b")).alias("x")).select(*KEYS, F.col("x.a").alias("CIAR_phiR"), F.col("x.b").alias("CIAR_phiI"))

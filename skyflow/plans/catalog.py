@@ -638,9 +638,17 @@ def random_walk_fits(s, d):
     return fits.fit_drw(T.detections(s, d))
 
 
-IAR = """SELECT oid, fid, arg_min(phi, (nll, phi)) AS IAR_phi FROM (SELECT oid, fid, phi, round(sum(CASE WHEN pz IS NULL THEN z * z ELSE ln(v) + pow(z - a * pz, 2) / v END) / 2, 9) AS nll FROM (
- SELECT *, pow(phi, dt) AS a, greatest(1 - pow(phi, 2 * dt), 1e-6) AS v FROM (SELECT *, lag(z) OVER o AS pz, mjd - lag(mjd) OVER o AS dt FROM (SELECT *, count(*) OVER g AS n, (mag - avg(mag) OVER g) / stddev_samp(mag) OVER g AS z FROM det WHERE NOT forced WINDOW g AS (PARTITION BY oid, fid))
- WHERE n >= 6 WINDOW o AS (PARTITION BY oid, fid ORDER BY mjd, candid)), (SELECT (k + 0.5::double) / 20 AS phi FROM range(20) t(k))) GROUP BY oid, fid, phi) GROUP BY oid, fid"""
+def _iar_best(rows: str) -> str:
+    """Phi of the least cost among the rows' values, each light curve for itself."""
+    return f"""SELECT oid, fid, arg_min(phi, (nll, phi)) AS IAR_phi FROM (SELECT oid, fid, phi, round(sum(CASE WHEN pz IS NULL THEN z * z ELSE ln(v) + pow(z - a * pz, 2) / v END) / 2, 9) AS nll FROM (
+ SELECT *, pow(phi, dt) AS a, greatest(1 - pow(phi, 2 * dt), 1e-6) AS v FROM ({rows})) GROUP BY oid, fid, phi) GROUP BY oid, fid"""
+
+
+_STEPS = [(k + 0.5) / 20 for k in range(20)]
+IAR = f"""WITH s AS MATERIALIZED (SELECT *, lag(z) OVER o AS pz, mjd - lag(mjd) OVER o AS dt FROM (SELECT *, count(*) OVER g AS n, (mag - avg(mag) OVER g) / stddev_samp(mag) OVER g AS z
+ FROM det WHERE NOT forced WINDOW g AS (PARTITION BY oid, fid)) WHERE n >= 6 WINDOW o AS (PARTITION BY oid, fid ORDER BY mjd, candid)),
+ c AS MATERIALIZED ({_iar_best(f"SELECT s.*, phi FROM s, (SELECT unnest({_STEPS!r}::double[]) AS phi)")})
+ {_iar_best(f"SELECT s.*, IAR_phi + step AS phi FROM s JOIN c USING (oid, fid), (SELECT unnest({[(x - 0.5) / 20 for x in _STEPS]!r}::double[]) AS step)")}"""
 
 
 @register("autoregression_fits", IAR, "IAR_phi")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyflow.functions import columns as C
-from skyflow.operators import classify, commands, correct, feature_sets, features, filters, history, ingest, merge, outputs, parse, period, stats, training, variability
+from skyflow.operators import classify, commands, correct, feature_sets, features, filters, fits, history, ingest, merge, outputs, parse, period, stats, training, variability
 from skyflow.plans import catalog
 from skyflow.plans import driver_tables as T
 from skyflow.plans.catalog import PRED, QUERIES, _predicted, register
@@ -560,5 +560,119 @@ def merge_references(s, d):
     return variability.merge_references(rows(True), rows(False))
 
 
+@register("complex_autoregression_fits")
+def complex_autoregression_fits(s, d):
+    return fits.fit_ciar(T.detections(s, d))
+
+
+@register(
+    "metadata_tables",
+    """SELECT 'gaia' AS kind, candid, NULL::double AS magnr FROM det UNION ALL SELECT 'ps1', candid, NULL::double FROM det
+ UNION ALL SELECT 'ss', candid, NULL::double FROM det UNION ALL SELECT 'dataquality', candid, NULL::double FROM det UNION ALL SELECT 'reference', candid, mag + 1 FROM det """,
+    "magnr",
+)
+def metadata_tables(s, d):
+    a = T.alerts(s, d)
+    a = a.withColumn("candidate", F.col("candidate").withField("magnr", F.col("candidate.diffmaglim")).withField("jdstartref", F.col("candidate.jd")))
+    parts = [t.select(F.lit(n).alias("kind"), F.col("candid").cast("long").alias("candid"), (F.col("magnr") if n == "reference" else F.lit(None).cast("double")).alias("magnr")) for n, t in outputs.metadata_tables(a).items()]
+    return history.union_aligned(*parts)
+
+
+@register(
+    "public_classification",
+    """SELECT p.oid, arg_max(candid, (new, mjd, -candid)) AS candid, any_value(n) AS n, any_value(best) AS best FROM
+ (SELECT oid, count(*) AS n, max(probability) AS best FROM prob GROUP BY oid) p JOIN det ON CAST(p.oid AS VARCHAR) = det.oid GROUP BY p.oid""",
+    "best",
+)
+def public_classification(s, d):
+    prob = T.probabilities(s, d).withColumn("oid", F.col("oid").cast("string"))
+    names = [r[0] for r in prob.select("class_name").distinct().orderBy("class_name").collect()]  # the classes
+    det = T.detections(s, d).withColumn("has_stamp", F.lit(True))
+    out = outputs.public_classification(prob, det, {n: k for k, n in enumerate(names)}, "share")
+    given = F.filter("classifications", lambda x: x["probability"] > 0)
+    return out.select(F.col("oid").cast("long").alias("oid"), "candid", F.size(given).cast("long").alias("n"), F.array_max(F.transform("classifications", lambda x: x["probability"])).alias("best"))
+
+
+@register(
+    "split_metadata",
+    """SELECT oid, 'meta' AS kind, max(ra) AS value FROM det GROUP BY oid UNION ALL SELECT oid, 'feature', max(mag) FILTER (fid = 'click') FROM det GROUP BY oid""",
+    "value",
+)
+def split_metadata(s, d):
+    g = T.detections(s, d).groupBy("oid", "fid").agg(F.max("mag").alias("m"), F.max("ra").alias("r"))
+    m = g.select("oid", F.lit(1).alias("horizon"), F.lit("m").alias("name"), "fid", F.col("m").alias("value"))
+    r = g.groupBy("oid").agg(F.max("r").alias("value")).select("oid", F.lit(1).alias("horizon"), F.lit("r").alias("name"), F.lit("all").alias("fid"), "value")
+    md, fe = outputs.split_metadata(m.unionByName(r), ["r_all"], ["m_click"])
+    return md.select("oid", F.lit("meta").alias("kind"), F.col("r_all").alias("value")).unionByName(fe.select("oid", F.lit("feature").alias("kind"), F.col("m_click").alias("value")))
+
+
+@register(
+    "sequence_masks",
+    """SELECT oid, fid, max(mjd) - min(mjd) AS span, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY oid, fid ORDER BY mjd, candid) - 1 AS i, count(*) OVER (PARTITION BY oid, fid) AS m FROM det )
+ WHERE m <= 8 OR list_contains([j * (m - 1) // 7 for j in range(8)], i) GROUP BY oid, fid""",
+    "span",
+)
+def sequence_masks(s, d):
+    seq = outputs.sequence_masks(training.sequence_sample(T.detections(s, d), 8))
+    return seq.select("oid", "fid", F.array_max("relative").alias("span"), F.aggregate("mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
+
+
+@register(
+    "drop_bad_supernovae",
+    """SELECT * FROM (WITH p AS (SELECT CAST(oid AS VARCHAR) AS oid, CASE class_name WHEN 'NO' THEN 'SN' ELSE class_name END AS class_name, probability FROM prob ),
+ t AS (SELECT oid, (min((-probability, class_name)))[2] AS best FROM p GROUP BY oid)
+ SELECT oid, class_name FROM p WHERE oid NOT IN (SELECT oid FROM t WHERE best = 'SN' AND oid IN (SELECT oid FROM det WHERE isdiffpos = -1 OR (sgscore1 > 0.5 AND distpsnr1 < 1))))""",
+)
+def drop_bad_supernovae(s, d):
+    name = F.when(F.col("class_name") == "NO", "SN").otherwise(F.col("class_name"))
+    prob = T.probabilities(s, d).withColumns({"oid": F.col("oid").cast("string"), "class_name": name})
+    return classify.drop_bad_supernovae(prob, T.detections(s, d)).select("oid", "class_name")
+
+
+@register("asteroids_and_bands", "SELECT candid, candid % 4 > 0 AS asteroid, CASE 1 + candid % 3 WHEN 1 THEN 'g' WHEN 2 THEN 'r' ELSE 'i' END AS band, 1 + candid % 3 AS number, TRUE AS valid FROM det ", longs="number")
+def asteroids_and_bands(s, d):
+    a = T.alerts(s, d).withColumns({"ssdistnr": F.when(F.col("candid") % 4 == 0, -999.0).otherwise(1.0), "band": C.band_letter(F.col("candidate.fid"))})
+    return a.select("candid", filters.is_asteroid().alias("asteroid"), "band", C.band_number(F.col("band")).alias("number"), C.valid_oid(F.col("objectId")).alias("valid"))
+
+
+@register(
+    "catalogue_colors",
+    """SELECT oid, fid, w1 - (w1 + 1) AS W1_W2, m - w1 AS mean_W1 FROM (SELECT oid, fid, avg(mag) AS m FROM det WHERE NOT forced GROUP BY oid, fid) JOIN (SELECT CAST(cat_id AS VARCHAR) AS oid, nullif(w1, -9999) AS w1 FROM cat ) USING (oid)""",
+    "W1_W2 mean_W1",
+    4,
+)
+def catalogue_colors(s, d):
+    w = T.catalog(s, d).select(F.col("cat_id").cast("string").alias("oid"), *((F.col("w1") + k).alias(f"w{k + 1}") for k in range(4)))
+    return variability.allwise_colors(T.detections(s, d), w).select("oid", "fid", "W1_W2", "mean_W1")
+
+
+@register("survey_colors", "SELECT candid AS oid, nullif(sgscore1, -999) AS sgscore1, mag - (mag + 1) AS ps_g_r FROM det ", "ps_g_r sgscore1")
+def survey_colors(s, d):
+    mags = {f"s{b}mag1": F.col("mag") + k for k, b in enumerate("griz")}
+    return variability.panstarrs_colors(T.detections(s, d).withColumn("oid", F.col("candid")).withColumns(mags)).select("oid", "sgscore1", "ps_g_r")
+
+
+@register(
+    "unique_neighbours",
+    "SELECT candid, NOT bool_or(forced) OVER (PARTITION BY oid) AS unique FROM det QUALIFY NOT forced".replace("AS unique", 'AS "unique"'),
+)
+def unique_neighbours(s, d):
+    det = T.detections(s, d).withColumn("neighbour", F.col("oid").cast("double"))
+    rows = det.select("oid", "candid", "neighbour", "forced")
+    return variability.unique_neighbour_flags(rows.filter("not forced"), rows.filter("forced"), "neighbour").select("candid", "unique")
+
+
+@register(
+    "report_averages",
+    f"""SELECT avg(precision) AS macro_precision, sum(recall * support) / sum(support) AS weighted_recall, sum(support) AS support FROM (
+ SELECT coalesce(tp / nullif(said, 0), 0) AS precision, coalesce(tp / nullif(support, 0), 0) AS recall, support FROM (
+ SELECT c, count(*) FILTER (truth = c) AS support, count(*) FILTER (guess = c) AS said, count(*) FILTER (truth = c AND guess = c) AS tp FROM ({PRED}), (VALUES (0), (1)) v(c) GROUP BY c))""",
+    "macro_precision weighted_recall",
+    longs="support",
+)
+def report_averages(s, d):
+    return training.report_averages(training.classification_report(_predicted(s, d), "truth", "guess")).select("macro_precision", "weighted_recall", "support")
+
+
 #: The names registered here.
 NAMES = [n for n in QUERIES if n not in _BEFORE]
