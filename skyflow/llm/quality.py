@@ -21,6 +21,8 @@ FOLDS, HELD_OUT = 4, 2
 #: Labelled training rows used for the fit, chosen by hash of the id.
 SAMPLE_ROWS = 20_000
 TREES, DEPTH, LEAF, BINS = 24, 3, 5, 16
+#: Rows that each tree draws from the sample, with repetition; trees only propose rules, the weights are fitted on the whole sample.
+TREE_ROWS = 4000
 LASSO = 0.002
 THRESHOLD = 0.7
 
@@ -123,7 +125,7 @@ def grow_rules(x: np.ndarray, y: np.ndarray, seed: int = 1) -> list[Rule]:
             node(rows[~right], (*path, (f, False, cut)))
 
     for _ in range(TREES):
-        node(r.integers(0, len(y), min(len(y), 4000)), ())
+        node(r.integers(0, len(y), min(len(y), TREE_ROWS)), ())
     return list(rules)
 
 
@@ -185,7 +187,7 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     stats = materialize(statistics(docs, id_col, text_col), "quality-statistics")
     own = labels.select(labels[id_col].alias("id"), labels[label_col].cast("double").alias("label")).filter(F.col("id").isNotNull() & F.col("label").isNotNull() & (id_crc_mod(F.col("id"), FOLDS) != HELD_OUT))
     sample = own.groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
-    rows = stats.join(F.broadcast(sample), "id").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).toPandas()  # bounded
+    rows = stats.join(F.broadcast(sample), "id").orderBy(F.xxhash64("id"), "id", *STATISTICS).limit(SAMPLE_ROWS).toPandas()  # bounded; rows that tie are equal
     rules, weights, intercept = fit(rows[STATISTICS].to_numpy(dtype=float), (rows["label"].to_numpy(dtype=float) > 0).astype(float))
     score = compile_score(rules, weights, intercept)
     held = F.coalesce(id_crc_mod(F.col("id"), FOLDS) == HELD_OUT, F.lit(True))

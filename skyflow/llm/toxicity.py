@@ -101,26 +101,28 @@ def grams(col: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         lo = hi
 
 
-def ratio_parts(ordinary: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """What ``log_ratio`` needs: log ratios of order 3, those of backing off to it, and the 4-grams that occur with theirs."""
+def ratio_parts(used: np.ndarray, ordinary: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Log ratios of order 3, those of backing off to it, and the 4-grams that occur (``used``, with their counts) with theirs."""
     s, d = SYMBOLS, DISCOUNT
-    counts = [x.reshape(s, s, s, s).astype(np.float32) for x in (ordinary, toxic)]
-    pooled3 = sum(c.sum(axis=0) for c in counts)
-    cont2 = (pooled3 > 0).sum(axis=0).astype(np.float32)
-    cont1 = (pooled3.sum(axis=0) > 0).sum(axis=0).astype(np.float32)
+    context, suffix = used // s, used % s**3
 
-    def smooth(c: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def smooth(c: np.ndarray, lower: np.ndarray) -> np.ndarray:
         total = c.sum(axis=-1, keepdims=True)
-        kinds = (c > 0).sum(axis=-1, keepdims=True).astype(np.float32)
-        share = np.where(total > 0, d * kinds, 1) / np.maximum(total, 1)
-        return np.maximum(c - d, 0) / np.maximum(total, 1) + share * lower, share[..., 0]
-
-    p2 = smooth(cont2, smooth(cont1, np.full(s, 1 / s, dtype=np.float32))[0])[0]
-    p3 = [smooth(c.sum(axis=0), p2)[0] for c in counts]
-    p4 = [smooth(c, p) for c, p in zip(counts, p3)]
-    used = np.flatnonzero(ordinary + toxic).astype(np.int32)
-    log = [np.log(p.reshape(-1)[used]) for p, _ in p4]
-    return np.log(p3[1] / p3[0]), np.log(p4[1][1] / p4[0][1]), used, log[1] - log[0]
+        share = np.where(total > 0, d * (c > 0).sum(axis=-1, keepdims=True), 1) / np.maximum(total, 1)
+        return np.maximum(c - d, 0) / np.maximum(total, 1) + share * lower
+
+    c3 = [np.bincount(suffix, n, s**3).reshape(s, s, s) for n in (ordinary, toxic)]
+    cont2 = (sum(c3) > 0).sum(axis=0).astype(float)
+    cont1 = (sum(c3).sum(axis=0) > 0).sum(axis=0).astype(float)
+    p2 = smooth(cont2, smooth(cont1, np.full(s, 1 / s)))
+    p3 = [smooth(c, p2) for c in c3]
+    share, p4 = [], []
+    for n, p in zip((ordinary, toxic), p3):
+        total, kinds = np.bincount(context, n, s**3), np.bincount(context, n > 0, s**3)
+        share.append(np.where(total > 0, d * kinds, 1) / np.maximum(total, 1))
+        p4.append(np.maximum(n - d, 0) / np.maximum(total, 1)[context] + share[-1][context] * p.reshape(-1)[suffix])
+    back = np.log(share[1] / share[0]).reshape(s, s, s)
+    return tuple(x.astype(np.float32) for x in (np.log(p3[1] / p3[0]), back)) + (used.astype(np.int32), np.log(p4[1] / p4[0]).astype(np.float32))
 
 
 def dense_ratio(lower: np.ndarray, back: np.ndarray, used: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -132,7 +134,8 @@ def dense_ratio(lower: np.ndarray, back: np.ndarray, used: np.ndarray, values: n
 
 def log_ratio(ordinary: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """log p(last symbol | context, toxic) - the same for ordinary, for every 4-gram."""
-    return dense_ratio(*ratio_parts(ordinary, toxic))
+    used = np.flatnonzero(ordinary + toxic)
+    return dense_ratio(*ratio_parts(used, ordinary[used], toxic[used]))
 
 
 def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -318,8 +321,8 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str) -
     return own, F.broadcast(own) if own.count() <= BROADCAST_LABELS else own
 
 
-def _counts(rows: DataFrame) -> np.ndarray:
-    """4-gram counts by half and class over all rows (``half``, ``label``, ``text``); at most 4 x 48^4 sums reach the driver."""
+def _counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(4-grams that occur, their counts by half and class) over all rows (``half``, ``label``, ``text``); at most 4 x 48^4 sums reach the driver."""
     size = SYMBOLS**ORDER
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,9 +337,11 @@ def _counts(rows: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(total[part], pa.int64())], ["gram", "n"])
 
     sums = rows.select("half", "label", "text").mapInArrow(run, "gram int, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(4 * size, dtype=np.int64)
-    out[sums["gram"].to_numpy()] = sums["n"].to_numpy()
-    return out.reshape(2, 2, size)
+    gram = sums["gram"].to_numpy()
+    used, at = np.unique(gram % size, return_inverse=True)
+    out = np.zeros((4, len(used)), dtype=np.int64)
+    out[gram // size, at] = sums["n"].to_numpy()
+    return used, out.reshape(2, 2, -1)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
@@ -354,9 +359,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     texts = docs.select(docs[id_col].alias("id"), F.lower(text_of(docs, text_col)).alias("text"), F.xxhash64(text_of(docs, text_col)).alias("text_hash"))
     half = (id_crc_mod(F.col("id"), FOLDS) > FIRST_HALF).cast("int")
     train = texts.join(small, "id").select("id", half.alias("half"), "label", "text")
-    counts = _counts(train)
-    shared = spark.sparkContext.broadcast([ratio_parts(*counts[list(v)].sum(axis=0)) for v in VARIANTS])
-    del counts
+    used, counts = _counts(train)
+    shared = spark.sparkContext.broadcast([ratio_parts(used, *counts[list(v)].sum(axis=0)) for v in VARIANTS])
     model, keys, values = word_model(spark, train)
     table = spark.sparkContext.broadcast((model.frequent, model.weight.astype(np.float32), model.ratio.astype(np.float32), keys, values))
     del model, keys, values
