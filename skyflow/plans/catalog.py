@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,8 @@ def register(name: str, sql: str | None = None, floats: str = "", digits: int =
     def add(fn):
         QUERIES[name] = lambda s, d: run(fn, s, d)
         if sql:
-            ctes = ", ".join(x for x in (DET, ND, CAT, OBJ, PROB) if f" {x.split()[0]} " in f" {sql} " or x is DET and " nd " in sql)
+            named = lambda cte: re.search(rf"\b{cte.split()[0]}\b", sql)
+            ctes = ", ".join(x for x in (DET, ND, CAT, OBJ, PROB) if named(x) or x is DET and named(ND))
             head = f"WITH {ctes} " if ctes else ""
             body = f"SELECT * REPLACE ({', '.join(f'round({c}, {digits}) + 0.0::double AS {c}' for c in cols)}) FROM ({sql})" if cols else sql
             ORACLE[name] = head + body
@@ -44,7 +46,12 @@ def register(name: str, sql: str | None = None, floats: str = "", digits: int =
 MAGS = "magmean magmedian magmax magmin magsigma magfirst maglast"
 
 
-@register("mag_stats", "SELECT oid, sid, fid, avg(mag) magmean, quantile_cont(mag, 0.5) magmedian, max(mag) magmax, min(mag) magmin, stddev_pop(mag) magsigma, arg_min(mag, (mjd, candid)) magfirst, arg_max(mag, (mjd, candid)) maglast, min(mjd) firstmjd, max(mjd) lastmjd, count(*) ndet FROM det WHERE NOT forced GROUP BY ALL", MAGS + " firstmjd lastmjd")
+@register(
+    "mag_stats",
+    """SELECT oid, sid, fid, avg(mag) magmean, quantile_cont(mag, 0.5) magmedian, max(mag) magmax, min(mag) magmin, stddev_pop(mag) magsigma, arg_min(mag, (mjd, candid))
+ magfirst, arg_max(mag, (mjd, candid)) maglast, min(mjd) firstmjd, max(mjd) lastmjd, count(*) ndet FROM det WHERE NOT forced GROUP BY ALL""",
+    MAGS + " firstmjd lastmjd",
+)
 def mag_stats(s, d):
     det = correct.correct_magnitudes(correct.with_flags(T.detections(s, d)))
     return stats.generate_statistics(det, only={*MAGS.split(), "firstmjd", "lastmjd", "ndet"})
@@ -61,7 +68,11 @@ corr AS (SELECT *, CASE WHEN corrected AND new THEN CASE WHEN a3 = 0 THEN 100 EL
   CASE WHEN corrected AND new THEN CASE WHEN a3 = 0 THEN 100 ELSE a2 * e_mag / a3 END END AS e_mag_corr_ext FROM f4)"""
 
 
-@register("correct_magnitudes", f"SELECT oid, candid, corrected, dubious, stellar, mag_corr, e_mag_corr, e_mag_corr_ext FROM (WITH {FLAGS} SELECT * FROM corr)", "mag_corr e_mag_corr e_mag_corr_ext")
+@register(
+    "correct_magnitudes",
+    f"""SELECT oid, candid, corrected, dubious, stellar, mag_corr, e_mag_corr, e_mag_corr_ext FROM (WITH {FLAGS} SELECT * FROM corr)""",
+    "mag_corr e_mag_corr e_mag_corr_ext",
+)
 def correct_magnitudes(s, d):
     return correct.correct_magnitudes(correct.with_flags(T.detections(s, d))).select("oid", "candid", "corrected", "dubious", "stellar", "mag_corr", "e_mag_corr", "e_mag_corr_ext")
 
@@ -89,12 +100,20 @@ def object_stats(s, d):
     return stats.object_statistics(correct.with_flags(T.detections(s, d)))
 
 
-@register("mean_coordinates", "SELECT oid, sum(ra / pow(e_ra, 2)) / sum(1 / pow(e_ra, 2)) meanra, sum(dec / pow(e_dec, 2)) / sum(1 / pow(e_dec, 2)) meandec FROM det WHERE NOT forced GROUP BY oid", "meanra meandec")
+@register(
+    "mean_coordinates",
+    """SELECT oid, sum(ra / pow(e_ra, 2)) / sum(1 / pow(e_ra, 2)) meanra, sum(dec / pow(e_dec, 2)) / sum(1 / pow(e_dec, 2)) meandec FROM det WHERE NOT forced GROUP BY oid""",
+    "meanra meandec",
+)
 def mean_coordinates(s, d):
     return correct.mean_coordinates(T.detections(s, d))
 
 
-@register("survey_dispatch", "SELECT candid, CASE WHEN lower(sid) = 'ztf' THEN mag WHEN lower(sid) = 'atlas' THEN mag * pow(10, -3.9 / 2.5) END AS value FROM det", "value")
+@register(
+    "survey_dispatch",
+    """SELECT candid, CASE WHEN lower(sid) = 'ztf' THEN mag WHEN lower(sid) = 'atlas' THEN mag * pow(10, -3.9 / 2.5) END AS value FROM det""",
+    "value",
+)
 def survey_dispatch(s, d):
     return T.detections(s, d).select("candid", correct.by_survey({"ztf": F.col("mag"), "atlas": correct.correct_lsst(F.col("mag"))}, None).alias("value"))
 
@@ -130,12 +149,20 @@ def union_history(s, d):
     return history.as_of_cut(history.union_history(batch, stored), batch).select("oid", "candid", "new")
 
 
-@register("top_k_magnitudes", "SELECT oid, candid, mag, rank FROM (SELECT *, row_number() OVER (PARTITION BY oid ORDER BY mag DESC, candid) rank FROM det ) WHERE rank <= 5", "mag", longs="rank")
+@register(
+    "top_k_magnitudes",
+    """SELECT oid, candid, mag, rank FROM (SELECT *, row_number() OVER (PARTITION BY oid ORDER BY mag DESC, candid) rank FROM det ) WHERE rank <= 5""",
+    "mag",
+    longs="rank",
+)
 def top_k_magnitudes(s, d):
     return history.top_k(T.detections(s, d), ["oid"], "mag", 5, "candid").select("oid", "candid", "mag", "rank")
 
 
-@register("bundle_by_object", "SELECT oid, array_to_string(list_sort(list(DISTINCT candid)), ',') candids, count(*) n_rows, string_agg(DISTINCT fid, ',' ORDER BY fid) bands FROM det GROUP BY oid")
+@register(
+    "bundle_by_object",
+    """SELECT oid, array_to_string(list_sort(list(DISTINCT candid)), ',') candids, count(*) n_rows, string_agg(DISTINCT fid, ',' ORDER BY fid) bands FROM det GROUP BY oid""",
+)
 def bundle_by_object(s, d):
     return history.bundle_by_object(T.detections(s, d)).withColumn("candids", F.array_join(F.col("candids").cast("array<string>"), ","))
 
@@ -157,12 +184,20 @@ def trim_to_span(s, d):
     return history.trim_to_span(T.detections(s, d), 5.0).groupBy("oid").agg(F.count("*").alias("n"), F.min("mjd").alias("start"))
 
 
-@register("quality_filters", "SELECT oid, candid FROM (SELECT *, count(*) FILTER (NOT forced) OVER (PARTITION BY oid) n FROM det WHERE forced OR rb >= 0.55) WHERE n >= 20 AND lower(sid) = 'ztf'")
+@register(
+    "quality_filters",
+    """SELECT oid, candid FROM (SELECT *, count(*) FILTER (NOT forced) OVER (PARTITION BY oid) n FROM det WHERE forced OR rb >= 0.55) WHERE n >= 20 AND lower(sid) = 'ztf'""",
+)
 def quality_filters(s, d):
     return filters.min_detections(filters.drop_bogus(T.detections(s, d)), 20).filter(filters.survey_mask("ZTF")).select("oid", "candid")
 
 
-@register("reference_close", "SELECT oid, fid, count(*) n, avg(distnr) mean_distnr, stddev_samp(distnr) sigma_distnr, sum(sharpnr) / count(*) mean_sharpnr FROM det WHERE distnr BETWEEN 0 AND 5 AND e_mag > 0 AND fid IN ('click', 'view') GROUP BY oid, fid", "mean_distnr sigma_distnr mean_sharpnr")
+@register(
+    "reference_close",
+    """SELECT oid, fid, count(*) n, avg(distnr) mean_distnr, stddev_samp(distnr) sigma_distnr, sum(sharpnr) / count(*) mean_sharpnr FROM det WHERE distnr BETWEEN 0 AND 5 AND
+ e_mag > 0 AND fid IN ('click', 'view') GROUP BY oid, fid""",
+    "mean_distnr sigma_distnr mean_sharpnr",
+)
 def reference_close(s, d):
     obs = filters.reference_close(T.detections(s, d).withColumn("e_brightness", F.col("e_mag")), ["click", "view"])
     return obs.groupBy("oid", "fid").agg(F.count("*").alias("n"), F.avg("distnr").alias("mean_distnr"), F.stddev_samp("distnr").alias("sigma_distnr"), F.avg("sharpnr").alias("mean_sharpnr"))
@@ -189,12 +224,24 @@ def exclude_objects(s, d):
 SEP = "2 * degrees(asin(sqrt(least(pow(sin(radians({b}.dec - {a}.dec) / 2), 2) + cos(radians({a}.dec)) * cos(radians({b}.dec)) * pow(sin(radians({b}.ra - {a}.ra) / 2), 2), 1)))) * 3600".format(a="o", b="c")
 
 
-@register("crossmatch", f"SELECT oid, cat_id, sep, rank FROM (SELECT *, row_number() OVER (PARTITION BY oid ORDER BY sep, cat_id) rank FROM (SELECT o.oid, cat_id, {SEP} sep FROM obj o, cat c) WHERE sep <= 1800) WHERE rank <= 2", "sep", 3, longs="rank")
+@register(
+    "crossmatch",
+    f"""SELECT oid, cat_id, sep, rank FROM (SELECT *, row_number() OVER (PARTITION BY oid ORDER BY sep, cat_id) rank FROM (SELECT o.oid, cat_id, {SEP} sep FROM obj o, cat c)
+ WHERE sep <= 1800) WHERE rank <= 2""",
+    "sep",
+    3,
+    longs="rank",
+)
 def crossmatch(s, d):
     return sky.crossmatch(T.objects(s, d), T.catalog(s, d), 1800.0, 2).select("oid", "cat_id", "sep", "rank")
 
 
-@register("watchlist_match", f"SELECT cat_id AS target, oid, sep FROM (SELECT o.oid, cat_id, {SEP} sep, least((cat_id % 7) / 1000, 30 / 3600) r FROM obj o, cat c) WHERE sep <= r * 3600", "sep", 3)
+@register(
+    "watchlist_match",
+    f"""SELECT cat_id AS target, oid, sep FROM (SELECT o.oid, cat_id, {SEP} sep, least((cat_id % 7) / 1000, 30 / 3600) r FROM obj o, cat c) WHERE sep <= r * 3600""",
+    "sep",
+    3,
+)
 def watchlist_match(s, d):
     targets = T.catalog(s, d).withColumn("radius", (F.col("cat_id") % 7) / 1000).drop("w1")
     return sky.watchlist_match(T.objects(s, d), targets).select(F.col("cat_id").alias("target"), "oid", "sep")
@@ -215,7 +262,11 @@ def assign_aid(s, d):
     return sky.assign_aid(alerts, known)
 
 
-@register("master_ids", "SELECT p_partkey, 36028797018963968 + (p_partkey % 100) * 8031810176 + (p_partkey % 26) * 308915776 + (p_partkey % 17) AS master, 'ZTF' AS survey, 'ZTF' || lpad(CAST(p_partkey % 100 AS VARCHAR), 2, '0') || chr(CAST(97 + p_partkey % 26 AS INTEGER)) || 'aaaaa' || chr(CAST(97 + p_partkey % 17 AS INTEGER)) AS oid FROM part")
+@register(
+    "master_ids",
+    """SELECT p_partkey, 36028797018963968 + (p_partkey % 100) * 8031810176 + (p_partkey % 26) * 308915776 + (p_partkey % 17) AS master, 'ZTF' AS survey, 'ZTF' ||
+ lpad(CAST(p_partkey % 100 AS VARCHAR), 2, '0') || chr(CAST(97 + p_partkey % 26 AS INTEGER)) || 'aaaaa' || chr(CAST(97 + p_partkey % 17 AS INTEGER)) AS oid FROM part""",
+)
 def master_ids(s, d):
     k = F.col("p_partkey")
     letter = lambda m: F.char((97 + k % m).cast("int"))
@@ -238,13 +289,24 @@ def jd_dates(s, d):
     return e.select("event_id", y.alias("year"), m.alias("month"), F.floor(day).cast("int").alias("day"))
 
 
-@register("flux_conversions", "SELECT candid, pow(10, -(mag - 23.9) / 2.5) * isdiffpos AS flux, e_mag * pow(10, -(mag - 23.9) / 2.5) * ln(10) / 2.5 AS e_flux, reverse(CAST(candid AS VARCHAR)) || '.avro' AS key FROM det", "flux e_flux", 4)
+@register(
+    "flux_conversions",
+    """SELECT candid, pow(10, -(mag - 23.9) / 2.5) * isdiffpos AS flux, e_mag * pow(10, -(mag - 23.9) / 2.5) * ln(10) / 2.5 AS e_flux, reverse(CAST(candid AS VARCHAR)) ||
+ '.avro' AS key FROM det""",
+    "flux e_flux",
+    4,
+)
 def flux_conversions(s, d):
     f, e = C.mag_to_flux(F.col("mag"), F.col("e_mag"), F.col("isdiffpos"))
     return T.detections(s, d).select("candid", f.alias("flux"), e.alias("e_flux"), C.object_key(F.col("candid")).alias("key"))
 
 
-@register("rank_probabilities", "SELECT oid, class_name, probability, row_number() OVER (PARTITION BY oid ORDER BY probability DESC, class_name) ranking FROM prob", "probability", longs="ranking")
+@register(
+    "rank_probabilities",
+    """SELECT oid, class_name, probability, row_number() OVER (PARTITION BY oid ORDER BY probability DESC, class_name) ranking FROM prob""",
+    "probability",
+    longs="ranking",
+)
 def rank_probabilities(s, d):
     return classify.rank_probabilities(T.probabilities(s, d)).select("oid", "class_name", "probability", "ranking")
 
@@ -254,7 +316,10 @@ def dense_rank_probabilities(s, d):
     return classify.rank_probabilities(T.probabilities(s, d), "dense").select("oid", "class_name", "ranking")
 
 
-@register("class_distribution", "SELECT class_name, count(*) n FROM (SELECT oid, (min((-probability, class_name)))[2] AS class_name FROM prob GROUP BY oid) GROUP BY class_name")
+@register(
+    "class_distribution",
+    """SELECT class_name, count(*) n FROM (SELECT oid, (min((-probability, class_name)))[2] AS class_name FROM prob GROUP BY oid) GROUP BY class_name""",
+)
 def class_distribution(s, d):
     return classify.class_distribution(T.probabilities(s, d))
 
@@ -264,7 +329,12 @@ def score_rows(s, d):
     return classify.flatten_scores(classify.score_rows(T.probabilities(s, d), "share", "1"))
 
 
-@register("melt_probabilities", "SELECT oid, class_name, CASE class_name WHEN 'a' THEN quantity WHEN 'b' THEN discount END AS probability FROM (SELECT l_orderkey * 10 + l_linenumber AS oid, l_quantity / 50 AS quantity, l_discount AS discount FROM lineitem), (VALUES ('a'), ('b')) v(class_name)", "probability")
+@register(
+    "melt_probabilities",
+    """SELECT oid, class_name, CASE class_name WHEN 'a' THEN quantity WHEN 'b' THEN discount END AS probability FROM (SELECT l_orderkey * 10 + l_linenumber AS oid, l_quantity /
+ 50 AS quantity, l_discount AS discount FROM lineitem), (VALUES ('a'), ('b')) v(class_name)""",
+    "probability",
+)
 def melt_probabilities(s, d):
     wide = T.table(s, d, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("oid"), (F.col("l_quantity") / 50).alias("a"), F.col("l_discount").alias("b"))
     return classify.melt_probabilities(wide, "oid", ["a", "b"])
@@ -291,7 +361,11 @@ def replace_probabilities(s, d):
     return out.select("oid", "class_name", (F.round("probability", 6) + F.lit(0.0)).alias("probability"), "ranking")
 
 
-@register("wide_features", "SELECT oid, arg_max(mag, candid) FILTER (fid = 'click') AS click, arg_max(mag, candid) FILTER (fid = 'view') AS view FROM det GROUP BY oid", "click view")
+@register(
+    "wide_features",
+    """SELECT oid, arg_max(mag, candid) FILTER (fid = 'click') AS click, arg_max(mag, candid) FILTER (fid = 'view') AS view FROM det GROUP BY oid""",
+    "click view",
+)
 def wide_features(s, d):
     return classify.wide_features(T.detections(s, d).select("oid", "candid", F.col("fid").alias("name"), F.col("mag").alias("value")), ["click", "view"])
 
@@ -352,12 +426,21 @@ def classification_report(s, d):
     return training.classification_report(_predicted(s, d), "truth", "guess")
 
 
-@register("confusion_matrix", f"SELECT truth, guess, count(*) AS n, count(*) / sum(count(*)) OVER (PARTITION BY truth) AS share FROM ({PRED}) GROUP BY truth, guess", "share")
+@register(
+    "confusion_matrix",
+    f"""SELECT truth, guess, count(*) AS n, count(*) / sum(count(*)) OVER (PARTITION BY truth) AS share FROM ({PRED}) GROUP BY truth, guess""",
+    "share",
+)
 def confusion_matrix(s, d):
     return training.confusion_matrix(_predicted(s, d), "truth", "guess")
 
 
-@register("precision_recall_curve", "SELECT score, sum(h) OVER w / sum(n) OVER w AS precision, sum(h) OVER w / sum(h) OVER () AS recall FROM (SELECT n_chars // 50 AS score, count(*) n, sum(quality) h FROM labels JOIN documents USING (doc_id) GROUP BY ALL) WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING)", "precision recall")
+@register(
+    "precision_recall_curve",
+    """SELECT score, sum(h) OVER w / sum(n) OVER w AS precision, sum(h) OVER w / sum(h) OVER () AS recall FROM (SELECT n_chars // 50 AS score, count(*) n, sum(quality) h FROM
+ labels JOIN documents USING (doc_id) GROUP BY ALL) WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING)""",
+    "precision recall",
+)
 def precision_recall_curve(s, d):
     j = T.table(s, d, "labels").join(T.table(s, d, "documents").select("doc_id", F.expr("n_chars div 50").alias("score")), "doc_id")
     return training.precision_recall_curve(j, "score", "quality")
@@ -366,12 +449,21 @@ def precision_recall_curve(s, d):
 SPLIT = "(row_number() OVER (PARTITION BY label ORDER BY md5(CAST(oid AS VARCHAR) || ':0'), oid) - 0.5) / count(*) OVER (PARTITION BY label)"
 
 
-@register("stratified_split", f"SELECT oid, label, CASE WHEN p < 0.2 THEN 'test' WHEN p < 0.2 + 0.8 * 0.25 THEN 'validation' ELSE 'train' END AS partition FROM (SELECT *, {SPLIT} AS p FROM (SELECT doc_id AS oid, quality AS label FROM labels))")
+@register(
+    "stratified_split",
+    f"""SELECT oid, label, CASE WHEN p < 0.2 THEN 'test' WHEN p < 0.2 + 0.8 * 0.25 THEN 'validation' ELSE 'train' END AS partition FROM (SELECT *, {SPLIT} AS p FROM (SELECT
+ doc_id AS oid, quality AS label FROM labels))""",
+)
 def stratified_split(s, d):
     return training.stratified_split(T.table(s, d, "labels").select(F.col("doc_id").alias("oid"), F.col("quality").alias("label")))
 
 
-@register("stratified_kfold", "SELECT oid, label, ntile(5) OVER (PARTITION BY label ORDER BY md5(CAST(oid AS VARCHAR) || ':0'), oid) - 1 AS fold FROM (SELECT doc_id AS oid, quality AS label FROM labels)", longs="fold")
+@register(
+    "stratified_kfold",
+    """SELECT oid, label, ntile(5) OVER (PARTITION BY label ORDER BY md5(CAST(oid AS VARCHAR) || ':0'), oid) - 1 AS fold FROM (SELECT doc_id AS oid, quality AS label FROM
+ labels)""",
+    longs="fold",
+)
 def stratified_kfold(s, d):
     return training.stratified_kfold(T.table(s, d, "labels").select(F.col("doc_id").alias("oid"), F.col("quality").alias("label")))
 
@@ -387,12 +479,22 @@ def feature_quantiles(s, d):
     return training.feature_quantiles(long, "name", "v")
 
 
-@register("profile_features", "SELECT fid, count(*) AS n, avg(CASE WHEN mag IS NULL THEN 1.0::double ELSE 0 END) AS null_share, avg(mag) AS mean, stddev_samp(mag) AS std, min(mag) AS low, quantile_cont(mag, 0.25) AS q25, quantile_cont(mag, 0.5) AS q50, quantile_cont(mag, 0.75) AS q75, max(mag) AS high FROM det GROUP BY fid", "null_share mean std low q25 q50 q75 high")
+@register(
+    "profile_features",
+    """SELECT fid, count(*) AS n, avg(CASE WHEN mag IS NULL THEN 1.0::double ELSE 0 END) AS null_share, avg(mag) AS mean, stddev_samp(mag) AS std, min(mag) AS low,
+ quantile_cont(mag, 0.25) AS q25, quantile_cont(mag, 0.5) AS q50, quantile_cont(mag, 0.75) AS q75, max(mag) AS high FROM det GROUP BY fid""",
+    "null_share mean std low q25 q50 q75 high",
+)
 def profile_features(s, d):
     return training.profile_features(T.detections(s, d), "mag", "fid")
 
 
-@register("multi_horizon", "SELECT oid, h AS horizon, count(*) AS n, avg(mag) AS mean FROM (SELECT *, min(CASE WHEN NOT forced THEN mjd END) OVER (PARTITION BY oid) AS f FROM det ) , (VALUES (4.0::double), (16.0::double), (NULL)) v(h) WHERE h IS NULL OR mjd <= f + h GROUP BY oid, h", "mean")
+@register(
+    "multi_horizon",
+    """SELECT oid, h AS horizon, count(*) AS n, avg(mag) AS mean FROM (SELECT *, min(CASE WHEN NOT forced THEN mjd END) OVER (PARTITION BY oid) AS f FROM det ) , (VALUES
+ (4.0::double), (16.0::double), (NULL)) v(h) WHERE h IS NULL OR mjd <= f + h GROUP BY oid, h""",
+    "mean",
+)
 def multi_horizon(s, d):
     return training.multi_horizon(T.detections(s, d), [4, 16]).groupBy("oid", "horizon").agg(F.count("*").alias("n"), F.avg("mag").alias("mean"))
 
@@ -434,7 +536,14 @@ def anderson_darling(s, d):
     return features.basic_features(T.detections(s, d), ["AndersonDarling", "FluxPercentileRatioMid35", "FluxPercentileRatioMid65"])
 
 
-@register("colors", "SELECT oid, avg(mag) FILTER (fid = 'click') - avg(mag) FILTER (fid = 'view') AS color_mean, min(mag) FILTER (fid = 'click') - min(mag) FILTER (fid = 'view') AS color_max, quantile_cont(fl, 0.9) FILTER (fid = 'click') / (quantile_cont(fl, 0.9) FILTER (fid = 'view') + 1) AS color_flux_p90 FROM (SELECT *, pow(10, -(mag - 23.9) / 2.5) AS fl FROM det WHERE NOT forced) GROUP BY oid", "color_mean color_max color_flux_p90", 5)
+@register(
+    "colors",
+    """SELECT oid, avg(mag) FILTER (fid = 'click') - avg(mag) FILTER (fid = 'view') AS color_mean, min(mag) FILTER (fid = 'click') - min(mag) FILTER (fid = 'view') AS color_max,
+ quantile_cont(fl, 0.9) FILTER (fid = 'click') / (quantile_cont(fl, 0.9) FILTER (fid = 'view') + 1) AS color_flux_p90 FROM (SELECT *, pow(10, -(mag - 23.9) / 2.5) AS fl
+ FROM det WHERE NOT forced) GROUP BY oid""",
+    "color_mean color_max color_flux_p90",
+    5,
+)
 def colors(s, d):
     return features.colors(T.detections(s, d), "click", "view")
 
@@ -466,7 +575,12 @@ def sn_features(s, d):
     return features.sn_features(T.detections(s, d))
 
 
-@register("coordinates_xyz", "SELECT oid, cos(radians(avg(ra))) * cos(radians(avg(dec))) AS x, sin(radians(avg(ra))) * cos(radians(avg(dec))) AS y, sin(radians(avg(dec))) AS z, max(mjd) - min(mjd) AS timespan FROM det GROUP BY oid", "x y z timespan")
+@register(
+    "coordinates_xyz",
+    """SELECT oid, cos(radians(avg(ra))) * cos(radians(avg(dec))) AS x, sin(radians(avg(ra))) * cos(radians(avg(dec))) AS y, sin(radians(avg(dec))) AS z, max(mjd) - min(mjd) AS
+ timespan FROM det GROUP BY oid""",
+    "x y z timespan",
+)
 def coordinates_xyz(s, d):
     return features.coordinates_xyz(T.detections(s, d))
 
@@ -667,7 +781,7 @@ ACF = """(WITH z AS (SELECT *, mag - avg(mag) OVER (PARTITION BY oid, fid) AS z
  FROM z a JOIN z b ON a.oid = b.oid AND a.fid = b.fid AND (a.mjd, a.candid) <= (b.mjd, b.candid) GROUP BY ALL))"""
 
 
-@register("slotted_autocorrelation", f"SELECT * FROM {ACF} WHERE slot < 100 OR 'det ' = ''", "r", 4)
+@register("slotted_autocorrelation", f"SELECT * FROM {ACF} WHERE slot < 100", "r", 4)
 def slotted_autocorrelation(s, d):
     return variability.slotted_autocorrelation(T.detections(s, d))
 
@@ -698,7 +812,11 @@ def mhps(s, d):
     return variability.mhps(T.detections(s, d))
 
 
-@register("sigma_clip", "SELECT candid, c OR abs(mag - avg(CASE WHEN NOT c THEN mag END) OVER g) > 1.5 * stddev_pop(CASE WHEN NOT c THEN mag END) OVER g AS clipped FROM (SELECT *, abs(mag - avg(mag) OVER g) > 1.5 * stddev_pop(mag) OVER g AS c FROM det WINDOW g AS (PARTITION BY oid, fid)) WINDOW g AS (PARTITION BY oid, fid)")
+@register(
+    "sigma_clip",
+    """SELECT candid, c OR abs(mag - avg(CASE WHEN NOT c THEN mag END) OVER g) > 1.5 * stddev_pop(CASE WHEN NOT c THEN mag END) OVER g AS clipped FROM (SELECT *, abs(mag -
+ avg(mag) OVER g) > 1.5 * stddev_pop(mag) OVER g AS c FROM det WINDOW g AS (PARTITION BY oid, fid)) WINDOW g AS (PARTITION BY oid, fid)""",
+)
 def sigma_clip(s, d):
     return variability.sigma_clip(T.detections(s, d), 1.5).select("candid", "clipped")
 
@@ -741,7 +859,12 @@ def patch_features(s, d):
     return outputs.patch_features(old, old.withColumn("value", F.col("value") + 1), ["click", "view"])
 
 
-@register("align_partitions", "SELECT doc_id AS oid, quality AS partition, row_number() OVER (PARTITION BY quality ORDER BY doc_id) - 1 AS row_id FROM labels WHERE doc_id IN (SELECT doc_id FROM documents WHERE n_chars > 500)", longs="row_id")
+@register(
+    "align_partitions",
+    """SELECT doc_id AS oid, quality AS partition, row_number() OVER (PARTITION BY quality ORDER BY doc_id) - 1 AS row_id FROM labels WHERE doc_id IN (SELECT doc_id FROM
+ documents WHERE n_chars > 500)""",
+    longs="row_id",
+)
 def align_partitions(s, d):
     parts = T.table(s, d, "labels").select(F.col("doc_id").alias("oid"), F.col("quality").alias("partition"))
     return outputs.align_partitions(parts, T.table(s, d, "documents").filter("n_chars > 500").select(F.col("doc_id").alias("oid")))
@@ -760,18 +883,28 @@ def merge_json_values(s, d):
     return e.select("event_id", outputs.merge_json("props", "new").alias("v"))
 
 
-@register("attach_output", "SELECT o_orderkey AS oid, arg_max(class_name, (probability, class_name)) AS class, count(*) AS n FROM orders JOIN prob ON o_orderkey = oid GROUP BY o_orderkey")
+@register(
+    "attach_output",
+    """SELECT o_orderkey AS oid, arg_max(class_name, (probability, class_name)) AS class, count(*) AS n FROM orders JOIN prob ON o_orderkey = oid GROUP BY o_orderkey""",
+)
 def attach_output(s, d):
     f = T.table(s, d, "orders").select(F.col("o_orderkey").alias("oid"))
     return outputs.attach_output(f, T.probabilities(s, d)).select("oid", "class", F.size("probabilities").cast("long").alias("n"))
 
 
-@register("debias_positions", "SELECT oid FROM (SELECT *, row_number() OVER (PARTITION BY k, dec < 0 ORDER BY md5(CAST(oid AS VARCHAR))) AS n FROM (SELECT *, oid % 3 AS k FROM obj )) WHERE NOT (k = 1 AND dec < 0) OR n <= 20")
+@register(
+    "debias_positions",
+    """SELECT oid FROM (SELECT *, row_number() OVER (PARTITION BY k, dec < 0 ORDER BY md5(CAST(oid AS VARCHAR))) AS n FROM (SELECT *, oid % 3 AS k FROM obj )) WHERE NOT (k = 1
+ AND dec < 0) OR n <= 20""",
+)
 def debias_positions(s, d):
     return outputs.debias_positions(T.objects(s, d).withColumn("k", (F.col("oid") % 3).cast("string")), "k", "1", 20).select("oid")
 
 
-@register("pull_training_set", "SELECT oid, candid FROM det WHERE CAST(oid AS BIGINT) IN (SELECT c_custkey FROM customer) AND oid IN (SELECT oid FROM det WHERE fid = 'purchase')")
+@register(
+    "pull_training_set",
+    """SELECT oid, candid FROM det WHERE CAST(oid AS BIGINT) IN (SELECT c_custkey FROM customer) AND oid IN (SELECT oid FROM det WHERE fid = 'purchase')""",
+)
 def pull_training_set(s, d):
     det = T.detections(s, d)
     objs = T.table(s, d, "customer").select(F.col("c_custkey").cast("string").alias("oid"))
@@ -782,12 +915,24 @@ def pull_training_set(s, d):
 from skyflow.operators import parse  # noqa: E402
 
 
-@register("pair_join", "SELECT a.oid, a.fid, count(*) AS n, sum(b.mjd - a.mjd) AS dt, sum(abs(b.mag - a.mag)) AS dm FROM det a JOIN det b ON a.oid = b.oid AND a.fid = b.fid AND (a.mjd, a.candid) < (b.mjd, b.candid) AND b.mjd - a.mjd <= 6 GROUP BY a.oid, a.fid", "dt dm", 4)
+@register(
+    "pair_join",
+    """SELECT a.oid, a.fid, count(*) AS n, sum(b.mjd - a.mjd) AS dt, sum(abs(b.mag - a.mag)) AS dm FROM det a JOIN det b ON a.oid = b.oid AND a.fid = b.fid AND (a.mjd, a.candid)
+ < (b.mjd, b.candid) AND b.mjd - a.mjd <= 6 GROUP BY a.oid, a.fid""",
+    "dt dm",
+    4,
+)
 def pair_join(s, d):
     return features.pair_join(T.detections(s, d), 6.0).groupBy("oid", "fid").agg(F.count("*").alias("n"), F.sum("dt").alias("dt"), F.sum("dm").alias("dm"))
 
 
-@register("stack_units", "SELECT unit, count(*) AS n, avg(b) AS brightness FROM (SELECT 'magnitude' AS unit, mag AS b FROM det UNION ALL SELECT 'diff_flux', pow(10, -(mag - 23.9) / 2.5) * isdiffpos FROM det ) GROUP BY unit", "brightness", 4)
+@register(
+    "stack_units",
+    """SELECT unit, count(*) AS n, avg(b) AS brightness FROM (SELECT 'magnitude' AS unit, mag AS b FROM det UNION ALL SELECT 'diff_flux', pow(10, -(mag - 23.9) / 2.5) *
+ isdiffpos FROM det ) GROUP BY unit""",
+    "brightness",
+    4,
+)
 def stack_units(s, d):
     return parse.stack_units(T.detections(s, d)).groupBy("unit").agg(F.count("*").alias("n"), F.avg("brightness").alias("brightness"))
 
@@ -819,7 +964,11 @@ def fill_not_classified(s, d):
     return classify.fill_not_classified(T.table(s, d, "orders").select(F.col("o_orderkey").alias("oid")), prob, ["a"])
 
 
-@register("undersample_windows", "SELECT window_id FROM (SELECT *, row_number() OVER (PARTITION BY oid ORDER BY md5(window_id), window_id) AS n FROM (SELECT DISTINCT oid, oid || '_' || w AS window_id FROM (SELECT oid, (row_number() OVER (PARTITION BY oid ORDER BY mjd, candid) - 1) // 10 AS w FROM det ))) WHERE CAST(oid AS BIGINT) % 2 = 0 OR n = 1")
+@register(
+    "undersample_windows",
+    """SELECT window_id FROM (SELECT *, row_number() OVER (PARTITION BY oid ORDER BY md5(window_id), window_id) AS n FROM (SELECT DISTINCT oid, oid || '_' || w AS window_id FROM
+ (SELECT oid, (row_number() OVER (PARTITION BY oid ORDER BY mjd, candid) - 1) // 10 AS w FROM det ))) WHERE CAST(oid AS BIGINT) % 2 = 0 OR n = 1""",
+)
 def undersample_windows(s, d):
     w = training.count_windows(T.detections(s, d), 10).select("oid", "window_id").distinct()
     labels = w.select("oid").distinct().withColumn("label", F.when(F.col("oid").cast("bigint") % 2 == 0, "keep").otherwise("rest"))
@@ -834,7 +983,11 @@ def object_document(s, d):
     return doc.select("oid", F.col("loc.coordinates")[0].alias("x"), F.col("loc.coordinates")[1].alias("y"), F.size("magstats").cast("long").alias("bands"))
 
 
-@register("slotted_length", f"SELECT oid, fid, min(slot) FILTER (r < exp(-1)) * 1.0::double AS SlottedA_length FROM {ACF} GROUP BY oid, fid HAVING 'det ' <> ''", "SlottedA_length")
+@register(
+    "slotted_length",
+    f"""SELECT oid, fid, min(slot) FILTER (r < exp(-1)) * 1.0::double AS SlottedA_length FROM {ACF} GROUP BY oid, fid""",
+    "SlottedA_length",
+)
 def slotted_length(s, d):
     return variability.slotted_length(T.detections(s, d))
 

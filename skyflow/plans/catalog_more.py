@@ -109,7 +109,11 @@ def forced_and_limits(s, d):
     return forced.unionByName(history.read_limits(det.filter("not new and not forced"), det.filter("new")).select("oid", "candid", F.lit("limit").alias("kind")))
 
 
-@register("standardized_alerts", "SELECT candid, mag, e_mag, CASE 1 + candid % 3 WHEN 1 THEN 'g' WHEN 2 THEN 'r' ELSE 'i' END AS fid, isdiffpos, mjd FROM det ", "mag e_mag mjd")
+@register(
+    "standardized_alerts",
+    """SELECT candid, mag, e_mag, CASE 1 + candid % 3 WHEN 1 THEN 'g' WHEN 2 THEN 'r' ELSE 'i' END AS fid, isdiffpos, mjd FROM det """,
+    "mag e_mag mjd",
+)
 def standardized_alerts(s, d):
     routed = parse.route_survey(T.alerts(s, d), {"ztf": (F.col("objectId").startswith("ZTF"), parse.standardize_ztf)})
     return routed.select(F.col("candid").cast("long").alias("candid"), "mag", "e_mag", "fid", "isdiffpos", "mjd")
@@ -427,7 +431,7 @@ def structure_function_indices(s, d):
 
 @register(
     "stetson_k_ac",
-    f"SELECT oid, fid, CASE WHEN count(*) > 1 AND sum(z * z) > 0 THEN sum(abs(z)) / sqrt(count(*) * sum(z * z)) END AS StetsonK_AC FROM (SELECT *, r - avg(r) OVER (PARTITION BY oid, fid) AS z FROM {catalog.ACF} WHERE slot < 100 OR 'det ' = '') GROUP BY oid, fid",
+    f"SELECT oid, fid, CASE WHEN count(*) > 1 AND sum(z * z) > 0 THEN sum(abs(z)) / sqrt(count(*) * sum(z * z)) END AS StetsonK_AC FROM (SELECT *, r - avg(r) OVER (PARTITION BY oid, fid) AS z FROM {catalog.ACF} WHERE slot < 100) GROUP BY oid, fid",
     "StetsonK_AC",
 )
 def stetson_k_ac(s, d):
@@ -471,7 +475,11 @@ def multi_horizon_features(s, d):
     return training.multi_horizon_features(T.detections(s, d), [4, 16], compute).drop("version")
 
 
-@register("consolidate", "SELECT oid, NULL::double AS horizon, max(mag) FILTER (fid = 'click') AS m_click, max(mag) FILTER (fid = 'view') AS m_view FROM det GROUP BY oid", "m_click m_view")
+@register(
+    "consolidate",
+    """SELECT oid, NULL::double AS horizon, max(mag) FILTER (fid = 'click') AS m_click, max(mag) FILTER (fid = 'view') AS m_view FROM det GROUP BY oid""",
+    "m_click m_view",
+)
 def consolidate(s, d):
     f = T.detections(s, d).select("oid", F.lit(None).cast("double").alias("horizon"), F.lit("m").alias("name"), "fid", F.col("mag").alias("value"))
     return training.consolidate(f, ["m_click", "m_view"])
@@ -629,7 +637,11 @@ def drop_bad_supernovae(s, d):
     return classify.drop_bad_supernovae(prob, T.detections(s, d)).select("oid", "class_name")
 
 
-@register("asteroids_and_bands", "SELECT candid, candid % 4 > 0 AS asteroid, CASE 1 + candid % 3 WHEN 1 THEN 'g' WHEN 2 THEN 'r' ELSE 'i' END AS band, 1 + candid % 3 AS number, TRUE AS valid FROM det ", longs="number")
+@register(
+    "asteroids_and_bands",
+    """SELECT candid, candid % 4 > 0 AS asteroid, CASE 1 + candid % 3 WHEN 1 THEN 'g' WHEN 2 THEN 'r' ELSE 'i' END AS band, 1 + candid % 3 AS number, TRUE AS valid FROM det """,
+    longs="number",
+)
 def asteroids_and_bands(s, d):
     a = T.alerts(s, d).withColumns({"ssdistnr": F.when(F.col("candid") % 4 == 0, -999.0).otherwise(1.0), "band": C.band_letter(F.col("candidate.fid"))})
     return a.select("candid", filters.is_asteroid().alias("asteroid"), "band", C.band_number(F.col("band")).alias("number"), C.valid_oid(F.col("objectId")).alias("valid"))
