@@ -276,7 +276,19 @@ def master_ids(s, d):
     return m.select("p_partkey", "master", survey.alias("survey"), back.alias("oid"))
 
 
-@register("position_ids")
+POWERS = [26**k for k in range(13, -1, -1)]
+
+
+@register(
+    "position_ids",
+    f"""SELECT * FROM (WITH d AS (SELECT oid, ra / 15 AS h, abs(dec) AS d, dec FROM obj ),
+ m AS (SELECT *, (h - floor(h)) * 60 AS mh, (d - floor(d)) * 60 AS md FROM d),
+ s AS (SELECT *, (mh - floor(mh)) * 60 AS sh, (md - floor(md)) * 60 AS sd FROM m),
+ n AS (SELECT oid, 1000000000000000000 + floor(h)::bigint * 10000000000000000 + floor(mh)::bigint * 100000000000000 + floor(sh)::bigint * 1000000000000
+ + floor((sh - floor(sh)) * 100)::bigint * 10000000000 + CASE WHEN dec >= 0 THEN 1000000000 ELSE 0 END + floor(d)::bigint * 10000000
+ + floor(md)::bigint * 100000 + floor(sd)::bigint * 1000 + floor((sd - floor(sd)) * 10)::bigint * 100 AS number FROM s)
+ SELECT oid, number, array_to_string([chr((97 + number // p % 26)::int) for p in {POWERS!r}::bigint[] if number >= p], '') AS code, number AS back FROM n)""",
+)
 def position_ids(s, d):
     o = T.objects(s, d).withColumn("number", C.aid_number(F.col("ra"), F.col("dec")))
     return o.select("oid", "number", C.aid_encode(F.col("number")).alias("code"), C.aid_decode(C.aid_encode(F.col("number"))).alias("back"))
@@ -499,9 +511,18 @@ def multi_horizon(s, d):
     return training.multi_horizon(T.detections(s, d), [4, 16]).groupBy("oid", "horizon").agg(F.count("*").alias("n"), F.avg("mag").alias("mean"))
 
 
-@register("sequence_sample")
+@register(
+    "sequence_sample",
+    """SELECT oid, fid, row_number() OVER (PARTITION BY oid, fid ORDER BY mjd, mag) - 1 AS at, mjd AS time, mag AS value FROM
+ (SELECT *, row_number() OVER (PARTITION BY oid, fid ORDER BY mjd, candid) - 1 AS i, count(*) OVER (PARTITION BY oid, fid) AS m FROM det )
+ WHERE m <= 8 OR list_contains([j * (m - 1) // 7 for j in range(8)], i)""",
+    "time value",
+    longs="at",
+)
 def sequence_sample(s, d):
-    return training.sequence_sample(T.detections(s, d), 8)
+    seq = training.sequence_sample(T.detections(s, d), 8)
+    rows = seq.select("oid", "fid", F.posexplode(F.arrays_zip("time", "value", "mask")).alias("at", "x")).filter("x.mask = 1")
+    return rows.select("oid", "fid", "at", "x.time", "x.value")
 
 
 BASIC = "Amplitude Rcs StetsonK Meanvariance Con SmallKurtosis Std Mean Skew MaxSlope MedianAbsDev MedianBRP PairSlopeTrend FluxPercentileRatioMid20 FluxPercentileRatioMid50 FluxPercentileRatioMid80 PercentDifferenceFluxPercentile PercentAmplitude LinearTrend Eta_e Q31 Gskew ExcessVar Beyond1Std"
@@ -531,7 +552,19 @@ def basic_features(s, d):
     return features.basic_features(T.detections(s, d), BASIC.split())
 
 
-@register("anderson_darling")
+@register(
+    "anderson_darling",
+    f"""WITH q AS (SELECT *, row_number() OVER (PARTITION BY oid, fid ORDER BY mag, candid) AS rank, count(*) OVER g AS n, (mag - avg(mag) OVER g) / stddev_pop(mag) OVER g AS c0
+ FROM det WHERE NOT forced WINDOW g AS (PARTITION BY oid, fid)),
+ c AS (SELECT *, c0 / sqrt(n / (n - 1)) AS c FROM q WHERE n >= 6),
+ t AS (SELECT *, abs(c) / sqrt(2) AS x, 1 / (1 + 0.3275911::double * abs(c) / sqrt(2)) AS t FROM c),
+ z AS (SELECT *, t * (0.254829592::double + t * (-0.284496736::double + t * (1.421413741::double + t * (-1.453152027::double + t * 1.061405429::double)))) * exp(-x * x) AS tail FROM t),
+ p AS (SELECT *, CASE WHEN c >= 0 THEN 1 - tail / 2 ELSE tail / 2 END AS z FROM z)
+ SELECT oid, fid, 1 / (1 + exp(-10 * (-any_value(n) - sum(((2 * rank - 1) * ln(z) + (2 * (n - rank) + 1) * ln(1 - z)) / n) - 0.3))) AS AndersonDarling,
+ ({_at(0.675)} - {_at(0.325)}) / ({_at(0.95)} - {_at(0.05)}) AS FluxPercentileRatioMid35, ({_at(0.825)} - {_at(0.175)}) / ({_at(0.95)} - {_at(0.05)}) AS FluxPercentileRatioMid65 FROM p GROUP BY oid, fid""",
+    "AndersonDarling FluxPercentileRatioMid35 FluxPercentileRatioMid65",
+    4,
+)
 def anderson_darling(s, d):
     return features.basic_features(T.detections(s, d), ["AndersonDarling", "FluxPercentileRatioMid35", "FluxPercentileRatioMid65"])
 
@@ -562,13 +595,13 @@ def color_variation(s, d):
 
 @register(
     "sn_features",
-    """SELECT *, first - last_before AS dbrightness_first_det, first - median_before AS dbrightness_forced_phot FROM (
+    """SELECT * EXCLUDE (first), first - last_before AS dbrightness_first_det, first - median_before AS dbrightness_forced_phot FROM (
  SELECT oid, fid, count(*) FILTER (NOT forced AND isdiffpos > 0) / nullif(count(*) FILTER (NOT forced), 0) AS positive_fraction,
  count(*) FILTER (b) AS n_before, max(mag) FILTER (b) AS max_before, quantile_cont(mag, 0.5) FILTER (b) AS median_before,
  arg_max(mag, (mjd, candid)) FILTER (b) AS last_before, arg_min(mag, (mjd, candid)) FILTER (NOT forced) AS first,
  count(*) FILTER (a) AS n_after, max(mag) FILTER (a) AS max_after, quantile_cont(mag, 0.5) FILTER (a) AS median_after
  FROM (SELECT *, forced AND mjd < f AS b, forced AND mjd > f AS a FROM
- (SELECT *, min(CASE WHEN NOT forced THEN mjd END) OVER (PARTITION BY oid) AS f FROM det )) GROUP BY oid, fid)""".replace("SELECT *, first", "SELECT * EXCLUDE (first), first"),
+ (SELECT *, min(CASE WHEN NOT forced THEN mjd END) OVER (PARTITION BY oid) AS f FROM det )) GROUP BY oid, fid)""",
     "positive_fraction max_before median_before last_before max_after median_after dbrightness_first_det dbrightness_forced_phot",
 )
 def sn_features(s, d):
@@ -770,7 +803,13 @@ def autoregression_fits(s, d):
     return fits.fit_iar_phi(T.detections(s, d))
 
 
-@register("autocor_length")
+@register(
+    "autocor_length",
+    """SELECT * FROM (WITH z AS (SELECT *, row_number() OVER (PARTITION BY oid, fid ORDER BY mjd, candid) AS r, count(*) OVER g AS n, mag - avg(mag) OVER g AS z, var_pop(mag) OVER g AS v
+ FROM det WHERE NOT forced WINDOW g AS (PARTITION BY oid, fid)),
+ l AS (SELECT a.oid, a.fid, b.r - a.r AS k, sum(a.z * b.z) AS s, any_value(a.n) AS n, any_value(a.v) AS v FROM z a JOIN z b ON a.oid = b.oid AND a.fid = b.fid AND a.r < b.r AND a.n >= 6 GROUP BY ALL)
+ SELECT oid, fid, coalesce(min(k) FILTER (s < exp(-1) * n * v), any_value(n)) AS Autocor_length FROM l GROUP BY oid, fid)""",
+)
 def autocor_length(s, d):
     return variability.autocor_length(T.detections(s, d))
 

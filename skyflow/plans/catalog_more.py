@@ -396,7 +396,7 @@ def document_updates(s, d):
 
 @register(
     "color_mean_max",
-    """SELECT oid, avg(mag) FILTER (fid = 'click') - avg(mag) FILTER (fid = 'view') AS "click-view_mean", min(mag) FILTER (fid = 'click') - min(mag) FILTER (fid = 'view') AS "click-view_max" FROM det WHERE NOT forced GROUP BY oid""".replace('"click-view', '"click-view'),
+    """SELECT oid, avg(mag) FILTER (fid = 'click') - avg(mag) FILTER (fid = 'view') AS "click-view_mean", min(mag) FILTER (fid = 'click') - min(mag) FILTER (fid = 'view') AS "click-view_max" FROM det WHERE NOT forced GROUP BY oid""",
 )
 def color_mean_max(s, d):
     return features.color_mean_max(T.detections(s, d), ["click", "view"])
@@ -517,7 +517,7 @@ def per_class_accuracy(s, d):
  SELECT candid, mag AS v, q, len(list_filter(q, lambda x: x <= mag)) AS k FROM det , (SELECT """
     + "["
     + ", ".join(f"quantile_cont(mag, {k / 10})" for k in range(11))
-    + "] AS q FROM det )))".replace(")))", "))"),
+    + "] AS q FROM det ))",
     "uniform",
     4,
 )
@@ -666,7 +666,7 @@ def survey_colors(s, d):
 
 @register(
     "unique_neighbours",
-    "SELECT candid, NOT bool_or(forced) OVER (PARTITION BY oid) AS unique FROM det QUALIFY NOT forced".replace("AS unique", 'AS "unique"'),
+    'SELECT candid, NOT bool_or(forced) OVER (PARTITION BY oid) AS "unique" FROM det QUALIFY NOT forced',
 )
 def unique_neighbours(s, d):
     det = T.detections(s, d).withColumn("neighbour", F.col("oid").cast("double"))
