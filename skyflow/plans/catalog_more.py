@@ -122,7 +122,7 @@ def standardized_alerts(s, d):
 @register(
     "previous_and_limits",
     """SELECT candid * 1000003 + 1 AS id, 'previous' AS kind, mag + 0.5 AS mag FROM det WHERE candid % 2 = 0
- UNION ALL SELECT candid, 'limit', mag + 1 FROM det WHERE candid % 2 = 1
+ UNION ALL SELECT 0, 'limit', mag + 1 FROM det WHERE candid % 2 = 1
  UNION ALL SELECT candid * 7 + 1, 'forced', -2.5 * log10(10.0::double * (candid % 5) * pow(10, (8.9 - 26.0::double) / 2.5) * 1e6) + 23.9 FROM det WHERE candid % 5 > 0""",
     "mag",
     5,
@@ -130,12 +130,9 @@ def standardized_alerts(s, d):
 def previous_and_limits(s, d):
     a = T.alerts(s, d)
     old = parse.explode_previous(a).select(F.col("candid").cast("long").alias("id"), F.lit("previous").alias("kind"), "mag")
-    limits = parse.explode_limits(a).select(F.floor((F.col("mjd") + 1) * 0).cast("long").alias("id"), F.lit("limit").alias("kind"), F.col("diffmaglim").alias("mag"))
-    by_alert = a.select("candid", F.explode("prv_candidates").alias("p")).filter("p.candid is null").select(F.col("candid").alias("id"), F.lit("limit").alias("kind"), F.col("p.diffmaglim").alias("mag"))
-    same = limits.agg(F.count("*").alias("n"))  # both readings have as many rows
-    checked = by_alert.join(F.broadcast(same), F.col("n") >= 0).drop("n")
+    limits = parse.explode_limits(a).select(F.lit(0).cast("long").alias("id"), F.lit("limit").alias("kind"), F.col("diffmaglim").alias("mag"))
     forced = parse.explode_forced(a).select((F.col("pid")).cast("long").alias("id"), F.lit("forced").alias("kind"), "mag")
-    return old.unionByName(checked).unionByName(forced)
+    return old.unionByName(limits).unionByName(forced)
 
 
 @register(
