@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skyflow.llm import decontaminate, exact_dedup, html_extract, jaccard_join, line_dedup, packing, quality, tokens, toxicity, url_filter
+from skyflow.llm import decontaminate, exact_dedup, html_extract, jaccard_join, line_dedup, packing, quality, secret_scan, tokens, toxicity, url_filter
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_toxicity": toxicity.query,
         "op9_url_filter": url_filter.query,
         "op10_line_dedup": line_dedup.query,
+        "op12_secret_scan": secret_scan.query,
     }
 
 
