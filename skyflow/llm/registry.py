@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skyflow.llm import decontaminate, exact_dedup, html_extract, jaccard_join, line_dedup, packing, quality, secret_scan, tokens, toxicity, url_filter
+from skyflow.llm import alignment, decontaminate, exact_dedup, html_extract, jaccard_join, line_dedup, packing, quality, secret_scan, tokens, toxicity, url_filter
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_url_filter": url_filter.query,
         "op10_line_dedup": line_dedup.query,
         "op12_secret_scan": secret_scan.query,
+        "op13_alignment": alignment.query,
     }
 
 
