@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skyflow.llm import alignment, decontaminate, exact_dedup, html_extract, jaccard_join, line_dedup, packing, quality, secret_scan, tokens, toxicity, url_filter
+from skyflow.llm import alignment, conversation_trie, decontaminate, exact_dedup, html_extract, jaccard_join, line_dedup, packing, quality, secret_scan, tokens, toxicity, url_filter
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_toxicity": toxicity.query,
         "op9_url_filter": url_filter.query,
         "op10_line_dedup": line_dedup.query,
+        "op11_conversation_trie": conversation_trie.query,
         "op12_secret_scan": secret_scan.query,
         "op13_alignment": alignment.query,
     }
@@ -29,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_jaccard_join": jaccard_join.ORACLE,
         "op9_url_filter": url_filter.ORACLE,
         "op10_line_dedup": line_dedup.ORACLE,
+        "op11_conversation_trie": conversation_trie.ORACLE,
     }
