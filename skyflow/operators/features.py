@@ -1,7 +1,7 @@
-"""Light-curve features as windows and aggregates.
+"""Light-curve features.
 
-``basic_features`` adds what several features share as window columns over (oid, fid), all with the same
-partitioning, so one shuffle serves every feature; one aggregation over the same keys then yields them.
+``basic_features`` shuffles once by (oid, fid) and computes all its features in one pass over the sorted curves; the
+other features are windows and aggregates over the same keys.
 """
 
 from __future__ import annotations
@@ -14,78 +14,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyflow.functions.columns import clean
+from skyflow.operators.curves import map_curves
+from skyflow.operators.feature_kernel import NAMES, curve_features
 
 KEYS = ["oid", "fid"]
 MIN_POINTS = 6
 
 
 def _windows() -> dict[str, Column]:
+    """What features added by users may build on."""
     g, o = Window.partitionBy(*KEYS), Window.partitionBy(*KEYS).orderBy("mjd", "candid")
     up = Window.partitionBy(*KEYS).orderBy("mag", "candid")
-    w = F.pow(F.col("e_mag"), -2)
+    w = F.pow(F.when(F.col("e_mag") > 0, F.col("e_mag")), -2)
     return {
         "n": F.count("*").over(g), "mean": F.avg("mag").over(g), "sd": F.stddev_pop("mag").over(g), "med": F.percentile("mag", 0.5).over(g), "lo": F.min("mag").over(g), "hi": F.max("mag").over(g),
-        "p3": F.percentile("mag", 0.03).over(g), "p97": F.percentile("mag", 0.97).over(g), "wmean": F.sum(F.col("mag") * w).over(g) / F.sum(w).over(g), "rank": F.row_number().over(up),
+        "p3": F.percentile("mag", 0.03).over(g), "p97": F.percentile("mag", 0.97).over(g), "wmean": F.try_divide(F.sum(F.col("mag") * w).over(g), F.sum(w).over(g)), "rank": F.row_number().over(up),
         "at": F.row_number().over(o), "pm": F.lag("mag").over(o), "pt": F.lag("mjd").over(o), "m1": F.lead("mag").over(o), "m2": F.lead("mag", 2).over(o), "run": F.sum("mag").over(o.rowsBetween(Window.unboundedPreceding, 0)),
     }
 
 
-def _z(c: Column) -> Column:
-    """Normal CDF by the rational approximation 7.1.26 of Abramowitz and Stegun (error below 1.5e-7)."""
-    x = F.abs(c) / 2**0.5
-    t = 1 / (1 + 0.3275911 * x)
-    tail = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429)))) * F.exp(-x * x)
-    return F.when(c >= 0, 1 - tail / 2).otherwise(tail / 2)
-
-
-def _sorted_at(p: float, ceil: bool = True) -> Column:
-    """Element at index ceil(p * n) of the sorted magnitudes, counted from 0."""
-    k = F.round(p * F.col("n"), 9)
-    return F.max(F.when(F.col("rank") == (F.ceil(k) if ceil else F.floor(k)) + 1, F.col("mag")))
-
-
-def feature_columns() -> dict[str, Column]:
-    m, e, n = F.col("mag"), F.col("e_mag"), F.col("n")
-    first = lambda c: F.first(c)
-    edge = F.ceil(F.round(0.05 * n, 9))
-    outside = lambda c: F.abs(F.col(c) - F.col("mean")) > 2 * F.col("sd")
-    wide = _sorted_at(0.95) - _sorted_at(0.05)
-    dt, dm = F.col("mjd") - F.col("pt"), m - F.col("pm")
-    w = F.pow(dt, -2)
-    late = F.col("at") > n - 29
-    s = (F.col("run") - F.col("at") * F.col("mean")) / (n * F.col("sd"))
-    sig = (m - F.col("wmean")) / e
-    z = _z((m - F.col("mean")) / (F.col("sd") * F.sqrt(n / (n - 1))))
-    a2 = -first("n") - F.sum(((2 * F.col("rank") - 1) * F.log(z) + (2 * (n - F.col("rank")) + 1) * F.log(1 - z)) / n)
-    count = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    return {
-        "Amplitude": (F.percentile(F.when(F.col("rank") > n - edge, m), 0.5) - F.percentile(F.when(F.col("rank") <= edge, m), 0.5)) / 2,
-        "Rcs": F.max(s) - F.min(s),
-        "StetsonK": F.sum(F.abs(sig)) / F.sqrt(F.sum(sig * sig)) / F.sqrt(first("n")),
-        "Meanvariance": first("sd") / first("mean"),
-        "Con": count(outside("mag") & outside("m1") & outside("m2")) / (first("n") - 2),
-        "SmallKurtosis": F.sum(F.pow((m - F.col("mean")) / F.col("sd"), 4)) * first("n") * (first("n") + 1) / ((first("n") - 1) * (first("n") - 2) * (first("n") - 3)) - 3 * F.pow(first("n") - 1, 2) / ((first("n") - 2) * (first("n") - 3)),
-        "Std": first("sd"), "Mean": first("mean"),
-        "Skew": F.sum(F.pow((m - F.col("mean")) / F.col("sd"), 3)) / first("n"),
-        "MaxSlope": F.max(F.abs(dm) / dt),
-        "MedianAbsDev": F.percentile(F.abs(m - F.col("med")), 0.5),
-        "MedianBRP": count((m > F.col("med") - (F.col("hi") - F.col("lo")) / 10) & (m < F.col("med") + (F.col("hi") - F.col("lo")) / 10)) / first("n"),
-        "PairSlopeTrend": (count(late & (dm > 0)) - count(late & (dm <= 0))) / 30,
-        "FluxPercentileRatioMid20": (_sorted_at(0.60) - _sorted_at(0.40)) / wide, "FluxPercentileRatioMid35": (_sorted_at(0.675) - _sorted_at(0.325)) / wide,
-        "FluxPercentileRatioMid50": (_sorted_at(0.75) - _sorted_at(0.25)) / wide, "FluxPercentileRatioMid65": (_sorted_at(0.825) - _sorted_at(0.175)) / wide,
-        "FluxPercentileRatioMid80": (_sorted_at(0.90) - _sorted_at(0.10)) / (_sorted_at(0.95, False) - _sorted_at(0.05)),
-        "PercentDifferenceFluxPercentile": wide / first("med"),
-        "PercentAmplitude": F.max(F.abs(m - F.col("med"))) / first("med"),
-        "LinearTrend": F.regr_slope("mag", "mjd"),
-        "Eta_e": F.sum(w * dm * dm) / F.sum(w) / F.pow(first("sd"), 2),
-        "Q31": F.percentile(m, 0.75) - F.percentile(m, 0.25),
-        "AndersonDarling": 1 / (1 + F.exp(-10 * (a2 - 0.3))),
-        "Gskew": F.percentile(F.when(m <= F.col("p3"), m), 0.5) + F.percentile(F.when(m >= F.col("p97"), m), 0.5) - 2 * first("med"),
-        "ExcessVar": F.sum(F.pow(m - F.col("mean"), 2) - e * e) / (first("n") * F.pow(first("mean"), 2)),
-        "Beyond1Std": count(F.abs(m - F.col("wmean")) > F.col("sd1")) / first("n"),
-    }
-
-
 #: Features added by users: name to a function of options that returns an aggregate over the window columns.
 _ADDED: dict[str, Callable[..., Column]] = {}
 
@@ -96,13 +43,23 @@ def register_feature(name: str, build: Callable[..., Column]) -> None:
 
 
 def basic_features(det: DataFrame, only: list[str] | None = None, options: dict[str, dict] | None = None) -> DataFrame:
-    """One row per (oid, fid) with more than five detections, one column per feature; others have none."""
-    df = det.filter(~F.col("forced")).withColumns(_windows()).filter(F.col("n") >= MIN_POINTS)
-    df = df.withColumn("sd1", F.sqrt(F.sum(F.pow(F.col("mag") - F.col("wmean"), 2)).over(Window.partitionBy(*KEYS)) / (F.col("n") - 1)))
-    cols = feature_columns() | {k: f(**(options or {}).get(k, {})) for k, f in _ADDED.items()}
-    if unknown := set(only or ()) - set(cols):
+    """One row per (oid, fid) with more than five detections, one column per feature; others have none.
+
+    Detections without time or magnitude are left out. A feature that a curve does not determine is null: those
+    divided by the spread of a constant curve, those by errors of zero, slopes of points at one time.
+    """
+    if unknown := set(only or ()) - set(NAMES) - set(_ADDED):
         raise ValueError(f"unknown features {sorted(unknown)}")
-    return df.groupBy(*KEYS).agg(*(clean(v.cast("double")).alias(k) for k, v in cols.items() if only is None or k in only))
+    own = det.filter(~F.col("forced") & F.col("mag").isNotNull() & F.col("mjd").isNotNull())
+    names = [k for k in NAMES if only is None or k in only]
+    added = {k: f(**(options or {}).get(k, {})) for k, f in _ADDED.items() if only is None or k in only}
+    wide = map_curves(own, KEYS, ["mjd", "candid"], ["mjd", "mag", "e_mag"], curve_features, ", ".join(f"{k} double" for k in names), MIN_POINTS) if names else None
+    if not added:
+        return wide
+    df = own.withColumns(_windows()).filter(F.col("n") >= MIN_POINTS)
+    df = df.withColumn("sd1", F.sqrt(F.sum(F.pow(F.col("mag") - F.col("wmean"), 2)).over(Window.partitionBy(*KEYS)) / (F.col("n") - 1)))
+    more = df.groupBy(*KEYS).agg(*(clean(v.cast("double")).alias(k) for k, v in added.items()))
+    return more if wide is None else wide.join(more, KEYS)
 
 
 def long_features(wide: DataFrame, version: str, keys: list[str] = KEYS) -> DataFrame:
