@@ -1,67 +1,138 @@
-"""Period search: objects cross their own frequency grid, and aggregates per (object, frequency) give the power.
+"""Period search: every object meets the blocks of its own frequency grid, and numpy kernels give the power of a block.
 
-A grid is dealt in blocks of frequencies. Observations go once to every block of their object, both sides
-are partitioned by (object, block), and all that follows groups within these: one shuffle of narrow rows,
-none of the crossed ones, and a long light curve with a fine grid is spread over many tasks.
+A row is one object's points with one block of BLOCK frequencies, so a fine grid is spread over many tasks and
+nothing is ever crossed as rows: a kernel works on matrices of points x frequencies, a bounded number of cells at a time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyflow.operators.curves import finite
+from skyflow.operators.spectral import band_harmonics, bin_sums, mutual_information, string_lengths
+
 BLOCK = 256
 TWO_PI = 6.283185307179586
 KEYS = ["oid", "block", "k", "freq"]
+#: Cells of a points x frequencies matrix, and result rows sent back to Spark at once.
+CELLS, SENT_ROWS = 1 << 20, 1 << 15
 
 
-def frequency_grid(obs: DataFrame, pmin: float, pmax: float, shift: float = 0.1, least: int = 1000) -> DataFrame:
-    """(oid, t0, block, k, freq): max(least, ceil(range * timespan / (2 * shift))) equal steps from 1 / pmax to 1 / pmin."""
+def frequency_spec(obs: DataFrame, pmin: float, pmax: float, shift: float = 0.1, least: int = 1000) -> DataFrame:
+    """(oid, t0, n, lo, hi): each object's grid of n = max(least, ceil(range * timespan / (2 * shift))) equal steps from lo = 1 / pmax to hi = 1 / pmin."""
     lo, hi = 1 / pmax, 1 / pmin
     span = obs.groupBy("oid").agg((F.max("mjd") - F.min("mjd")).alias("span"), F.min("mjd").alias("t0"))
     n = F.greatest(F.lit(least), F.ceil((hi - lo) * F.col("span") / (2 * shift)).cast("int"))
-    rows = span.withColumn("n", n).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    return rows.select("oid", "t0", F.expr(f"k div {BLOCK}").cast("int").alias("block"), "k", (lo + F.col("k") * (hi - lo) / (F.col("n") - 1)).alias("freq"))
+    return span.select("oid", "t0", n.alias("n"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
+
 
+def _frequency(k: Column) -> Column:
+    return F.col("lo") + k * (F.col("hi") - F.col("lo")) / (F.col("n") - 1)
 
-def _phased(obs: DataFrame, grid: DataFrame) -> DataFrame:
-    blocks = grid.select("oid", "block").distinct()
-    dealt = obs.filter(~F.col("forced")).join(blocks, "oid")
-    return dealt.hint("merge").join(grid, ["oid", "block"]).withColumn("phase", F.pmod((F.col("mjd") - F.col("t0")) * F.col("freq"), F.lit(1.0)))
+
+def frequency_grid(obs: DataFrame, pmin: float, pmax: float, shift: float = 0.1, least: int = 1000) -> DataFrame:
+    """The rows (oid, t0, block, k, freq) of ``frequency_spec``; the searches take either form."""
+    rows = frequency_spec(obs, pmin, pmax, shift, least).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    return rows.select("oid", "t0", F.expr(f"k div {BLOCK}").cast("int").alias("block"), "k", _frequency(F.col("k")).alias("freq"))
+
+
+def _dealt(obs: DataFrame, grid: DataFrame) -> DataFrame:
+    """(oid, block, t0, ks, freqs, points): each object's detections, by candid, with each block of its grid."""
+    own = obs.filter(~F.col("forced") & F.col("mag").isNotNull() & F.col("mjd").isNotNull())
+    points = own.groupBy("oid").agg(F.sort_array(F.collect_list(F.struct("candid", "mjd", "mag", "e_mag", "fid"))).alias("p"))
+    width = int(obs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if "freq" not in grid.columns:
+        blocks = F.explode(F.sequence(F.lit(0), F.expr(f"cast((n - 1) div {BLOCK} as int)")))
+        rows = points.join(grid, "oid").withColumn("block", blocks).repartition(width, "oid", "block")
+        rows = rows.withColumn("ks", F.sequence(F.col("block") * BLOCK, F.least((F.col("block") + 1) * BLOCK, F.col("n")) - 1)).withColumn("freqs", F.transform("ks", _frequency))
+    else:
+        t0 = F.first("t0") if "t0" in grid.columns else F.lit(0.0)
+        blocks = grid.groupBy("oid", "block").agg(t0.alias("t0"), F.sort_array(F.collect_list(F.struct("k", "freq"))).alias("g"))
+        rows = points.join(blocks, "oid").repartition(width, "oid", "block").withColumns({"ks": F.col("g.k"), "freqs": F.col("g.freq")})
+    return rows.select("oid", "block", "t0", F.col("ks").cast("array<int>").alias("ks"), "freqs", F.col("p.mjd").alias("mjd"), F.col("p.mag").alias("mag"), F.col("p.e_mag").alias("e_mag"), F.col("p.fid").alias("fid"))
+
+
+#: (times from t0, magnitudes, errors, band codes, number of bands, frequencies) to arrays of bands x frequencies, or of frequencies.
+Kernel = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int, np.ndarray], dict[str, np.ndarray] | None]
+
+
+def _search(obs: DataFrame, grid: DataFrame, kernel: Kernel, values: list[str], by_band: bool = False) -> DataFrame:
+    """Rows (oid, [fid,] block, k, freq, *values) of a kernel that gives ``values`` for each frequency (of each band)."""
+    dealt = _dealt(obs, grid)
+    names = ["oid", *(["fid"] if by_band else []), "block", "k", "freq", *values]
+    kinds = dict(dealt.dtypes)
+    schema = ", ".join([f"oid {kinds['oid']}"] + ([f"fid {kinds['fid'][6:-1]}"] if by_band else []) + ["block int, k int, freq double"] + [f"{v} double" for v in values])
+    cells, sent = CELLS, SENT_ROWS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = {c: b.column(c) for c in ("ks", "freqs", "mjd", "mag", "e_mag", "fid")}
+            ends = {c: np.asarray(v.offsets) for c, v in lists.items()}
+            flat = {c: (lists[c].values if c in ("fid", "ks") else pc.cast(lists[c].values, pa.float64()).to_numpy(zero_copy_only=False)) for c in lists}
+            t0, ready, size = b.column("t0").to_numpy(zero_copy_only=False), [], 0
+            for i in range(b.num_rows):
+                part = {c: flat[c][ends[c][i] : ends[c][i + 1]] if c not in ("fid", "ks") else flat[c].slice(ends[c][i], ends[c][i + 1] - ends[c][i]) for c in flat}
+                bands = pc.unique(part["fid"])
+                codes = pc.index_in(part["fid"], bands).to_numpy(zero_copy_only=False)
+                freqs = part["freqs"]
+                step = max(1, cells // max(len(codes), 1))
+                with np.errstate(all="ignore"):
+                    outs = [kernel(part["mjd"] - t0[i], part["mag"], part["e_mag"], codes, len(bands), freqs[k : k + step]) for k in range(0, len(freqs), step)]
+                if outs and outs[0] is not None:
+                    ready.append((i, bands, part["ks"], freqs, {v: np.concatenate([np.atleast_2d(o[v]) for o in outs], axis=1) for v in values}))
+                    size += ready[-1][4][values[0]].size
+                if ready and (size >= sent or i == b.num_rows - 1):
+                    yield _rows(b, ready)
+                    ready, size = [], 0
+            if ready:
+                yield _rows(b, ready)
+
+    def _rows(b: pa.RecordBatch, ready: list) -> pa.RecordBatch:
+        times = [len(r[4][values[0]]) for r in ready]
+        at = pa.array(np.repeat([r[0] for r in ready], [n * len(r[3]) for n, r in zip(times, ready)]))
+        cols = [b.column("oid").take(at)]
+        if by_band:
+            cols.append(pa.concat_arrays([r[1].take(pa.array(np.repeat(np.arange(n), len(r[3])))) for n, r in zip(times, ready)]))
+        cols += [b.column("block").take(at), pa.concat_arrays([x for n, r in zip(times, ready) for x in [r[2]] * n]), pa.array(np.concatenate([np.tile(r[3], n) for n, r in zip(times, ready)]))]
+        return pa.RecordBatch.from_arrays(cols + [finite(np.concatenate([r[4][v].ravel() for r in ready])) for v in values], names)
+
+    return dealt.mapInArrow(run, schema)
 
 
 def mhaov(obs: DataFrame, grid: DataFrame, harmonics: int = 1) -> DataFrame:
     """Per band: sum of squares that a Fourier series explains (``power``), about the weighted mean (``wvar``),
     degrees of freedom ``d2``, and their variance ratio (``ratio``). Bands add up in ``multiband``.
 
-    The normal equations are centred and solved by a Cholesky factor, column by column.
+    Points without a positive error are left out. The normal equations are centred and solved by a Cholesky factor,
+    column by column.
     """
-    keys = ["oid", "fid", *KEYS[1:]]
-    w, y = F.pow("e_mag", -2), F.col("mag")
-    basis = [f(TWO_PI * h * F.col("phase")) for h in range(1, harmonics + 1) for f in (F.cos, F.sin)]
-    m = len(basis)
-    sums = {"n": F.count("*"), "w": F.sum(w), "y": F.sum(w * y), "yy": F.sum(w * y * y)}
-    for i, a in enumerate(basis):
-        sums |= {f"b{i}": F.sum(w * a), f"y{i}": F.sum(w * y * a)} | {f"a{i}_{j}": F.sum(w * a * basis[j]) for j in range(i + 1)}
-    g = _phased(obs, grid).groupBy(*keys).agg(*(v.alias(f"s_{k}") for k, v in sums.items()))
-    s = lambda name: F.col(f"s_{name}")
-    tiny = 3e-5 * F.sqrt(s("w"))  # below it a pivot is rounding: the points do not tell that term from the others
-    for i in range(m):
-        for j in range(i):
-            x = s(f"a{i}_{j}") - s(f"b{i}") * s(f"b{j}") / s("w")
-            for q in range(j):
-                x = x - F.col(f"l{i}_{q}") * F.col(f"l{j}_{q}")
-            g = g.withColumn(f"l{i}_{j}", F.when(F.col(f"l{j}_{j}") > tiny, x / F.col(f"l{j}_{j}")).otherwise(0.0))
-        diagonal = s(f"a{i}_{i}") - s(f"b{i}") * s(f"b{i}") / s("w")
-        rest = s(f"y{i}") - s("y") * s(f"b{i}") / s("w")
-        for q in range(i):
-            diagonal, rest = diagonal - F.col(f"l{i}_{q}") * F.col(f"l{i}_{q}"), rest - F.col(f"l{i}_{q}") * F.col(f"z{q}")
-        g = g.withColumn(f"l{i}_{i}", F.sqrt(F.greatest(diagonal, F.lit(0.0))))
-        g = g.withColumn(f"z{i}", F.when(F.col(f"l{i}_{i}") > tiny, rest / F.col(f"l{i}_{i}")).otherwise(0.0))
-    power = sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(1, m)), F.col("z0") * F.col("z0"))
-    d2 = F.greatest(s("n") - m - 1, F.lit(0)).cast("double")
-    out = g.select(*keys, power.alias("power"), (s("yy") - s("y") * s("y") / s("w")).alias("wvar"), d2.alias("d2"), F.lit(float(m)).alias("d1"))
-    return out.withColumn("ratio", _ratio())
+
+    def kernel(t, m, e, codes, bands, freqs):
+        x = band_harmonics(t, m, e, codes, bands, freqs, harmonics)
+        wide = lambda v: np.repeat(v[:, None], len(freqs), axis=1)
+        return {"power": x["power"], "wvar": wide(x["wvar"]), "d2": wide(x["d2"]), "n": wide(x["n"])}
+
+    out = _search(obs, grid, kernel, ["power", "wvar", "d2", "n"], by_band=True).filter("n > 0")
+    return out.select("oid", "fid", *KEYS[1:], "power", "wvar", "d2", F.lit(2.0 * harmonics).alias("d1")).withColumn("ratio", _ratio())
+
+
+def mhaov_multiband(obs: DataFrame, grid: DataFrame, harmonics: int = 1) -> DataFrame:
+    """``multiband(mhaov(...))`` without a row for each band: the bands are added up where they are computed."""
+
+    def kernel(t, m, e, codes, bands, freqs):
+        x = band_harmonics(t, m, e, codes, bands, freqs, harmonics)
+        if not x["n"].any():
+            return None
+        power = x["power"].sum(axis=0)
+        return {"power": x["d2"].sum() * power / (2 * harmonics * np.maximum(x["wvar"].sum() - power, 1e-9))}
+
+    return _search(obs, grid, kernel, ["power"])
 
 
 def _ratio() -> Column:
@@ -74,45 +145,67 @@ def multiband(bands: DataFrame) -> DataFrame:
     return total.select(*KEYS, _ratio().alias("power"))
 
 
-def phase_bins(obs: DataFrame, grid: DataFrame, bins: int = 8, weighted: bool = False) -> DataFrame:
-    """Per phase bin: count, sums of magnitudes and squares, and its mean (weighted by 1 / error^2 or not)."""
-    w = F.pow("e_mag", -2) if weighted else F.lit(1.0)
-    return _phased(obs, grid).groupBy(*KEYS, F.floor(F.col("phase") * bins).alias("bin")).agg(
-        F.count("*").alias("n"), (F.sum(w * F.col("mag")) / F.sum(w)).alias("mean"), F.sum(F.col("mag") * F.col("mag")).alias("sq"), F.sum("mag").alias("sum"), F.sum(w * F.col("mag")).alias("wy"), F.sum(w).alias("w")
-    )
+def pdm(obs: DataFrame, grid: DataFrame, bins: int = 8) -> DataFrame:
+    """Phase dispersion over bins with more than two points: pooled bin variance over total variance; null where no bin
+    has so many, or without any variance."""
 
+    def kernel(t, m, e, codes, bands, freqs):
+        c = m - m[:1]
+        n, total, squares = bin_sums(t, freqs, bins, [None, c, c * c])
+        full = n > 2
+        inside = np.where(full, squares - total * total / np.maximum(n, 1), 0.0).sum(axis=1)
+        free = np.where(full, n - 1, 0).sum(axis=1)
+        return {"theta": np.where(free > 0, inside / np.maximum(free, 1), np.nan) / (np.var(c, ddof=1) if len(c) > 1 and np.ptp(c) > 0 else np.nan)}
 
-def pdm(obs: DataFrame, grid: DataFrame, bins: int = 8) -> DataFrame:
-    """Phase dispersion over bins with more than two points: pooled bin variance over total variance."""
-    var = obs.filter(~F.col("forced")).groupBy("oid").agg(F.var_samp("mag").alias("total"))
-    inside = F.sum(F.when(F.col("n") > 2, F.col("sq") - F.col("sum") * F.col("sum") / F.col("n")))
-    free = F.sum(F.when(F.col("n") > 2, F.col("n") - 1))
-    pooled = phase_bins(obs, grid, bins).groupBy(*KEYS).agg((inside / free).alias("pooled"))
-    return pooled.join(var, "oid").select("oid", "k", "freq", (F.col("pooled") / F.col("total")).alias("theta"))
+    return _search(obs, grid, kernel, ["theta"]).drop("block")
 
 
 def aov(obs: DataFrame, grid: DataFrame, bins: int = 8, weighted: bool = False) -> DataFrame:
-    """Analysis of variance over phase bins: between-bin against within-bin variance; bin and total means weighted or not."""
-    total = F.sum("wy") / F.sum("w")
-    b = phase_bins(obs, grid, bins, weighted)
-    # sum n (mean - total)^2 and sum (x - mean)^2 from the bins' sums
-    parts = b.groupBy(*KEYS).agg(
-        F.sum("n").alias("n"), F.count("*").alias("r"), total.alias("total"), F.sum(F.col("n") * F.col("mean") * F.col("mean")).alias("nmm"), F.sum(F.col("n") * F.col("mean")).alias("nm"),
-        F.sum(F.col("sq") - 2 * F.col("mean") * F.col("sum") + F.col("n") * F.col("mean") * F.col("mean")).alias("inside"),
-    )
-    between = F.col("nmm") - 2 * F.col("total") * F.col("nm") + F.col("n") * F.col("total") * F.col("total")
-    ratio = between / (F.col("r") - 1) / F.nullif(F.col("inside") / (F.col("n") - F.col("r")), F.lit(0.0))
-    return parts.filter("n > r and r > 1").select("oid", "k", "freq", ratio.alias("power"))
+    """Analysis of variance over phase bins: between-bin against within-bin variance; bin and total means weighted or not.
+
+    No row where fewer than two bins are filled or none has a second point; null where no bin has any variance.
+    """
+
+    def kernel(t, m, e, codes, bands, freqs):
+        w = np.where(e > 0, e, np.nan) ** -2.0 if weighted else np.ones(len(m))
+        c = m - m[:1]
+        n, total, squares, wy, ws = bin_sums(t, freqs, bins, [None, c, c * c, w * c, w])
+        filled = n > 0
+        mean = np.where(filled, wy / np.where(filled, ws, 1), 0.0)
+        middle = (wy.sum(axis=1) / ws.sum(axis=1))[:, None]
+        between = (n * (mean - middle) ** 2).sum(axis=1)
+        inside = np.where(filled, squares - 2 * mean * total + n * mean * mean, 0.0).sum(axis=1)
+        r, all_n = filled.sum(axis=1), n.sum(axis=1)
+        spread = inside > 1e-12 * max(float((c * c).sum()), 1e-300)
+        return {"power": np.where(spread, between / (r - 1) / np.where(spread, inside / (all_n - r), 1), np.nan), "kept": ((all_n > r) & (r > 1)).astype(float)}
+
+    return _search(obs, grid, kernel, ["power", "kept"]).filter("kept = 1").drop("block", "kept")
 
 
 def string_length(obs: DataFrame, grid: DataFrame) -> DataFrame:
-    """Error-weighted squared neighbour differences in phase order, wrap-around included."""
-    key = Window.partitionBy(*KEYS)
-    o = key.orderBy("phase", "candid")
-    ends = o.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = {name: F.coalesce(F.lag(c).over(o), F.last(c).over(ends)) for name, c in (("pm", "mag"), ("pe", "e_mag"))}
-    d = _phased(obs, grid).select(*KEYS, "phase", "candid", "mag", "e_mag").withColumns(before)
-    return d.groupBy(*KEYS).agg(F.sum(F.pow(F.col("mag") - F.col("pm"), 2) / (F.pow("e_mag", 2) + F.pow("pe", 2))).alias("length")).drop("block")
+    """Error-weighted squared neighbour differences in phase order (ties by candid), wrap-around included; pairs without
+    an error are left out."""
+    return _search(obs, grid, lambda t, m, e, codes, bands, freqs: {"length": string_lengths(t, m, e, freqs)}, ["length"]).drop("block")
+
+
+def qmi(obs: DataFrame, grid: DataFrame, mode: str = "cauchy_schwarz", h_phase: float = 0.4, kernel: str = "gaussian", error: float = 1e-10) -> DataFrame:
+    """Quadratic mutual information of phase and magnitude per frequency, with a periodic kernel in phase.
+
+    ``mode`` is cauchy_schwarz, euclidean or entropy; ``kernel`` (of magnitude) gaussian or cauchy. The kernels are
+    expanded, in phase as a Fourier series and in magnitude by Chebyshev interpolation, so the sums over all pairs are linear
+    in points; ``error`` bounds what either expansion of a kernel (at most 1) may miss. Constant magnitudes give null.
+    """
+
+    def value(t, m, e, codes, bands, freqs):
+        n = len(m)
+        h = 0.9 * np.std(m) * n**-0.2
+        if not h > 0:
+            return {"power": np.full(len(freqs), np.nan)}
+        j, mm, pp, c = mutual_information(t, m / h, freqs, h_phase, kernel, error)
+        vj, vm, vc = j / n**2, mm * pp / n**4, c / n**3
+        return {"power": {"cauchy_schwarz": lambda: np.log(vj * vm / vc**2), "euclidean": lambda: vj + vm - 2 * vc, "entropy": lambda: np.abs(np.log(vj) - np.log(vm))}[mode]()}
+
+    return _search(obs, grid, value, ["power"]).drop("block")
 
 
 def local_maxima(power: DataFrame, n: int = 10) -> DataFrame:
@@ -129,14 +222,15 @@ def refine(obs: DataFrame, grid: DataFrame, bands: DataFrame, peaks: int = 10, f
     Around each maximum 2 * finer points lie between its neighbours; where the best of them has more power than
     the grid point it takes its place. Both results keep every other grid point.
     """
-    power = multiband(bands)
+    power = mhaov_multiband(obs, grid, harmonics)
     steps = 2 * finer
     near = local_maxima(power, peaks).select("oid", "k", F.col("power").alias("coarse"), "before", "after")
     start = grid.groupBy("oid").agg(F.first("t0").alias("t0"))
     j = F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("j")
     fine = near.join(start, "oid").select("*", j).select("oid", "t0", F.col("k").alias("block"), "j", (F.col("before") + F.col("j") * (F.col("after") - F.col("before")) / (steps - 1)).alias("freq"), "coarse")
-    fine_bands = mhaov(obs, fine.select("oid", "t0", "block", F.col("j").alias("k"), "freq"), harmonics)
-    best = multiband(fine_bands).groupBy("oid", "block").agg(F.max_by(F.struct("k", "freq", "power"), F.struct("power", -F.col("k"))).alias("b"))
+    fine = fine.select("oid", "t0", "block", F.col("j").alias("k"), "freq")
+    fine_bands = mhaov(obs, fine, harmonics)
+    best = mhaov_multiband(obs, fine, harmonics).groupBy("oid", "block").agg(F.max_by(F.struct("k", "freq", "power"), F.struct("power", -F.col("k"))).alias("b"))
     won = best.join(near.select("oid", F.col("k").alias("block"), "coarse"), ["oid", "block"]).filter("b.power > coarse").select("oid", F.col("block").alias("k"), "b")
     out = power.join(won, ["oid", "k"], "left").select("oid", "block", "k", F.coalesce("b.freq", "freq").alias("freq"), F.coalesce("b.power", "power").alias("power"))
     chosen = won.select("oid", F.col("k").alias("block"), F.col("b.k").alias("k"))
@@ -175,26 +269,3 @@ def power_rates(power: DataFrame) -> DataFrame:
     met = near.join(power.select("oid", "k", "freq", "power"), ["oid", "k"])
     found = met.groupBy("oid", "name", "peak").agg(F.min_by("power", F.struct(F.round(F.abs(F.col("freq") - F.col("f")), 12), "k")).alias("power"))
     return found.select("oid", "name", (F.col("power") / F.col("peak")).alias("rate"))
-
-
-def qmi(obs: DataFrame, grid: DataFrame, mode: str = "cauchy_schwarz", h_phase: float = 0.4, kernel: str = "gaussian") -> DataFrame:
-    """Quadratic mutual information of phase and magnitude per frequency, with a periodic kernel in phase.
-
-    ``mode`` is cauchy_schwarz, euclidean or entropy; ``kernel`` (of magnitude) gaussian or cauchy. The value
-    needs every pair of an object's points at every frequency; pairs are dealt to the grid's blocks, so they
-    are never shuffled crossed with it.
-    """
-    o = Window.partitionBy("oid")
-    d = obs.filter(~F.col("forced")).withColumns({"n": F.count("*").over(o), "h": 0.9 * F.stddev_pop("mag").over(o) * F.pow(F.count("*").over(o), -0.2)})
-    dealt = d.join(grid.select("oid", "block").distinct(), "oid")
-    a = dealt.select("oid", "block", F.col("candid").alias("i"), F.col("mjd").alias("t1"), F.col("mag").alias("m1"), "n", "h")
-    b = dealt.select("oid", "block", F.col("mjd").alias("t2"), F.col("mag").alias("m2"))
-    far = (F.col("m1") - F.col("m2")) / F.col("h")
-    shape = F.exp(-F.pow(far, 2) / 4) if kernel == "gaussian" else 1 / (1 + F.pow(far / 2, 2))
-    pairs = a.hint("merge").join(b, ["oid", "block"]).select("oid", "block", "i", "n", (F.col("t1") - F.col("t2")).alias("dt"), shape.alias("km"))
-    p = pairs.hint("merge").join(grid.select("oid", "block", "k", "freq"), ["oid", "block"]).withColumn("kp", F.exp((F.cos(TWO_PI * F.col("dt") * F.col("freq")) - 1) / h_phase**2))
-    row = p.groupBy(*KEYS, "i").agg(F.first("n").alias("n"), F.sum(F.col("km") * F.col("kp")).alias("j"), F.sum("km").alias("m"), F.sum("kp").alias("p"))
-    g = row.groupBy(*KEYS).agg(F.first("n").alias("n"), F.sum("j").alias("j"), F.sum("m").alias("m"), F.sum("p").alias("p"), F.sum(F.col("m") * F.col("p")).alias("c"))
-    vj, vm, vc = F.col("j") / F.pow("n", 2), F.col("m") * F.col("p") / F.pow("n", 4), F.col("c") / F.pow("n", 3)
-    values = {"cauchy_schwarz": F.log(vj * vm / F.pow(vc, 2)), "euclidean": vj + vm - 2 * vc, "entropy": F.abs(F.log(vj) - F.log(vm))}
-    return g.select("oid", "k", "freq", values[mode].alias("power"))

@@ -662,7 +662,7 @@ def harmonics(s, d):
 
 
 def _grid(s, d):
-    return period.frequency_grid(T.detections(s, d), 0.045, 100.0)
+    return period.frequency_spec(T.detections(s, d), 0.045, 100.0)
 
 
 LO, STEP = "0.01::double", "(1 / 0.045::double - 0.01::double)"
@@ -681,7 +681,7 @@ POWER = f"""(SELECT oid, k, freq, sum(d2) * sum(power) / (2 * greatest(sum(wvar)
 
 
 def _power(s, d):
-    return period.multiband(period.mhaov(T.detections(s, d), _grid(s, d)))
+    return period.mhaov_multiband(T.detections(s, d), _grid(s, d))
 
 
 @register("mhaov_periodogram", f"SELECT oid, k, freq, power FROM {POWER}", "freq power", 3)

@@ -445,13 +445,13 @@ def stetson_k_ac(s, d):
     4,
 )
 def band_periods(s, d):
-    bands = period.mhaov(T.detections(s, d), catalog._grid(s, d))
-    return period.band_periods(bands, period.period_features(period.multiband(bands)))
+    det, grid = T.detections(s, d), catalog._grid(s, d)
+    return period.band_periods(period.mhaov(det, grid), period.period_features(period.mhaov_multiband(det, grid)))
 
 
 @register("two_harmonics")
 def two_harmonics(s, d):
-    return period.period_features(period.multiband(period.mhaov(T.detections(s, d), catalog._grid(s, d), 2)))
+    return period.period_features(period.mhaov_multiband(T.detections(s, d), catalog._grid(s, d), 2))
 
 
 @register("feature_set")
