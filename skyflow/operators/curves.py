@@ -81,7 +81,8 @@ def map_curves(df: DataFrame, keys: list[str], order: list[str], columns: list[s
     """Apply ``kernel`` to all light curves of at least ``least`` rows, sorted by ``order``.
 
     ``columns`` come as float64 arrays (null as NaN). The kernel's columns, named by ``schema``, have one row for each
-    curve that was handed over; values that are not finite become null. The result has the keys before them.
+    curve that was handed over, or for each number of a curve in its column ``curve``; values that are not finite become
+    null. The result has the keys before them.
     """
     names = [x.strip().split(" ")[0] for x in schema.split(",")]
     n_keys, rows, own = len(keys), CURVE_ROWS, [*keys, *columns]
@@ -98,7 +99,7 @@ def map_curves(df: DataFrame, keys: list[str], order: list[str], columns: list[s
             data = {c: pc.cast(table.column(c), pa.float64()).to_numpy() for c in columns}
             with np.errstate(all="ignore"):
                 out = kernel(data, starts)
-            at = pa.array(starts)
+            at = pa.array(starts[out["curve"]] if "curve" in out else starts)
             yield pa.RecordBatch.from_arrays([table.column(k).combine_chunks().take(at) for k in range(n_keys)] + [finite(out[c]) for c in names], [*keys, *names])
 
     kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)

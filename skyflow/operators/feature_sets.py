@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyflow.functions.columns import clean, mag_to_flux
-from skyflow.operators import features, fits, history, period, variability
+from skyflow.operators import features, fits, history, ingest, period, variability
 
 LONG = ["oid", "fid", "name", "value", "version"]
 
@@ -86,7 +86,7 @@ def _with_period(x: Inputs, extract: Callable[[DataFrame, DataFrame], DataFrame]
 
 
 def _turbo(x: Inputs) -> DataFrame:
-    det = x.in_unit()
+    det = ingest.drop_same_mjd(x.in_unit().filter(~F.col("forced")))
     parts = [features.basic_features(det), features.structure_function(det), features.structure_function_indices(det), variability.pvar(det), variability.autocor_length(det), fits.fit_iar_phi(det)]
     slots = variability.slotted_autocorrelation(det)
     parts += [variability.slotted_length(det), variability.stetson_k_ac(slots)]

@@ -205,30 +205,35 @@ def coordinates_xyz(det: DataFrame) -> DataFrame:
 
 
 def tde_tail(det: DataFrame, days: float = 200.0) -> DataFrame:
-    """Weighted line of magnitude on 2.5 log10(t - t_peak + 40) after the peak; slope, intercept, chi2 per degree of freedom."""
-    own = det.filter(~F.col("forced"))
+    """Weighted line of magnitude on 2.5 log10(t - t_peak + 40) after the peak; slope, intercept, chi2 per degree of freedom.
+
+    Points without a positive error are left out; points at one time have no slope.
+    """
+    own = det.filter(~F.col("forced") & (F.col("e_mag") > 0))
     peak = F.min(F.struct("mag", "mjd")).over(Window.partitionBy("oid", "fid"))["mjd"]
     d = own.withColumn("dt", F.col("mjd") - peak).filter(F.col("dt").between(0, days)).withColumn("x", 2.5 * F.log10(F.col("dt") + 40)).withColumn("w", F.pow("e_mag", -2))
     s = {k: F.sum(v) for k, v in {"sw": F.col("w"), "sx": F.col("w") * F.col("x"), "sy": F.col("w") * F.col("mag"), "sxx": F.col("w") * F.col("x") * F.col("x"), "sxy": F.col("w") * F.col("x") * F.col("mag"), "syy": F.col("w") * F.col("mag") * F.col("mag")}.items()}
     g = d.groupBy("oid", "fid").agg(*(v.alias(k) for k, v in s.items()), F.count("*").alias("n")).filter("n >= 5")
-    slope = F.expr("(sw * sxy - sx * sy) / (sw * sxx - sx * sx)")
+    slope = F.expr("try_divide(sw * sxy - sx * sy, sw * sxx - sx * sx)")
     g = g.withColumn("slope", slope).withColumn("intercept", F.expr("(sy - slope * sx) / sw"))
     return g.select("oid", "fid", "slope", "intercept", F.expr("(syy - intercept * sy - slope * sxy) / (n - 2)").alias("chi"))
 
 
 def folded_kim(det: DataFrame, periods: DataFrame) -> DataFrame:
-    """Statistics of the curve folded at twice the period: range of the cumulative sum, and neighbour variance."""
-    d = det.filter(~F.col("forced")).join(periods, "oid").withColumn("phase", F.pmod(F.col("mjd") / (2 * F.col("period")), F.lit(1.0)))
+    """Statistics of the curve folded at twice the period: range of the cumulative sum, and neighbour variance; null for a
+    constant curve."""
+    d = det.filter(~F.col("forced") & F.col("mag").isNotNull()).join(periods, "oid").withColumn("phase", F.pmod(F.try_divide("mjd", 2 * F.col("period")), F.lit(1.0)))
     g, o = Window.partitionBy("oid", "fid"), Window.partitionBy("oid", "fid").orderBy("phase", "candid")
     d = d.withColumns({"n": F.count("*").over(g), "mean": F.avg("mag").over(g), "sd": F.stddev_pop("mag").over(g), "run": F.sum("mag").over(o.rowsBetween(Window.unboundedPreceding, 0)), "at": F.row_number().over(o), "pm": F.lag("mag").over(o)}).filter("n >= 6")
-    s = (F.col("run") - F.col("at") * F.col("mean")) / (F.col("n") * F.col("sd"))
-    return d.groupBy("oid", "fid").agg((F.max(s) - F.min(s)).alias("Psi_CS"), (F.sum(F.pow(F.col("mag") - F.col("pm"), 2)) / (F.first("n") - 1) / F.pow(F.first("sd"), 2)).alias("Psi_eta"))
+    s = F.try_divide(F.col("run") - F.col("at") * F.col("mean"), F.col("n") * F.col("sd"))
+    return d.groupBy("oid", "fid").agg((F.max(s) - F.min(s)).alias("Psi_CS"), F.try_divide(F.sum(F.pow(F.col("mag") - F.col("pm"), 2)) / (F.first("n") - 1), F.pow(F.first("sd"), 2)).alias("Psi_eta"))
 
 
 def harmonics(det: DataFrame, periods: DataFrame, order: int = 7) -> DataFrame:
     """Weighted Fourier fit: amplitudes, phases relative to the first, and chi2 per degree of freedom.
 
-    Spark groups the light curves; only the small dense solve of one (object, band) runs in Python.
+    Spark groups the light curves; only the small dense solve of one (object, band) runs in Python. Points without a
+    positive error are left out.
     """
     import numpy as np
 
@@ -248,4 +253,5 @@ def harmonics(det: DataFrame, periods: DataFrame, order: int = 7) -> DataFrame:
         return pd.DataFrame([[*key, *np.hypot(c, s), *rel, float(np.mean(res**2)), float(np.sum((res * w) ** 2) / (n - 2 * order - 1))]], columns=["oid", "fid", *names])
 
     schema = "oid string, fid string, " + ", ".join(f"`{x}` double" for x in names)
-    return det.filter(~F.col("forced")).join(periods, "oid").select("oid", "fid", "mjd", "mag", "e_mag", "period").groupBy("oid", "fid").applyInPandas(solve, schema)
+    own = det.filter(~F.col("forced") & (F.col("e_mag") > 0) & F.col("mag").isNotNull() & F.col("mjd").isNotNull())
+    return own.join(periods.filter("period > 0"), "oid").select("oid", "fid", "mjd", "mag", "e_mag", "period").groupBy("oid", "fid").applyInPandas(solve, schema)

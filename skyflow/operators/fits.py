@@ -31,7 +31,7 @@ def _line(df: DataFrame, keys: list[str], x: Column, y: Column, w: Column) -> Da
 
 def _observations(det: DataFrame, least: int) -> DataFrame:
     g = Window.partitionBy(*KEYS)
-    d = det.filter(~F.col("forced")).withColumns({"__n": F.count("*").over(g), "t_first": F.min("mjd").over(g), "t_peak": F.min(F.struct("mag", "mjd")).over(g)["mjd"]})
+    d = det.filter(~F.col("forced") & F.col("mag").isNotNull() & (F.col("e_mag") > 0)).withColumns({"__n": F.count("*").over(g), "t_first": F.min("mjd").over(g), "t_peak": F.min(F.struct("mag", "mjd")).over(g)["mjd"]})
     return d.filter(F.col("__n") >= least).drop("__n")
 
 
@@ -118,7 +118,7 @@ def fit_drw(det: DataFrame, sigmas: list[float] | None = None, taus: list[float]
     def step(acc: Column, o: Column) -> Column:
         a = F.when(acc["t"].isNull(), 0.0).otherwise(F.exp(-(o["mjd"] - acc["t"]) / F.col("tau")))
         x, p = a * acc["x"], a * a * acc["p"] + var * (1 - a * a)
-        q = p + o["e_mag"] * o["e_mag"]
+        q = F.greatest(p + F.coalesce(o["e_mag"] * o["e_mag"], F.lit(0.0)), F.lit(1e-12))  # two points at one time without errors
         r = o["mag"] - F.col("mean") - x
         return F.struct(o["mjd"].alias("t"), (x + p / q * r).alias("x"), (p * (1 - p / q)).alias("p"), (acc["nll"] + 0.5 * (F.log(q) + r * r / q)).alias("nll"))
 
@@ -128,9 +128,9 @@ def fit_drw(det: DataFrame, sigmas: list[float] | None = None, taus: list[float]
 
 def fit_iar_phi(det: DataFrame, steps: int = 20) -> DataFrame:
     """Irregular autoregression: phi in (0, 1) of greatest likelihood for the standardised magnitudes, on ``steps``
-    values and then on as many within the best one's step."""
+    values and then on as many within the best one's step. A constant curve has no row."""
     g, o = Window.partitionBy(*KEYS), Window.partitionBy(*KEYS).orderBy("mjd", "candid")
-    d = det.filter(~F.col("forced")).withColumns({"n": F.count("*").over(g), "z": (F.col("mag") - F.avg("mag").over(g)) / F.stddev_samp("mag").over(g)}).filter("n >= 6")
+    d = det.filter(~F.col("forced")).withColumns({"n": F.count("*").over(g), "z": F.try_divide(F.col("mag") - F.avg("mag").over(g), F.stddev_samp("mag").over(g))}).filter("n >= 6 and z is not null")
     d = d.withColumns({"pz": F.lag("z").over(o), "dt": F.col("mjd") - F.lag("mjd").over(o)}).select(*KEYS, "z", "pz", "dt")
 
     def best(rows: DataFrame) -> DataFrame:
@@ -148,9 +148,9 @@ def fit_iar_phi(det: DataFrame, steps: int = 20) -> DataFrame:
 
 def fit_ciar(det: DataFrame, real: list[float] | None = None, imaginary: list[float] | None = None) -> DataFrame:
     """Complex irregular autoregression: phi = (CIAR_phiR, CIAR_phiI) inside the unit circle of greatest likelihood, by
-    a Kalman fold over the standardised light curve; six points at least."""
+    a Kalman fold over the standardised light curve; six points at least, and not all alike."""
     g = Window.partitionBy(*KEYS)
-    d = det.filter(~F.col("forced")).withColumns({"n": F.count("*").over(g), "z": (F.col("mag") - F.avg("mag").over(g)) / F.stddev_samp("mag").over(g)}).filter("n >= 6")
+    d = det.filter(~F.col("forced")).withColumns({"n": F.count("*").over(g), "z": F.try_divide(F.col("mag") - F.avg("mag").over(g), F.stddev_samp("mag").over(g))}).filter("n >= 6 and z is not null")
     s = d.groupBy(*KEYS).agg(F.sort_array(F.collect_list(F.struct("mjd", "z"))).alias("s"))
     axis = [-0.9, -0.6, -0.3, 0.1, 0.3, 0.6, 0.9, 0.99]
     s = _grid(s, a=real or axis, b=imaginary or axis).filter("a * a + b * b < 1")

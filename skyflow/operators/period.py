@@ -258,14 +258,14 @@ RATES = ((0.25, "1/4"), (1 / 3, "1/3"), (0.5, "1/2"), (2.0, "2"), (3.0, "3"), (4
 
 
 def power_rates(power: DataFrame) -> DataFrame:
-    """Power at 1/4, 1/3, 1/2, 2, 3 and 4 times the best period over the peak's, at the nearest grid point."""
+    """Power at 1/4, 1/3, 1/2, 2, 3 and 4 times the best period over the peak's, at the nearest grid point; null without a peak."""
     best = power.groupBy("oid").agg(F.max(F.struct("power", (-F.col("k")).alias("nk"), "freq")).alias("b"), F.min("freq").alias("f0"), F.max("freq").alias("f1"), F.max("k").alias("last"))
     rates = F.explode(F.array(*(F.struct(F.lit(x).alias("times"), F.lit(y).alias("name")) for x, y in RATES)))
     want = best.withColumn("x", rates).withColumn("f", F.col("b.freq") / F.col("x.times"))
-    guess = F.round((F.col("f") - F.col("f0")) / (F.col("f1") - F.col("f0")) * F.col("last")).cast("int")
+    guess = F.round(F.coalesce(F.try_divide(F.col("f") - F.col("f0"), F.col("f1") - F.col("f0")), F.lit(0.0)) * F.col("last")).cast("int")
     guess = F.least(F.greatest(guess, F.lit(0)), F.col("last"))
     # a refined point may lie off the even grid, so the neighbours are looked at too
     near = want.select("oid", "x.name", F.col("b.power").alias("peak"), "f", "last", F.explode(F.array(guess - 1, guess, guess + 1)).alias("k")).filter("k between 0 and last")
     met = near.join(power.select("oid", "k", "freq", "power"), ["oid", "k"])
     found = met.groupBy("oid", "name", "peak").agg(F.min_by("power", F.struct(F.round(F.abs(F.col("freq") - F.col("f")), 12), "k")).alias("power"))
-    return found.select("oid", "name", (F.col("power") / F.col("peak")).alias("rate"))
+    return found.select("oid", "name", F.try_divide("power", "peak").alias("rate"))

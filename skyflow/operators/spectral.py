@@ -21,7 +21,7 @@ def turns(t: np.ndarray, freqs: np.ndarray) -> np.ndarray:
     rows = freqs[0] + step * side * np.arange(-(-k // side))
     first = np.exp(2j * np.pi * np.mod(np.outer(t, rows), 1.0))
     inner = np.exp(2j * np.pi * np.mod(np.outer(t, step * np.arange(side)), 1.0))
-    return (first[:, :, None] * inner[:, None, :]).reshape(len(t), -1)[:, :k]
+    return (first[:, :, None] * inner[:, None, :]).reshape(len(t), len(rows) * side)[:, :k]
 
 
 def _weighed(weights: np.ndarray, waves: np.ndarray) -> np.ndarray:

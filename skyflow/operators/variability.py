@@ -3,57 +3,113 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyflow.functions.columns import missing
+from skyflow.operators.curves import map_curves
 from skyflow.operators.features import KEYS, MIN_POINTS, near_pairs
 
 
+#: Points x slots looked at together.
+CELLS = 1 << 20
+
+
+def _own(det: DataFrame) -> DataFrame:
+    return det.filter(~F.col("forced") & F.col("mag").isNotNull() & F.col("mjd").isNotNull())
+
+
+def _each(data: dict[str, np.ndarray], starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Times and centred magnitudes of each curve; a constant one has exact zeros."""
+    for a, b in zip(starts, [*starts[1:], len(data["mag"])]):
+        z = data["mag"][a:b] - data["mag"][a]
+        yield data["mjd"][a:b], z - z.mean()
+
+
 def autocor_length(det: DataFrame, level: float = 0.36787944117144233) -> DataFrame:
-    """First lag whose autocorrelation falls below 1/e (n if none)."""
-    s = F.sort_array(F.collect_list(F.struct("mjd", "candid", "mag")))["mag"]
-    g = det.filter(~F.col("forced")).groupBy(*KEYS).agg(s.alias("m"), F.avg("mag").alias("mean"), F.count("*").alias("n"), F.var_pop("mag").alias("v")).filter(F.col("n") >= MIN_POINTS)
-    z = F.transform("m", lambda x: x - F.col("mean"))
-    lagged = lambda k: F.aggregate(F.zip_with(F.slice("z", F.lit(1), F.col("n").cast("int") - k), F.slice("z", k + 1, F.col("n").cast("int") - k), lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-    first = F.filter(F.sequence(F.lit(1), F.col("n").cast("int") - 1), lambda k: lagged(k) < level * F.col("n") * F.col("v"))
-    return g.withColumn("z", z).select(*KEYS, F.coalesce(F.get(first, F.lit(0)).cast("long"), F.col("n")).alias("Autocor_length"))
+    """First lag whose autocorrelation falls below 1/e (n if none); all lags of a curve come from one Fourier transform."""
+
+    def kernel(data: dict[str, np.ndarray], starts: np.ndarray) -> dict[str, np.ndarray]:
+        out = []
+        for _, z in _each(data, starts):
+            n = len(z)
+            wave = np.fft.rfft(z, 1 << (2 * n - 1).bit_length())
+            lags = np.fft.irfft(wave * wave.conj())[1:n]
+            below = np.flatnonzero(lags < level * float(z @ z))
+            out.append(below[0] + 1 if len(below) and z.any() else n)
+        return {"Autocor_length": np.array(out)}
+
+    found = map_curves(_own(det), KEYS, ["mjd", "candid"], ["mjd", "mag"], kernel, "Autocor_length double", MIN_POINTS)
+    return found.select(*KEYS, F.col("Autocor_length").cast("long").alias("Autocor_length"))
+
+
+def _slot_means(t: np.ndarray, z: np.ndarray, slot: float, first: int, last: int) -> np.ndarray:
+    """Mean product of the pairs in slots ``first`` to ``last`` - 1, each point with itself in slot 0; NaN without pairs.
+
+    The partners of a point in a slot are a run of the sorted times, so a difference of running sums adds them up: the
+    work is points x slots, not pairs.
+    """
+    total = np.append(0.0, np.cumsum(z))
+    edges = (np.arange(first, last + 1) - 0.5) * slot
+    at = np.searchsorted(t, t[:, None] + edges[None, :], "left")
+    if first == 0:
+        at[:, 0] = np.arange(len(t))  # slot 0 looks forward only
+    at = np.maximum(at, np.arange(len(t))[:, None])
+    pairs = np.diff(at, axis=1).sum(axis=0)
+    products = z @ np.diff(total[at], axis=1)
+    return np.where(pairs > 0, products / np.maximum(pairs, 1), np.nan)
 
 
 def slotted_autocorrelation(det: DataFrame, slot: float = 1.0, slots: int = 100, first: int = 0) -> DataFrame:
     """Mean product of centred magnitudes of the pairs in each slot of time difference, in units of slot 0.
 
-    Slots ``first`` to ``slots`` - 1; a slot without pairs has no row. Slot 0 has each point with itself too.
+    Slots ``first`` to ``slots`` - 1; a slot without pairs has no row, a constant curve has nulls. Slot 0 has each point with
+    itself too.
     """
-    g = Window.partitionBy(*KEYS)
-    d = det.filter(~F.col("forced")).withColumn("__n", F.count("*").over(g)).filter(F.col("__n") >= MIN_POINTS).withColumn("z", F.col("mag") - F.avg("mag").over(g))
-    a = d.select(*KEYS, F.col("mjd").alias("t1"), F.col("candid").alias("c1"), F.col("z").alias("z1"))
-    b = d.select(*KEYS, F.col("mjd").alias("t2"), F.col("candid").alias("c2"), F.col("z").alias("z2"))
-    k = F.floor((F.col("t2") - F.col("t1")) / slot + 0.5).cast("int")
-    pairs = near_pairs(a, b, KEYS, "t1", "t2", slot * slots).filter(F.struct("t1", "c1") <= F.struct("t2", "c2")).withColumn("slot", k)
-    pairs = pairs.filter((F.col("slot") == 0) | F.col("slot").between(first, slots - 1))
-    p = pairs.groupBy(*KEYS, "slot").agg(F.avg(F.col("z1") * F.col("z2")).alias("r"))
-    p = p.withColumn("r", F.col("r") / F.first("r").over(Window.partitionBy(*KEYS).orderBy("slot")))
-    return p.filter((F.col("slot") >= first) & (F.col("slot") < slots))
+    cells = CELLS
+
+    def kernel(data: dict[str, np.ndarray], starts: np.ndarray) -> dict[str, np.ndarray]:
+        curve, at, values = [], [], []
+        for i, (t, z) in enumerate(_each(data, starts)):
+            zero = _slot_means(t, z, slot, 0, 1)[0]
+            last = min(slots, int((t[-1] - t[0]) / slot + 0.5) + 1)
+            step = max(1, cells // len(t))
+            for k in range(first, last, step):
+                r = _slot_means(t, z, slot, k, min(last, k + step))
+                has = np.flatnonzero(~np.isnan(r))
+                curve.append(np.full(len(has), i))
+                at.append(has + k)
+                values.append(r[has] / zero if zero > 0 else np.full(len(has), np.nan))
+        join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
+        return {"curve": join(curve), "slot": join(at), "r": join(values)}
+
+    rows = map_curves(_own(det), KEYS, ["mjd", "candid"], ["mjd", "mag"], kernel, "slot double, r double", MIN_POINTS)
+    return rows.select(*KEYS, F.col("slot").cast("int").alias("slot"), "r")
 
 
 def slotted_length(det: DataFrame, slot: float = 1.0, slots: int = 100, level: float = 0.36787944117144233) -> DataFrame:
-    """First slot whose autocorrelation is below 1/e, times the slot.
+    """First slot whose autocorrelation is below 1/e, times the slot; null where no slot of the light curve is below.
 
-    ``slots`` are searched first; they are doubled for the light curves that have none yet and span more, so the
-    search goes as far as each light curve does; null where no slot of it is below.
+    ``slots`` are searched at once, as far as each light curve reaches.
     """
-    own = det.filter(~F.col("forced")).groupBy(*KEYS).agg((F.max("mjd") - F.min("mjd")).alias("span"), F.count("*").alias("n")).filter(F.col("n") >= MIN_POINTS)
-    longest = own.agg(F.max("span")).first()[0] or 0.0
-    found, open_, first = None, det, 0
-    while True:
-        below = slotted_autocorrelation(open_, slot, slots, first).filter(F.col("r") < level).groupBy(*KEYS).agg((F.min("slot") * F.lit(float(slot))).alias("SlottedA_length"))
-        found = below if found is None else found.unionByName(below)
-        if slots * slot > longest:
-            return own.select(*KEYS).join(found, KEYS, "left")
-        open_ = open_.join(below, KEYS, "left_anti").join(own.filter(F.col("span") >= slots * slot).select(*KEYS), KEYS, "left_semi")
-        first, slots = slots, 2 * slots
+    cells = CELLS
+
+    def kernel(data: dict[str, np.ndarray], starts: np.ndarray) -> dict[str, np.ndarray]:
+        out = []
+        for t, z in _each(data, starts):
+            zero, last, found, k = _slot_means(t, z, slot, 0, 1)[0], int((t[-1] - t[0]) / slot + 0.5) + 1, np.nan, 0
+            while zero > 0 and np.isnan(found) and k < last:
+                step = min(last - k, slots, max(1, cells // len(t)))
+                below = np.flatnonzero(_slot_means(t, z, slot, k, k + step) / zero < level)
+                found = (k + below[0]) * slot if len(below) else np.nan
+                k += step
+            out.append(found)
+        return {"SlottedA_length": np.array(out)}
+
+    return map_curves(_own(det), KEYS, ["mjd", "candid"], ["mjd", "mag"], kernel, "SlottedA_length double", MIN_POINTS)
 
 
 def stetson_k_ac(acf: DataFrame) -> DataFrame:
@@ -92,8 +148,8 @@ def mhps(det: DataFrame, t1: float = 100.0, t2: float = 10.0, dt: float = 5.0, e
         p = near_pairs(d, b, KEYS, "t", "u", reach).withColumn("gap", F.abs(F.col("t") - F.col("u"))).filter(F.col("gap") < reach)
         w = [F.exp(-F.pow("gap", 2) / (2 * c * c)) for c in (c1, c2)]
         point = p.groupBy(*KEYS, "candid").agg(*((F.sum(v * F.col("v")) / F.sum(v)).alias(f"f{k}") for k, v in enumerate(w)), F.count(F.when(F.col("gap") <= reach / 3 * 2, 1)).alias("near"), F.first("mean").alias("mean"), F.first("e").alias("e")).filter("near > 3")
-        power = F.avg(F.pow(F.col("f0") - F.col("f1"), 2)) / norm / F.pow(F.first("mean"), 2)
-        side = point.groupBy(*KEYS).agg(power.alias(f"__{name}"), F.count("*").alias(f"n_{name}"), F.pow(F.avg("e") / F.first("mean"), 2).alias(f"__noise_{name}"))
+        power = F.try_divide(F.avg(F.pow(F.col("f0") - F.col("f1"), 2)) / norm, F.pow(F.first("mean"), 2))
+        side = point.groupBy(*KEYS).agg(power.alias(f"__{name}"), F.count("*").alias(f"n_{name}"), F.pow(F.try_divide(F.avg("e"), F.first("mean")), 2).alias(f"__noise_{name}"))
         out = side if out is None else out.join(side, KEYS)
     noise = F.col("__noise_low")
     quiet = F.col("__high") > noise
@@ -114,16 +170,16 @@ def sigma_clip(det: DataFrame, width: float = 3.0, column: str = "mag") -> DataF
 def robust_scale(det: DataFrame) -> DataFrame:
     """Weighted median, and the lesser of the weighted deviation and IQR / 1.349 (weights 1 / error^2) of each light curve.
 
-    A quantile lies between the two points whose cumulated weights (their own counted half) enclose it.
+    Points without a positive error are left out. A quantile lies between the two points whose cumulated weights (their own counted half) enclose it.
     """
     w = F.pow("e_mag", -2)
     g, o = Window.partitionBy(*KEYS), Window.partitionBy(*KEYS).orderBy("mag", "candid")
-    d = det.filter(~F.col("forced")).withColumns({"w": w, "q": (F.sum(w).over(o.rowsBetween(Window.unboundedPreceding, 0)) - w / 2) / F.sum(w).over(g)})
+    d = _own(det).filter("e_mag > 0").withColumns({"w": w, "q": (F.sum(w).over(o.rowsBetween(Window.unboundedPreceding, 0)) - w / 2) / F.sum(w).over(g)})
     d = d.withColumns({"q0": F.lag("q").over(o), "m0": F.lag("mag").over(o), "mean": F.sum(F.col("w") * F.col("mag")).over(g) / F.sum("w").over(g)})
 
     def at(p: float) -> Column:
         inside = (F.col("q") >= p) & (F.col("q0") < p)
-        between = (F.col("m0") * (F.col("q") - p) + F.col("mag") * (p - F.col("q0"))) / (F.col("q") - F.col("q0"))
+        between = F.try_divide(F.col("m0") * (F.col("q") - p) + F.col("mag") * (p - F.col("q0")), F.col("q") - F.col("q0"))
         below = F.max(F.when(F.col("q") < p, F.struct("q", "mag")))["mag"]
         return F.coalesce(F.min(F.when(inside, between)), F.min(F.when((F.col("q") >= p) & F.col("q0").isNull(), F.col("mag"))), below)
 
@@ -155,9 +211,9 @@ def chi2_tail(x: Column, k: Column, terms: int = 200) -> Column:
 
 
 def pvar(det: DataFrame) -> DataFrame:
-    """Probability that a constant source varies less: chi-square CDF about the mean."""
+    """Probability that a constant source varies less: chi-square CDF about the mean, of points with a positive error."""
     mean = F.avg("mag").over(Window.partitionBy(*KEYS))
-    g = det.filter(~F.col("forced")).withColumn("r", F.pow((F.col("mag") - mean) / F.col("e_mag"), 2)).groupBy(*KEYS).agg(F.sum("r").alias("chi2"), F.count("*").alias("n")).filter(F.col("n") >= MIN_POINTS)
+    g = _own(det).filter("e_mag > 0").withColumn("r", F.pow((F.col("mag") - mean) / F.col("e_mag"), 2)).groupBy(*KEYS).agg(F.sum("r").alias("chi2"), F.count("*").alias("n")).filter(F.col("n") >= MIN_POINTS)
     return g.select(*KEYS, chi2_tail(F.col("chi2"), F.col("n") - 1).alias("Pvar"))
 
 

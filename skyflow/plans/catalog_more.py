@@ -449,6 +449,24 @@ def band_periods(s, d):
     return period.band_periods(period.mhaov(det, grid), period.period_features(period.mhaov_multiband(det, grid)))
 
 
+@register(
+    "mutual_information",
+    """WITH pts AS (SELECT oid, candid, mjd, mag, count(*) OVER o AS n, 0.9::double * stddev_pop(mag) OVER o * pow(count(*) OVER o, -0.2::double) AS h FROM det WHERE NOT forced WINDOW o AS (PARTITION BY oid)),
+ grid AS (SELECT oid, CAST(k AS INTEGER) AS k, 0.05::double + k * (1 - 0.05::double) / (n - 1) AS freq FROM (SELECT oid, unnest(range(n)) AS k, n FROM (
+ SELECT oid, greatest(64, ceil((1 - 0.05::double) * (max(mjd) - min(mjd)) / 0.2::double)::int) AS n FROM det GROUP BY oid))),
+ pairs AS (SELECT a.oid, a.candid AS i, a.n, a.mjd - b.mjd AS dt, exp(-pow((a.mag - b.mag) / a.h, 2) / 4) AS km FROM pts a JOIN pts b ON a.oid = b.oid),
+ points AS (SELECT oid, k, freq, i, any_value(n) AS n, sum(km * kp) AS j, sum(km) AS m, sum(kp) AS p FROM (
+ SELECT pairs.*, k, freq, exp((cos(2 * pi() * dt * freq) - 1) / 0.16::double) AS kp FROM pairs JOIN grid USING (oid)) GROUP BY oid, k, freq, i)
+ SELECT oid, k, freq, ln(vj * vm / (vc * vc)) AS power FROM (
+ SELECT oid, k, freq, sum(j) / pow(any_value(n), 2) AS vj, sum(m) * sum(p) / pow(any_value(n), 4) AS vm, sum(m * p) / pow(any_value(n), 3) AS vc FROM points GROUP BY oid, k, freq)""",
+    "freq power",
+    5,
+)
+def mutual_information(s, d):
+    det = T.detections(s, d)
+    return period.qmi(det, period.frequency_spec(det, 1.0, 20.0, least=64))
+
+
 @register("two_harmonics")
 def two_harmonics(s, d):
     return period.period_features(period.mhaov_multiband(T.detections(s, d), catalog._grid(s, d), 2))

@@ -114,3 +114,79 @@ def test_degenerate_curves_have_null_features(degenerate):
     assert {"Meanvariance", "ExcessVar"} <= nulls["zero_mean"]
     assert got["pairs_of_times"]["MaxSlope"] is not None
     assert all(v is None or math.isfinite(v) for r in got.values() for f, v in r.items() if f in NAMES)
+
+
+def test_every_operator_survives_degenerate_curves(spark, degenerate):
+    from skyflow.operators import feature_sets, fits, ingest, period
+    from skyflow.operators import variability as v
+
+    det = degenerate.unionByName(spark.createDataFrame(rows_of(some_curves()["c4"], "good"), SCHEMA))
+    objects = det.select("oid").distinct()
+    periods = spark.createDataFrame([(k, 1.5) for k in [*DEGENERATE, "good"]] + [("good", 0.0)], "oid string, period double")
+    grid = period.frequency_spec(det, 0.5, 10.0, least=20)
+    power = period.mhaov_multiband(det, grid)
+    bands = period.mhaov(det, grid)
+    slots = v.slotted_autocorrelation(det)
+    found = {
+        "structure": features.structure_function(det), "indices": features.structure_function_indices(det), "pvar": v.pvar(det), "autocor": v.autocor_length(det), "slots": slots, "slotted": v.slotted_length(det), "k_ac": v.stetson_k_ac(slots),
+        "mhps": v.mhps(det), "clip": v.sigma_clip(det), "scale": v.robust_scale(det), "tail": features.tde_tail(det), "sn": features.sn_features(det), "variation": features.color_variation(det, "g", "r"), "kim": features.folded_kim(det, periods),
+        "harmonics": features.harmonics(det, periods), "xyz": features.coordinates_xyz(det), "colors": features.colors(det, "g", "r"), "mhaov": bands, "multiband": period.multiband(bands), "periods": period.period_features(power),
+        "rates": period.power_rates(power), "pdm": period.pdm(det, grid), "aov": period.aov(det, grid), "weighted": period.aov(det, grid, weighted=True), "string": period.string_length(det, grid), "qmi": period.qmi(det, grid),
+        "fleet": fits.fit_fleet(det), "lens": fits.fit_microlensing(det), "spm": fits.fit_supernova(det), "drw": fits.fit_drw(det), "iar": fits.fit_iar_phi(det), "ciar": fits.fit_ciar(det), "same": ingest.drop_same_mjd(det),
+    }
+    rows = {k: df.collect() for k, df in found.items()}
+    for k, own in rows.items():
+        assert any(r.oid == "good" for r in own) or k in ("variation", "colors"), k
+    assert {r.oid: r.Autocor_length for r in rows["autocor"]}["constant"] == 8
+    assert {r.oid: r.SlottedA_length for r in rows["slotted"]}["constant"] is None
+    assert all(r.power is None for r in rows["qmi"] if r.oid in ("constant", "all_same")) and any(r.power is not None for r in rows["qmi"] if r.oid == "good")
+    assert all(r.Psi_CS is None for r in rows["kim"] if r.oid == "constant") and not {"constant", "all_same"} & {r.oid for r in rows["iar"]}
+    assert feature_sets.feature_set(det, "ztf", ["g", "r"], ["turbo", "mhps", "period", "folded_kim", "harmonics"]).select("oid").distinct().count() >= objects.count() - 3
+
+
+def test_autocorrelations_against_all_pairs(spark):
+    from skyflow.operators import variability as v
+
+    own = some_curves() | {"even": [(float(k), 15 + math.sin(k), 0.1) for k in range(12)], "halves": [(k / 2, 15 + math.cos(k * k), 0.1) for k in range(12)] + [(5.5, 15.5, 0.1), (5.5, 14.2, 0.1)]}
+    df = spark.createDataFrame([x for k, c in own.items() for x in rows_of(c, k)], SCHEMA)
+    acf = {}
+    for r in v.slotted_autocorrelation(df, 1.0, 1000).collect():
+        acf.setdefault(r.oid, {})[r.slot] = r.r
+    lengths = {r.oid: r.SlottedA_length for r in v.slotted_length(df, 1.0, 3).collect()}
+    lags = {r.oid: r.Autocor_length for r in v.autocor_length(df).collect()}
+    for k, c in own.items():
+        t, z = np.array([x[0] for x in c]), np.array([x[1] for x in c])
+        z = z - z.mean()
+        pairs = {}
+        for i in range(len(t)):
+            for j in range(i, len(t)):
+                pairs.setdefault(math.floor(t[j] - t[i] + 0.5), []).append(z[i] * z[j])
+        want = {s: np.mean(p) / np.mean(pairs[0]) for s, p in pairs.items()}
+        assert acf[k] == pytest.approx(want, abs=1e-9)
+        assert lengths[k] == next((float(s) for s in sorted(want) if want[s] < math.exp(-1)), None)
+        assert lags[k] == next((s for s in range(1, len(z)) if z[:-s] @ z[s:] < math.exp(-1) * (z @ z)), len(z))
+
+
+@pytest.mark.parametrize("kernel", ["gaussian", "cauchy"])
+@pytest.mark.parametrize("n", [5, 40, 700])
+def test_expanded_kernels_against_all_pairs(kernel, n):
+    from skyflow.operators import spectral
+
+    r = np.random.default_rng(n)
+    t, y = np.sort(r.uniform(0, 50, n)), r.normal(0, 3, n)
+    f = np.array([0.013, 0.4, 1.7, 1.9, 9.1])
+    j, m, p, c = spectral.mutual_information(t, y, f, 0.4, kernel, 1e-10)
+    km = np.exp(-((y[:, None] - y) ** 2) / 4) if kernel == "gaussian" else 1 / (1 + ((y[:, None] - y) / 2) ** 2)
+    assert m == pytest.approx(km.sum(), abs=1e-9 * n * n)
+    for k, x in enumerate(f):
+        kp = np.exp((np.cos(2 * np.pi * x * (t[:, None] - t)) - 1) / 0.16)
+        assert (j[k], p[k], c[k]) == pytest.approx(((km * kp).sum(), kp.sum(), (km.sum(axis=1) * kp.sum(axis=1)).sum()), rel=1e-8)
+
+
+def test_waves_by_recurrence():
+    from skyflow.operators import spectral
+
+    r = np.random.default_rng(3)
+    t = r.uniform(0, 2000, 50)
+    for f in (np.linspace(0.01, 22.0, 256), np.linspace(3, 3.0001, 7), np.sort(r.uniform(0, 9, 64)), np.array([1.5]), np.linspace(0.2, 5.0, 101)):
+        assert np.abs(spectral.turns(t, f) - np.exp(2j * np.pi * np.outer(t, f))).max() < 1e-9
