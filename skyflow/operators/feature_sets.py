@@ -117,7 +117,7 @@ EXTRACTORS: dict[str, Extractor] = {
     "turbo": _turbo,
     "spm": lambda x: _by_band(fits.fit_supernova(x.obs)),
     "tde_tail": lambda x: _by_band(features.tde_tail(x.obs)),
-    "fleet": lambda x: _by_band(fits.fit_fleet(x.obs)),
+    "fleet": lambda x: _by_band(fits.fit_fleet(x.obs.filter("isdiffpos > 0 and mag < 23.9"))),  # a positive flux of 1 uJy at least
     "color_variation": lambda x: _by_object(features.color_variation(x.obs, x.bands[0], x.bands[1])),
     "sn": lambda x: _by_band(features.sn_features(x.flux())),
     "microlensing": lambda x: _by_band(fits.fit_microlensing(x.obs)),

@@ -1,14 +1,21 @@
-"""Template fits: parameter grids cross the observations, linear parameters come in closed form, min_by picks.
+"""Template fits: a grid of parameters with the linear ones in closed form, then bounded Levenberg-Marquardt steps.
 
-The grids are small constant tables, so every fit is one join with them and one aggregation by (object,
-band, parameters); partial sums are combined before the shuffle.
+The steps start at the grid's best point and never end with a worse one; ``refine=False`` keeps the grid's. Light
+curves are shuffled once and fitted many at a time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyflow.operators.curves import map_curves
+from skyflow.operators.feature_kernel import Segments
+from skyflow.operators.least_squares import Model, fit_bounded, fit_walk
+
 KEYS = ["oid", "fid"]
 
 
@@ -19,44 +26,153 @@ def _grid(df: DataFrame, **axes: list[float]) -> DataFrame:
     return df
 
 
-def _line(df: DataFrame, keys: list[str], x: Column, y: Column, w: Column) -> DataFrame:
-    """Weighted line y = a + b x for every key: a, b, chi2, n."""
-    s = df.withColumns({"__x": x, "__y": y, "__w": w}).groupBy(*keys).agg(
-        F.count("*").alias("n"), F.sum("__w").alias("sw"), F.sum(F.expr("__w * __x")).alias("sx"), F.sum(F.expr("__w * __y")).alias("sy"), F.sum(F.expr("__w * __x * __x")).alias("sxx"), F.sum(F.expr("__w * __x * __y")).alias("sxy"), F.sum(F.expr("__w * __y * __y")).alias("syy")
-    )
-    det = F.expr("sw * sxx - sx * sx")
-    s = s.withColumn("b", F.when(F.abs(det) > 1e-12, F.expr("sw * sxy - sx * sy") / det).otherwise(0.0)).withColumn("a", F.expr("(sy - b * sx) / sw"))
-    return s.withColumn("chi2", F.greatest(F.expr("syy - a * sy - b * sxy"), F.lit(0.0))).select(*keys, "a", "b", "chi2", "n")
+def _polished(rows: DataFrame, names: list[str], build, bounds: dict[str, tuple[float, float]]) -> DataFrame:
+    """(keys, names, chi2, n) after Levenberg-Marquardt steps from the parameters ``names`` of each light curve's rows.
 
+    ``rows`` have mjd, y and w; ``build(t)`` is the model at times from the curve's ``t_zero``, which keeps numbers small.
+    """
+    low, high = ([bounds.get(c, (-np.inf, np.inf))[k] for c in names] for k in (0, 1))
 
-def _observations(det: DataFrame, least: int) -> DataFrame:
-    g = Window.partitionBy(*KEYS)
-    d = det.filter(~F.col("forced") & F.col("mag").isNotNull() & (F.col("e_mag") > 0)).withColumns({"__n": F.count("*").over(g), "t_first": F.min("mjd").over(g), "t_peak": F.min(F.struct("mag", "mjd")).over(g)["mjd"]})
-    return d.filter(F.col("__n") >= least).drop("__n")
+    def kernel(data: dict[str, np.ndarray], starts: np.ndarray) -> dict[str, np.ndarray]:
+        seg = Segments(starts, len(data["mjd"]))
+        start = np.column_stack([data[c][starts] for c in names])
+        shape = np.ones((len(starts), 1))
+        p, chi = fit_bounded(build(data["mjd"] - data["t_zero"]), start, shape * low, shape * high, seg, data["y"], data["w"])
+        return {**{c: p[:, k] for k, c in enumerate(names)}, "chi2": chi, "n": seg.n, "t_zero": data["t_zero"][starts]}
+
+    columns = ["mjd", "y", "w", "t_zero", *names]
+    return map_curves(rows, KEYS, ["mjd"], columns, kernel, ", ".join(f"{c} double" for c in [*names, "chi2", "n", "t_zero"]))
+
+
+def _best_start(starts: Iterator[np.ndarray], model: Model, s: Segments, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The parameters (curves x parameters) of least chi2 among ``starts``, and that chi2."""
+    best = chi = None
+    for p in starts:
+        own = s.sum(w * (y - model([p[s.of, k] for k in range(p.shape[1])])) ** 2)
+        own = np.where(np.isfinite(own), own, np.inf)
+        if best is None:
+            best, chi = p, own
+        else:
+            better = own < chi
+            best, chi = np.where(better[:, None], p, best), np.where(better, own, chi)
+    return best, chi
+
+
+def _magnitudes(det: DataFrame) -> DataFrame:
+    """Detections and forced points with a magnitude, a time and a positive error."""
+    return det.filter(F.col("mag").isNotNull() & F.col("mjd").isNotNull() & (F.col("e_mag") > 0))
+
+
+#: Added to the errors of magnitudes that templates are fitted to.
+ERROR_FLOOR = 1e-2
+
+
+def _fleet_model(t: np.ndarray) -> Model:
+    def model(p: list[np.ndarray]) -> np.ndarray:
+        a, w, m0, t0 = p
+        x = w * (t - t0)
+        return np.exp(np.minimum(x, 50.0)) - a * x + m0
+
+    return model
+
+
+def fit_fleet(det: DataFrame, rates: list[float] | None = None, shifts: list[float] | None = None, refine: bool = True) -> DataFrame:
+    """m = exp(w dt) - a w dt + m0, dt from t0, forced points included; at least four points with a positive error.
+
+    w and t0 on a grid with a and m0 by least squares, then all four together within 0 <= a <= 10, -100 <= w <= 0,
+    0 <= m0 <= 30 and -50 <= t0 <= 10000. fleet_t0 counts from the light curve's first point, as the grid's ``shifts`` do.
+    """
+    rates, shifts = rates or [-0.003, -0.01, -0.03, -0.05, -0.1, -0.3], shifts or [-30.0, -10.0, 0.0, 5.0]
+    low, high = [0.0, -100.0, 0.0, -50.0], [10.0, 0.0, 30.0, 10_000.0]
+
+    def kernel(data: dict[str, np.ndarray], starts: np.ndarray) -> dict[str, np.ndarray]:
+        y, w = data["mag"], (data["e_mag"] + ERROR_FLOOR) ** -2.0
+        s = Segments(starts, len(y))
+        t = data["mjd"] - data["mjd"][starts][s.of]
+        ones, model = np.ones(len(starts)), _fleet_model(t)
+        mean = s.sum(y) / s.n
 
+        def grid() -> Iterator[np.ndarray]:
+            yield np.column_stack([0.6 * ones, -0.05 * ones, mean, 0 * ones])
+            sw = s.sum(w)
+            for rate in rates:
+                for t0 in shifts:
+                    x = -rate * (t - t0)
+                    rest = y - np.exp(np.minimum(-x, 50.0))
+                    mx, my = s.sum(w * x) / sw, s.sum(w * rest) / sw
+                    spread = s.sum(w * (x - mx[s.of]) ** 2)
+                    a = np.where(spread > 0, s.sum(w * (x - mx[s.of]) * rest) / np.where(spread > 0, spread, 1), 0.0)
+                    a = np.clip(a, low[0], high[0])
+                    yield np.column_stack([a, rate * ones, np.clip(my - a * mx, low[2], high[2]), t0 * ones])
 
-def fit_fleet(det: DataFrame, rates: list[float] | None = None, shifts: list[float] | None = None) -> DataFrame:
-    """m = exp(w dt) - a w dt + m0 after t0; a and m0 by least squares, w and t0 on the grid; at least four points."""
-    d = _grid(_observations(det, 4), w=rates or [0.003, 0.01, 0.03, 0.1, 0.2], shift=shifts or [0.0, 2.0, 5.0, 10.0]).withColumn("t0", F.col("t_peak") - F.col("shift")).filter("mjd >= t0")
-    dt = F.col("mjd") - F.col("t0")
-    fit = _line(d, [*KEYS, "w", "t0"], -F.col("w") * dt, F.col("mag") - F.exp(F.col("w") * dt), F.pow("e_mag", -2)).filter("n >= 4")
-    return fit.groupBy(*KEYS).agg(F.min_by(F.struct("b", "w", "chi2", "a", "t0", "n"), F.struct("chi2", "w", "t0")).alias("x")).select(*KEYS, F.col("x.b").alias("fleet_a"), F.col("x.w").alias("fleet_w"), (F.col("x.chi2") / F.greatest(F.col("x.n") - 4, F.lit(1))).alias("fleet_chi"), F.col("x.a").alias("fleet_m0"), F.col("x.t0").alias("fleet_t0"))
+        p, chi = _best_start(grid(), model, s, y, w)
+        if refine:
+            p, chi = fit_bounded(model, p, np.outer(ones, low), np.outer(ones, high), s, y, w)
+        return {"fleet_a": p[:, 0], "fleet_w": p[:, 1], "fleet_chi": np.where(s.n > 4, chi / np.maximum(s.n - 4, 1), np.nan), "fleet_m0": p[:, 2], "fleet_t0": p[:, 3]}
 
+    return map_curves(_magnitudes(det), KEYS, ["mjd", "candid"], ["mjd", "mag", "e_mag"], kernel, ", ".join(f"fleet_{c} double" for c in ("a", "w", "chi", "m0", "t0")), 4)
 
-def fit_microlensing(det: DataFrame, u0: list[float] | None = None, te: list[float] | None = None) -> DataFrame:
-    """Point-lens curve: flux = base + source * (A(u) - 1), u0, tE and t0 (around the peak) on the grid."""
-    d = _grid(_observations(det, 6), u0=u0 or [0.1, 0.3, 0.6, 1.0], te=te or [2.0, 5.0, 10.0, 30.0], off=[-1.0, 0.0, 1.0]).withColumn("t0", F.col("t_peak") + F.col("off"))
-    u2 = F.pow("u0", 2) + F.pow((F.col("mjd") - F.col("t0")) / F.col("te"), 2)
-    gain = (u2 + 2) / F.sqrt(u2 * (u2 + 4)) - 1
-    flux = F.pow(F.lit(10.0), -0.4 * (F.col("mag") - 20))
-    fit = _line(d, [*KEYS, "u0", "te", "t0"], gain, flux, F.pow(flux * F.col("e_mag"), -2)).filter("b >= 0")
-    best = fit.groupBy(*KEYS).agg(F.min_by(F.struct("u0", "te", "t0", "a", "b", "chi2", "n"), F.struct("chi2", "u0", "te", "t0")).alias("x"))
-    return best.select(*KEYS, F.col("x.u0").alias("ulens_u0"), F.col("x.te").alias("ulens_tE"), (F.col("x.b") / F.nullif(F.col("x.a"), F.lit(0.0))).alias("ulens_fs"), (F.col("x.chi2") / F.greatest(F.col("x.n") - 5, F.lit(1))).alias("ulens_chi"), F.col("x.t0").alias("ulens_t0"), (20 - 2.5 * F.log10(F.when(F.col("x.a") > 0, F.col("x.a")))).alias("ulens_mag0"))
+
+def _lens_model(t: np.ndarray) -> Model:
+    def model(p: list[np.ndarray]) -> np.ndarray:
+        u0, te, fs, t0, mag0 = p
+        return mag0 - 2.5 * np.log10(fs * (_gain(t, u0, te, t0) - 1) + 1)
+
+    return model
+
+
+def _gain(t: np.ndarray, u0: np.ndarray, te: np.ndarray, t0: np.ndarray) -> np.ndarray:
+    """Magnification by a point lens."""
+    u2 = u0**2 + ((t - t0) / te) ** 2
+    return (u2 + 2) / np.sqrt(u2 * (u2 + 4))
+
+
+def fit_microlensing(det: DataFrame, u0: list[float] | None = None, te: list[float] | None = None, refine: bool = True) -> DataFrame:
+    """Point-lens curve: mag = mag0 - 2.5 log10(fs (A(u) - 1) + 1), forced points included; at least four points with an
+    error between 0 and 1.
+
+    u0, tE, fs and t0 (around the brightest point) on a grid with mag0 by least squares, then all five together with
+    u0 and tE positive and 0 <= fs <= 1. ulens_t0 counts from the object's first point.
+    """
+    axes = [(a, b, f, d) for a in u0 or [0.1, 0.3, 0.6, 1.0] for b in te or [2.0, 5.0, 10.0, 20.0, 30.0] for f in (0.3, 0.5, 1.0) for d in (-1.0, 0.0, 1.0)]
+    low, high = [1e-6, 1e-3, 0.0, -np.inf, -np.inf], [np.inf, np.inf, 1.0, np.inf, np.inf]
+
+    def kernel(data: dict[str, np.ndarray], starts: np.ndarray) -> dict[str, np.ndarray]:
+        y, w, t = data["mag"], (data["e_mag"] + ERROR_FLOOR) ** -2.0, data["mjd"] - data["first"]
+        s = Segments(starts, len(y))
+        ones, model, sw = np.ones(len(starts)), _lens_model(t), s.sum(w)
+        peak = t[np.lexsort((t, y, s.of))[starts]]
+
+        def grid() -> Iterator[np.ndarray]:
+            for a, b, f, d in axes:
+                shape = 2.5 * np.log10(f * (_gain(t, a, b, peak[s.of] + d) - 1) + 1)
+                yield np.column_stack([a * ones, b * ones, f * ones, peak + d, s.sum(w * (y + shape)) / sw])
+
+        p, chi = _best_start(grid(), model, s, y, w)
+        if refine:
+            p, chi = fit_bounded(model, p, np.outer(ones, low), np.outer(ones, high), s, y, w)
+        return {"ulens_u0": p[:, 0], "ulens_tE": p[:, 1], "ulens_fs": p[:, 2], "ulens_chi": np.where(s.n > 4, chi / np.maximum(s.n - 4, 1), np.nan), "ulens_t0": p[:, 3], "ulens_mag0": p[:, 4]}
+
+    own = _magnitudes(det).filter("e_mag < 1").withColumn("first", F.min("mjd").over(Window.partitionBy("oid")))
+    return map_curves(own, KEYS, ["mjd", "candid"], ["mjd", "mag", "e_mag", "first"], kernel, ", ".join(f"ulens_{c} double" for c in ("u0", "tE", "fs", "chi", "t0", "mag0")), 4)
 
 
 SPM = ["gamma", "rise", "fall", "beta", "lead"]
 
 
+SPM_BOUNDS = {"A": (0.0, np.inf), "gamma": (1.0, 120.0), "rise": (1.0, 100.0), "fall": (1.0, 180.0), "beta": (0.0, 1.0)}
+
+
+def _spm_model(t: np.ndarray) -> Model:
+    def model(p: list[np.ndarray]) -> np.ndarray:
+        height, gamma, rise, fall, beta, lead = p
+        dt = t + lead
+        plateau, decline = 1 - beta * dt / gamma, (1 - beta) * np.exp(np.clip(-(dt - gamma) / fall, -50.0, 50.0))
+        return height * np.where(dt < gamma, plateau, decline) / (1 + np.exp(np.clip(-dt / rise, -50.0, 50.0)))
+
+    return model
+
+
 def _spm_fit(d: DataFrame) -> DataFrame:
     """Best (A, parameters, chi2, n) of each light curve whose rows carry the parameters to try."""
     dt = F.col("mjd") - F.col("t_peak") + F.col("lead")
@@ -74,8 +190,8 @@ def fit_supernova(
     det: DataFrame, gamma: list[float] | None = None, rise: list[float] | None = None, fall: list[float] | None = None, beta: list[float] | None = None, lead: list[float] | None = None, prelude: float = 30.0,
     redshift: str | None = None, ebv: str | None = None, extinction: dict[str, float] | None = None, refine: bool = True,
 ) -> DataFrame:
-    """Rise, plateau and fall of the flux per band; the amplitude in closed form, the rest on a grid, searched
-    again at half steps around the best point.
+    """Rise, plateau and fall of the flux per band; the amplitude in closed form and the rest on a grid, then all six
+    parameters together within 1 <= gamma <= 120, 0 <= beta <= 1, 1 <= rise <= 100, 1 <= fall <= 180.
 
     Forced points up to ``prelude`` days before the first detection count too, and negative fluxes at a quarter of
     their weight. ``redshift`` and ``ebv`` name columns: times are divided by 1 + z, and fluxes corrected by
@@ -96,34 +212,33 @@ def fit_supernova(
     weight = F.pow(F.abs("flux") * F.col("e_mag") + 1e-6, -2) * F.when(F.col("flux") < 0, 0.25).otherwise(1.0)
     d = d.withColumn("flux", flux).withColumn("weight", weight).select(*KEYS, "mjd", "t_peak", "flux", "weight")
     best = _spm_fit(_grid(d, gamma=gamma or [5.0, 15.0, 40.0], rise=rise or [1.0, 4.0], fall=fall or [8.0, 30.0, 80.0], beta=beta or [0.2, 0.6], lead=lead or [2.0, 8.0]))
+    best = best.select(*KEYS, "x.*")
     if refine:
-        around = d.join(best, KEYS).select(*d.columns, *(F.col(f"x.{p}").alias(f"__{p}") for p in SPM))
-        for p in SPM:
-            around = around.withColumn(p, F.explode(F.array(*(F.col(f"__{p}") * x for x in (0.7, 1.0, 1.4)))))
-        best = _spm_fit(around.withColumn("beta", F.least("beta", F.lit(0.99))).drop(*(f"__{p}" for p in SPM)))
+        rows = d.join(best.drop("t_peak", "n", "chi2"), KEYS).select(*KEYS, "mjd", F.col("flux").alias("y"), F.col("weight").alias("w"), F.col("t_peak").alias("t_zero"), "A", *SPM)
+        best = _polished(rows, ["A", *SPM], _spm_model, SPM_BOUNDS).withColumnRenamed("t_zero", "t_peak")
     return best.select(
-        *KEYS, F.col("x.A").alias("SPM_A"), (F.col("x.t_peak") - F.col("x.lead")).alias("SPM_t0"), F.col("x.gamma").alias("SPM_gamma"), F.col("x.beta").alias("SPM_beta"), F.col("x.rise").alias("SPM_tau_rise"),
-        F.col("x.fall").alias("SPM_tau_fall"), (F.col("x.chi2") / F.greatest(F.col("x.n") - 6, F.lit(1))).alias("SPM_chi"),
+        *KEYS, F.col("A").alias("SPM_A"), (F.col("t_peak") - F.col("lead")).alias("SPM_t0"), F.col("gamma").alias("SPM_gamma"), F.col("beta").alias("SPM_beta"), F.col("rise").alias("SPM_tau_rise"),
+        F.col("fall").alias("SPM_tau_fall"), (F.col("chi2") / F.greatest(F.col("n") - 6, F.lit(1))).alias("SPM_chi"),
     )
 
 
-def fit_drw(det: DataFrame, sigmas: list[float] | None = None, taus: list[float] | None = None) -> DataFrame:
-    """Damped random walk by likelihood: a fold over the time-ordered light curve for every (sigma, tau); five points at least."""
-    series = F.sort_array(F.collect_list(F.struct("mjd", "mag", "e_mag")))
-    g = det.filter(~F.col("forced")).groupBy(*KEYS).agg(series.alias("s"), F.avg("mag").alias("mean"), F.count("*").alias("n")).filter("n >= 5")
-    g = _grid(g, sigma=sigmas or [0.05, 0.1, 0.2, 0.4, 0.8, 1.6], tau=taus or [0.3, 1.0, 3.0, 10.0, 30.0, 100.0])
-    var = F.pow("sigma", 2)
-    start = F.struct(F.lit(None).cast("double").alias("t"), F.lit(0.0).alias("x"), var.alias("p"), F.lit(0.0).alias("nll"))
+def fit_drw(det: DataFrame, sigmas: list[float] | None = None, taus: list[float] | None = None, refine: bool = True) -> DataFrame:
+    """Damped random walk by likelihood: the best (sigma, tau) of a grid, then of finer ones around it; five points at least.
 
-    def step(acc: Column, o: Column) -> Column:
-        a = F.when(acc["t"].isNull(), 0.0).otherwise(F.exp(-(o["mjd"] - acc["t"]) / F.col("tau")))
-        x, p = a * acc["x"], a * a * acc["p"] + var * (1 - a * a)
-        q = F.greatest(p + F.coalesce(o["e_mag"] * o["e_mag"], F.lit(0.0)), F.lit(1e-12))  # two points at one time without errors
-        r = o["mag"] - F.col("mean") - x
-        return F.struct(o["mjd"].alias("t"), (x + p / q * r).alias("x"), (p * (1 - p / q)).alias("p"), (acc["nll"] + 0.5 * (F.log(q) + r * r / q)).alias("nll"))
-
-    fit = g.withColumn("nll", F.aggregate("s", start, step)["nll"])
-    return fit.groupBy(*KEYS).agg(F.min_by(F.struct("sigma", "tau", "nll"), F.struct("nll", "sigma", "tau")).alias("x")).select(*KEYS, F.col("x.sigma").alias("GP_DRW_sigma"), F.col("x.tau").alias("GP_DRW_tau"), F.col("x.nll").alias("GP_DRW_nll"))
+    Points without an error count as exact.
+    """
+    s, u = np.array(sigmas or [0.05, 0.1, 0.2, 0.4, 0.8, 1.6]), np.array(taus or [0.3, 1.0, 3.0, 10.0, 30.0, 100.0])
+    zooms = 12 if refine else 0
+
+    def kernel(data: dict[str, np.ndarray], starts: np.ndarray) -> dict[str, np.ndarray]:
+        found = []
+        for a, b in zip(starts, [*starts[1:], len(data["mjd"])]):
+            m = data["mag"][a:b]
+            found.append(fit_walk(data["mjd"][a:b], m - m.mean(), np.nan_to_num(data["e_mag"][a:b]), s, u, zooms))
+        return dict(zip(("GP_DRW_sigma", "GP_DRW_tau", "GP_DRW_nll"), np.array(found).T))
+
+    own = det.filter(~F.col("forced") & F.col("mag").isNotNull() & F.col("mjd").isNotNull())
+    return map_curves(own, KEYS, ["mjd", "mag"], ["mjd", "mag", "e_mag"], kernel, "GP_DRW_sigma double, GP_DRW_tau double, GP_DRW_nll double", 5)
 
 
 def fit_iar_phi(det: DataFrame, steps: int = 20) -> DataFrame:

@@ -190,3 +190,57 @@ def test_waves_by_recurrence():
     t = r.uniform(0, 2000, 50)
     for f in (np.linspace(0.01, 22.0, 256), np.linspace(3, 3.0001, 7), np.sort(r.uniform(0, 9, 64)), np.array([1.5]), np.linspace(0.2, 5.0, 101)):
         assert np.abs(spectral.turns(t, f) - np.exp(2j * np.pi * np.outer(t, f))).max() < 1e-9
+
+
+def test_refined_fits_are_no_worse_than_the_grid_and_find_the_truth(spark):
+    from skyflow.operators import fits
+
+    r = random.Random(2)
+    grow = lambda t, a, w, m0, t0: math.exp(w * (t - t0)) - a * w * (t - t0) + m0
+
+    def flux(t, a, t0, gamma, beta, rise, fall):
+        dt = t - t0
+        return a * (1 - beta * dt / gamma if dt < gamma else (1 - beta) * math.exp(-(dt - gamma) / fall)) / (1 + math.exp(-dt / rise))
+
+    own = some_curves()
+    own |= {f"fleet{k}": [(float(x), grow(float(x), 0.8 + k, -0.07, 15, 12.0) + r.gauss(0, 0.01), 0.01) for x in np.linspace(0, 60, 50)] for k in range(3)}
+    sn = (400.0, 0.0, 25.0, 0.4, 3.0, 30.0)
+    own["sn"] = [(float(x), 23.9 - 2.5 * math.log10(max(flux(x, *sn), 1e-3)) + r.gauss(0, 0.005), 0.01) for x in np.linspace(-8, 120, 90)]
+    df = spark.createDataFrame([x for k, c in own.items() for x in rows_of(c, k)], SCHEMA)
+    for fit, chi in ((fits.fit_fleet, "fleet_chi"), (fits.fit_microlensing, "ulens_chi"), (fits.fit_supernova, "SPM_chi"), (fits.fit_drw, "GP_DRW_nll")):
+        coarse, fine = ({x.oid: x.asDict() for x in fit(df, refine=k).collect()} for k in (False, True))
+        assert coarse.keys() == fine.keys() and len(fine) > 3
+        assert all(fine[k][chi] <= coarse[k][chi] * (1 + 1e-9) + 1e-9 for k in fine), chi
+        assert sum(fine[k][chi] < coarse[k][chi] for k in fine) > len(fine) / 2
+        if chi == "fleet_chi":
+            assert all(fine[f"fleet{k}"][chi] < 2 for k in range(3))
+        if chi == "SPM_chi":
+            x = fine["sn"]
+            assert (x["SPM_A"], x["SPM_gamma"], x["SPM_beta"], x["SPM_tau_rise"], x["SPM_tau_fall"]) == pytest.approx((400, 25, 0.4, 3, 30), rel=0.1) and abs(x["SPM_t0"]) < 1
+
+
+def test_steps_against_closed_form_and_bounds():
+    from skyflow.operators.feature_kernel import Segments
+    from skyflow.operators.least_squares import fit_bounded, walk_cost
+
+    r = np.random.default_rng(5)
+    sizes = np.array([5, 9, 30])
+    starts, rows = np.cumsum(sizes) - sizes, int(sizes.sum())
+    s = Segments(starts, rows)
+    x, y, w = r.uniform(-3, 3, rows), r.normal(0, 1, rows), r.uniform(0.5, 2, rows)
+    line = lambda p: p[0] + p[1] * x
+    free = np.full((3, 2), np.inf)
+    p, chi = fit_bounded(line, np.zeros((3, 2)), -free, free, s, y, w)
+    for k, (a, n) in enumerate(zip(starts, sizes)):
+        own = slice(a, a + n)
+        want = np.polyfit(x[own], y[own], 1, w=np.sqrt(w[own]))[::-1]
+        assert p[k] == pytest.approx(want, abs=1e-5) and chi[k] == pytest.approx((w[own] * (y[own] - want[0] - want[1] * x[own]) ** 2).sum(), rel=1e-8)
+    p, _ = fit_bounded(line, np.zeros((3, 2)), np.array([[-0.01, -0.02]] * 3), np.array([[0.01, 0.02]] * 3), s, y, w)
+    assert (np.abs(p) <= [0.01, 0.02]).all()
+    # the filter's cost is that of the whole covariance
+    t, e = np.sort(r.uniform(0, 20, 12)), r.uniform(0.05, 0.2, 12)
+    m = r.normal(0, 0.5, 12)
+    for sigma, tau in ((0.3, 2.0), (1.0, 15.0)):
+        cov = sigma**2 * np.exp(-np.abs(t[:, None] - t) / tau) + np.diag(e**2)
+        want = 0.5 * (np.linalg.slogdet(cov)[1] + m @ np.linalg.solve(cov, m))
+        assert walk_cost(t, m, e, np.array([sigma]), np.array([tau]))[0] == pytest.approx(want)
