@@ -62,3 +62,27 @@ def test_generated_pages_against_their_article():
         body = re.sub(r"<(p|/p|br|h1|/h1)>", " ", body)
         want = " ".join(html.unescape(re.sub(r"<[^>]*>", "", body)).split())
         assert " ".join(text(page).split()) == want
+
+
+def test_near_copies_without_an_article_keep_their_text(spark):
+    body = "<h1>A title</h1><p>First paragraph with a good many words in it.</p><p>Second one.</p>"
+    copies = [(i, "http://copy.a/", f"<div id=page><ul><li>Menu</ul><div class=story>{body}</div><p>posted {i}</p></div>") for i in range(6)]
+    inside = [(10 + i, "http://date.a/", f"<div class=story><p>posted {i}</p>{body}</div>") for i in range(6)]
+    others = [(30 + i, "http://copy.a/", f"<div id=page><ul><li>Menu</ul><div class=story><p>A text of its own, number {i}.</p></div></div>") for i in range(6)]
+    df = spark.createDataFrame(copies + inside + others, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in hx.extract_text(df).collect()}
+    text = "A title First paragraph with a good many words in it. Second one."
+    assert got == {i: f"{text} posted {i}" for i in range(6)} | {10 + i: f"posted {i} {text}" for i in range(6)} | {30 + i: f"A text of its own, number {i}." for i in range(6)}
+
+
+def test_class_words_inside_an_article():
+    page = "<article><p class=related>Solve</p><p id=search>for</p><div class=notice>x in</div><p><math><mi>x</mi><msup><mn>2</mn></msup></math> = 4 <object>now</object></p><div class=ad>BUY</div><div id=comments>no</div></article>"
+    assert text(page) == "Solve for x in x2 = 4 now"
+
+
+def test_menus_of_small_hosts(spark):
+    rows = [(i, "http://four.a/", f"<div><ul><li>Home<li>About</ul><p>Own text of page {i}</p></div>") for i in range(4)]
+    rows += [(10 + i, "http://two.a/", f"<div><ul><li>Home</ul><p>Own text of page {i}</p></div>") for i in range(2)]
+    rows += [(20 + i, "http://some.a/", f"<div>{'<ul><li>Part</ul>' if i else ''}<p>Own text of page {i}</p></div>") for i in range(4)]
+    got = {r.page_id: r.text for r in hx.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Own text of page {i}" for i in range(4)} | {10 + i: f"Home Own text of page {i}" for i in range(2)} | {20: "Own text of page 0"} | {20 + i: f"Part Own text of page {i}" for i in range(1, 4)}
