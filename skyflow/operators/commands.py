@@ -34,7 +34,8 @@ def _number(band: Column, numbers: dict[str, int]) -> Column:
     return out
 
 
-def _oid() -> Column:
+def object_of() -> Column:
+    """The object that a command is about."""
     return F.coalesce(F.col("criteria")["oid"], F.col("criteria")["_id"])
 
 
@@ -44,7 +45,7 @@ def _given(name: str) -> Column:
 
 def _typed(cmds: DataFrame, target: DataFrame, **special: Column) -> DataFrame:
     """Rows with the target's columns, read from data and criteria, and ``seq``."""
-    own = {c: special.get(c, _oid() if c == "oid" else _given(c)) for c in target.columns}
+    own = {c: special.get(c, object_of() if c == "oid" else _given(c)) for c in target.columns}
     return cmds.select(*(own[f.name].cast(f.dataType).alias(f.name) for f in target.schema), "seq")
 
 
@@ -104,7 +105,7 @@ def upsert_non_detections(tables: Tables, cmds: DataFrame) -> Tables:
 def upsert_features(tables: Tables, cmds: DataFrame) -> Tables:
     target = tables["feature"]
     parsed = F.from_json(F.col("data")["features"], "array<struct<name: string, fid: string, value: double>>")
-    rows = cmds.select("seq", _oid().alias("oid"), F.col("data")["features_version"].alias("version"), F.inline(parsed))
+    rows = cmds.select("seq", object_of().alias("oid"), F.col("data")["features_version"].alias("version"), F.inline(parsed))
     new = rows.withColumn("fid", _number(F.coalesce("fid", F.lit("")), FEATURE_BANDS))
     return {"feature": set_columns(target, new.select(*target.columns, "seq"), KEYS["feature"], ["value"])}
 
@@ -113,7 +114,7 @@ def upsert_probabilities(tables: Tables, cmds: DataFrame) -> Tables:
     """Every other entry of the data is a class; ranks go by probability, then by name."""
     target = tables["probability"]
     classes = F.map_filter("data", lambda k, _: ~k.isin("classifier_name", "classifier_version"))
-    head = [_oid().alias("oid"), F.col("data")["classifier_name"].alias("classifier_name"), F.col("data")["classifier_version"].alias("classifier_version")]
+    head = [object_of().alias("oid"), F.col("data")["classifier_name"].alias("classifier_name"), F.col("data")["classifier_version"].alias("classifier_version")]
     rows = cmds.select("seq", *head, F.explode(classes).alias("class_name", "probability")).withColumn("probability", F.col("probability").cast("double"))
     w = Window.partitionBy("seq", "oid", "classifier_name", "classifier_version").orderBy(F.col("probability").desc(), "class_name")
     new = rows.withColumn("ranking", F.row_number().over(w))
@@ -123,7 +124,7 @@ def upsert_probabilities(tables: Tables, cmds: DataFrame) -> Tables:
 def upsert_xmatch(tables: Tables, cmds: DataFrame) -> Tables:
     target = tables["xmatch"]
     found = F.from_json(F.col("data")["xmatch"], "map<string, struct<catoid: string, dist: double>>")
-    rows = cmds.select("seq", _oid().alias("oid"), F.explode(found).alias("catid", "m"))
+    rows = cmds.select("seq", object_of().alias("oid"), F.explode(found).alias("catid", "m"))
     new = rows.select("oid", "catid", F.col("m.catoid").alias("oid_catalog"), F.col("m.dist").alias("dist"), "seq")
     return {"xmatch": set_columns(target, new, KEYS["xmatch"], ["oid_catalog", "dist"])}
 
@@ -131,13 +132,13 @@ def upsert_xmatch(tables: Tables, cmds: DataFrame) -> Tables:
 def upsert_score(tables: Tables, cmds: DataFrame) -> Tables:
     target = tables["score"]
     parsed = F.from_json(F.col("data")["categories"], "array<struct<name: string, score: double>>")
-    rows = cmds.select("seq", _oid().alias("oid"), F.col("data")["detector_name"].alias("detector_name"), F.col("data")["detector_version"].alias("detector_version"), F.inline(parsed))
+    rows = cmds.select("seq", object_of().alias("oid"), F.col("data")["detector_name"].alias("detector_name"), F.col("data")["detector_version"].alias("detector_version"), F.inline(parsed))
     return {"score": set_columns(target, rows.withColumnRenamed("name", "category_name").select(*target.columns, "seq"), KEYS["score"], ["score"])}
 
 
 KINDS: dict[str, Callable[[Tables, DataFrame], Tables]] = {
     f.__name__: f
-    for f in (insert_object, update_object_from_stats, upsert_detections, upsert_forced, upsert_object_stats, upsert_non_detections, upsert_features, upsert_probabilities, upsert_xmatch, upsert_score)
+    for f in (insert_object, update_object_from_stats, upsert_detections, upsert_forced, upsert_object_stats, upsert_features, upsert_non_detections, upsert_probabilities, upsert_xmatch, upsert_score)
 }
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Key columns of each target table.
 KEYS = {
@@ -76,46 +77,99 @@ def kind_of() -> Column:
 class KeyedTable:
     """A Parquet table in ``buckets`` partitions by a hash of ``by`` (the keys, or some of them).
 
-    A merge reads and rewrites only the partitions that its rows fall in: they are written beside the table
-    first and then put in place by Spark's dynamic partition overwrite. Merges are keyed, so one that
-    stopped halfway is repaired by running it again. One writer at a time.
+    A merge reads and rewrites only the partitions that its rows fall in. They are written to a folder of their own;
+    then a manifest, which names the folder of each partition, is put in place by one rename. A merge stopped before
+    that leaves the table as it was, and its folder is never read. The manifest before the last stays, with its folders, for
+    readers under way; older ones go. One writer at a time. ``schema`` is that of a table never written.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], by: list[str] | None = None, buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], by: list[str] | None = None, buckets: int = 64, schema: StructType | str | None = None):
         self.spark, self.path, self.keys, self.by, self.buckets = spark, path.rstrip("/"), keys, by or keys, buckets
+        self.schema = spark.createDataFrame([], schema).schema if schema else None
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.by), F.lit(self.buckets)).cast("int")
 
-    def _touched(self, rows: DataFrame) -> list[int]:
-        return [r["b"] for r in rows.select(self._bucket().alias("b")).distinct().collect()]  # at most ``buckets``
+    def touched(self, rows: DataFrame) -> list[int]:
+        """The partitions that rows with the columns ``by`` fall in; at most ``buckets``."""
+        return sorted(r["b"] for r in rows.select(self._bucket().alias("b")).distinct().collect())
 
-    def _stored(self) -> DataFrame | None:
+    # --- manifests
+
+    def _files(self):
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        at = lambda name="": hadoop.Path(f"{self.path}/{name}" if name else self.path)
+        return at, at().getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _versions(self) -> list[int]:
+        at, files = self._files()
+        if not files.exists(at()):
+            return []
+        names = [x.getPath().getName() for x in files.listStatus(at())]
+        return sorted(int(n.removeprefix("manifest-")) for n in names if n.startswith("manifest-") and n[9:].isdigit())
+
+    def _manifest(self, version: int) -> dict:
+        at, files = self._files()
+        stream = files.open(at(f"manifest-{version}"))
         try:
-            return self.spark.read.parquet(self.path)
-        except AnalysisException as e:
-            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _current(self) -> dict:
+        versions = self._versions()
+        return self._manifest(versions[-1]) if versions else {"schema": None, "folders": {}}
+
+    def _commit(self, schema: StructType, folders: dict[str, str]) -> None:
+        at, files = self._files()
+        versions = self._versions()
+        new = (versions[-1] if versions else 0) + 1
+        beside = f".{uuid.uuid4().hex}"
+        stream = files.create(at(beside))
+        stream.write(bytearray(json.dumps({"schema": schema.jsonValue(), "folders": folders}).encode()))
+        stream.close()
+        if not files.rename(at(beside), at(f"manifest-{new}")):
+            raise RuntimeError(f"{self.path}: manifest {new} exists; is there a second writer?")
+        kept = {f"{v}/bucket={b}" for m in [{"folders": folders}, *(self._manifest(x) for x in versions[-1:])] for b, v in m["folders"].items()}
+        for old in versions[:-1]:
+            for b, v in self._manifest(old)["folders"].items():
+                if f"{v}/bucket={b}" not in kept:
+                    files.delete(at(f"{v}/bucket={b}"), True)
+            files.delete(at(f"manifest-{old}"), False)
+
+    def stored_schema(self) -> StructType | None:
+        m = self._current()
+        return StructType.fromJson(m["schema"]) if m["schema"] else self.schema
+
+    # --- rows
+
+    def read(self, like: DataFrame | None = None, only: list[int] | None = None) -> DataFrame | None:
+        """The table, or only the partitions that rows ``like`` these (with the columns ``by``) fall in, or those named;
+        before the first merge an empty table of ``schema``, or null without one."""
+        m = self._current()
+        only = self.touched(like) if like is not None else only
+        schema = self.stored_schema()
+        paths = [f"{self.path}/{v}/bucket={b}" for b, v in m["folders"].items() if only is None or int(b) in only]
+        if schema is None:
             return None
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def read(self, like: DataFrame | None = None) -> DataFrame | None:
-        """The table, or only the partitions that rows ``like`` these (with the columns ``by``) fall in; null before the first merge."""
-        df = self._stored()
-        if df is not None and like is not None:
-            df = df.filter(F.col("bucket").isin(self._touched(like)))
-        return None if df is None else df.drop("bucket")
+    def replace(self, rows: DataFrame, touched: list[int]) -> None:
+        """Put ``rows``, which are all rows of the partitions ``touched``, in their place."""
+        if not touched:
+            return
+        m, folder = self._current(), f"v-{uuid.uuid4().hex}"
+        schema = StructType([StructField(f.name, f.dataType) for f in rows.schema])  # nullable, as files are
+        rows.withColumn("bucket", self._bucket()).repartition("bucket").write.partitionBy("bucket").parquet(f"{self.path}/{folder}")
+        at, files = self._files()
+        written = [b for b in touched if files.exists(at(f"{folder}/bucket={b}"))]
+        folders = {b: v for b, v in m["folders"].items() if int(b) not in touched} | {str(b): folder for b in written}
+        self._commit(schema, folders)
 
     def merge(self, new: DataFrame, mode: str = "upsert", order: str | None = None) -> None:
         new = one_a_key(new, self.keys, order)
-        touched, old = self._touched(new), self._stored()
-        if not touched:
-            return
+        touched = self.touched(new)
+        old = self.read(only=touched)
         if old is not None:
-            old = old.filter(F.col("bucket").isin(touched)).drop("bucket")
             new = (upsert if mode == "upsert" else insert_ignore)(old, new, self.keys)
-        beside = f"{self.path}.{uuid.uuid4().hex}"
-        new.withColumn("bucket", self._bucket()).repartition("bucket").write.partitionBy("bucket").parquet(beside)
-        moved = self.spark.read.parquet(beside)
-        moved.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path)
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(beside)
-        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        self.replace(new, touched)

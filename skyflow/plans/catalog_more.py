@@ -9,6 +9,7 @@ from skyflow.operators import classify, commands, correct, feature_sets, feature
 from skyflow.plans import catalog
 from skyflow.plans import driver_tables as T
 from skyflow.plans.catalog import PRED, QUERIES, _predicted, register
+from skyflow.sources import avro
 
 _BEFORE = set(QUERIES)
 
@@ -467,6 +468,15 @@ def mutual_information(s, d):
     return period.qmi(det, period.frequency_spec(det, 1.0, 20.0, least=64))
 
 
+@register("alert_containers", "SELECT candid, isdiffpos, mjd + 2400000.5::double AS jd, mag + 0.5::double AS previous FROM det", "jd previous", 6)
+def alert_containers(s, d):
+    """Nested alerts written as Avro containers and read again."""
+    alerts = T.alerts(s, d)
+    again = avro.from_containers(avro.to_containers(alerts), alerts.schema)
+    sign = F.when(F.col("candidate.isdiffpos") == "t", 1).otherwise(-1)
+    return again.select("candid", sign.alias("isdiffpos"), "candidate.jd", F.col("prv_candidates")[0]["magpsf"].alias("previous"))
+
+
 @register("two_harmonics")
 def two_harmonics(s, d):
     return period.period_features(period.mhaov_multiband(T.detections(s, d), catalog._grid(s, d), 2))

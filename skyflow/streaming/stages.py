@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skyflow.operators import correct, history, stats
-from skyflow.operators.commands import KINDS, rejected
+from skyflow.operators.commands import KINDS, object_of, rejected
 from skyflow.operators.merge import KeyedTable, parse_commands
 from skyflow.sources.readers import read_topic, topic_pattern
 
@@ -84,7 +84,9 @@ def bounded_replay(spark: SparkSession, servers: str, topics: str, start_ms: int
 def command_stage(tables: dict[str, KeyedTable], metrics: Callable[[DataFrame], None] | None = None) -> Callable[[DataFrame, int], None]:
     """Apply a batch of JSON commands (column ``payload``, ordered by ``seq``) to stored tables.
 
-    Invalid commands are skipped and counted; anything else that fails stops the stage.
+    Kinds go in the order of ``KINDS``, so an object inserted and updated in one batch is both. Of tables that are
+    partitioned by object only the partitions of the commands' objects are read and rewritten. A table never written
+    needs a schema. Invalid commands are skipped and counted; anything else that fails stops the stage.
     """
 
     def sink(batch: DataFrame, number: int) -> None:
@@ -92,13 +94,18 @@ def command_stage(tables: dict[str, KeyedTable], metrics: Callable[[DataFrame],
         try:
             if metrics:
                 metrics(rejected(cmds))
-            for kind in [r["kind"] for r in cmds.filter("valid").select("kind").distinct().collect()]:  # the few kinds
+            present = {r["kind"] for r in cmds.filter("valid").select("kind").distinct().collect()}  # the few kinds
+            for kind in [k for k in KINDS if k in present]:
                 own = cmds.filter((F.col("kind") == kind) & F.col("valid"))
-                names = TABLES_OF[kind]
-                stored = {n: tables[n].read() for n in names}
+                stored, touched = {}, {}
+                for n in TABLES_OF[kind]:
+                    if (schema := tables[n].stored_schema()) is None:
+                        raise ValueError(f"table {n} was never written and has no schema")
+                    by_object = tables[n].by == ["oid"]
+                    touched[n] = tables[n].touched(own.select(object_of().cast(schema["oid"].dataType).alias("oid"))) if by_object else list(range(tables[n].buckets))
+                    stored[n] = tables[n].read(only=touched[n])
                 for n, df in KINDS[kind](stored, own).items():
-                    changed = df.exceptAll(stored[n].select(*df.columns))
-                    tables[n].merge(changed)
+                    tables[n].replace(df, touched[n])
         finally:
             cmds.unpersist()
 

@@ -366,3 +366,48 @@ def test_command_stage_applies_and_counts(spark, tmp_path):
         got = sorted(map(tuple, t.read().select("oid", "fid", "mjd", "diffmaglim").collect()))
         assert got == [("a", 1, 1.0, 22.0), ("b", 2, 1.0, 20.0), ("c", 2, 3.0, 19.0)]
     assert [r.n for r in counted] == [3, 3]
+
+
+def test_command_stage_on_tables_never_written(spark, tmp_path):
+    """The first batch inserts an object and updates it, in either order, and only its partitions are written."""
+    from skyflow.streaming.stages import command_stage
+
+    schema = "oid string, ndet long, firstmjd double, lastmjd double, meanra double, corrected boolean, stellar boolean"
+    table = merge.KeyedTable(spark, str(tmp_path / "o"), ["oid"], ["oid"], 16, schema)
+    assert table.read().count() == 0
+    stage = command_stage({"object": table})
+    rows = spark.createDataFrame([("a", 1, 10.0), ("b", 1, 11.0)], "oid string, ndet long, firstmjd double")
+    insert = merge.command_rows(rows, "object", "insert", ["oid"], ["ndet", "firstmjd"]).withColumn("seq", F.lit(2))
+    update = merge.command_rows(rows.withColumn("ndet", F.lit(7)), "object", "update", ["oid"], ["ndet"]).withColumn("seq", F.lit(1))
+    for n in range(2):
+        stage(update.unionByName(insert), n)
+        assert sorted((r.oid, r.ndet) for r in table.read().collect()) == [("a", 7), ("b", 7)]
+    with pytest.raises(ValueError, match="never written"):
+        command_stage({"object": merge.KeyedTable(spark, str(tmp_path / "p"), ["oid"])})(insert, 0)
+
+
+def test_a_merge_stopped_halfway_leaves_the_table(spark, tmp_path, monkeypatch):
+    import os
+
+    t = merge.KeyedTable(spark, str(tmp_path / "t"), ["k"], buckets=4)
+    t.merge(spark.createDataFrame([(k, "x") for k in range(20)], "k int, v string"))
+    want = sorted(map(tuple, t.read().collect()))
+    new = spark.createDataFrame([(k, "y") for k in range(10, 30)], "k int, v string")
+
+    def stop(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(merge.KeyedTable, "_commit", stop)
+        with pytest.raises(RuntimeError, match="lost"):
+            t.merge(new)
+    assert sorted(map(tuple, t.read().collect())) == want
+    reader = t.read()  # under way while the table changes
+    t.merge(new)
+    assert sorted(map(tuple, reader.collect())) == want
+    assert sorted(map(tuple, t.read().collect())) == [(k, "x") for k in range(10)] + [(k, "y") for k in range(10, 30)]
+    t.merge(spark.createDataFrame([(99, "z", 1)], "k int, v string, more int"))  # a new column is null in old partitions
+    assert {r.more for r in t.read().collect()} == {None, 1}
+    for k in range(5):
+        t.merge(spark.createDataFrame([(k, "w", k)], "k int, v string, more int"))
+    assert t.read().count() == 31 and sum(f.startswith("manifest-") for f in os.listdir(tmp_path / "t")) == 2
