@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,13 +88,26 @@ def per_class_accuracy(pred: DataFrame, truth: str, guess: str) -> DataFrame:
     return pred.groupBy(truth).agg(F.avg(F.coalesce(F.col(truth) == F.col(guess), F.lit(False)).cast("int")).alias("accuracy"), F.count("*").alias("n"))
 
 
+#: Ranges of scores that running sums are dealt to.
+RANGES = 200
+
+
 def precision_recall_curve(prob: DataFrame, score: str, positive: str) -> DataFrame:
-    """Precision and recall at every distinct score: counts per score first, so the running sum is over few rows."""
-    by = prob.groupBy(score).agg(F.count("*").alias("n"), F.sum(F.col(positive).cast("long")).alias("hits"))
-    w = Window.orderBy(F.col(score).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    total = Window.partitionBy()
-    run = by.withColumns({"said": F.sum("n").over(w), "tp": F.sum("hits").over(w), "real": F.sum("hits").over(total)})
-    return run.select(score, (F.col("tp") / F.col("said")).alias("precision"), (F.col("tp") / F.col("real")).alias("recall"))
+    """Precision and recall at every distinct score, by prefix sums over ranges of scores.
+
+    Scores are counted first; approximate quantiles cut the counts into RANGES ranges of similar size. Running sums go
+    within a range, and the ranges' own sums, a list of at most RANGES + 1, give where each begins. Rows without a score
+    are left out; without a positive row recall is null.
+    """
+    by = prob.filter(F.col(score).isNotNull()).groupBy(score).agg(F.count("*").alias("n"), F.sum(F.coalesce(F.col(positive).cast("long"), F.lit(0))).alias("hits"))
+    cuts = by.agg(F.percentile_approx(score, F.array(*(F.lit(k / RANGES) for k in range(1, RANGES))), 10 * RANGES)).scalar()
+    dealt = by.withColumn("__cuts", cuts).withColumn("__r", F.size(F.filter("__cuts", lambda x: x > F.col(score)))).drop("__cuts")
+    sums = dealt.groupBy("__r").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits")).agg(F.collect_list(F.struct("__r", "n", "hits"))).scalar()
+    before = lambda name, range_: F.aggregate("__sums", F.lit(0).cast("long"), lambda acc, x: acc + F.when(x["__r"] < range_, x[name]).otherwise(0))
+    w = Window.partitionBy("__r").orderBy(F.col(score).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    run = dealt.withColumns({"said": F.sum("n").over(w), "tp": F.sum("hits").over(w), "__sums": sums})
+    said, tp, real = F.col("said") + before("n", F.col("__r")), F.col("tp") + before("hits", F.col("__r")), before("hits", F.lit(RANGES + 1))
+    return run.select(score, (tp / said).alias("precision"), F.try_divide(tp.cast("double"), real).alias("recall"))
 
 
 def fill_missing(df: DataFrame, columns: list[str], marker: float = -9999.0) -> DataFrame:
@@ -106,6 +121,27 @@ def feature_quantiles(features: DataFrame, name: str, value: str, steps: int = 1
     return features.groupBy(name).agg(q.alias("q")).select(name, F.posexplode("q").alias("step", "quantile"))
 
 
+def feature_sketches(features: DataFrame, name: str, value: str, k: int = 400) -> DataFrame:
+    """(name, sketch): a KLL sketch of every feature's values; nulls and NaN are left out.
+
+    A sketch holds some kilobytes however many values it saw, and sketches of batches add up, so each batch's may be
+    kept and quantiles asked of any of them together. Ranks err by about 2.3 / k^0.9 (1 % for k = 400), with 99 % confidence.
+    """
+    v = F.col(value).cast("double")
+    return features.filter(v.isNotNull() & ~F.isnan(v)).groupBy(name).agg(F.kll_sketch_agg_double(v, F.lit(k)).alias("sketch"))
+
+
+def merge_sketches(*parts: DataFrame, name: str = "name") -> DataFrame:
+    """One sketch of each feature from those of several batches."""
+    return reduce(DataFrame.unionByName, parts).groupBy(name).agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def sketch_quantiles(sketches: DataFrame, name: str = "name", steps: int = 10) -> DataFrame:
+    """Quantiles at equal steps, as of ``feature_quantiles``, from sketches."""
+    at = F.array(*(F.lit(k / steps) for k in range(steps + 1)))
+    return sketches.select(name, F.posexplode(F.kll_sketch_get_quantile_double("sketch", at)).alias("step", "quantile"))
+
+
 def quantile_transform(features: DataFrame, quantiles: DataFrame, name: str, value: str, steps: int = 10) -> DataFrame:
     """Map values to their place between a feature's quantiles, from 0 to 1 and linear in between: the middle of
     the places where quantiles are equal; values beyond the ends take these."""

@@ -268,10 +268,10 @@ def from_containers(df: DataFrame, schema: T.StructType, content: str = "content
     return df.select(content).mapInArrow(run, schema)
 
 
-def read_containers(spark: SparkSession, path: str, schema: T.StructType | None = None, stream: bool = False, pattern: str = "*.avro") -> DataFrame:
+def read_containers(spark: SparkSession, path: str, schema: T.StructType | None = None, stream: bool = False, pattern: str = "*.avro", **more: str) -> DataFrame:
     """Rows of all containers below ``path``, as a batch or as a stream of files that arrive; without ``schema`` that of
-    one of the files counts."""
-    options = {"pathGlobFilter": pattern, "recursiveFileLookup": "true"}
+    one of the files counts. ``more`` are options of Spark's file source, such as maxFilesPerTrigger."""
+    options = {"pathGlobFilter": pattern, "recursiveFileLookup": "true", **more}
     if schema is None:
         first = spark.read.format("binaryFile").options(**options).load(path).select(F.substring("content", 1, 1 << 22)).first()
         if first is None:

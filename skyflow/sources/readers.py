@@ -9,14 +9,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from skyflow.sources.avro import read_containers
+
+
+def struct_of(spark: SparkSession, schema: StructType | str | None) -> StructType | None:
+    return spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
+
 
 def read_alert_dir(spark: SparkSession, path: str, fmt: str = "avro", schema: StructType | str | None = None) -> DataFrame:
-    """All files of a folder; ``avro`` needs Spark's Avro package on the cluster."""
+    """All files of a folder. ``avro`` takes containers by ``sources.avro``; another name of Spark's own package may be given."""
+    if fmt == "avro":
+        return read_containers(spark, path, struct_of(spark, schema))
     r = spark.read.format(fmt)
     return (r.schema(schema) if schema else r).load(path)
 
 
 def replay_alert_dir(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet", files_per_batch: int = 1) -> DataFrame:
+    """A stream of a folder's files in batches of some files each; ``avro`` as in ``read_alert_dir``."""
+    if fmt == "avro":
+        return read_containers(spark, path, struct_of(spark, schema), stream=True, maxFilesPerTrigger=str(files_per_batch))
     return spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_batch).load(path)
 
 

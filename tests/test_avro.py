@@ -58,6 +58,9 @@ def test_round_trip_through_files(spark, tmp_path, codec):
     stream = avro.read_containers(spark, str(tmp_path), df.schema, stream=True).writeStream.format("memory").queryName(f"avro_{codec}").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     stream.awaitTermination(120)
     assert spark.table(f"avro_{codec}").count() == 2100
+    from skyflow.sources import readers
+
+    assert readers.read_alert_dir(spark, str(tmp_path)).count() == 2100 and readers.replay_alert_dir(spark, str(tmp_path), schema, "avro").isStreaming
     with pytest.raises(ValueError, match="no \\*.avro"):
         (tmp_path / "none").mkdir()
         avro.read_containers(spark, str(tmp_path / "none"))

@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -411,3 +412,36 @@ def test_a_merge_stopped_halfway_leaves_the_table(spark, tmp_path, monkeypatch):
     for k in range(5):
         t.merge(spark.createDataFrame([(k, "w", k)], "k int, v string, more int"))
     assert t.read().count() == 31 and sum(f.startswith("manifest-") for f in os.listdir(tmp_path / "t")) == 2
+
+
+def test_precision_and_recall_over_ranges(spark, monkeypatch):
+    from skyflow.operators import training
+
+    monkeypatch.setattr(training, "RANGES", 7)
+    r = random.Random(6)
+    rows = [(r.choice([r.random(), round(r.random(), 1), 0.5]), r.random() < 0.3) for _ in range(800)] + [(None, True), (0.25, None)]
+    got = sorted(tuple(x) for x in training.precision_recall_curve(spark.createDataFrame(rows, "score double, hit boolean"), "score", "hit").collect())
+    scored = [(s, bool(h)) for s, h in rows if s is not None]
+    want = []
+    for s in sorted({s for s, _ in scored}):
+        said = [h for x, h in scored if x >= s]
+        want.append((s, sum(said) / len(said), sum(said) / sum(h for _, h in scored)))
+    assert [x[0] for x in got] == [x[0] for x in want] and np.allclose(got, want)
+    assert training.precision_recall_curve(spark.createDataFrame([(0.5, False)], "score double, hit boolean"), "score", "hit").first().recall is None
+    plan = training.precision_recall_curve(spark.createDataFrame(rows, "score double, hit boolean"), "score", "hit")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and not re.search(r"windowspecdefinition\((?!__r)", plan)
+
+
+def test_sketches_of_batches_within_their_error(spark):
+    from skyflow.operators import training
+
+    r = random.Random(7)
+    batches = [[(n, r.gauss(k, 1) if n == "a" else r.random() ** 3) for n in "ab" for _ in range(6000)] + [("a", None), ("b", float("nan"))] for k in range(4)]
+    parts = [training.feature_sketches(spark.createDataFrame(b, "name string, v double").repartition(3), "name", "v") for b in batches]
+    got = training.sketch_quantiles(training.merge_sketches(*parts), steps=20).collect()
+    assert len(got) == 42 and max(len(bytes(x.sketch)) for x in training.merge_sketches(*parts).collect()) < 40_000
+    for n in "ab":
+        values = np.sort([v for b in batches for m, v in b if m == n and v is not None and v == v])
+        for x in [x for x in got if x.name == n]:
+            low, high = np.searchsorted(values, x.quantile, "left") / len(values), np.searchsorted(values, x.quantile, "right") / len(values)
+            assert low - 0.011 <= x.step / 20 <= high + 0.011
