@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from skyflow.functions.columns import missing
 from skyflow.operators.curves import map_curves
+from skyflow.operators.feature_kernel import Segments
 from skyflow.operators.features import KEYS, MIN_POINTS, near_pairs
 
 
@@ -199,7 +200,10 @@ def for_every_object(values: DataFrame, objects: DataFrame, key: str = "oid") ->
 
 
 def chi2_tail(x: Column, k: Column, terms: int = 200) -> Column:
-    """Chi-square CDF by the series of the regularised lower gamma function."""
+    """Chi-square CDF as a column, by the series of the regularised lower gamma function; far beyond its mean it is 1.
+
+    ``terms`` are enough for some hundred degrees of freedom; ``chi2_cdf`` has no such bound.
+    """
     a, h = k / 2, x / 2
     series = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s")), lambda acc, i: F.struct((acc["t"] * h / (a + i)).alias("t"), (acc["s"] + acc["t"] * h / (a + i)).alias("s")))["s"]
     # log gamma(a + 1): Stirling's series at a + 6, brought down by the recurrence
@@ -207,14 +211,52 @@ def chi2_tail(x: Column, k: Column, terms: int = 200) -> Column:
     gamma = (z - 0.5) * F.log(z) - z + 0.9189385332046727 + 1 / (12 * z) - 1 / (360 * F.pow(z, 3))
     for k in range(1, 6):
         gamma = gamma - F.log(a + k)
-    return F.when(x <= 0, 0.0).otherwise(F.least(F.exp(a * F.log(h) - h - gamma) * series, F.lit(1.0)))
+    return F.when(x <= 0, 0.0).when(h > a + 20 * F.sqrt(a) + 60, 1.0).otherwise(F.least(F.exp(a * F.log(h) - h - gamma) * series, F.lit(1.0)))
+
+
+_log_gamma = np.vectorize(math.lgamma, otypes=[float])
+
+
+def chi2_cdf(x: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Chi-square CDF of ``k`` degrees of freedom: the series of the lower incomplete gamma function up to its mean, the
+    continued fraction of the upper one beyond."""
+    a, h = np.asarray(k, float) / 2, np.maximum(np.asarray(x, float) / 2, 0.0)
+    front = np.exp(a * np.log(np.where(h > 0, h, 1)) - h - _log_gamma(a))
+    low = h < a + 1
+    term = total = 1 / a
+    n = 0
+    while (np.where(low, term, 0) > 1e-17 * total).any():
+        n += 1
+        term = np.where(low, term * h / (a + n), 0.0)
+        total = total + term
+    # modified Lentz steps
+    b = h + 1 - a
+    c, d = np.full(len(h), 1e300), 1 / np.where(b == 0, 1e-300, b)
+    fraction = d
+    for i in range(1, 1000):
+        an = -i * (i - a)
+        b = b + 2
+        d = an * d + b
+        d = 1 / np.where(np.abs(d) < 1e-300, 1e-300, d)
+        c = b + an / c
+        c = np.where(np.abs(c) < 1e-300, 1e-300, c)
+        step = np.where(low, 1.0, d * c)
+        fraction = fraction * step
+        if (np.abs(step - 1) < 1e-15).all():
+            break
+    return np.where(h > 0, np.clip(np.where(low, front * total, 1 - front * fraction), 0.0, 1.0), 0.0)
 
 
 def pvar(det: DataFrame) -> DataFrame:
     """Probability that a constant source varies less: chi-square CDF about the mean, of points with a positive error."""
-    mean = F.avg("mag").over(Window.partitionBy(*KEYS))
-    g = _own(det).filter("e_mag > 0").withColumn("r", F.pow((F.col("mag") - mean) / F.col("e_mag"), 2)).groupBy(*KEYS).agg(F.sum("r").alias("chi2"), F.count("*").alias("n")).filter(F.col("n") >= MIN_POINTS)
-    return g.select(*KEYS, chi2_tail(F.col("chi2"), F.col("n") - 1).alias("Pvar"))
+
+    def kernel(data: dict[str, np.ndarray], starts: np.ndarray) -> dict[str, np.ndarray]:
+        s = Segments(starts, len(data["mag"]))
+        m = data["mag"] - data["mag"][starts][s.of]
+        r = (m - (s.sum(m) / s.n)[s.of]) / data["e_mag"]
+        return {"Pvar": chi2_cdf(s.sum(r * r), s.n - 1)}
+
+    return map_curves(_own(det).filter("e_mag > 0"), KEYS, ["mjd", "candid"], ["mag", "e_mag"], kernel, "Pvar double", MIN_POINTS)
 
 
 def allwise_colors(det: DataFrame, xmatch: DataFrame) -> DataFrame:

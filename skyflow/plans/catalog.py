@@ -1031,4 +1031,4 @@ def slotted_length(s, d):
     return variability.slotted_length(T.detections(s, d))
 
 
-from skyflow.plans import catalog_more  # noqa: E402, F401
+from skyflow.plans import catalog_more, catalog_sources  # noqa: E402, F401

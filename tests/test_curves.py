@@ -244,3 +244,16 @@ def test_steps_against_closed_form_and_bounds():
         cov = sigma**2 * np.exp(-np.abs(t[:, None] - t) / tau) + np.diag(e**2)
         want = 0.5 * (np.linalg.slogdet(cov)[1] + m @ np.linalg.solve(cov, m))
         assert walk_cost(t, m, e, np.array([sigma]), np.array([tau]))[0] == pytest.approx(want)
+
+
+def test_chi_square_against_known_values():
+    from skyflow.operators.variability import chi2_cdf
+
+    # two degrees of freedom have a closed form; others by their densities' integral
+    x = np.array([0.0, 0.1, 1.0, 5.0, 40.0, 4000.0])
+    assert chi2_cdf(x, np.full(6, 2)) == pytest.approx(1 - np.exp(-x / 2))
+    for k in (1, 5, 30, 400):
+        for top in (0.3 * k, float(k), 1.7 * k, 60.0 * k):
+            u = np.linspace(1e-9, math.sqrt(top), 400_001)  # x = u^2 takes the pole away
+            y = 2 * u ** (k - 1) * np.exp(-(u**2) / 2 - math.lgamma(k / 2) - k / 2 * math.log(2)) if k < 100 else 2 * np.exp((k - 1) * np.log(u) - u**2 / 2 - math.lgamma(k / 2) - k / 2 * math.log(2))
+            assert chi2_cdf(np.array([top]), np.array([k]))[0] == pytest.approx(float(((y[1:] + y[:-1]) / 2 * np.diff(u)).sum()), abs=1e-7)

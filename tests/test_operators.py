@@ -445,3 +445,21 @@ def test_sketches_of_batches_within_their_error(spark):
         for x in [x for x in got if x.name == n]:
             low, high = np.searchsorted(values, x.quantile, "left") / len(values), np.searchsorted(values, x.quantile, "right") / len(values)
             assert low - 0.011 <= x.step / 20 <= high + 0.011
+
+
+def test_forest_scores_are_products_of_levels(spark):
+    r = random.Random(3)
+    rows = [(k % 3, f"{'AB'[k % 3 // 2]}", f"{'AB'[k % 3 // 2]}{k % 3}", k % 3 + r.gauss(0, 0.1), r.random()) for k in range(300)]
+    df = spark.createDataFrame(rows, "oid long, top string, child string, x double, y double")
+    predict = outputs.hierarchical_forest(df, "top", "child", ["x", "y"], trees=10, depth=3)
+    got = predict(df).collect()
+    names = ["A0", "A1", "B2"]
+    assert all(abs(sum(g[n] for n in names) - 1) < 1e-9 and min(g[n] for n in names) >= 0 for g in got)
+    assert sum(max(names, key=lambda n: g[n]) == g.child for g in got) > 290
+
+
+def test_chi_square_column_far_out(spark):
+    from skyflow.operators import variability as v
+
+    x = one(spark, v.chi2_tail(F.lit(4000.0), F.lit(12.0)), v.chi2_tail(F.lit(0.0), F.lit(3.0)))
+    assert (x[0], x[1]) == (1.0, 0.0)
