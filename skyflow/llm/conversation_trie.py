@@ -73,7 +73,7 @@ def _segments(conversations: DataFrame, stride: int, shared: int) -> tuple[DataF
     Segment: conv_id, seg, last (its conversation ends here), length (turns of the conversation), p1 and p2 (digest of
     the turns before), x1 and x2 (its own), t (turn ids, two halves each), z1 and z2 (digests of single turns), w (words).
     """
-    ranked, sizes = _ranked(_turns(conversations))
+    ranked, sizes = _ranked(materialize(_turns(conversations), "turn-ids"))  # sorting by ranges reads its input twice
     h = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(shared + 1))
     base = ranked.filter((F.col("conv_id") % stride == 0) & (F.col("rank") < shared)).groupBy(F.col("conv_id").alias("base")).agg(F.sort_array(F.collect_list(F.struct("rank", "h1", "h2", "words"))).alias("head"))
     convs = sizes.withColumns({"h": h, "base": F.col("conv_id") - F.col("conv_id") % stride}).join(base, "base", "left")
