@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyflow.operators import feature_sets, outputs, parse, sky, variability
+from skyflow.operators.merge import KeyedTable
 from skyflow.plans import driver_tables as T
 from skyflow.plans.catalog import register
+from skyflow.sources.readers import replay_alert_dir, shared_folder
+from skyflow.streaming.stages import state_stage
+from skyflow.streaming.state import STATISTICS
 
 
 @register(
@@ -93,3 +97,20 @@ def hierarchical_forest(s, d):
     )
     predict = outputs.hierarchical_forest(lines, "top", "child", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], trees=5, depth=4)
     return predict(lines).drop("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@register(
+    "streamed_object_state",
+    """SELECT oid, sid, fid, avg(mag) magmean, max(mag) magmax, min(mag) magmin, stddev_pop(mag) magsigma, arg_min(mag, (mjd, candid)) magfirst, arg_max(mag, (mjd, candid)) maglast, min(mjd) firstmjd,
+ max(mjd) lastmjd, count(*) ndet FROM det WHERE NOT forced GROUP BY ALL""",
+    " ".join(STATISTICS[:-1]),
+)
+def streamed_object_state(s, d):
+    """Statistics held in a stream's state after all detections came, out of order and a third of them twice."""
+    det = T.detections(s, d).drop("new")
+    folder = shared_folder(s, "streamed")
+    for k in (1, 0, 1, 2):
+        det.filter(F.col("candid") % 3 == k).write.mode("append").parquet(f"{folder}/in")
+    table = KeyedTable(s, f"{folder}/state", ["oid", "sid", "fid"], ["oid"])
+    state_stage(replay_alert_dir(s, f"{folder}/in", det.schema, files_per_batch=16), table, f"{folder}/checkpoint").awaitTermination()
+    return table.read().select("oid", "sid", "fid", *STATISTICS)

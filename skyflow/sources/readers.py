@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +18,16 @@ def struct_of(spark: SparkSession, schema: StructType | str | None) -> StructTyp
     return spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
 
 
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new name in the folder that driver and executors share, ``spark.checkpoint.dir``; in local mode a temporary one where the session names none."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="spark-")
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def read_alert_dir(spark: SparkSession, path: str, fmt: str = "avro", schema: StructType | str | None = None) -> DataFrame:
     """All files of a folder. ``avro`` takes containers by ``sources.avro``; another name of Spark's own package may be given."""
     if fmt == "avro":
@@ -41,10 +53,14 @@ def read_json_array(spark: SparkSession, path: str, schema: StructType | str | N
     return (r.schema(schema) if schema else r).json(path)
 
 
-def read_topic(spark: SparkSession, servers: str, topics: str, stream: bool = True, max_messages: int | None = None, start_ms: int | None = None, end_ms: int | None = None, pattern: bool = False, **options) -> DataFrame:
-    """Kafka rows with key, value, topic and timestamp; bounded by messages per trigger and by start and end times."""
+def read_topic(spark: SparkSession, servers: str, topics: str, stream: bool = True, max_messages: int | None = None, min_messages: int | None = None, max_delay: str | None = None, start_ms: int | None = None, end_ms: int | None = None, pattern: bool = False, **options) -> DataFrame:
+    """Kafka rows with key, value, topic and timestamp; bounded by messages per trigger and by start and end times.
+
+    With ``min_messages`` a batch waits for so many, or for ``max_delay`` (such as 10s) since the one before it, the earlier of both.
+    """
     r = (spark.readStream if stream else spark.read).format("kafka").option("kafka.bootstrap.servers", servers).option("subscribePattern" if pattern else "subscribe", topics)
-    for k, v in (("maxOffsetsPerTrigger", max_messages), ("startingTimestamp", start_ms), ("endingTimestamp", None if stream else end_ms)):
+    waits = (("minOffsetsPerTrigger", min_messages if stream else None), ("maxTriggerDelay", max_delay if stream else None))
+    for k, v in (*waits, ("maxOffsetsPerTrigger", max_messages), ("startingTimestamp", start_ms), ("endingTimestamp", None if stream else end_ms)):
         if v is not None:
             r = r.option(k, v)
     return r.options(**options).load()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,6 +13,7 @@ from skyflow.operators import correct, history, stats
 from skyflow.operators.commands import KINDS, object_of, rejected
 from skyflow.operators.merge import KeyedTable, parse_commands
 from skyflow.sources.readers import read_topic, topic_pattern
+from skyflow.streaming.state import object_state
 
 Frame = Callable[[DataFrame], DataFrame]
 
@@ -23,8 +24,18 @@ TABLES_OF = {
 }
 
 
-def run_stage(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, pre: Frame | None = None, execute: Frame | None = None, post: Frame | None = None, available_now: bool = True, every: str = "30 seconds") -> StreamingQuery:
-    """Consume, pre, execute, post, produce, commit. Empty batches are skipped; an exception stops the stage; offsets are committed after the sink."""
+def run_stage(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, pre: Frame | None = None, execute: Frame | None = None, post: Frame | None = None, available_now: bool = True, every: str = "30 seconds", mode: str = "append") -> StreamingQuery:
+    """Consume, pre, execute, post, produce, commit. Empty batches are skipped; an exception stops the stage; offsets are committed after the sink.
+
+    A batch is read once, whatever its steps do with it, so metrics that ``metrics.observed`` adds to the stream count each row once.
+    """
+
+    def once(df: DataFrame, number: int) -> None:
+        df = df.persist()
+        try:
+            batch(df, number)
+        finally:
+            df.unpersist()
 
     def batch(df: DataFrame, number: int) -> None:
         if df.isEmpty():
@@ -33,7 +44,7 @@ def run_stage(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpo
             df = step(df) if step else df
         sink(df, number)
 
-    w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    w = stream.writeStream.outputMode(mode).foreachBatch(once).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=every)).start()
 
 
@@ -51,12 +62,8 @@ def fan_out(*sinks: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, in
     return sink
 
 
-def batch_metrics(df: DataFrame, number: int, fields: dict[str, str] | list[dict] | None = None, received: float | None = None, sent: float | None = None) -> DataFrame:
-    """One row: batch number, received and sent time with the seconds between, messages, and arrays of chosen fields.
-
-    A field is a name with its alias, or a dict of ``key`` (dots go into nested rows), ``alias``, ``format`` (a
-    function of the column) and ``default`` for nulls.
-    """
+def metric_columns(df: DataFrame, fields: dict[str, str] | list[dict] | None) -> list[Column]:
+    """An array column for each field of ``batch_metrics``."""
     fields = [{"key": k, "alias": v} for k, v in fields.items()] if isinstance(fields, dict) else fields or []
     extra = []
     for f in fields:
@@ -64,15 +71,25 @@ def batch_metrics(df: DataFrame, number: int, fields: dict[str, str] | list[dict
         c = f["format"](c) if f.get("format") else c
         c = F.coalesce(c.cast("string"), F.lit(f["default"]).cast("string")) if "default" in f else c.cast("string")
         extra.append(F.collect_list(c).alias(f.get("alias", f["key"])))
+    return extra
+
+
+def batch_metrics(df: DataFrame, number: int, fields: dict[str, str] | list[dict] | None = None, received: float | None = None, sent: float | None = None) -> DataFrame:
+    """One row: batch number, received and sent time with the seconds between, messages, and arrays of chosen fields.
+
+    A field is a name with its alias, or a dict of ``key`` (dots go into nested rows), ``alias``, ``format`` (a
+    function of the column) and ``default`` for nulls.
+    """
+    extra = metric_columns(df, fields)
     now = time.time()
     received, sent = now if received is None else received, now if sent is None else sent
     times = [F.timestamp_seconds(F.lit(x)).alias(n) for n, x in (("timestamp_received", received), ("timestamp_sent", sent))]
     return df.agg(F.lit(number).alias("batch"), *times, F.lit(sent - received).alias("execution_time"), F.count("*").alias("n_messages"), *extra)
 
 
-def topic_stage(spark: SparkSession, servers: str, template: str, sink: Callable[[DataFrame, int], None], checkpoint: str, max_messages: int = 1000, every: str = "30 seconds", **parts: Frame) -> StreamingQuery:
-    """A stage over daily topics that rolls over by itself, bounded by messages and by time a batch."""
-    stream = read_topic(spark, servers, topic_pattern(template), max_messages=max_messages, pattern=True)
+def topic_stage(spark: SparkSession, servers: str, template: str, sink: Callable[[DataFrame, int], None], checkpoint: str, max_messages: int = 1000, every: str = "1 second", max_delay: str = "30s", **parts: Frame) -> StreamingQuery:
+    """A stage over daily topics that rolls over by itself; a batch ends at ``max_messages`` or ``max_delay`` after the one before it."""
+    stream = read_topic(spark, servers, topic_pattern(template), max_messages=max_messages, min_messages=max_messages, max_delay=max_delay, pattern=True)
     return run_stage(stream, sink, checkpoint, available_now=False, every=every, **parts)
 
 
@@ -112,6 +129,12 @@ def command_stage(tables: dict[str, KeyedTable], metrics: Callable[[DataFrame],
     return sink
 
 
+def state_stage(stream: DataFrame, table: KeyedTable, checkpoint: str, remember_days: float | None = None, available_now: bool = True, every: str = "30 seconds") -> StreamingQuery:
+    """Running statistics of ``object_state`` merged into a table keyed by (oid, sid, fid); no stored history is read."""
+    updates = object_state(stream, remember_days)
+    return run_stage(updates, lambda df, number: table.merge(df), checkpoint, available_now=available_now, every=every, mode="update")
+
+
 def light_curve_stage(stored: KeyedTable, statistics: KeyedTable) -> Callable[[DataFrame, int], None]:
     """Join a batch with stored history, correct it, store the rows and refresh its objects' statistics.
 
