@@ -1,6 +1,6 @@
 """URL filters: rules, and a path-template tree per host for what no rule fits. DataFrame functions only.
 
-The tree grows level by level. Below a node, a path segment that looks like a number, or whose siblings
+The tree grows level by level; what all pages of a node share goes in one step, and pages at their end are set aside. Below a node, a path segment that looks like a number, or whose siblings
 are mostly different from each other, becomes a wildcard. The other labelled siblings are put in order of
 their share of blocked pages, in BINS steps, and neighbours whose shares do not differ significantly from
 each other are merged into one branch; siblings without labels form one branch too. The pages that a
@@ -12,6 +12,8 @@ any is allowed.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from skyflow.llm.common import join_groups, materialize
 
 #: (verdict, host and path)
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+_KEPT = ["page", "host", "path", "rule", "verdict", "blocked"]
 #: Levels of the SQL; the tree itself grows as deep as the paths.
 LEVELS = 3
 VARIABLE_FROM = 8
@@ -63,10 +66,23 @@ def _branches(kids: DataFrame) -> DataFrame:
     return bins.groupBy("node").agg(F.map_from_entries(F.collect_list(entry)).alias("branches"))
 
 
-def _level(rows: DataFrame, k: int, total: int) -> DataFrame:
-    """Move rows that have a ``k``-th segment to their child node."""
-    going = rows.filter(F.size("segs") >= k).withColumn("seg", F.element_at("segs", k)).withColumn("key", F.concat_ws("\n", "node", "seg"))
-    stays = rows.filter(F.size("segs") < k)
+def _chains(rows: DataFrame, total: int) -> DataFrame:
+    """Move the rows of every node, which all have segments left, down the segments that they all share."""
+    nodes = rows.groupBy("node").agg(
+        F.count("*").alias("n"), F.count("blocked").alias("l"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("b"), F.first("prior").alias("prior"), F.min("segs").alias("low"), F.max("segs").alias("high")
+    )
+    apart = F.array_position(F.zip_with("low", "high", lambda x, y: x.eqNullSafe(y)), False)  # the shorter ends apart from the longer
+    nodes = nodes.withColumn("shared", F.when(apart > 0, apart - 1).otherwise(F.size("low")).cast("int"))
+    prior = F.aggregate(F.slice("low", 1, F.col("shared")), F.col("prior"), lambda p, _: (F.col("b") + SMOOTHING * p) / (F.col("l") + SMOOTHING))
+    found = join_groups(rows.drop("prior"), nodes.select("node", F.col("n").alias("n_node"), "shared", prior.alias("prior")), "node", "n_node", total)
+    passed = F.transform(F.slice("segs", 1, F.col("shared")), lambda s: F.when(s.rlike(NUMBER), "*").otherwise(s))
+    segs = F.slice("segs", F.col("shared") + 1, F.size("segs"))
+    return found.select(*_KEPT, segs.alias("segs"), F.concat_ws("/", "node", passed).alias("node"), "prior")
+
+
+def _level(going: DataFrame, total: int) -> DataFrame:
+    """Move rows, which all have segments left, to their child node."""
+    going = going.withColumn("seg", F.element_at("segs", 1)).withColumn("key", F.concat_ws("\n", "node", "seg"))
     kids = going.groupBy("key").agg(F.first("node").alias("node"), F.first("seg").alias("seg"), F.first("prior").alias("prior"), F.count("*").alias("n"), F.count("blocked").alias("l"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("b"))
     kids = materialize(kids, "url-kids")
     homes = kids.groupBy("node").agg(F.count("*").alias("kids"), F.sum("n").alias("pn"), F.sum("l").alias("pl"), F.sum("b").alias("pb"))
@@ -78,7 +94,13 @@ def _level(rows: DataFrame, k: int, total: int) -> DataFrame:
     prior = (F.col("pb") + SMOOTHING * F.col("prior")) / (F.col("pl") + SMOOTHING)
     moved = both.select("key", F.col("n").alias("n_key"), F.concat_ws("/", "node", own).alias("child"), prior.alias("prior"))
     found = join_groups(going.drop("node", "prior"), moved, "key", "n_key", total)
-    return stays.unionByName(found.select("page", "host", "path", "rule", "verdict", "blocked", "segs", F.col("child").alias("node"), "prior"))
+    return found.select(*_KEPT, F.slice("segs", 2, F.size("segs")).alias("segs"), F.col("child").alias("node"), "prior")
+
+
+def _set_aside(rows: DataFrame, done: list[DataFrame]) -> DataFrame:
+    """The rows that have segments left; the others are at their template."""
+    done.append(rows.filter(F.size("segs") == 0).select(*_KEPT, "node", "prior"))
+    return rows.filter(F.size("segs") > 0)
 
 
 def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES) -> DataFrame:
@@ -87,8 +109,8 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     Returns one row for each input row: the id, ``host``, ``path``, ``rule`` (null if none fits),
     ``verdict``, ``template``, ``purity``. Null, empty and malformed URLs have an empty host and path,
     fit no rule and are allowed. Repeated rows count each; an empty table gives an empty result; other
-    columns are ignored. The tree is as deep as the
-    longest path.
+    columns are ignored. The tree is as deep as the longest path, but takes a round only for each depth at which
+    paths part: segments that all pages of a node share are passed at once.
     """
     url = pages[url_col].cast("string")
     host, path = split_url(url)
@@ -97,9 +119,11 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     rows = rows.withColumn("rule", rule).withColumn("verdict", verdict).withColumn("blocked", (F.col("verdict") == "block").cast("int"))
     segs = F.filter(F.split("path", "/"), lambda s: s != "")
     rows = materialize(rows.withColumn("segs", segs).withColumn("node", F.col("host")).withColumn("prior", F.lit(0.0)), "url-rows")
-    total, deepest = rows.agg(F.count("*"), F.coalesce(F.max(F.size("segs")), F.lit(0))).first()
-    for k in range(1, deepest + 1):
-        rows = materialize(_level(rows, k, total), "url-rows")
+    total, done, open_rows = rows.count(), [], rows
+    while n := (open_rows := _set_aside(open_rows, done)).count():
+        open_rows = _set_aside(materialize(_chains(open_rows, n), "url-rows"), done)
+        open_rows = materialize(_level(open_rows, n), "url-rows")
+    rows = reduce(DataFrame.unionByName, done)
     stats = rows.groupBy("node").agg(F.count("*").alias("n"), F.count("blocked").alias("l"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("b"))
     found = join_groups(rows, stats, "node", "n", total)
     purity = (F.col("b") + SMOOTHING * F.col("prior")) / (F.col("l") + SMOOTHING)
