@@ -4,7 +4,7 @@ Each document's ids are cut into whole sequences of ``seq_len`` ids and one tail
 packed. Their histogram has at most ``seq_len - 1`` entries, so the placing works on counts alone:
 lengths go longest first, each into the shortest open pack that has room, and a group of equal packs
 is handled as one pattern with a count. At the end the emptiest packs are taken apart and their
-tails cut to fill the gaps of the others, so at most one sequence stays short of full.
+tails cut to fill the gaps of the others, so all padding together is less than one sequence.
 
 A pattern's slot owns a range of ranks of one tail length. Tails are ranked within their length by
 a window over hash buckets plus bucket offsets, so no length, however common, meets in one task.
