@@ -253,7 +253,29 @@ def neighbour_distance(s, d):
     return j.select("oid", C.separation(F.col("ra"), F.col("dec"), F.col("ra2"), F.col("dec2")).alias("sep"), C.missing(F.col("w1")).alias("w1"))
 
 
-@register("assign_aid")
+POWERS = [26**k for k in range(13, -1, -1)]
+
+
+def aid_sql(rows: str) -> str:
+    """Number and code of the positions of a table (oid, ra, dec)."""
+    return f"""WITH d AS (SELECT oid, ra / 15 AS h, abs(dec) AS d, dec FROM {rows} ),
+ m AS (SELECT *, (h - floor(h)) * 60 AS mh, (d - floor(d)) * 60 AS md FROM d),
+ s AS (SELECT *, (mh - floor(mh)) * 60 AS sh, (md - floor(md)) * 60 AS sd FROM m),
+ n AS (SELECT oid, 1000000000000000000 + floor(h)::bigint * 10000000000000000 + floor(mh)::bigint * 100000000000000 + floor(sh)::bigint * 1000000000000
+ + floor((sh - floor(sh)) * 100)::bigint * 10000000000 + CASE WHEN dec >= 0 THEN 1000000000 ELSE 0 END + floor(d)::bigint * 10000000
+ + floor(md)::bigint * 100000 + floor(sd)::bigint * 1000 + floor((sd - floor(sd)) * 10)::bigint * 100 AS number FROM s)
+ SELECT oid, number, array_to_string([chr((97 + number // p % 26)::int) for p in {POWERS!r}::bigint[] if number >= p], '') AS code FROM n"""
+
+
+@register(
+    "assign_aid",
+    f"""SELECT * FROM (WITH firsts AS (SELECT oid, arg_min(ra, (mjd, candid)) AS ra, arg_min(dec, (mjd, candid)) AS dec, min(mjd) AS mjd FROM det GROUP BY oid),
+ known AS (SELECT oid, min(ra) AS ra, min(dec) AS dec, 'AL' || oid AS aid FROM det WHERE mjd < 60320 GROUP BY oid), lost AS (SELECT * FROM firsts ANTI JOIN known USING (oid)),
+ near AS (SELECT o.oid, arg_min(c.aid, ({SEP}, c.aid)) AS near_aid FROM lost o, known c WHERE {SEP} <= 1.5 GROUP BY o.oid), codes AS ({aid_sql('firsts')})
+ SELECT oid, coalesce(k.aid, near_aid, 'AL' || lpad(CAST(floor((f.mjd - 51544) / 365.25::double)::int % 100 AS VARCHAR), 2, '0') || code) AS aid,
+ CASE WHEN k.aid IS NOT NULL THEN 'known' WHEN near_aid IS NOT NULL THEN 'near' ELSE 'new' END AS how
+ FROM firsts f LEFT JOIN known k USING (oid) LEFT JOIN near USING (oid) JOIN codes USING (oid))""",
+)
 def assign_aid(s, d):
     # known are the objects of the first ten days, and each alert is looked up by object, then by position
     alerts = T.detections(s, d)
@@ -276,18 +298,9 @@ def master_ids(s, d):
     return m.select("p_partkey", "master", survey.alias("survey"), back.alias("oid"))
 
 
-POWERS = [26**k for k in range(13, -1, -1)]
-
-
 @register(
     "position_ids",
-    f"""SELECT * FROM (WITH d AS (SELECT oid, ra / 15 AS h, abs(dec) AS d, dec FROM obj ),
- m AS (SELECT *, (h - floor(h)) * 60 AS mh, (d - floor(d)) * 60 AS md FROM d),
- s AS (SELECT *, (mh - floor(mh)) * 60 AS sh, (md - floor(md)) * 60 AS sd FROM m),
- n AS (SELECT oid, 1000000000000000000 + floor(h)::bigint * 10000000000000000 + floor(mh)::bigint * 100000000000000 + floor(sh)::bigint * 1000000000000
- + floor((sh - floor(sh)) * 100)::bigint * 10000000000 + CASE WHEN dec >= 0 THEN 1000000000 ELSE 0 END + floor(d)::bigint * 10000000
- + floor(md)::bigint * 100000 + floor(sd)::bigint * 1000 + floor((sd - floor(sd)) * 10)::bigint * 100 AS number FROM s)
- SELECT oid, number, array_to_string([chr((97 + number // p % 26)::int) for p in {POWERS!r}::bigint[] if number >= p], '') AS code, number AS back FROM n)""",
+    f"SELECT *, number AS back FROM ({aid_sql('obj')})",
 )
 def position_ids(s, d):
     o = T.objects(s, d).withColumn("number", C.aid_number(F.col("ra"), F.col("dec")))
