@@ -1,8 +1,10 @@
 """Cross-tokenizer alignment: byte intervals of two tokenizers coalesced into groups where both end.
 
-Texts are encoded by both tokenizers chunk by chunk; a chunk ends only where neither tokenizer can cross. The tokens
-of a batch lie on one line of bytes: numpy sorts all intervals by start, runs the maximum of their ends and breaks a
-group where a start reaches it. Linked id pairs are counted over the corpus by Spark and joined back.
+Texts are cut into chunks that neither tokenizer can cross, so a chunk's end is a border of both and a text's groups are
+those of its chunks. Chunks that a worker does not know yet are encoded many at a time and lie on one line of bytes: numpy
+sorts all intervals by start, runs the maximum of their ends and breaks a group where a start reaches it. The groups of
+short chunks are kept, and those of a text put together from them. Linked id pairs are counted over the corpus by Spark
+and joined back.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +27,8 @@ from skyflow.llm.tokens import _INK, _SPACE, default_tokenizer
 ALIGN_BYTES, BATCH_BYTES = 1 << 18, 1 << 18
 #: Bytes of ids that a generation of the chunk cache holds, each chunk with ENTRY_BYTES of its own; longer chunks are never kept.
 CACHE_BYTES, ENTRY_BYTES, LONGEST_KEPT = 16 << 20, 64, 64
+#: Short chunks that a tokenizer gets as one string.
+JOINED_CHUNKS = 64
 #: Links of a group up to which they are written out one by one; larger groups go by distinct ids.
 LISTED_LINKS = 1024
 #: Pairs held by more than a share of 1 / FREQUENT_PAIRS of all (document, pair) rows are fewer than FREQUENT_PAIRS and are broadcast.
@@ -47,8 +52,13 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def _ends_visibly(chunk: str) -> bool:
+    """Whether a space or line feed after the chunk starts a new one, as ``_INK`` has it."""
+    return not chunk[-1].isspace() or chunk[-1] in "\x1c\x1d\x1e\x1f"
+
+
 class TwoEncoders:
-    """What each chunk becomes under both tokenizers, kept in two generations of bounded size."""
+    """What chunks become under both tokenizers."""
 
     def __init__(self, byte_level: str, pieces: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -72,43 +82,54 @@ class TwoEncoders:
         self.a_len = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_len = np.array([len(x) for x in self.b_bytes], np.int64)
         self.width = max(len(self.a_bytes), len(self.b_bytes))
-        self.seen, self.older, self.held = {}, {}, 0
 
-    def _learn(self, chunks: list[str]) -> dict:
-        """(ids of A, ids of B) as little-endian bytes for each chunk; None where joined bytes differ from the chunk."""
-        out, at = {}, 0
-        while at < len(chunks):
+    def encode(self, chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(chunks in another order, ids of A, how many are each chunk's, ids of B, how many are each chunk's).
+
+        Chunks without ids are those whose joined token bytes differ from them. Short ones that end visibly are encoded
+        many in one string, as neither tokenizer crosses their borders.
+        """
+        short, strings = [], []
+        for c in chunks:
+            if len(c) <= LONGEST_KEPT and _ends_visibly(c):
+                short.append(c)
+            else:
+                strings.append([c])
+        strings += [short[i : i + JOINED_CHUNKS] for i in range(0, len(short), JOINED_CHUNKS)]
+        order, a, na, b, nb, at = [], [], [], [], [], 0
+        while at < len(strings):
             group, size = [], 0
-            while at < len(chunks) and size < BATCH_BYTES:
-                group.append(chunks[at])
-                size += 4 * len(chunks[at])
+            while at < len(strings) and size < BATCH_BYTES:
+                group.append(strings[at])
+                size += 4 * sum(map(len, strings[at]))
                 at += 1
-            first = self.a.encode_batch_fast(group, add_special_tokens=False)
-            second = self.b.encode([c[1:] if c[0] == " " else c for c in group], num_threads=1)
-            for c, ea, ib in zip(group, first, second):
-                if c == " ":
+            texts = ["".join(own) for own in group]
+            first = self.a.encode_batch_fast(texts, add_special_tokens=False)
+            second = self.b.encode([t[1:] if t[0] == " " else t for t in texts], num_threads=1)
+            good = []
+            for own, text, ea, ib in zip(group, texts, first, second):
+                if text == " ":
                     ib = [self.space]  # the library gives nothing for an empty text
-                elif c[0] != " ":
+                elif text[0] != " ":
                     ib = ib[1:] if ib[:1] == [self.space] else None  # drop the space that the library put before
-                raw, ia = c.encode(), ea.ids
-                same = ib is not None and b"".join([self.b_bytes[i] for i in ib]) == raw and b"".join([self.a_bytes[i] for i in ia]) == raw
-                out[c] = (np.array(ia, "<u4").tobytes(), np.array(ib, "<u4").tobytes()) if same else None
-        return out
-
-    def values(self, chunks: list[str]) -> list:
-        if self.held > CACHE_BYTES:
-            self.seen, self.older, self.held = {}, self.seen, 0
-        seen = self.seen
-        new = set(chunks).difference(seen)
-        if not new:
-            return [seen[c] for c in chunks]
-        got = {c: self.older[c] for c in new if c in self.older} if self.older else {}
-        got.update(self._learn(list(new.difference(got))))
-        for c, v in got.items():
-            if len(c) <= LONGEST_KEPT:
-                seen[c] = v
-                self.held += ENTRY_BYTES + 2 * len(c) + (len(v[0]) + len(v[1]) if v else 0)
-        return [seen[c] if c in seen else got[c] for c in chunks]
+                raw, ia = text.encode(), ea.ids
+                if ib is not None and b"".join(map(self.b_bytes.__getitem__, ib)) == raw and b"".join(map(self.a_bytes.__getitem__, ia)) == raw:
+                    good.append((own, ia, ib))
+                elif len(own) > 1:
+                    strings += [[c] for c in own]  # to find the chunks that differ
+                else:
+                    order += own
+                    na.append([0])
+                    nb.append([0])
+            if good:
+                whole = list(chain.from_iterable([x[0] for x in good]))
+                ends = np.cumsum([len(c) if c.isascii() else len(c.encode()) for c in whole])
+                order += whole
+                for k, ids, sizes, lens in ((1, a, na, self.a_len), (2, b, nb, self.b_len)):
+                    ids.append(np.array(list(chain.from_iterable([x[k] for x in good])), np.int64))
+                    sizes.append(np.diff(np.searchsorted(np.cumsum(lens[ids[-1]]), ends) + 1, prepend=0))
+        none = [np.zeros(0, np.int64)]
+        return order, np.concatenate(a or none), np.concatenate(na), np.concatenate(b or none), np.concatenate(nb)
 
 
 _ENCODERS: dict[tuple[str, str], TwoEncoders] = {}
@@ -162,6 +183,68 @@ def expand_links(a_ids: np.ndarray, b_ids: np.ndarray, a_group: np.ndarray, b_gr
     return groups, codes, times
 
 
+class _Columns:
+    """Columns of integers that grow and shrink at the end."""
+
+    def __init__(self, n_columns: int):
+        self.data, self.size = np.zeros((n_columns, 1024), np.int64), 0
+
+    def add(self, *columns: np.ndarray) -> None:
+        end = self.size + len(columns[0])
+        if end > self.data.shape[1]:
+            self._resize(max(end, 2 * self.data.shape[1]))
+        for own, new in zip(self.data, columns):
+            own[self.size : end] = new
+        self.size = end
+
+    def cut(self, size: int) -> None:
+        self.size = size
+        if self.data.shape[1] > 4 * max(size, 1024):
+            self._resize(2 * max(size, 1024))
+
+    def _resize(self, width: int) -> None:
+        data = np.zeros((len(self.data), width), np.int64)
+        data[:, : self.size] = self.data[:, : self.size]
+        self.data = data
+
+
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places first, first + 1, ... of ranges of ``size`` places, one range after another."""
+    return np.repeat(first - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+
+
+class _Groups:
+    """The groups of chunks, by number: their ids as text, counts, and the codes and times of their links."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.texts: list[str] = []
+        self.counts, self.links = _Columns(6), _Columns(2)  # n_a, n_b, n_groups, links, rows of links, first row; code, times
+
+    def add(self, chunks: list[str], texts: list[str], counts: np.ndarray, codes: np.ndarray, times: np.ndarray) -> None:
+        """Append chunks with the first five rows of their counts and the rows of their links, in order."""
+        first = len(self.texts)
+        self.number.update(zip(chunks, range(first, first + len(chunks))))
+        self.texts += texts
+        self.counts.add(*counts, self.links.size + np.cumsum(counts[4]) - counts[4])
+        self.links.add(codes, times)
+
+    def take(self, chunks: list[str]) -> tuple[list[str], list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """What ``add`` was given for these chunks."""
+        numbers = [self.number[c] for c in chunks]
+        counts = self.counts.data[:, numbers]
+        codes, times = self.links.data[:, _ranges(counts[5], counts[4])]
+        return chunks, [self.texts[i] for i in numbers], counts[:5], codes, times
+
+    def forget(self, chunks: list[str], first: int) -> None:
+        """Drop the last chunks, those from number ``first`` on."""
+        for c in chunks:
+            del self.number[c]
+        self.links.cut(int(self.counts.data[5, first]))
+        self.counts.cut(first)
+        del self.texts[first:]
+
+
 class _Text:
     """What is known of one text after the parts aligned so far."""
 
@@ -181,102 +264,143 @@ class _Text:
 
 
 class Aligner:
-    """Aligns texts in parts of ALIGN_BYTES: short texts together, long ones over several parts."""
+    """Aligns texts in parts of ALIGN_BYTES: short texts together, long ones over several parts.
+
+    The groups of short chunks are kept in two generations of bounded size, so those in use survive when the older one goes.
+    """
 
     def __init__(self, enc: TwoEncoders):
         self.enc = enc
-        self.words = np.array([f"{i}{s}" for s in ",|;" for i in range(enc.width)], dtype=object)
-
-    def _flush(self, part: list[tuple[_Text, list]]) -> None:
-        part = [(t, v) for t, v in part if t.ok]
-        if not part:
-            return
-        width, raw_a, raw_b, na, nb = self.enc.width, [], [], [], []
-        for _, values in part:
-            x, y = b"".join([v[0] for v in values]), b"".join([v[1] for v in values])
-            raw_a.append(x)
-            raw_b.append(y)
-            na.append(len(x) // 4)
-            nb.append(len(y) // 4)
-        a, b = np.frombuffer(b"".join(raw_a), "<u4"), np.frombuffer(b"".join(raw_b), "<u4")
+        self.words = np.array([f"{i}{s}" for s in ",|;\n" for i in range(enc.width)], dtype=object)
+        self.code_bits = (enc.width**2).bit_length()
+        if self.code_bits + ALIGN_BYTES.bit_length() > 63:
+            raise ValueError(f"vocabularies of {enc.width} ids: a text of a part and a pair must fit 63 bits")
+        self.kept, self.older, self.held = _Groups(), _Groups(), 0
+
+    def _learn(self, chunks: list[str]) -> tuple[list[str], list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """The groups of distinct chunks as ``_Groups.add`` takes them; chunks with other token bytes have no tokens."""
+        width = self.enc.width
+        chunks, a, na, b, nb = self.enc.encode(chunks)
+        counts = np.zeros((5, len(chunks)), np.int64)
+        if not len(a):
+            return chunks, [""] * len(chunks), counts, np.zeros(0, np.int64), np.zeros(0, np.int64)
         ga, gb = coalesce(self.enc.a_len[a], self.enc.b_len[b])
         n_groups = int(ga[-1]) + 1
-        owner = np.repeat(np.arange(len(part)), na)
         of_group = np.empty(n_groups, np.int64)
-        of_group[ga] = owner  # a text's end is a border of both, so no group has tokens of two
-        # the string of ids in group order, A before B, each id followed by its sign
+        of_group[ga] = np.repeat(np.arange(len(chunks)), na)  # a chunk's end is a border of both, so no group has tokens of two
+        # the string of ids in group order, A before B, each id followed by its sign; a chunk ends with a line feed
         place_a, place_b = np.arange(len(a)) + np.searchsorted(gb, ga, "left"), np.arange(len(b)) + np.searchsorted(ga, gb, "right")
         sign_a, sign_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
         sign_a[np.append(ga[1:] != ga[:-1], True)] = 1
         sign_b[np.append(gb[1:] != gb[:-1], True)] = 2
+        sign_b[np.cumsum(nb)[nb > 0] - 1] = 3
         words = np.empty(len(a) + len(b), dtype=object)
         words[place_a], words[place_b] = self.words[sign_a * width + a], self.words[sign_b * width + b]
-        words = words.tolist()
+        found = iter("".join(words.tolist()).split("\n"))
+        texts = [next(found) if n else "" for n in na.tolist()]
         groups, codes, times = expand_links(a, b, ga, gb, n_groups, width)
-        text_of_link = of_group[groups]
-        # distinct pairs of each text: sort by (text, code) and add up
-        order = np.lexsort((codes, text_of_link))
-        codes, times, text_of_link = codes[order], times[order], text_of_link[order]
-        new = np.ones(len(codes), bool)
-        new[1:] = (codes[1:] != codes[:-1]) | (text_of_link[1:] != text_of_link[:-1])
-        at = np.flatnonzero(new)
-        codes, text_of_link, times = codes[at], text_of_link[at], np.add.reduceat(times, at)
-        cuts = np.searchsorted(text_of_link, np.arange(len(part) + 1))
-        per_text, place = np.bincount(of_group, minlength=len(part)), 0
+        of_link = of_group[groups]
+        if (of_link[1:] < of_link[:-1]).any():
+            order = np.argsort(of_link, kind="stable")
+            codes, times, of_link = codes[order], times[order], of_link[order]
+        cuts = np.searchsorted(of_link, np.arange(len(chunks) + 1))
+        total = np.concatenate(([0], np.cumsum(times)))
+        counts[:] = na, nb, np.bincount(of_group, minlength=len(chunks)), np.diff(total[cuts]), np.diff(cuts)
+        return chunks, texts, counts, codes, times
+
+    def _flush(self, part: list[tuple[_Text, list[str]]]) -> None:
+        if not part:
+            return
+        if self.held > CACHE_BYTES:
+            self.kept, self.older, self.held = _Groups(), self.kept, 0
+        kept, older = self.kept, self.older.number
+        chunks = list(chain.from_iterable([own for _, own in part]))
+        numbers = list(map(kept.number.get, chunks))
+        unknown = [k for k, n in enumerate(numbers) if n is None] if None in numbers else []
+        new = {chunks[k] for k in unknown}
+        again = [c for c in new if c in older]
+        long = [c for c in new if len(c) > LONGEST_KEPT]
+        short = [c for c in new if len(c) <= LONGEST_KEPT and c not in older]
+        first = len(kept.texts)
+        if again:
+            kept.add(*self.older.take(again))
+        if short:
+            kept.add(*self._learn(short))
+        last = len(kept.texts)
+        n_a, n_b = kept.counts.data[:2, first:last]
+        self.held += (ENTRY_BYTES * (last - first)) + 2 * sum(map(len, again)) + 2 * sum(map(len, short)) + 4 * int(n_a.sum() + n_b.sum())
+        if long:
+            kept.add(*self._learn(long))
+
+        for k in unknown:
+            numbers[k] = kept.number[chunks[k]]
+        texts, at = list(map(kept.texts.__getitem__, numbers)), np.array(numbers, np.int64)
+        ends = np.cumsum([len(own) for _, own in part])
+        cuts = np.concatenate(([0], ends))
+        counts = kept.counts.data[:, at]
+        n_a, n_b, n_groups, n_links = (np.diff(np.concatenate(([0], np.cumsum(n)))[cuts]).tolist() for n in counts[:4])
+        without = np.diff(np.concatenate(([0], np.cumsum(counts[0] == 0)))[cuts]).tolist()
+        # distinct chunks of each text, then its distinct pairs: sort by (text, code) and add up
+        own, often = np.unique(np.repeat(np.arange(len(part)) << 32, np.diff(cuts)) | at, return_counts=True)
+        size, start = kept.counts.data[4:, own & 0xFFFFFFFF]
+        codes, times = kept.links.data[:, _ranges(start, size)]
+        keys, times = np.repeat(own >> 32 << self.code_bits, size) | codes, times * np.repeat(often, size)
+        order = np.argsort(keys)
+        keys, times = keys[order], times[order]
+        place = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+        codes, times = keys[place] & (1 << self.code_bits) - 1, np.add.reduceat(times, place) if len(place) else times
+        borders = np.searchsorted(keys[place], np.arange(len(part) + 1) << self.code_bits)
         for k, (t, _) in enumerate(part):
-            n = na[k] + nb[k]
-            if not n:
+            t.ok = t.ok and not without[k]
+            if not t.ok:
                 continue
-            t.hash.update(((";" if t.n_a else "") + "".join(words[place : place + n])[:-1]).encode())
-            place += n
-            t.n_a, t.n_b, t.n_groups = t.n_a + na[k], t.n_b + nb[k], t.n_groups + int(per_text[k])
-            own = slice(cuts[k], cuts[k + 1])
-            t.n_links += int(times[own].sum())
-            t.codes.append(codes[own])
-            t.times.append(times[own])
+            t.hash.update(((";" if t.n_a else "") + ";".join(texts[cuts[k] : cuts[k + 1]])).encode())
+            t.n_a, t.n_b, t.n_groups, t.n_links = t.n_a + n_a[k], t.n_b + n_b[k], t.n_groups + n_groups[k], t.n_links + n_links[k]
+            t.codes.append(codes[borders[k] : borders[k + 1]])
+            t.times.append(times[borders[k] : borders[k + 1]])
+        if long:
+            kept.forget(long, last)
 
     def rows(self, texts: Iterable[str]) -> Iterator[tuple]:
         """One row (see ``_Text.row``) for each text, in order."""
         waiting: list[_Text] = []
-        part: list[tuple[_Text, list]] = []
+        part: list[tuple[_Text, list[str]]] = []
         size = 0
         for text in texts:
             t = _Text()
             waiting.append(t)
             if not text:
                 continue
-            for chunks in _parts(" " + text):
-                values = self.enc.values(chunks)
-                if None in values:
-                    t.ok = False
-                    break
-                part.append((t, values))
-                size += sum(map(len, chunks))
+            for chunks, length in _parts(" " + text):
+                part.append((t, chunks))
+                size += length
                 if size >= ALIGN_BYTES:
                     self._flush(part)
                     part, size = [], 0
                     for done in waiting[:-1]:
                         yield done.row()
                     waiting = waiting[-1:]
+                    if not t.ok:
+                        break
         self._flush(part)
         for t in waiting:
             yield t.row()
 
 
-def _parts(text: str) -> Iterator[list[str]]:
-    """The chunks of a text, in lists of at most ALIGN_BYTES characters or one chunk."""
+def _parts(text: str) -> Iterator[tuple[list[str], int]]:
+    """The chunks of a text with their characters, in lists of at most ALIGN_BYTES characters or one chunk."""
     if len(text) <= ALIGN_BYTES:
-        yield _CHUNK.findall(text)
+        yield _CHUNK.findall(text), len(text)
         return
     out, size = [], 0
     for m in _CHUNK.finditer(text):
         out.append(m.group())
         size += len(out[-1])
         if size >= ALIGN_BYTES:
-            yield out
+            yield out, size
             out, size = [], 0
     if out:
-        yield out
+        yield out, size
 
 
 def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", byte_level: str | None = None, pieces: str | None = None) -> DataFrame:

@@ -102,6 +102,28 @@ def test_parts_and_large_groups_change_nothing(monkeypatch):
         assert dict(zip(x[5].tolist(), x[6].tolist())) == dict(zip(y[5].tolist(), y[6].tolist()))
 
 
+def test_a_known_chunk_is_not_aligned_again(monkeypatch):
+    al = alignment.Aligner(alignment.encoders(alignment.default_tokenizer(), alignment.default_pieces()))
+    lines, calls = [], []
+    coalesce, batch = alignment.coalesce, al.enc.a
+    monkeypatch.setattr(alignment, "coalesce", lambda a, b: lines.append(len(a)) or coalesce(a, b))
+
+    class Counted:
+        def encode_batch_fast(self, group, **options):
+            calls.append(len(group))
+            return batch.encode_batch_fast(group, **options)
+
+    monkeypatch.setattr(al.enc, "a", Counted())
+    texts = [f"the mat{k} of the cat the mat{k}" for k in range(200)] + ["a broken \u2581 text", "the cat", "y" * 3000 + " the cat"] + ["the cat the cat"] * 300
+    rows = list(al.rows(texts))
+    assert len(calls) <= 4 and sum(calls) < 100  # not once for each text or chunk
+    assert sum(lines) < sum(r[0] for r in rows) / 2
+    assert rows[200][:5] == (0, 0, 0, 0, "")
+    assert len(al.kept.number) == len(al.kept.texts) == al.kept.counts.size and not [c for c in al.kept.number if len(c) > alignment.LONGEST_KEPT]
+    before = len(lines)
+    assert [r[:5] for r in al.rows(texts[:200])] == [r[:5] for r in rows[:200]] and len(lines) == before
+
+
 def test_groups_of_random_intervals():
     r = np.random.default_rng(2)
     for _ in range(300):
