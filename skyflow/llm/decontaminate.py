@@ -107,7 +107,7 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     texts = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
     item_type = to_arrow_type(items.schema[item_col].dataType)
     schema = f"id {kinds[0]}, item {kinds[1]}, n_shingles bigint, overlap bigint"
-    out = spark.createDataFrame([], schema)
+    out = spark.range(0).select(*(F.lit(None).cast(k).alias(c) for c, k in (("id", kinds[0]), ("item", kinds[1]), ("n_shingles", "bigint"), ("overlap", "bigint"))))
     for block in _blocks(items, item_col, "text"):
         shared = spark.sparkContext.broadcast(block)
 

@@ -309,7 +309,7 @@ class Components:
     """Components of the links so far; new links are contracted to the known labels first."""
 
     def __init__(self, spark: SparkSession):
-        self.labels = spark.createDataFrame([], "v bigint, label bigint")
+        self.labels = spark.range(0).select(F.col("id").alias("v"), F.col("id").alias("label"))
 
     def of(self, df: DataFrame, cls: str, label: str) -> DataFrame:
         return df.join(self.labels.select(F.col("v").alias(cls), F.col("label").alias(label)), cls, "left").withColumn(label, F.coalesce(label, cls))

@@ -190,8 +190,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
         .select("id", "doc_tokens", (F.col("first") + F.col("before")).alias("seq0"), F.posexplode("sums").alias("k", "ids_crc32"))
         .select("id", (F.col("k").cast("long") * seq_len).alias("start"), F.lit(seq_len).cast("long").alias("length"), "ids_crc32", "doc_tokens", (F.col("seq0") + F.col("k")).alias("sequence_id"), none.alias("offset"))
     )
-    # bounded by the histogram: some thousand slots at most
-    places = spark.createDataFrame(slots, "s_size int, lo long, hi long, copies long, a long, b long, seq long, at long")
+    # bounded by the histogram: some thousand slots at most; as an Arrow table it needs no Python workers of its own
+    names = ["s_size", "lo", "hi", "copies", "a", "b", "seq", "at"]
+    places = spark.createDataFrame(pa.table([pa.array([x[k] for x in slots], pa.int64()) for k in range(len(names))], names))
     tails = ranked.filter("size > 0").join(starts, ["bucket", "size"]).withColumn("rank", F.col("n") + F.col("shift"))
     place = (F.col("size") == F.col("s_size")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
     i = F.col("rank") - F.col("lo")

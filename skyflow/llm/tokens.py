@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable, Iterator
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,8 @@ _CUT = re.compile(r"(?<=\S)(?=[ \t\n\r])|(?<=[\u3042-\u3093\u30a2-\u30f3\u4e00-\
 PIECE_CHARS = 1 << 16
 #: UTF-8 bytes given to the tokenizer at once, and in one of the strings among them.
 BATCH_BYTES, STRING_BYTES = 1 << 18, 4096
-#: Bytes of chunks that a generation of the cache holds, each with ENTRY_BYTES of its own; longer chunks are never kept.
-CACHE_BYTES, ENTRY_BYTES, LONGEST_KEPT = 16 << 20, 16, 64
+#: Bytes that a generation of the cache takes in the worker: its objects, and ENTRY_BYTES of the table for each chunk; longer chunks are never kept.
+CACHE_BYTES, ENTRY_BYTES, LONGEST_KEPT = 32 << 20, 72, 64
 
 
 def default_tokenizer() -> str:
@@ -116,11 +117,13 @@ class ChunkEncoder:
             return map(seen.__getitem__, found)
         got = {c: older[c] for c in new if c in older} if older else {}
         got.update(self.learn(new.difference(got)))
-        self.held += sum(map(len, got)) + ENTRY_BYTES * len(got)
-        if max(map(len, got)) <= LONGEST_KEPT:
-            seen.update(got)
+        kept = got if max(map(len, got)) <= LONGEST_KEPT else {c: v for c, v in got.items() if len(c) <= LONGEST_KEPT}
+        self.held += sum(map(getsizeof, kept)) + ENTRY_BYTES * len(kept)
+        if self.ids:
+            self.held += sum(map(getsizeof, kept.values()))
+        seen.update(kept)
+        if kept is got:
             return map(seen.__getitem__, found)
-        seen.update((c, v) for c, v in got.items() if len(c) <= LONGEST_KEPT)
         return [seen[c] if c in seen else got[c] for c in found]
 
     def length(self, text: str) -> int:

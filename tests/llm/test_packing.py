@@ -72,3 +72,8 @@ def test_pack_repeated_rows_and_empty_table(spark):
     rows = packing.pack(df).collect()
     assert sorted((x.doc_id or 0, x.doc_tokens) for x in rows) == [(0, 2), (1, 3), (1, 3)]
     assert packing.pack(df.limit(0)).collect() == []
+
+
+def test_places_need_no_python_workers(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, "c " * 3000)], "doc_id long, text string")
+    assert "ExistingRDD" not in packing.pack(df)._jdf.queryExecution().toString()

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -38,6 +39,18 @@ def test_cache_is_bounded(monkeypatch, tok):
         assert max(len(enc.seen), len(enc.older)) <= 150
 
 
+@pytest.mark.parametrize("ids", [True, False])
+def test_cache_takes_no_more_memory_than_its_bound(monkeypatch, ids):
+    monkeypatch.setattr(tokens, "CACHE_BYTES", 1 << 20)
+    enc = tokens.ChunkEncoder(tokens.default_tokenizer(), ids)
+    tracemalloc.start()
+    for k in range(100):
+        enc._values(" ".join(f"w{k:x}x{j:x}" for j in range(500)))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 3 << 20  # two generations, one of them with its last text; a table may be half empty
+
+
 def test_texts_without_spaces_are_not_kept(tok):
     enc = tokens.ChunkEncoder(tokens.default_tokenizer(), True)
     for k in range(2000):
