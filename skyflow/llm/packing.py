@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyflow.llm.common import buckets_for, materialize, text_of, tune
-from skyflow.llm.tokens import default_tokenizer, encoder
+from skyflow.llm.tokens import column_encoder, default_tokenizer
 
 BUCKET_ROWS = 500_000
 
@@ -129,11 +129,11 @@ def _encoded(docs: DataFrame, id_col: str, text_col: str, path: str, seq_len: in
     size = 4 * seq_len
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path, True)
+        enc = column_encoder(path)
         for b in batches:
             n, sums, tails = [], [], []
-            for text in b.column(2).to_pylist():
-                ids = enc.encode(text) + b"\0\0\0\0"
+            for ids in enc.column(b.column(2)):
+                ids += b"\0\0\0\0"
                 whole = len(ids) // size * size
                 n.append(len(ids) // 4)
                 sums.append([zlib.crc32(ids[k : k + size]) for k in range(0, whole, size)])

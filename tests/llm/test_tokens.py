@@ -2,6 +2,7 @@ import random
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from skyflow.llm import tokens
@@ -66,3 +67,32 @@ def test_counts(spark, tok):
     want = [(i, len((t or "").encode()), n := len(tok.encode(t or "", add_special_tokens=False).ids), n > 1024) for i, t, _ in rows]
     assert got == sorted(want, key=str)
     assert tokens.token_counts(df.limit(0)).collect() == []
+
+
+def test_column_encoder_gives_the_ids_of_the_library(monkeypatch):
+    # tables so small that generations come and go, and segments so small that texts exceed them
+    monkeypatch.setattr(tokens, "SLOTS", 1 << 10)
+    monkeypatch.setattr(tokens, "MOST_TAKEN", 300)
+    monkeypatch.setattr(tokens, "SEGMENT_BYTES", 700)
+    rnd = random.Random(5)
+    parts = ["a", "Zq", " ", "  ", "\n", "\t", "\r\n", ",", "'s", "'", "<|endoftext|>", "é", "×", "÷", "ß", " ", "　", "\u0085", "漢", "。", "\x00", "\x0b", "\x1c", "7", "_", "😀", "word", "..", "́", "ſ", "łó", "longerwordthansixteenbytes", "\x7f", "ñ,"]
+    texts = ["", *("".join(rnd.choices(parts, k=rnd.randint(0, 30))) for _ in range(2000)), " word" * 400]
+    enc = tokens.ColumnEncoder(tokens.default_tokenizer())
+    for _ in range(2):
+        got = [list(memoryview(x).cast("I")) for i in range(0, len(texts), 20) for x in enc.column(pa.array(texts[i : i + 20]))]
+        assert got == [x.ids for x in enc.tok.encode_batch_fast(texts, add_special_tokens=False)]
+    assert enc.old is not None
+
+
+def test_a_large_vocabulary_is_learnt_once_within_bounded_memory():
+    # the cache of single texts forgot two thirds of so many words and encoded them again in each pass
+    text = pa.array([" ".join(f"{a}{b}{c}" for b in range(100, 170) for c in range(100, 170)) for a in (x + y for x in ("ox", "uj", "ky", "wv", "zi", "qa") for y in "abcdefghijk")])
+    enc, learnt = tokens.ColumnEncoder(tokens.default_tokenizer()), []
+    learn = enc.learn
+    enc.learn = lambda chunks: learn(learnt.extend(chunks) or chunks)
+    first = list(enc.column(text))
+    assert len(learnt) > 300_000
+    learnt.clear()
+    assert list(enc.column(text)) == first and not learnt
+    table = enc.table
+    assert sum(x.nbytes for x in (table.keys, table.start, table.n, table.ids)) < 36 << 20
