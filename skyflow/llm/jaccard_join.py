@@ -34,6 +34,8 @@ PRUNINGS = 2
 BLOCK_SETS = 256
 FILTER_BITS = 24
 SEEN_CLASSES = 200_000
+#: Up to so many classes a list of them is broadcast.
+BROADCAST_CLASSES = 200_000
 
 
 def needed_overlap(a, b, percent: int):
@@ -190,8 +192,9 @@ def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     many = pairs.groupBy("q").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
     dealt = pairs.join(many, "q").withColumn("block", F.pmod(F.xxhash64("m"), F.col("blocks")).cast("int"))
-    members = dealt.join(sets.withColumnRenamed("cls", "m"), "m").select("q", "block", "m", "nq", "nm", "items")
-    queries = many.join(sets.withColumnRenamed("cls", "q"), "q").select("q", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).cast("bigint").alias("m"), F.lit(-1).alias("nq"), F.lit(-1).alias("nm"), "items")
+    members = dealt.select(F.col("m").alias("cls"), "q", "block", "m", "nq", "nm")
+    queries = many.select(F.col("q").alias("cls"), "q", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).cast("bigint").alias("m"), F.lit(-1).alias("nq"), F.lit(-1).alias("nm"))
+    rows = members.unionByName(queries).join(sets, "cls").select("q", "block", "m", "nq", "nm", "items")  # the sets are shuffled once for both
 
     def search(q: int, query: np.ndarray, rest: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
         m, nm = np.array([r[0] for r in rest], dtype=np.int64), np.array([r[1] for r in rest], dtype=np.int64)
@@ -226,7 +229,7 @@ def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield out()
 
     # a block's query comes first, then its members
-    return members.unionByName(queries).repartition("q", "block").sortWithinPartitions("q", "block", "nq").mapInArrow(run, "q bigint, m bigint, nq int, nm int, overlap bigint")
+    return rows.repartition("q", "block").sortWithinPartitions("q", "block", "nq").mapInArrow(run, "q bigint, m bigint, nq int, nm int, overlap bigint")
 
 
 def search_groups(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -344,14 +347,19 @@ def class_components(docs: DataFrame, width: int, percent: int, sketch: np.ndarr
     wanted = pairs.select(F.col("q").alias("cls")).unionByName(pairs.select(F.col("m").alias("cls"))).unionByName(groups.select("cls")).unionByName(groups.select(F.col("g").alias("cls")))
     sets = materialize(_sets(docs, width, wanted), "jaccard-sets")
     star = groups.filter(_sized("ng", "n", percent)).select(F.col("g").alias("q"), F.col("cls").alias("m"), F.col("ng").alias("nq"), F.col("n").alias("nm"))
-    led = materialize(compare(star, sets, percent).select(F.col("q").alias("a"), F.col("m").alias("b")), "jaccard-links")
+    links = materialize(compare(pairs.unionByName(star).dropDuplicates(["q", "m"]), sets, percent).select(F.col("q").alias("a"), F.col("m").alias("b")), "jaccard-links")
+    led = links.join(star.select(F.col("q").alias("a"), F.col("m").alias("b")), ["a", "b"], "left_semi")
     known = Components(spark)
-    known.add(compare(pairs, sets, percent).select(F.col("q").alias("a"), F.col("m").alias("b")).unionByName(led))
+    known.add(links)
     # who is not linked to the leader, against the leader's whole group in other components
     linked = led.select(F.col("a").alias("g"), F.col("b").alias("cls"), F.lit(True).alias("linked"))
     state = known.of(groups.join(linked, ["g", "cls"], "left"), "cls", "label").select("g", "cls", "n", "label", F.col("linked").isNull().alias("open"))
     mixed = state.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("g")
-    known.add(search_groups(materialize(state.join(mixed, "g", "left_semi"), "jaccard-state"), sets, percent))
+    state = materialize(state.join(mixed, "g", "left_semi"), "jaccard-state")
+    asked = materialize(state.select("cls").distinct(), "jaccard-asked")
+    n = asked.count()
+    if n:  # few classes are picked where the sets lie; many are left to the join of the search
+        known.add(search_groups(state, sets.join(F.broadcast(asked), "cls", "left_semi") if n <= BROADCAST_CLASSES else sets, percent))
     return known.labels
 
 

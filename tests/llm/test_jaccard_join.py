@@ -66,3 +66,16 @@ def test_divide_skip_against_brute_force():
         want = [len(np.intersect1d(q, s)) for s in sets]
         got = jj.BlockIndex(sets).search(q, least)
         assert [w if w >= n else -1 for w, n in zip(want, least)] == got.tolist()
+
+
+def test_sets_are_read_once_for_queries_and_members(spark, tmp_path):
+    r = random.Random(3)
+    base = [r.getrandbits(60) for _ in range(100)]
+    sets = {1: base, 2: base[:95], 3: base[:70], 4: base[5:] + [7]}
+    raw = [(c, np.sort(np.array(s, dtype=np.int64)).tobytes()) for c, s in sets.items()]
+    spark.createDataFrame([(c, bytearray(b)) for c, b in raw], "cls bigint, items binary").write.parquet(f"{tmp_path}/sets")
+    pairs = spark.createDataFrame([(a, b, len(sets[a]), len(sets[b])) for a in sets for b in sets if a < b], "q bigint, m bigint, nq int, nm int")
+    out = jj.compare(pairs, spark.read.parquet(f"{tmp_path}/sets"), 80)
+    want = {(a, b, o) for a in sets for b in sets if a < b and 100 * (o := len({*sets[a]} & {*sets[b]})) >= 80 * len({*sets[a]} | {*sets[b]})}
+    assert {(x["q"], x["m"], x["overlap"]) for x in out.collect()} == want
+    assert out._jdf.queryExecution().sparkPlan().toString().count("FileScan parquet") == 1
