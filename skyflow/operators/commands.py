@@ -50,11 +50,24 @@ def _typed(cmds: DataFrame, target: DataFrame, **special: Column) -> DataFrame:
 
 
 def set_columns(target: DataFrame, new: DataFrame, keys: list[str], columns: list[str], insert: bool = True, order: str = "seq") -> DataFrame:
-    """Stored rows take ``columns`` of the last new row of their key; other keys are inserted whole, or ignored."""
+    """Stored rows take ``columns`` of the last new row of their key; other keys are inserted whole, or ignored.
+
+    Both tables are read once, in one join, so a table that does not come out the same twice still has each key once.
+    """
     last = one_a_key(new, keys, order).drop(order)
-    side = last.select(*keys, F.lit(True).alias("__hit"), *(F.col(c).alias(f"__{c}") for c in columns))
-    out = target.join(side, keys, "left").withColumns({c: F.when(F.col("__hit"), F.col(f"__{c}")).otherwise(F.col(c)) for c in columns}).select(*target.columns)
-    return out.unionByName(last.join(target.select(*keys), keys, "left_anti"), allowMissingColumns=True) if insert else out
+    given = [c for c in dict.fromkeys([*(last.columns if insert else []), *columns]) if c not in keys]
+    side = last.select(*keys, F.lit(True).alias("__hit"), *(F.col(c).alias(f"__{c}") for c in given))
+    out = target.withColumn("__stored", F.lit(True)).join(side, keys, "full" if insert else "left")
+    stored = F.col("__stored").isNotNull()
+
+    def value(c: str) -> Column:
+        if c in keys:
+            return F.col(c)
+        kept, taken = F.col(c) if c in target.columns else F.lit(None), F.col(f"__{c}") if c in given else F.lit(None)
+        return F.when(stored & (F.col("__hit").isNull() | F.lit(c not in columns or c not in target.columns)), kept).otherwise(taken).alias(c)
+
+    added = [c for c in last.columns if c not in target.columns] if insert else []
+    return out.select(*(value(c) for c in [*target.columns, *added]))
 
 
 def replace_rows(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
