@@ -1,10 +1,23 @@
 """What small tables do not show: ties, names that come again, tables that do not come out the same twice."""
 
+import random
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from skyflow.operators import commands
+from skyflow.operators import commands, features
+
+
+def test_quantiles_of_ties_are_the_tied_value(spark):
+    r = random.Random(3)
+    # the lowest two magnitudes of each curve are alike, and so are the highest two
+    curves = {f"c{k}": [x := round(r.uniform(14, 16), 3) + 1 / 3, x, y := round(r.uniform(19, 21), 3) + 1 / 3, y, *(r.uniform(16, 19) for _ in range(8 + k % 9))] for k in range(60)}
+    rows = [(o, i, "g", float(i), m, 0.1, False) for o, ms in curves.items() for i, m in enumerate(ms)]
+    det = spark.createDataFrame(rows, "oid string, candid long, fid string, mjd double, mag double, e_mag double, forced boolean")
+    for x in features.basic_features(det, ["Gskew"]).collect():
+        m = curves[x.oid]
+        assert abs(x.Gskew - (min(m) + max(m) - 2 * np.median(m))) < 1e-9, x.oid
 
 
 def test_keyed_writes_read_a_table_once(spark):
