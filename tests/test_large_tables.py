@@ -6,7 +6,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from skyflow.functions import columns as C
 from skyflow.operators import commands, features
+from skyflow.plans import driver_tables as T
 
 
 def test_quantiles_of_ties_are_the_tied_value(spark):
@@ -20,6 +22,17 @@ def test_quantiles_of_ties_are_the_tied_value(spark):
         assert abs(x.Gskew - (min(m) + max(m) - 2 * np.median(m))) < 1e-9, x.oid
 
 
+def test_names_of_many_users_do_not_come_again(spark, tmp_path):
+    users = [0, 67_599, 67_600, 67_600 + 26, 135_200, 67_600 * 26, 67_600 * 26 + 1, 67_600 * 26**4 + 3]
+    e = spark.createDataFrame([(k, u) for k, u in enumerate(users)], "event_id long, user_id long")
+    e = e.select("event_id", F.current_timestamp().alias("ts"), "user_id", F.lit("view").alias("event_type"), F.lit(1.0).alias("value"), F.lit('{"k": 1}').alias("props"))
+    e.write.parquet(f"{tmp_path}/events.parquet")
+    own = T.alerts(spark, str(tmp_path), distinct=True).select("objectId", C.masterid_encode(F.col("objectId")).alias("id")).collect()
+    assert len({x.objectId for x in own}) == len({x.id for x in own}) == len(users) and None not in {x.id for x in own}
+    first = [T.alerts(spark, str(tmp_path), x).filter("candid < 2").orderBy("candid").select("objectId").collect() for x in (False, True)]
+    assert first[0] == first[1]  # small tables keep their names
+
+
 def test_keyed_writes_read_a_table_once(spark):
     def some(batches):  # each time that it is read, every object has one of two classes
         for b in batches:
