@@ -1,13 +1,14 @@
 """What small tables do not show: ties, names that come again, tables that do not come out the same twice."""
 
 import random
+import time
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
 from skyflow.functions import columns as C
-from skyflow.operators import commands, features
+from skyflow.operators import commands, features, fits
 from skyflow.plans import driver_tables as T
 
 
@@ -45,3 +46,33 @@ def test_keyed_writes_read_a_table_once(spark):
     rows = out.collect()
     assert out.columns == ["oid", "detector_name", "detector_version", "category_name", "score"]
     assert sorted((x.oid, x.category_name, x.score) for x in rows) == sorted((str(k), c, 1.0) for k in range(200) for c in "ab")
+
+
+def test_complex_autoregression_against_a_loop(spark):
+    r, axis = random.Random(8), [-0.9, -0.6, -0.3, 0.1, 0.3, 0.6, 0.9, 0.99]
+    curves = {f"c{k}": sorted((round(r.uniform(0, 30), 3), r.gauss(16, 1)) for _ in range(n)) for k, n in enumerate([6, 31, 7, 120, 6, 15])}
+    rows = [(o, i, "g", t, m, 0.1, False) for o, c in curves.items() for i, (t, m) in enumerate(c)] + [("flat", i, "g", float(i), 15.1, 0.1, False) for i in range(9)] + [("few", i, "g", float(i), 15.0 + i, 0.1, False) for i in range(5)]
+    rows += [("c1", 99, "g", None, None, 0.1, False), ("c2", 99, "g", 40.0, None, 0.1, False)]  # points without a magnitude count for nothing
+    det = spark.createDataFrame(rows, "oid string, candid long, fid string, mjd double, mag double, e_mag double, forced boolean")
+
+    def cost(t, z, phi):
+        x, p, total = np.zeros(2), np.eye(2), 0.0
+        for i in range(len(t)):
+            f = phi ** (t[i] - t[i - 1]) if i else 0.0
+            f = np.array([[np.real(f), -np.imag(f)], [np.imag(f), np.real(f)]])
+            x, p = f @ x, f @ p @ f.T + (1 - f[0, 0] ** 2 - f[1, 0] ** 2) * np.eye(2)
+            e, v = z[i] - x[0], p[0, 0]
+            total += (np.log(v) + e * e / v) / 2
+            x, p = x + p[:, 0] * e / v, p - np.outer(p[:, 0], p[:, 0]) / v
+        return round(total, 9)
+
+    got = {x.oid: (x.CIAR_phiR, x.CIAR_phiI) for x in fits.fit_ciar(det).collect()}
+    assert set(got) == set(curves)
+    for o, c in curves.items():
+        t, m = map(np.array, zip(*c))
+        z = (m - m.mean()) / m.std(ddof=1)
+        assert got[o] == min((cost(t, z, complex(a, b)), a, b) for a in axis for b in axis if a * a + b * b < 1)[1:], o
+    # a table of 15,000 points is fitted within seconds
+    many = det.filter("oid = 'c5'").crossJoin(spark.range(1000)).withColumn("oid", F.concat("oid", F.col("id").cast("string"))).drop("id")
+    began = time.time()
+    assert fits.fit_ciar(many).filter(F.col("CIAR_phiR") == got["c5"][0]).count() == 1000 and time.time() - began < 20
