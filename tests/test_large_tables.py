@@ -1,15 +1,18 @@
 """What small tables do not show: ties, names that come again, tables that do not come out the same twice."""
 
+import math
 import random
 import time
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from skyflow.functions import columns as C
-from skyflow.operators import commands, features, fits
+from skyflow.operators import commands, features, fits, period
 from skyflow.plans import driver_tables as T
+from skyflow.plans.catalog import QUERIES
 
 
 def test_quantiles_of_ties_are_the_tied_value(spark):
@@ -76,3 +79,36 @@ def test_complex_autoregression_against_a_loop(spark):
     many = det.filter("oid = 'c5'").crossJoin(spark.range(1000)).withColumn("oid", F.concat("oid", F.col("id").cast("string"))).drop("id")
     began = time.time()
     assert fits.fit_ciar(many).filter(F.col("CIAR_phiR") == got["c5"][0]).count() == 1000 and time.time() - began < 20
+
+
+@pytest.mark.parametrize("cells", [1 << 20, 1 << 11])
+def test_whole_objects_have_the_periods_of_rows(spark, monkeypatch, cells):
+    r, rows = random.Random(4), []
+    for o in range(8):
+        for i in range((12, 40, 90)[o % 3]):
+            t = r.uniform(0, 3 + o)
+            rows.append((f"o{o}", i, r.choice("gri"[: 1 + o % 3]), t, 15 + math.sin(2 * math.pi * t / (0.3 + 0.2 * o)) + r.gauss(0, 0.1), 0.0 if o == 6 else r.choice([0.05, 0.1]), i % 11 == 0))
+    rows += [("o1", 99, "z", 1.0, 15.0, 0.0, False), ("one", 1, "g", 5.0, 15.0, 0.1, False), ("flat", 1, "g", 5.0, 15.0, 0.1, False), ("flat", 2, "g", 6.0, 15.0, 0.1, False)]
+    det = spark.createDataFrame(rows, "oid string, candid long, fid string, mjd double, mag double, e_mag double, forced boolean")
+    spec = period.frequency_spec(det, 0.1, 10.0, least=300)
+    for peaks in (0, 10):
+        power, bands = (period.refine(det, spec, period.mhaov(det, spec), peaks) if peaks else (period.mhaov_multiband(det, spec), period.mhaov(det, spec)))
+        best = {x.oid: x for x in period.period_features(power).collect()}
+        rates = {(x.oid, x.name): x.rate for x in period.power_rates(power).collect()}
+        by_band = {(x.oid, x.fid): x.Period_band for x in period.band_periods(bands, period.period_features(power)).collect()}
+        monkeypatch.setattr(period, "CELLS", cells)
+        found = period.object_periods(det, spec, peaks=peaks)
+        got = found.collect()
+        assert {x.oid for x in got} == set(best) and "o6" not in best and {"one", "flat"} <= set(best)
+        for x in got:
+            assert (x.period, x.peak, x.ppe) == pytest.approx((best[x.oid].period, best[x.oid].peak, best[x.oid].ppe), rel=1e-8)
+            plain = lambda rs: [math.nan if y is None else y for y in rs]
+            assert plain(x.rates) == pytest.approx(plain(rates[x.oid, name] for _, name in period.RATES), rel=1e-6, nan_ok=True)
+        assert {(x.oid, x.fid): x.Period_band for x in period.each_band(found).collect()} == pytest.approx(by_band, rel=1e-8)
+
+
+@pytest.mark.parametrize("name", ["refined_periods", "band_periods"])
+def test_periods_are_found_in_one_search(spark, name):
+    """No row for each frequency leaves the search, and objects are searched once."""
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
