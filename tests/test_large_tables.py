@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyflow.functions import columns as C
-from skyflow.operators import commands, features, fits, period
+from skyflow.operators import commands, features, fits, least_squares, period
+from skyflow.operators.feature_kernel import Segments
 from skyflow.plans import driver_tables as T
 from skyflow.plans.catalog import QUERIES
 
@@ -112,3 +113,20 @@ def test_periods_are_found_in_one_search(spark, name):
     """No row for each frequency leaves the search, and objects are searched once."""
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 1
+
+
+def test_random_walks_of_many_curves_are_those_of_each(monkeypatch):
+    r = np.random.default_rng(2)
+    n = r.integers(5, 25, 2000)
+    s, rows = Segments(np.cumsum(n) - n, int(n.sum())), int(n.sum())
+    t, m, e = np.concatenate([np.sort(r.uniform(0, 30, k)) for k in n]), r.normal(0, 1, rows), r.uniform(0, 0.1, rows)
+    sigmas, taus = np.array([0.05, 0.1, 0.2, 0.4, 0.8, 1.6]), np.array([0.3, 1.0, 3.0, 10.0, 30.0, 100.0])
+    began = time.time()
+    found = least_squares.fit_walks(t, m, e, s, sigmas, taus)
+    assert time.time() - began < 5  # one curve after the other took 8 ms each
+    monkeypatch.setattr(least_squares, "WALK_CELLS", 1)
+    for k in range(0, 2000, 200):
+        own = slice(s.starts[k], s.starts[k] + n[k])
+        assert found[k] == pytest.approx(least_squares.fit_walks(t[own], m[own], e[own], Segments(np.zeros(1, int), int(n[k])), sigmas, taus)[0], rel=1e-9)
+        assert found[k][2] == pytest.approx(least_squares.walk_cost(t[own], m[own], e[own], found[k][:1], found[k][1:2])[0])
+        assert found[k][2] <= min(least_squares.walk_cost(t[own], m[own], e[own], np.repeat(sigmas, 6), np.tile(taus, 6))) + 1e-12
