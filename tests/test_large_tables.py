@@ -130,3 +130,9 @@ def test_random_walks_of_many_curves_are_those_of_each(monkeypatch):
         assert found[k] == pytest.approx(least_squares.fit_walks(t[own], m[own], e[own], Segments(np.zeros(1, int), int(n[k])), sigmas, taus)[0], rel=1e-9)
         assert found[k][2] == pytest.approx(least_squares.walk_cost(t[own], m[own], e[own], found[k][:1], found[k][1:2])[0])
         assert found[k][2] <= min(least_squares.walk_cost(t[own], m[own], e[own], np.repeat(sigmas, 6), np.tile(taus, 6))) + 1e-12
+
+
+def test_structure_function_indices_take_many_curves_at_once(spark):
+    det = spark.createDataFrame([], "oid string, candid long, fid string, mjd double, mag double, e_mag double, forced boolean")
+    plan = features.structure_function_indices(det)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Generate" not in plan and "zip_with" not in plan
